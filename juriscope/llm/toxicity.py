@@ -8,7 +8,12 @@ cost as negatives.  The second part cannot be negative for the true risk; where
 its estimate is, the step goes against it, which keeps the classifier from
 learning the unlabelled toxic texts as clean.
 
-Features are hashed words and word beginnings, damped counts in unit length.
+The score is calibrated on texts that the classifier did not see: two halves of
+the sample are scored by the other half's classifier, and a slope and an offset
+are fitted to those scores by the same risk.
+
+Features are hashed words and word beginnings, damped counts in unit length;
+those of the sample's rarest words are left out.
 Counting and scoring run in numpy over whole texts, a batch at a time.
 """
 
@@ -31,7 +36,9 @@ from .stages import arrow_map, read_table
 BITS, BEGINNING, CUT = 18, 4, 0.3
 #: Rows that the classifier is fitted on, at most: confirmed positives, and unlabelled.
 MOST_POSITIVE, MOST_UNLABELLED = 2000, 6000
-EPOCHS, RATE, DECAY = 200, 0.3, 1e-6
+EPOCHS, RATE, DECAY = 160, 0.1, 1e-4
+#: Rows of the sample that a feature stands in at least.
+LEAST_ROWS = 4
 #: The class prior if no row says anything about it.
 PRIOR = 0.1
 
@@ -59,12 +66,19 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 class Rows:
     """Sparse rows: of each entry its row, feature and value."""
 
-    def __init__(self, rows: list[tuple[bytes, bytes]]):
+    def __init__(self, n: int, row: np.ndarray, feature: np.ndarray, value: np.ndarray):
+        self.n, self.row, self.feature, self.value = n, row, feature, value
+
+    @classmethod
+    def of(cls, rows: list[tuple[bytes, bytes]]) -> Rows:
         parts = [np.frombuffer(a, np.int32) for a, _ in rows]
-        self.n = len(rows)
-        self.row = np.repeat(np.arange(self.n), [len(x) for x in parts])
-        self.feature = np.concatenate([*parts, np.zeros(0, np.int32)])
-        self.value = np.concatenate([*[np.frombuffer(b, np.float32) for _, b in rows], np.zeros(0, np.float32)]).astype(np.float64)
+        values = np.concatenate([*[np.frombuffer(b, np.float32) for _, b in rows], np.zeros(0, np.float32)])
+        return cls(len(rows), np.repeat(np.arange(len(rows)), [len(x) for x in parts]), np.concatenate([*parts, np.zeros(0, np.int32)]), values.astype(np.float64))
+
+    def some(self, rows: np.ndarray) -> Rows:
+        """The rows of a mask."""
+        keep = rows[self.row]
+        return Rows(int(rows.sum()), (np.cumsum(rows) - 1)[self.row[keep]], self.feature[keep], self.value[keep])
 
     def scores(self, weight: np.ndarray, bias: float) -> np.ndarray:
         return np.bincount(self.row, self.value * weight[self.feature], minlength=self.n) + bias
@@ -73,26 +87,65 @@ class Rows:
         return np.bincount(self.feature, self.value * by_row[self.row], minlength=size)
 
 
-def fit(positive: Rows, unlabelled: Rows, prior: float, epochs: int = EPOCHS) -> tuple[np.ndarray, float]:
-    """Weights and bias that make the non-negative risk small (logistic loss, Adam, whole sample each step)."""
-    used, place = np.unique(np.concatenate([positive.feature, unlabelled.feature]), return_inverse=True)
-    size = len(used)
-    positive.feature, unlabelled.feature = place[: len(positive.feature)], place[len(positive.feature) :]
-    w, first, second = np.zeros(size + 1), np.zeros(size + 1), np.zeros(size + 1)
-    w[-1] = np.log(prior / (1 - prior))
+def risk_gradient(zp: np.ndarray, zu: np.ndarray, prior: float) -> tuple[np.ndarray, np.ndarray]:
+    """Of the non-negative risk by the scores of positives and of unlabelled rows (logistic loss)."""
+    sp, su = sigmoid(zp), sigmoid(zu)
+    as_negative = -np.log(1 - su + 1e-12).mean() - prior * -np.log(1 - sp + 1e-12).mean()
+    if as_negative >= 0:
+        return prior * (sp - 1) / len(sp) - prior * sp / len(sp), su / len(su)
+    return prior * sp / len(sp), -su / len(su)
+
+
+def descend(gradient, start: np.ndarray, epochs: int, rate: float) -> np.ndarray:
+    """Adam, the whole sample each step."""
+    w, first, second = start, np.zeros(len(start)), np.zeros(len(start))
     for epoch in range(1, epochs + 1):
-        sp, su = sigmoid(positive.scores(w[:-1], w[-1])), sigmoid(unlabelled.scores(w[:-1], w[-1]))
-        as_negative = -np.log(1 - su + 1e-12).mean() - prior * -np.log(1 - sp + 1e-12).mean()
-        if as_negative >= 0:
-            gp, gu = prior * (sp - 1) / positive.n - prior * sp / positive.n, su / unlabelled.n
-        else:
-            gp, gu = prior * sp / positive.n, -su / unlabelled.n
-        g = np.append(positive.gradient(gp, size) + unlabelled.gradient(gu, size) + DECAY * w[:-1], 0.1 * (gp.sum() + gu.sum()))
+        g = gradient(w)
         first, second = 0.9 * first + 0.1 * g, 0.99 * second + 0.01 * g * g
-        w -= RATE * (first / (1 - 0.9**epoch)) / (np.sqrt(second / (1 - 0.99**epoch)) + 1e-8)
+        w = w - rate * (first / (1 - 0.9**epoch)) / (np.sqrt(second / (1 - 0.99**epoch)) + 1e-8)
+    return w
+
+
+def fit(positive: Rows, unlabelled: Rows, prior: float, size: int) -> np.ndarray:
+    """Weights, and the bias last, that make the risk small."""
+
+    def gradient(w: np.ndarray) -> np.ndarray:
+        gp, gu = risk_gradient(positive.scores(w[:-1], w[-1]), unlabelled.scores(w[:-1], w[-1]), prior)
+        return np.append(positive.gradient(gp, size) + unlabelled.gradient(gu, size) + DECAY * w[:-1], 0.1 * (gp.sum() + gu.sum()))
+
+    return descend(gradient, np.append(np.zeros(size), np.log(prior / (1 - prior))), EPOCHS, RATE)
+
+
+def calibrated(positive: Rows, p_half: np.ndarray, unlabelled: Rows, u_half: np.ndarray, prior: float) -> tuple[np.ndarray, float]:
+    """Weights by feature and bias; the halves (booleans by row) keep a text on one side in both sets."""
+    features = np.concatenate([positive.feature, unlabelled.feature])
+    kept = np.flatnonzero(np.bincount(features, minlength=1 << BITS) >= LEAST_ROWS)
+    place = np.full(1 << BITS, -1)
+    place[kept] = np.arange(len(kept))
+
+    def narrowed(x: Rows) -> Rows:
+        there = place[x.feature] >= 0
+        return Rows(x.n, x.row[there], place[x.feature[there]], x.value[there])
+
+    p, u = narrowed(positive), narrowed(unlabelled)
+    zp, zu = np.zeros(p.n), np.zeros(u.n)
+    slope, offset = 1.0, 0.0
+    if all(m.any() for m in (p_half, ~p_half, u_half, ~u_half)):
+        for half in (False, True):
+            w = fit(p.some(p_half != half), u.some(u_half != half), prior, len(kept))
+            zp[p_half == half] = p.scores(w[:-1], w[-1])[p_half == half]
+            zu[u_half == half] = u.scores(w[:-1], w[-1])[u_half == half]
+
+        def gradient(c: np.ndarray) -> np.ndarray:
+            gp, gu = risk_gradient(np.exp(c[0]) * zp + c[1], np.exp(c[0]) * zu + c[1], prior)
+            return np.array([((gp * zp).sum() + (gu * zu).sum()) * np.exp(c[0]), gp.sum() + gu.sum()])
+
+        c = descend(gradient, np.zeros(2), 400, 0.02)
+        slope, offset = float(np.exp(c[0])), float(c[1])
+    w = fit(p, u, prior, len(kept))
     whole = np.zeros(1 << BITS)
-    whole[used] = w[:-1]
-    return whole, float(w[-1])
+    whole[kept] = slope * w[:-1]
+    return whole, slope * float(w[-1]) + offset
 
 
 def feature_rows(docs: DataFrame) -> DataFrame:
@@ -132,8 +185,12 @@ def train(docs: DataFrame, labels: DataFrame, most_positive: int = MOST_POSITIVE
     ids = docs.sparkSession.createDataFrame([(i,) for i in sorted(chosen[True] | chosen[False])], "id long")
     made = feature_rows(rows.join(F.broadcast(ids), "id", "left_semi").select("id", "text")).collect()
     made.sort(key=lambda r: (r["id"], bytes(r["features"]), bytes(r["values"])))
-    sets = [Rows([(r["features"], r["values"]) for r in made if r["id"] in chosen[kind]]) for kind in (True, False)]
-    return fit(*sets, prior)
+    half = {i: n % 2 == 0 for n, i in enumerate(sorted(chosen[True] | chosen[False]))}
+    sets = []
+    for kind in (True, False):
+        own = [r for r in made if r["id"] in chosen[kind]]
+        sets += [Rows.of([(r["features"], r["values"]) for r in own]), np.array([half[r["id"]] for r in own])]
+    return calibrated(*sets, prior)
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float] | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -94,7 +94,8 @@ def test_chains_and_odd_texts(spark):
     assert neardup.near_duplicates(docs.limit(0)).collect() == []
 
 
-def test_toxicity_on_held_out_rows(spark, sf):
+def test_toxicity_on_held_out_rows(spark):
+    sf = "/root/testdata/sf0.1"  # enough confirmed rows to learn from
     rows = toxicity.op5_toxicity(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out").collect()
     s, y = np.array([r["score"] for r in rows]), np.array([r["toxic"] for r in rows])
     auc = np.mean([(a > b) + 0.5 * (a == b) for a in s[y == 1] for b in s[y == 0]])

@@ -11,10 +11,13 @@ document costs little more than its shingles.
 
 Signatures are cut in bands.  Documents that agree on a band are candidates.
 They are verified on the whole bags: multiset intersection over union, exactly.
-Within a band's group pairs are not told one by one: first each document meets
-the least id of its groups, then what is still apart meets the least id of each
-of its groups, and last the documents of one group that are in different
-classes meet each other; so no link that joins two classes is left out.
+Within a band's group pairs are not told one by one.  A document is central by
+the sizes of its groups; the original of many copies agrees with most of them
+and comes first.  Each document meets the most central one of its groups, then
+what is still apart meets the most central one of each of its groups.  Last,
+the documents of one group that are in different classes are compared within
+the join that finds them, which lets links only through; so no link that joins
+two classes is left out, and no list of pairs is made.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import slices
@@ -170,18 +173,37 @@ class Verifier:
         self.threshold = threshold
         self.have: DataFrame | None = None
 
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that reach the threshold."""
-        ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    def bags(self, ids: DataFrame) -> DataFrame:
+        """(id, bag) of these ids, and of others asked for before."""
         if self.have is not None:
             ids = ids.join(self.have.select("id"), "id", "left_anti")
         ids = staged(ids, "ids-to-verify")
         new = staged(bag_rows(by_ids(self.docs, ids, ids.count(), "left_semi").select("id", "text")), "bags")
         self.have = new if self.have is None else self.have.unionByName(new)
-        x, y = self.have.select(F.col("id").alias("a"), F.col("bag").alias("x")), self.have.select(F.col("id").alias("b"), F.col("bag").alias("y"))
-        both = F.size(F.array_intersect("x", "y"))
-        sure = both >= self.threshold * (F.size("x") + F.size("y") - both)
-        return staged(pairs.join(x, "a").join(y, "b").where(sure).select("a", "b").distinct(), "links")
+        return self.have
+
+    def near(self, x: str, y: str) -> Column:
+        """Whether two bags reach the threshold; their sizes alone often tell that they don't."""
+        small, large, both = F.least(F.size(x), F.size(y)), F.greatest(F.size(x), F.size(y)), F.size(F.array_intersect(x, y))
+        return (small >= self.threshold * large) & (both >= self.threshold * (F.size(x) + F.size(y) - both))
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) that reach the threshold."""
+        have = self.bags(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct())
+        x, y = have.select(F.col("id").alias("a"), F.col("bag").alias("x")), have.select(F.col("id").alias("b"), F.col("bag").alias("y"))
+        return staged(pairs.join(x, "a").join(y, "b").where(self.near("x", "y")).select("a", "b").distinct(), "links")
+
+    def links_within(self, groups: DataFrame) -> DataFrame:
+        """The linked pairs of different label within a group: (key, head, label, bands).
+
+        A pair that shares several groups is compared in the one of least key.
+        """
+        have = self.bags(groups.select(F.col("head").alias("id")).distinct())
+        rows = groups.join(have, F.col("head") == F.col("id")).select("key", "head", "label", "bands", "bag")
+        x, y = rows.alias("x"), rows.alias("y")
+        once = F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("x.key")
+        met = (F.col("x.key") == F.col("y.key")) & (F.col("x.head") > F.col("y.head")) & (F.col("x.label") != F.col("y.label")) & once & self.near("x.bag", "y.bag")
+        return staged(x.join(y, met).select(F.col("x.head").alias("a"), F.col("y.head").alias("b")).distinct(), "links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -202,6 +224,14 @@ def components(links: DataFrame) -> DataFrame:
         labels = new.select("id", "label")
 
 
+def still_apart(members: DataFrame, links: DataFrame) -> DataFrame:
+    """The rows of groups whose members have different labels: key, head, label, lead and the lead's label."""
+    labels = components(links).select(F.col("id").alias("head"), "label")
+    told = staged(members.join(labels, "head", "left").select("key", "head", "lead", F.coalesce("label", "head").alias("label")), "told")
+    stats = told.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max(F.when(F.col("head") == F.col("lead"), F.col("label"))).alias("lead_label"))
+    return staged(told.join(stats.where(F.col("low") != F.col("high")).select("key", "lead_label"), "key"), "apart")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Each row's id and class_id, the least id of the documents that it is linked with, over any number of links.
 
@@ -221,29 +251,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     same = known.select("id", "one", "two").join(heads.select("one", "two", "head"), ["one", "two"]).where(F.col("id") != F.col("head")).select(F.col("id").alias("a"), F.col("head").alias("b")).distinct()
 
     keys = heads.select("head", F.explode("bands").alias("key"))
-    groups = keys.groupBy("key").agg(F.min("head").alias("lead"), F.max("head").alias("last")).where(F.col("lead") != F.col("last")).select("key", "lead")
-    members = staged(keys.join(groups, "key"), "band-groups")
+    groups = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    shared = staged(keys.join(groups, "key"), "band-groups")
+    central = shared.groupBy("head").agg(F.sum("n").alias("weight"))
+    weighed = shared.join(central, "head").select("key", "head", F.struct("weight", (-F.col("head")).alias("less")).alias("place"))
+    leads = weighed.groupBy("key").agg(F.max("place").alias("lead"))
+    members = staged(weighed.join(leads, "key").select("key", "head", (-F.col("lead.less")).alias("lead"), F.col("lead.weight").alias("weight")), "members")
 
     verify = Verifier(docs, id_col, text_col, threshold)
-    first = staged(members.where(F.col("head") != F.col("lead")).groupBy(F.col("head").alias("a")).agg(F.min("lead").alias("b")), "pairs")
-    links, tested = None, None
+    best = F.max(F.struct("weight", (-F.col("lead")).alias("less")))
+    first = staged(members.where(F.col("head") != F.col("lead")).groupBy(F.col("head").alias("a")).agg(best.alias("best")).select("a", (-F.col("best.less")).alias("b")), "pairs")
+    links = None
     if not first.isEmpty():
-        links, tested = verify.links(first), first
-        for step in ("lead", "rest"):
-            labels = components(links)
-            label = labels.select(F.col("id").alias("head"), "label")
-            told = members.join(label, "head", "left").withColumn("label", F.coalesce("label", "head"))
-            mixed_groups = told.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where(F.col("low") != F.col("high")).select("key")
-            apart = staged(told.join(mixed_groups, "key"), "apart")
-            if step == "lead":
-                lead = apart.where(F.col("head") == F.col("lead")).select("key", F.col("label").alias("lead_label"))
-                pairs = apart.join(lead, "key").where(F.col("label") != F.col("lead_label")).select(F.col("head").alias("a"), F.col("lead").alias("b"))
-            else:
-                left, right = apart.select("key", F.col("head").alias("b"), F.col("label").alias("lb")), apart.select("key", F.col("head").alias("a"), F.col("label").alias("la"))
-                pairs = right.join(left, "key").where((F.col("la") != F.col("lb")) & (F.col("a") > F.col("b"))).select("a", "b")
-            pairs = staged(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
-            if not pairs.isEmpty():
-                links, tested = links.unionByName(verify.links(pairs)), tested.unionByName(pairs)
+        links = verify.links(first)
+        apart = still_apart(members, links)
+        pairs = apart.where(F.col("label") != F.col("lead_label")).select(F.col("head").alias("a"), F.col("lead").alias("b")).distinct()
+        pairs = staged(pairs.join(first, ["a", "b"], "left_anti"), "pairs")
+        if not pairs.isEmpty():
+            links = links.unionByName(verify.links(pairs))
+        apart = still_apart(members, links)
+        if not apart.isEmpty():
+            links = links.unionByName(verify.links_within(apart.join(heads.select("head", "bands"), "head")))
     every = same if links is None else same.unionByName(links)
     labels = components(every)
     return seen.select("id").join(labels, "id", "left").select(F.col("id").alias(id_col), F.coalesce("label", "id").alias("class_id"))

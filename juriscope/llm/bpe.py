@@ -34,7 +34,7 @@ from .merges import Merges, byte_names
 from .stages import arrow_map, read_table
 
 #: Bytes of text that are worked on at once; a longer text stands alone, whole.
-SLICE = 1 << 21
+SLICE = 1 << 20
 #: Bytes that the rolling hash sees; mean, least and most bytes of a chunk.
 WINDOW, MEAN_BITS, LEAST, MOST = 32, 11, 256, 1 << 16
 #: A worker's memory: chunks in each of two generations, and segments.

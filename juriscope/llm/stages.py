@@ -15,6 +15,10 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Rows of an Arrow batch, at most.
+BATCH_KEY, BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; without one, a temporary folder, on a local master only."""
     found = spark.conf.get("spark.checkpoint.dir", None)
@@ -67,6 +71,9 @@ def shipped(spark: SparkSession) -> None:
 
 
 def arrow_map(df: DataFrame, work: Callable, schema) -> DataFrame:
-    """``df.mapInArrow``, with this package on the workers."""
-    shipped(df.sparkSession)
+    """``df.mapInArrow``, with this package on the workers and BATCH rows at once: rows are whole texts here."""
+    spark = df.sparkSession
+    shipped(spark)
+    if int(spark.conf.get(BATCH_KEY)) > BATCH:
+        spark.conf.set(BATCH_KEY, str(BATCH))
     return df.mapInArrow(work, schema)

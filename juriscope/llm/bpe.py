@@ -38,7 +38,7 @@ SLICE = 1 << 20
 #: Bytes that the rolling hash sees; mean, least and most bytes of a chunk.
 WINDOW, MEAN_BITS, LEAST, MOST = 32, 11, 256, 1 << 16
 #: A worker's memory: chunks in each of two generations, and segments.
-CHUNKS, SEGMENTS = 8192, 1_000_000
+CHUNKS, SEGMENTS = 4096, 400_000
 
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True

@@ -6,12 +6,14 @@ executor is lost, and that cuts the lineage of what follows.
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -70,10 +72,26 @@ def shipped(spark: SparkSession) -> None:
     context._juriscope_shipped = True
 
 
+def trimmed() -> None:
+    """Give memory that a task no longer uses back to the system; its worker may wait for long."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        return
+
+
 def arrow_map(df: DataFrame, work: Callable, schema) -> DataFrame:
     """``df.mapInArrow``, with this package on the workers and BATCH rows at once: rows are whole texts here."""
     spark = df.sparkSession
     shipped(spark)
     if int(spark.conf.get(BATCH_KEY)) > BATCH:
         spark.conf.set(BATCH_KEY, str(BATCH))
-    return df.mapInArrow(work, schema)
+
+    def lean(batches):
+        try:
+            yield from work(batches)
+        finally:
+            trimmed()
+
+    return df.mapInArrow(lean, schema)

@@ -42,8 +42,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document (little-endian unsigned 32-bit integers), and whether they decode to its text."""
     path = bpe.public_path("byte_bpe_50k.json")
-    made = bpe.encode(docs.withColumn("text_sha256", F.sha2(F.coalesce("text", F.lit("")), 256)), path)
-    out = bpe.decode(made, path)
+    out = bpe.encode_decode(docs.withColumn("text_sha256", F.sha2(F.coalesce("text", F.lit("")), 256)), path)
     return out.withColumn("round_trip", F.sha2("decoded", 256) == F.col("text_sha256")).drop("decoded", "text_sha256")
 
 

@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import functools
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -330,8 +330,21 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", keep: list[str] |
     in a text get their own ids, as in the library.  Repeated rows each get their
     ids; columns of the input named n_tokens or ids give way to the results.
     """
-    keep = [c for c in (keep if keep is not None else docs.columns) if c not in (text_col, "n_tokens", "ids")]
-    schema = T.StructType([*[docs.schema[c] for c in keep], T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
+    keep = others(docs, text_col, keep)
+    return arrow_map(docs.select(*keep, F.col(text_col).cast("string").alias("__text")), encoding(path, keep), encoded_schema(docs, keep))
+
+
+def others(docs: DataFrame, text_col: str, keep: list[str] | None, *made: str) -> list[str]:
+    """The columns that stay beside the results."""
+    return [c for c in (keep if keep is not None else docs.columns) if c not in (text_col, "n_tokens", "ids", *made)]
+
+
+def encoded_schema(docs: DataFrame, keep: list[str]) -> T.StructType:
+    return T.StructType([*[docs.schema[c] for c in keep], T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
+
+
+def encoding(path: str, keep: list[str]) -> Callable:
+    """Batches of (*keep, text) made batches of (*keep, n_tokens, ids)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
@@ -341,7 +354,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", keep: list[str] |
                 columns = [batch.column(i).slice(first, last - first) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(np.diff(bounds)), binaries(ids.astype("<u4"), bounds)], names=[*keep, "n_tokens", "ids"])
 
-    return arrow_map(docs.select(*keep, F.col(text_col).cast("string").alias("__text")), work, schema)
+    return work
 
 
 def token_bytes(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -369,7 +382,11 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids", to: str = "decod
     """
     keep = [c for c in encoded.columns if c != to]
     schema = T.StructType([*[encoded.schema[c] for c in keep], T.StructField(to, T.StringType())])
-    where = keep.index(ids_col)
+    return arrow_map(encoded.select(*keep), decoding(path, keep, keep.index(ids_col), to), schema)
+
+
+def decoding(path: str, keep: list[str], where: int, to: str) -> Callable:
+    """Batches of ``keep``, ids at ``where``, with the decoded text as one more column."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, starts, lengths = cached_bytes(path)
@@ -387,7 +404,18 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids", to: str = "decod
                 yield pa.RecordBatch.from_arrays([*[batch.column(i).slice(first, last - first) for i in range(len(keep))], texts(out, bounds)], names=[*keep, to])
                 first = last
 
-    return arrow_map(encoded, work, schema)
+    return work
+
+
+def encode_decode(docs: DataFrame, path: str, text_col: str = "text", keep: list[str] | None = None, to: str = "decoded") -> DataFrame:
+    """``decode(encode(docs))``, both by the one Python worker of a task, so that a core needs one worker's memory.
+
+    Cases: as in ``encode`` and ``decode``; a column of the input named ``to`` gives way to the result.
+    """
+    keep = others(docs, text_col, keep, to)
+    schema = T.StructType([*encoded_schema(docs, keep), T.StructField(to, T.StringType())])
+    first, then = encoding(path, keep), decoding(path, [*keep, "n_tokens", "ids"], len(keep) + 1, to)
+    return arrow_map(docs.select(*keep, F.col(text_col).cast("string").alias("__text")), lambda batches: then(first(batches)), schema)
 
 
 def texts(data: np.ndarray, bounds: np.ndarray) -> pa.Array:
@@ -413,5 +441,5 @@ def public_path(name: str) -> str:
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_path("byte_bpe_50k.json")
-    made = encode(read_table(spark, sf_dir, "documents").select("doc_id", "text"), path)
-    return decode(made, path).select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    made = encode_decode(read_table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    return made.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from juriscope.llm import bpe, tokenfile
@@ -41,6 +42,7 @@ def test_round_trip(spark):
     plain = Tokenizer.from_file(path)
     for i, t in enumerate(some):
         assert got[i]["decoded"] == (t or "") and np.frombuffer(got[i]["ids"], "<u4").tolist() == plain.encode(t or "", add_special_tokens=False).ids
+    assert {r["doc_id"]: r for r in bpe.encode_decode(docs.withColumn("decoded", F.lit(0)), path).collect()} == got
     assert bpe.encode(docs.limit(0), path).collect() == []
     bad = spark.createDataFrame([(1, bytes(np.array([124, 222], "<u4"))), (2, None)], "doc_id long, ids binary")
     out = {r["doc_id"]: r["decoded"] for r in bpe.decode(bad, path).collect()}

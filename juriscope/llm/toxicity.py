@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from .bpe import binaries, slices
 from .hashing import WORD_BYTES, Buffer, U
-from .stages import arrow_map, read_table
+from .stages import arrow_map, read_table, trimmed
 
 #: Features; bytes of a word's beginning; score from which a text is called toxic.
 BITS, BEGINNING, CUT = 18, 4, 0.3
@@ -73,12 +73,12 @@ class Rows:
     def of(cls, rows: list[tuple[bytes, bytes]]) -> Rows:
         parts = [np.frombuffer(a, np.int32) for a, _ in rows]
         values = np.concatenate([*[np.frombuffer(b, np.float32) for _, b in rows], np.zeros(0, np.float32)])
-        return cls(len(rows), np.repeat(np.arange(len(rows)), [len(x) for x in parts]), np.concatenate([*parts, np.zeros(0, np.int32)]), values.astype(np.float64))
+        return cls(len(rows), np.repeat(np.arange(len(rows), dtype=np.int32), [len(x) for x in parts]), np.concatenate([*parts, np.zeros(0, np.int32)]), values)
 
     def some(self, rows: np.ndarray) -> Rows:
         """The rows of a mask."""
         keep = rows[self.row]
-        return Rows(int(rows.sum()), (np.cumsum(rows) - 1)[self.row[keep]], self.feature[keep], self.value[keep])
+        return Rows(int(rows.sum()), (np.cumsum(rows, dtype=np.int32) - np.int32(1))[self.row[keep]], self.feature[keep], self.value[keep])
 
     def scores(self, weight: np.ndarray, bias: float) -> np.ndarray:
         return np.bincount(self.row, self.value * weight[self.feature], minlength=self.n) + bias
@@ -118,9 +118,9 @@ def fit(positive: Rows, unlabelled: Rows, prior: float, size: int) -> np.ndarray
 
 def calibrated(positive: Rows, p_half: np.ndarray, unlabelled: Rows, u_half: np.ndarray, prior: float) -> tuple[np.ndarray, float]:
     """Weights by feature and bias; the halves (booleans by row) keep a text on one side in both sets."""
-    features = np.concatenate([positive.feature, unlabelled.feature])
-    kept = np.flatnonzero(np.bincount(features, minlength=1 << BITS) >= LEAST_ROWS)
-    place = np.full(1 << BITS, -1)
+    stands = np.bincount(positive.feature, minlength=1 << BITS) + np.bincount(unlabelled.feature, minlength=1 << BITS)
+    kept = np.flatnonzero(stands >= LEAST_ROWS)
+    place = np.full(1 << BITS, -1, np.int32)
     place[kept] = np.arange(len(kept))
 
     def narrowed(x: Rows) -> Rows:
@@ -128,6 +128,7 @@ def calibrated(positive: Rows, p_half: np.ndarray, unlabelled: Rows, u_half: np.
         return Rows(x.n, x.row[there], place[x.feature[there]], x.value[there])
 
     p, u = narrowed(positive), narrowed(unlabelled)
+    del positive, unlabelled
     zp, zu = np.zeros(p.n), np.zeros(u.n)
     slope, offset = 1.0, 0.0
     if all(m.any() for m in (p_half, ~p_half, u_half, ~u_half)):
@@ -189,8 +190,15 @@ def train(docs: DataFrame, labels: DataFrame, most_positive: int = MOST_POSITIVE
     sets = []
     for kind in (True, False):
         own = [r for r in made if r["id"] in chosen[kind]]
-        sets += [Rows.of([(r["features"], r["values"]) for r in own]), np.array([half[r["id"]] for r in own])]
-    return calibrated(*sets, prior)
+        sets.append((Rows.of([(r["features"], r["values"]) for r in own]), np.array([half[r["id"]] for r in own])))
+    del made, own
+    trimmed()
+    (positive_rows, p_half), (unlabelled_rows, u_half) = sets
+    del sets
+    try:
+        return calibrated(positive_rows, p_half, unlabelled_rows, u_half, prior)
+    finally:
+        trimmed()
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float] | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -151,10 +151,10 @@ def signatory_match(spark, sf):
     return metadata.signatories(metadata.signature_lines(law_lines(spark, sf).where("line_no >= 9000")), register)
 
 
-@query("SELECT doc_id, strip_accents(text) AS plain, regexp_replace(upper(replace(replace(replace(upper(left(source, 10)), 'I', '1'), 'L', '1'), 'O', '0')), '[^0-9]', '', 'g') AS digits, length(text) AS n FROM documents WHERE text IS NOT NULL")
+@query("SELECT doc_id, strip_accents(text) AS plain, regexp_replace(upper(replace(replace(replace(upper(source), 'I', '1'), 'L', '1'), 'O', '0')), '[^0-9]', '', 'g') AS digits, length(text) AS n FROM documents")
 def accent_strip(spark, sf):
-    d = table(spark, sf, "documents").where("text IS NOT NULL")
-    return d.select("doc_id", text.strip_accents(F.col("text")).alias("plain"), text.ocr_digits(F.left("source", F.lit(10))).alias("digits"), F.length("text").cast("long").alias("n"))
+    d = table(spark, sf, "documents")
+    return d.select("doc_id", text.strip_accents(F.col("text")).alias("plain"), text.ocr_digits(F.col("source")).alias("digits"), F.length("text").cast("long").alias("n"))
 
 
 def _replaced(c: str) -> str:
@@ -168,9 +168,15 @@ def corrections(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.md5(text.corrected(F.col("text"))).alias("corrected"))
 
 
-@query("SELECT doc_id, md5(trim(regexp_replace(regexp_replace(text, '\\s*\\n\\s*', ' ', 'g'), '[ \\t]{2,}', ' ', 'g'))) AS one_line FROM documents WHERE NOT regexp_matches(text, '-\\s*\\n|\\n\\s*-|\\r')")
+_GAP = r"[ \t\n\x0B\f\r]*"
+_JOIN = rf"regexp_replace({{}}, '(\w)-{_GAP[:-1]}*\n{_GAP}(\w)', '\1\2', 'g')"
+_LISTED = rf"regexp_replace({_JOIN.format(_JOIN.format("replace(text, chr(13), '')"))}, '\n{_GAP}-{_GAP}', chr(1), 'g')"
+_ONE_LINE = rf"regexp_replace(regexp_replace({_LISTED}, '{_GAP}\n{_GAP}', ' ', 'g'), '[ \t]{{2,}}', ' ', 'g')"
+
+
+@query(rf"SELECT doc_id, md5(regexp_replace(replace({_ONE_LINE}, chr(1), chr(10) || '- '), '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g')) AS one_line FROM documents")
 def single_line(spark, sf):
-    d = table(spark, sf, "documents").where(~F.col("text").rlike(r"-\s*\n|\n\s*-|\r"))
+    d = table(spark, sf, "documents")
     return d.select("doc_id", F.md5(text.single_line(F.col("text"))).alias("one_line"))
 
 
@@ -224,10 +230,9 @@ def page_stop(spark, sf):
 _INK = "length(regexp_replace({}, '[ \\t\\n\\r]', '', 'g'))"
 
 
-@query(f"""SELECT page_id, CASE WHEN {_INK.format("a")} >= {_INK.format("b")} THEN a ELSE b END AS best, CASE WHEN trim(b) <> '' THEN b ELSE a END AS first FROM (SELECT page_id, left(html, 40) AS a, substr(html, 100, 40) AS b FROM pages)""")
+@query(f"""SELECT page_id, md5(CASE WHEN {_INK.format("html")} >= {_INK.format("url")} THEN html ELSE url END) AS best, CASE WHEN trim(url) <> '' THEN url ELSE html END AS first FROM pages""")
 def best_page_text(spark, sf):
-    p = table(spark, sf, "pages").select("page_id", F.left("html", F.lit(40)).alias("a"), F.substring("html", 100, 40).alias("b"))
-    return p.select("page_id", adapters.longest_text("a", "b").alias("best"), adapters.first_text("b", "a").alias("first"))
+    return table(spark, sf, "pages").select("page_id", F.md5(adapters.longest_text("html", "url")).alias("best"), adapters.first_text("url", "html").alias("first"))
 
 
 @query()
@@ -277,17 +282,17 @@ def graph_edges(spark, sf):
     return graph.edges(nodes, laws)
 
 
-@query("""SELECT c_custkey AS id, c_mktsegment AS value FROM customer WHERE c_custkey <= 900 UNION ALL SELECT o_custkey, 'new' FROM (SELECT DISTINCT o_custkey FROM orders) WHERE o_custkey > 0 AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey <= 900)""")
+@query("""SELECT c_custkey AS id, c_mktsegment AS value FROM customer UNION ALL SELECT o_custkey, 'new' FROM (SELECT DISTINCT o_custkey FROM orders) WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)""")
 def graph_upsert(spark, sf):
-    new = table(spark, sf, "customer").where("c_custkey <= 900").select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("value"))
-    old = table(spark, sf, "orders").where("o_custkey > 0").select(F.col("o_custkey").alias("id")).distinct().withColumn("value", F.lit("new"))
+    new = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("value"))
+    old = table(spark, sf, "orders").select(F.col("o_custkey").alias("id")).distinct().withColumn("value", F.lit("new"))
     return graph.upsert(old, new)
 
 
-@query("""WITH p AS (SELECT p_brand AS law_number, p_partkey AS id FROM part), c AS (SELECT * FROM p WHERE id <= 500) SELECT * FROM c UNION ALL SELECT * FROM p WHERE id > 500 AND law_number NOT IN (SELECT law_number FROM c)""")
+@query("""SELECT s_nationkey AS law_number, s_suppkey AS id FROM supplier UNION ALL SELECT c_nationkey, c_custkey FROM customer WHERE c_nationkey NOT IN (SELECT s_nationkey FROM supplier)""")
 def graph_replace(spark, sf):
-    p = table(spark, sf, "part").select(F.col("p_brand").alias("law_number"), F.col("p_partkey").alias("id"))
-    return graph.replace_children(p.where("id > 500"), p.where("id <= 500"))
+    old = table(spark, sf, "customer").select(F.col("c_nationkey").alias("law_number"), F.col("c_custkey").alias("id"))
+    return graph.replace_children(old, table(spark, sf, "supplier").select(F.col("s_nationkey").alias("law_number"), F.col("s_suppkey").alias("id")))
 
 
 @query(f"SELECT (SELECT count(DISTINCT law_number) FROM ({NUMBERS})) AS n_laws, (SELECT count(*) FROM ({_NODES})) AS n_articles")
@@ -299,11 +304,10 @@ def graph_counts(spark, sf):
 _TOK = "list_distinct(list_filter(string_split_regex(lower({}), '[\\s,.:;!\"''()-]+'), lambda x: length(x) > 1))"
 
 
-@query(f"""SELECT doc_id, item_id, CASE WHEN len(p) > 0 THEN round(len(list_intersect(p, {_TOK.format("t")})) / len(p), 6) ELSE 0.0 END AS score FROM
- (SELECT doc_id, item_id, {_TOK.format("b.text")} AS p, d.text AS t FROM documents d JOIN benchmark b ON d.doc_id % 40 = b.item_id)""")
+@query(f"""SELECT page_id, CASE WHEN len(p) > 0 THEN round(len(list_intersect(p, {_TOK.format("html")})) / len(p), 6) ELSE 0.0 END AS score FROM
+ (SELECT page_id, {_TOK.format("url")} AS p, html FROM pages)""")
 def partial_jaccard(spark, sf):
-    d, b = table(spark, sf, "documents"), table(spark, sf, "benchmark").select("item_id", F.col("text").alias("part"))
-    return d.join(b, d["doc_id"] % 40 == b["item_id"]).select("doc_id", "item_id", F.round(text.partial_jaccard(F.col("part"), F.col("text")), 6).alias("score"))
+    return table(spark, sf, "pages").select("page_id", F.round(text.partial_jaccard(F.col("url"), F.col("html")), 6).alias("score"))
 
 
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")

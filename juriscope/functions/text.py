@@ -192,3 +192,18 @@ def chunks(text: Column, most: int = 512) -> Column:
         return F.struct(now.alias("now"), F.when(full, F.array_append(acc["out"], acc["now"])).otherwise(acc["out"]).alias("out"))
 
     return F.aggregate(sentences, empty, step, lambda a: F.when(a["now"] != "", F.array_append(a["out"], a["now"])).otherwise(a["out"]))
+
+
+def with_edits(text: Column, edits: Column) -> Column:
+    """A text with edits (array of struct<start, stop, replacement>, positions from 0, stop exclusive) put in, last first.
+
+    Edits of a word with an initial capital, of at most two characters, or without a replacement are left out.
+    """
+
+    def put(acc: Column, e: Column) -> Column:
+        old = F.substr(text, e["start"] + 1, e["stop"] - e["start"])
+        fits = e["replacement"].isNotNull() & (e["stop"] - e["start"] > 2) & ~old.rlike(r"^\p{Lu}")
+        return F.when(fits, F.concat(F.substr(acc, F.lit(1), e["start"]), e["replacement"], F.substr(acc, e["stop"] + 1))).otherwise(acc)
+
+    last_first = F.reverse(F.array_sort(F.transform(edits, lambda e: F.struct(e["start"].alias("start"), e["stop"].alias("stop"), e["replacement"].alias("replacement")))))
+    return F.coalesce(F.aggregate(last_first, text, put), text)

@@ -38,3 +38,10 @@ def structure_errors(laws: DataFrame) -> DataFrame:
 def gate(laws: DataFrame) -> DataFrame:
     """Each act with whether it passes: a number that is not blank and two articles."""
     return laws.withColumn("passes", F.coalesce(F.trim("law_number") != "", F.lit(False)) & (F.coalesce("n_articles", F.lit(0)) >= 2))
+
+
+def accepted_and_rejected(laws: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Acts that pass the gate, and the others with the first rule that they break; one bad act stops no other."""
+    told = gate(laws)
+    why = F.when(F.coalesce(F.trim("law_number") == "", F.lit(True)), "lawNumber manquant").otherwise("Moins de 2 articles")
+    return told.where("passes").drop("passes"), told.where(~F.col("passes")).drop("passes").withColumn("reason", why)

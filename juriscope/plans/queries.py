@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from juriscope.functions import fuzzy, text
-from juriscope.operators import graph, lines, metadata, quality, vectors
+from juriscope.operators import dictionary, graph, lines, metadata, quality, vectors
 from juriscope.rules import FRENCH_LAW
 from juriscope.sources import adapters
 from juriscope.streaming.incremental import new_only
@@ -348,3 +348,51 @@ def date_parse(spark, sf):
     names = F.array(*map(F.lit, FRENCH_LAW.months))
     said = F.concat_ws(" ", F.day("o_orderdate").cast("string"), F.when(F.col("o_orderkey") % 3 == 0, "brumaire").otherwise(F.element_at(names, F.month("o_orderdate"))), F.year("o_orderdate").cast("string"))
     return o.select(F.col("o_orderkey").alias("doc_id"), text.french_date(said).alias("day"))
+
+
+_ORDERED_MONTHS = ", ".join(f"'{m}'" for m in FRENCH_LAW.months)
+
+
+@query(f"""SELECT o_orderkey AS doc_id, concat(day(o_orderdate), ' ', list_extract([{_ORDERED_MONTHS}], month(o_orderdate)), ' ', year(o_orderdate)) AS said FROM orders""")
+def month_repair(spark, sf):
+    o = table(spark, sf, "orders")
+    month = F.replace(F.element_at(F.array(*map(F.lit, FRENCH_LAW.months)), F.month("o_orderdate")), F.lit("i"), F.lit("l"))
+    misread = F.concat(F.translate(F.day("o_orderdate").cast("string"), "1", "I"), F.lit("er "), month, F.lit(" "), F.translate(F.year("o_orderdate").cast("string"), "0", "O"))
+    return o.select(F.col("o_orderkey").alias("doc_id"), text.repair_date(misread, F.lit("1900")).alias("said"))
+
+
+@query(f"SELECT doc_id, line_no, CAST({_HITS} AS BIGINT) AS hits FROM ({L})")
+def article_fuzzy_bigram(spark, sf):
+    zone = F.left(F.lower(text.trimmed(F.col("line"))), F.lit(7))
+    return law_lines(spark, sf).select("doc_id", "line_no", fuzzy.gram_hits(zone, F.lit("article"), 2).cast("long").alias("hits"))
+
+
+@query(r"""SELECT doc_id, line_no, regexp_replace(regexp_replace(left(line, 25), '((\.-|- | -|\. |, |:)\s*)+', ': ', 'g'), '\s{2,}', ' ', 'g') || substr(line, 26) AS delimited,
+ trim(regexp_replace(regexp_replace(left(line, 25), '\s*:\s*', ' : ', 'g'), '\s{2,}', ' ', 'g')) || substr(line, 26) AS spaced FROM (""" + L + ")")
+def prefix_normalize(spark, sf):
+    return law_lines(spark, sf).select("doc_id", "line_no", text.normalize_delimiters(F.col("line"), 25).alias("delimited"), text.normalize_colons(F.col("line"), 25).alias("spaced"))
+
+
+_KNOWN = "SELECT word, row_number() OVER (ORDER BY word) AS priority FROM (SELECT DISTINCT w AS word FROM (SELECT unnest(string_split(coalesce(p_name, ''), ' ')) AS w FROM part UNION ALL SELECT unnest(string_split_regex(coalesce(text, ''), '[ \\n]+')) FROM benchmark) WHERE trim(w) <> '')"
+_LIST = lambda words: ", ".join(f"({i}, '{w}')" for i, w in enumerate(words))
+_ONE_OFF = "(SELECT len(list_filter(range(1, length(low) + 1), lambda i: substr(low, i, 1) <> substr({d}, i, 1)))) = 1"
+_AT = "list_filter(range(1, length(low) + 1), lambda i: substr(low, i, 1) <> substr(d.word, i, 1))[1]"
+
+
+@query(f"""WITH dict AS MATERIALIZED ({_KNOWN}), low AS MATERIALIZED (SELECT DISTINCT lower(word) AS k FROM dict), short AS (SELECT w FROM (VALUES {_LIST(FRENCH_LAW.short_words)}) t(i, w)), common AS (SELECT i, w FROM (VALUES {_LIST(FRENCH_LAW.frequent_words)}) t(i, w)),
+ asked AS MATERIALIZED (SELECT word, replace(lower(word), 'œ', 'oe') AS low FROM (SELECT DISTINCT unnest(string_split_regex(text, '[ \n]+')) AS word FROM documents) WHERE regexp_matches(word, '^\\p{{L}}{{2,}}$') AND NOT regexp_matches(word, '^\\p{{Lu}}') AND replace(lower(word), 'œ', 'oe') NOT IN (SELECT k FROM low)),
+ near AS (SELECT a.word, a.low, d.word AS entry, priority, substr(low, {_AT}, 1) AS x, substr(d.word, {_AT}, 1) AS y FROM asked a JOIN dict d ON length(d.word) = length(a.low) AND {_ONE_OFF.format(d="d.word")}),
+ hits AS (
+  SELECT a.word, 1 AS r, priority AS o, d.word AS fixed FROM asked a JOIN dict d ON starts_with(a.word, 'l') AND d.word = 'I' || substr(a.word, 2)
+  UNION ALL SELECT word, 2, e.i, k || ' ' || e.w FROM asked JOIN (VALUES (0, 'à'), (1, 'au'), (2, 'aux')) e(i, w) ON length(low) > 2 AND ends_with(low, e.w) JOIN low ON k = left(low, length(low) - length(e.w))
+  UNION ALL SELECT word, 3, 0, word FROM asked WHERE regexp_matches(low, '(ois|oise|oises)$')
+  UNION ALL SELECT word, 4, i, w FROM asked JOIN common ON length(w) = length(low) AND {_ONE_OFF.format(d="w")}
+  UNION ALL SELECT c.word, 5, -(i * 10 + length(low) - i), a.k || ' ' || b.k FROM (SELECT word, low, unnest(range(2, length(low) - 1)) AS i FROM asked) c JOIN low a ON a.k = left(low, i) JOIN low b ON b.k = substr(low, i + 1) WHERE (length(a.k) >= 3 OR a.k IN (SELECT w FROM short)) AND (length(b.k) >= 3 OR b.k IN (SELECT w FROM short))
+  UNION ALL SELECT a.word, 6, priority, d.word FROM asked a JOIN dict d ON strip_accents(d.word) = low AND length(d.word) = length(low)
+  UNION ALL SELECT word, CASE WHEN (x = 'l' AND y = 'i') OR (contains('gqpyj', x) AND contains('gqpyj', y)) OR (contains('dfhkltb', x) AND contains('dfhkltb', y)) THEN 7 ELSE 8 END, priority, entry FROM near)
+ SELECT word, [{", ".join(f"'{r}'" for r in dictionary.RULES)}][r] AS rule, fixed FROM (SELECT *, row_number() OVER (PARTITION BY word ORDER BY r, o) AS rn FROM hits) WHERE rn = 1 AND fixed <> word""")
+def dictionary_repair(spark, sf):
+    split = lambda name, c, sep: table(spark, sf, name).select(F.explode(F.split(c, sep)).alias("word"))
+    known = split("part", "p_name", " ").unionByName(split("benchmark", "text", "[ \n]+")).where(F.trim("word") != "").distinct()
+    ranked = known.withColumn("priority", F.lit(0))  # equals go by the word
+    return dictionary.repaired_words(split("documents", "text", "[ \n]+"), ranked)

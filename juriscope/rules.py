@@ -11,6 +11,13 @@ DELIMITERS = (".-", "- ", " -", ". ", ", ", ":")
 ASSEMBLY = ("assemblee", "nationale")
 CLOSINGS = ("Fait à Cotonou", "Fait à Porto-Novo")
 SHORT_WORDS = ("si", "le", "la", "de", "un", "il", "en", "au", "et", "ce", "ne", "me", "se", "par", "du")
+FREQUENT_WORDS = (
+    "sont", "est", "été", "être", "sera", "seront", "était", "étaient", "soit", "soient",
+    "ont", "a", "avait", "avaient", "aura", "auront",
+    "doit", "doivent", "peut", "peuvent", "dispose", "disposent", "prévoit", "prévoient", "fixe", "fixent", "stipule", "stipulent",
+    "dit", "dits", "notamment", "conformément", "date",
+)
+DESCENDERS, ASCENDERS = "gqpyj", "dfhkltb"
 
 # Literal corrections of OCR slips, applied in this order.
 CORRECTIONS = (
@@ -84,6 +91,10 @@ class Rules:
     assembly: tuple[str, ...] = ASSEMBLY
     closings: tuple[str, ...] = CLOSINGS
     corrections: tuple[tuple[str, str], ...] = CORRECTIONS
+    short_words: tuple[str, ...] = SHORT_WORDS
+    frequent_words: tuple[str, ...] = FREQUENT_WORDS
+    descenders: str = DESCENDERS
+    ascenders: str = ASCENDERS
     promulgation: str = "promulgue"
     article: str = "Article"
     label_zone: int = 25

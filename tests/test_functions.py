@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from juriscope.functions import fuzzy, text
-from juriscope.operators import lines
+from juriscope.operators import dictionary, lines, quality
 from juriscope.sources import adapters
 
 
@@ -70,3 +70,30 @@ def test_renumbering(spark):
 def test_pages(spark):
     pages = spark.createDataFrame([("f", 1, "a"), ("f", 2, "Ampliations"), ("f", 3, "c")], "file string, page int, text string")
     assert adapters.joined_pages(pages).first()["text"] == "=== PAGE 1 ===\na\n=== PAGE 2 ===\nAmpliations"
+
+
+def test_edits(spark):
+    df = spark.sql("SELECT 'le chien noire et Paris' AS t, array(named_struct('start', 9, 'stop', 14, 'replacement', 'noir'), named_struct('start', 18, 'stop', 23, 'replacement', 'x'), named_struct('start', 3, 'stop', 8, 'replacement', 'chat')) AS e")
+    assert df.select(text.with_edits(F.col("t"), F.col("e")).alias("x")).first()["x"] == "le chat noir et Paris"
+    assert df.select(text.with_edits(F.col("t"), F.filter("e", lambda x: F.lit(False))).alias("x")).first()["x"] == "le chien noire et Paris"
+
+
+def test_dictionary(spark):
+    known = ["Ifa", "vie", "parmi", "les", "par", "loi", "décret", "finir", "garde", "texte", "a", None, " "]
+    table = spark.createDataFrame([(i, w) for i, w in enumerate(known)], "priority int, word string")
+    asked = ["lfa", "vieà", "béninois", "sonl", "parmiles", "decret", "flnir", "tarde", "texle", "loi", "Decret", "x1", "", None, "zzzz", "lfa"]
+    got = dictionary.repaired_words(spark.createDataFrame([(w,) for w in asked], "word string"), table).collect()
+    assert {r["word"]: (r["rule"], r["fixed"]) for r in got} == {
+        "lfa": ("capital i", "Ifa"), "vieà": ("glued", "vie à"), "sonl": ("frequent", "sont"), "parmiles": ("split", "parmi les"),
+        "decret": ("accent", "décret"), "flnir": ("shape", "finir"), "tarde": ("distance", "garde"), "texle": ("shape", "texte"),
+    }
+    rows = [(1, 1, "Le decret decret parmiles Jean decret Paul  "), (1, 2, None), (2, 1, "")]
+    out = dictionary.repaired_lines(spark.createDataFrame(rows, "doc_id long, line_no int, line string"), table)
+    assert {(r[0], r[1]): r[2] for r in out.collect()} == {(1, 1): "Le décret décret parmi les Jean decret Paul", (1, 2): None, (2, 1): ""}
+
+
+def test_rejected_acts(spark):
+    laws = spark.createDataFrame([(1, "2020-1", 2), (2, " ", 5), (3, None, 5), (4, "2020-2", None)], "doc_id long, law_number string, n_articles long")
+    good, bad = quality.accepted_and_rejected(laws)
+    assert [r["doc_id"] for r in good.collect()] == [1]
+    assert {r["doc_id"]: r["reason"] for r in bad.collect()} == {2: "lawNumber manquant", 3: "lawNumber manquant", 4: "Moins de 2 articles"}

@@ -1,35 +1,43 @@
 """BPE encoding and decoding with content-defined chunk reuse.
 
 A text is cut where a rolling hash of its last bytes says so, so equal passages
-are cut alike in whatever document they stand.  A chunk that was met before is
-not encoded again: its ids are taken over.
-
-The ids of two neighbouring chunks don't always add up to those of the whole,
-since a token can span the cut.  A *safe* place is one where white space
-follows a character that is none: the pre-tokeniser always ends a token there,
-and neither side's tokens depend on the other.  Of a chunk only the part from
-its first to its last safe place is taken over.  The rest, from the last safe
-place of one chunk to the first of the next, is the join: it is encoded anew as
-one string, over as many chunks as it takes to reach a safe place on both
-sides, where the ids of the join and of the chunks must agree.
-
-New text is encoded by segments between safe places.  A segment that recurs is
-encoded once, within a bound, over the life of a Python worker.
+are cut alike in whatever document they stand.  A chunk is encoded as a text of
+its own, once; where the same bytes come again, its ids are taken over.  The
+chunks that recur most in the whole corpus are found by counting digests,
+encoded once for all, and sent to every worker as a table of bounded size; a
+worker remembers others that it met, within a bound.
+
+The ids of neighbouring chunks don't always add up to those of the whole, since
+a token can span the cut.  So each cut is repaired: a window around it is
+encoded anew as one string.  Its ids must begin with those that the left chunk
+has for the window's first segment and end with those that the right chunk has
+for its last; what lies between replaces the chunks' ids.  Where they do not
+agree, the window grows, by twice as much each time, over as many chunks as it
+takes, at most to the whole text.
+
+Segments start where the pre-tokeniser always ends a token: where white space
+follows a character that is none, and neither side's tokens depend on the other.
+New text is encoded by segments, and a segment that recurs is encoded once,
+within a bound, over the life of a Python worker.  Memories compare bytes, so a
+collision of hashes costs time and nothing else.
 """
 
 from __future__ import annotations
 
 import functools
+import hashlib
 import json
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .hashing import Buffer, U, powers, ragged
+from .hashing import PRIMES, Buffer, U, ragged
 from .merges import Merges, byte_names
 from .stages import arrow_map, read_table
 
@@ -37,8 +45,10 @@ from .stages import arrow_map, read_table
 SLICE = 1 << 20
 #: Bytes that the rolling hash sees; mean, least and most bytes of a chunk.
 WINDOW, MEAN_BITS, LEAST, MOST = 32, 11, 256, 1 << 16
-#: A worker's memory: chunks in each of two generations, and segments.
-CHUNKS, SEGMENTS = 4096, 400_000
+#: A worker's memory: chunks in each of two generations; segments, and bytes of segments.
+CHUNKS, SEGMENTS, SEGMENT_BYTES = 3072, 400_000, 1 << 24
+#: The table of the chunks that recur most in the corpus: chunks, and bytes of their text, at most.
+SHARED_CHUNKS, SHARED_BYTES = 4096, 1 << 23
 
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -114,13 +124,15 @@ def safe_starts(buffer: Buffer, letter: np.ndarray | None = None) -> np.ndarray:
 
 
 def cuts(buffer: Buffer) -> np.ndarray:
-    """Starts of the chunks of all texts, in order; the content before a place alone decides on it."""
+    """Starts of the chunks of all texts, in order; the content before a place alone decides on it, and no character is cut."""
     n = len(buffer.data)
     marks = np.zeros(0, np.int64)
     if n > WINDOW:
-        _, down = powers(n + 1)
-        rolling = (buffer.prefix[WINDOW:] - buffer.prefix[:-WINDOW]) * down[: n - WINDOW + 1]
-        marks = np.flatnonzero(rolling >> U(64 - MEAN_BITS) == 0) + WINDOW
+        end = np.arange(WINDOW, n)
+        marks = end[buffer.residues(0, end - WINDOW, end) < PRIMES[0] >> MEAN_BITS]
+        for _ in range(3):  # to the start of the next character
+            inside = (marks < n) & ((buffer.data[np.minimum(marks, n - 1)] & 0xC0) == 0x80)
+            marks = np.unique(marks + inside)
     out: list[int] = []
     bounds = np.searchsorted(marks, buffer.starts)
     for i in range(buffer.n):
@@ -132,7 +144,10 @@ def cuts(buffer: Buffer) -> np.ndarray:
         for mark in (*marks[bounds[i] : bounds[i + 1]].tolist(), end):
             while mark - last > MOST:
                 last += MOST
-                out.append(last)
+                while last < end and buffer.data[last] & 0xC0 == 0x80:
+                    last += 1
+                if last < end:
+                    out.append(last)
             if mark - last >= LEAST and mark - start >= WINDOW and mark < end:
                 out.append(mark)
                 last = mark
@@ -140,41 +155,53 @@ def cuts(buffer: Buffer) -> np.ndarray:
 
 
 class Store:
-    """Ids of segments by the segment's hash: a table of one place a slot, and the ids end to end.
+    """Ids of segments: a table of one place a slot by the segment's hash, and bytes and ids end to end.
 
-    When it is full it starts anew, so its size is bounded.
+    A segment is found if its bytes agree.  When the store is full it starts anew, so its size is bounded.
     """
 
-    def __init__(self, kind: type, bits: int = 20, limit: int = SEGMENTS):
-        self.kind, self.bits, self.limit = kind, bits, limit
+    def __init__(self, kind: type, bits: int = 20, limit: int = SEGMENTS, limit_bytes: int = SEGMENT_BYTES):
+        self.kind, self.bits, self.limit, self.limit_bytes = kind, bits, limit, limit_bytes
         self.clear()
 
     def clear(self) -> None:
-        self.keys, self.places = np.zeros(1 << self.bits, U), np.zeros(1 << self.bits, np.int32)
-        self.starts, self.lengths, self.flat, self.n, self.used = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64), np.zeros(1 << 14, self.kind), 0, 0
+        self.keys, self.places = np.zeros(1 << self.bits, U), np.full(1 << self.bits, -1, np.int32)
+        self.starts, self.lengths, self.flat = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64), np.zeros(1 << 14, self.kind)
+        self.at, self.sizes, self.raw = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64), np.zeros(1 << 14, np.uint8)
+        self.n = self.used = self.bytes = 0
 
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """The place of each key, or -1."""
+    def room(self) -> None:
+        if self.n > self.limit or self.bytes > self.limit_bytes or self.used > self.limit_bytes:
+            self.clear()
+
+    def find(self, keys: np.ndarray, data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The place of each segment (its key, and its bytes in ``data``), or -1."""
         slot = (keys >> U(64 - self.bits)).astype(np.int64)
-        return np.where(self.keys[slot] == keys, self.places[slot], np.int32(-1))
+        out = np.where(self.keys[slot] == keys, self.places[slot], np.int32(-1))
+        hit = np.flatnonzero(out >= 0)
+        out[hit[~same_bytes(self.raw, self.at[out[hit]], self.sizes[out[hit]], data, start[hit], size[hit])]] = -1
+        return out
 
     @staticmethod
     def grown(x: np.ndarray, n: int) -> np.ndarray:
         return x if n <= len(x) else np.concatenate([x, np.zeros(max(n, 2 * len(x)) - len(x), x.dtype)])
 
-    def add(self, keys: np.ndarray, flat: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """Keep the ids of new keys; their places."""
-        n, used = self.n + len(keys), self.used + len(flat)
+    def add(self, keys: np.ndarray, flat: np.ndarray, lengths: np.ndarray, data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Keep the ids of new segments; their places.  Of several that share a slot one can be found again."""
+        n, used, total = self.n + len(keys), self.used + len(flat), self.bytes + int(size.sum())
         self.starts, self.lengths, self.flat = self.grown(self.starts, n), self.grown(self.lengths, n), self.grown(self.flat, used)
+        self.at, self.sizes, self.raw = self.grown(self.at, n), self.grown(self.sizes, n), self.grown(self.raw, total)
         self.starts[self.n : n] = self.used + np.cumsum(lengths) - lengths
         self.lengths[self.n : n] = lengths
         self.flat[self.used : used] = flat
+        self.at[self.n : n] = self.bytes + np.cumsum(size) - size
+        self.sizes[self.n : n] = size
+        self.raw[self.bytes : total] = data[ragged(start, size)]
         places = np.arange(self.n, n)
         slot = (keys >> U(64 - self.bits)).astype(np.int64)
-        self.keys[slot], self.places[slot] = keys, places
-        same = self.places[slot] == places
-        self.keys[slot[~same]] = keys[np.searchsorted(places, self.places[slot[~same]])] if (~same).any() else 0
-        self.n, self.used = n, used
+        self.places[slot] = places
+        self.keys[slot] = keys[self.places[slot] - self.n]
+        self.n, self.used, self.bytes = n, used, total
         return places
 
     def get(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -182,6 +209,17 @@ class Store:
         return self.flat[ragged(self.starts[places], lengths)], lengths
 
 
+def same_bytes(one: np.ndarray, at: np.ndarray, size: np.ndarray, other: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Whether slices of ``one`` and of ``other`` are equal, pair by pair."""
+    out = size == length
+    both = np.flatnonzero(out & (length > 0))
+    if len(both):
+        differ = one[ragged(at[both], length[both])] != other[ragged(start[both], length[both])]
+        ends = np.cumsum(length[both])
+        out[both] = ~np.logical_or.reduceat(differ, ends - length[both])
+    return out
+
+
 class Encoder:
     """One tokenizer file and what this worker remembers of its work."""
 
@@ -195,7 +233,8 @@ class Encoder:
         self.merges = Merges(path)
         self.type = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self.store, self.chunks = Store(self.type), Recent(CHUNKS)
-        self.reused = self.made = 0
+        self.shared: dict = {}
+        self.reused = self.made = self.grew = 0
 
     def ordinary(self, buffer: Buffer) -> bool:
         """No special token is written out in the texts, and merges can be made here."""
@@ -233,55 +272,112 @@ class Encoder:
         """Ids of each slice of the buffer, end to end, and how many each has."""
         if not len(start):
             return np.zeros(0, self.type), np.zeros(0, np.int64)
-        if self.store.n > self.store.limit:
-            self.store.clear()
-        keys = buffer.hashes(start, end)
-        places = self.store.find(keys)
+        self.store.room()
+        keys, size = buffer.hashes(start, end), end - start
+        places = self.store.find(keys, buffer.data, start, size)
         missing = np.flatnonzero(places < 0)
-        if len(missing):
+        while len(missing):  # more than once only where slices of one hash differ
             new, first, which = np.unique(keys[missing], return_index=True, return_inverse=True)
             at = missing[first]
-            places[missing] = self.store.add(new, *self.fresh(buffer, start[at], end[at], letter))[which]
+            same = same_bytes(buffer.data, start[at][which], size[at][which], buffer.data, start[missing], size[missing])
+            added = self.store.add(new, *self.fresh(buffer, start[at], end[at], letter), buffer.data, start[at], size[at])
+            places[missing[same]] = added[which[same]]
+            missing = missing[~same]
         return self.store.get(places)
 
     def encode(self, buffer: Buffer) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and where each text's start, with the total at the end."""
         letter = letters(buffer.data) if len(buffer.data) and self.ordinary(buffer) else None
-        begin = safe_starts(buffer, letter)
-        if not len(begin):
+        safe = safe_starts(buffer, letter)
+        if not len(safe):
             return np.zeros(0, self.type), np.zeros(buffer.n + 1, np.int64)
-        end = np.append(begin[1:], len(buffer.data))
         chunk = cuts(buffer)
-        chunk_end = np.append(chunk[1:], len(buffer.data))
-        a = np.searchsorted(begin, chunk, side="right")  # segments that lie wholly within the chunk
-        b = np.maximum(np.searchsorted(end, chunk_end, side="left"), a)
-        raw, hits, misses = buffer.raw, [], []
+        begin = np.union1d(safe, chunk)  # segments of the chunks, each chunk a text of its own
+        flat, every = self.chunk_ids(buffer, chunk, begin, letter)
+        before = np.concatenate([[0], np.cumsum(every)])
+        parts, last = [], 0
+        for s, e, ids in self.joins(buffer, chunk, safe, begin, flat, before):
+            parts += [flat[before[last] : before[s]], ids]
+            every[s:e] = 0
+            every[s] = len(ids)
+            last = e
+        parts.append(flat[before[last] :])
+        total = np.concatenate([[0], np.cumsum(every)])
+        return np.concatenate(parts).astype(self.type), total[np.searchsorted(begin, buffer.starts)]
+
+    def chunk_ids(self, buffer: Buffer, chunk: np.ndarray, begin: np.ndarray, letter: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all chunks, each as a text of its own, end to end, and how many each segment has."""
+        raw, hits, known = buffer.raw, [], {}
+        misses: dict[tuple, tuple[int, int]] = {}
         need = np.ones(len(begin), bool)
-        for i, (x, y, s, e) in enumerate(zip(chunk.tolist(), chunk_end.tolist(), a.tolist(), b.tolist(), strict=True)):
-            if e - s < 4:
-                continue
-            key = (letter is None, raw[x:y])  # which places are safe decides what is taken over
-            core = self.chunks.find(key)
-            if core is None:
-                misses.append((i, key))
-            else:
-                hits.append((s, core))
-                need[s:e] = False
+        first = np.searchsorted(begin, chunk)
+        for x, y, s, e in zip(chunk.tolist(), [*chunk[1:].tolist(), len(buffer.data)], first.tolist(), [*first[1:].tolist(), len(begin)], strict=True):
+            key = (letter is None, raw[x:y])  # which places are safe decides on the segments
+            if key not in known and key not in misses:
+                found = self.shared.get(key) or self.chunks.find(key)
+                if found is None:
+                    misses[key] = (s, e)
+                    continue
+                known[key] = found
+            hits.append((s, e, key))
+            need[s:e] = False
         self.reused, self.made = self.reused + len(hits), self.made + len(misses)
-        flat, lengths = self.pieces(buffer, begin[need], end[need], letter)
+        new, lengths = self.pieces(buffer, begin[need], np.append(begin[1:], len(buffer.data))[need], letter)
         every = np.zeros(len(begin), np.int64)
         every[need] = lengths
-        before = np.concatenate([[0], np.cumsum(every)])  # in flat, up to each segment
-        for i, key in misses:
-            self.chunks.keep(key, flat[before[a[i]] : before[b[i]]].copy())
+        before = np.concatenate([[0], np.cumsum(every)])
+        for key, (s, e) in misses.items():
+            known[key] = (new[before[s] : before[e]].copy(), every[s:e].astype(np.int32))
+            self.chunks.keep(key, known[key])
         parts, last = [], 0
-        for s, core in hits:
-            parts += [flat[last : before[s]], core]
+        for s, e, key in hits:
+            ids, counts = known[key]
+            parts += [new[last : before[s]], ids]
             last = before[s]
-            every[s] = len(core)
-        parts.append(flat[last:])
-        total = np.concatenate([[0], np.cumsum(every)])
-        return np.concatenate(parts), total[np.searchsorted(begin, buffer.starts)]
+            every[s:e] = counts
+        parts.append(new[last:])
+        return np.concatenate(parts), every
+
+    def joins(self, buffer: Buffer, chunk: np.ndarray, safe: np.ndarray, begin: np.ndarray, flat: np.ndarray, before: np.ndarray) -> list[tuple[int, int, list[int]]]:
+        """What replaces the ids of segments s to e, for each join, in order.
+
+        A stretch runs from one safe place to the next.  Stretches with a cut in
+        them or after them are open; a window is a run of open ones and, where
+        the text has them, a closed one on either side, whose ids must agree.
+        """
+        inner = np.setdiff1d(chunk, buffer.starts)
+        if not len(inner):
+            return []
+        n = len(safe)
+        ends = np.append(safe[1:], len(buffer.data))
+        head = np.isin(safe, buffer.starts)  # first stretch of a text
+        tail = np.append(head[1:], True)
+        at = before[np.searchsorted(begin, np.append(safe, len(buffer.data)))]  # ids before each stretch
+        of = np.append(np.searchsorted(begin, safe), len(begin))
+        is_open = np.zeros(n, bool)
+        is_open[np.searchsorted(safe, inner, side="left") - 1] = True
+        done: dict[tuple[int, int], list[int]] = {}
+        while True:
+            first = np.flatnonzero(is_open & (head | ~np.append(False, is_open[:-1])))
+            last = np.flatnonzero(is_open & (tail | ~np.append(is_open[1:], False)))
+            todo = [(a, b) for a, b in zip(first.tolist(), last.tolist(), strict=True) if (a, b) not in done]
+            if not todo:
+                return [(int(of[a]), int(of[b + 1]), done[a, b]) for a, b in zip(first.tolist(), last.tolist(), strict=True)]
+            wide = [(a - (not head[a]), b + (not tail[b])) for a, b in todo]
+            got = self.plain([buffer.raw[safe[x] : ends[y]].decode() for x, y in wide])
+            for (a, b), (x, y), ids in zip(todo, wide, got, strict=True):
+                left, right = flat[at[x] : at[a]].tolist(), flat[at[b + 1] : at[y + 1]].tolist()
+                if len(ids) >= len(left) + len(right) and ids[: len(left)] == left and ids[len(ids) - len(right) :] == right:
+                    done[a, b] = ids[len(left) : len(ids) - len(right)]
+                else:
+                    self.grew += 1
+                    more = b - a + 1
+                    lo, hi = a, b
+                    while lo > a - more and not head[lo]:
+                        lo -= 1
+                    while hi < b + more and not tail[hi]:
+                        hi += 1
+                    is_open[lo : hi + 1] = True
 
 
 @functools.cache
@@ -304,11 +400,7 @@ def slices(column: pa.Array, limit: int = SLICE) -> Iterator[tuple[int, int, Buf
     first = 0
     while first < len(column):
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + limit, side="right")) - 1)
-        buffer = Buffer.__new__(Buffer)
-        buffer.n, buffer._prefix = last - first, None
-        buffer.raw = data[offsets[first] : offsets[last]].tobytes()
-        buffer.data = np.frombuffer(buffer.raw, np.uint8)
-        buffer.starts = offsets[first : last + 1] - offsets[first]
+        buffer = Buffer.over(data[offsets[first] : offsets[last]].tobytes(), offsets[first : last + 1] - offsets[first])
         yield first, last, buffer
         first = last
 
@@ -319,19 +411,88 @@ def binaries(flat: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(np.ascontiguousarray(bounds * size, np.int32)), pa.py_buffer(flat.tobytes())])
 
 
-def encode(docs: DataFrame, path: str, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+def shared_chunks(docs: DataFrame, path: str, text_col: str = "text", most: int = SHARED_CHUNKS, most_bytes: int = SHARED_BYTES) -> dict:
+    """The chunks that would cost most if they were encoded wherever they stand, with their ids: a table for all workers.
+
+    Every chunk of the corpus is counted by digest.  Of those that recur, the
+    ``most`` with the most bytes in repeats are taken, up to ``most_bytes`` of
+    text; each is encoded once.  The bounds keep what is sent to the workers
+    bounded; they decide on work alone, not on ids.  A chunk is fetched from the
+    first partition that counted it; where a scan is cut differently the second
+    time, it is not found and stays out of the table.  Reads ``docs`` twice.
+    """
+    texts = docs.select(F.col(text_col).cast("string").alias("text"))
+
+    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bytes]]:
+        for batch in batches:
+            for _, _, buffer in slices(batch.column(0)):
+                start = cuts(buffer)
+                yield [buffer.raw[x:y] for x, y in zip(start.tolist(), [*start[1:].tolist(), len(buffer.raw)], strict=True)]
+
+    def digest(chunk: bytes) -> bytes:
+        return hashlib.blake2b(chunk, digest_size=16).digest()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        for some in chunks(batches):
+            found = Counter(some)
+            yield pa.RecordBatch.from_arrays([pa.array([digest(x) for x in found], pa.binary()), pa.array(found.values(), pa.int64()), pa.array([len(x) for x in found], pa.int64()), pa.array([part] * len(found), pa.int64())], names=["digest", "n", "size", "part"])
+
+    counted = arrow_map(texts, count, "digest binary, n long, size long, part long").groupBy("digest").agg(F.sum("n").alias("n"), F.max("size").alias("size"), F.min("part").alias("part")).where("n > 1")
+    wanted, total = {}, 0
+    for r in counted.orderBy(F.desc((F.col("n") - 1) * F.col("size")), "digest").limit(most).collect():  # bounded by ``most``
+        total += r["size"]
+        if total > most_bytes:
+            break
+        wanted[bytes(r["digest"])] = r["part"]
+    if not wanted:
+        return {}
+
+    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        mine = {x for x, p in wanted.items() if p == part}
+        if not mine:
+            return
+        for some in chunks(batches):
+            found = [x for x in dict.fromkeys(some) if digest(x) in mine]
+            mine -= {digest(x) for x in found}
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["chunk"])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(path)
+        for batch in batches:
+            raw = batch.column(0).to_pylist()
+            buffer = Buffer([x for x in raw if not any(s in x for s in enc.special)])
+            if not buffer.n or not enc.merges.usable:
+                continue
+            letter = letters(buffer.data)
+            begin = safe_starts(buffer, letter)
+            ids, counts = enc.pieces(buffer, begin, np.append(begin[1:], len(buffer.data)), letter)
+            per = np.searchsorted(begin, buffer.starts)
+            before = np.concatenate([[0], np.cumsum(counts)])
+            yield pa.RecordBatch.from_arrays([pa.array([buffer.raw[a:b] for a, b in zip(buffer.starts[:-1], buffer.starts[1:], strict=True)], pa.binary()), binaries(ids, before[per]), binaries(counts.astype(np.int32), per)], names=["chunk", "ids", "counts"])
+
+    rows = arrow_map(arrow_map(texts, fetch, "chunk binary"), work, "chunk binary, ids binary, counts binary").collect()  # bounded by ``most_bytes``
+    kind = np.uint16 if encoder(path).type is np.uint16 else np.uint32
+    return {(False, bytes(r["chunk"])): (np.frombuffer(r["ids"], kind), np.frombuffer(r["counts"], np.int32)) for r in rows}
+
+
+def encode(docs: DataFrame, path: str, text_col: str = "text", keep: list[str] | None = None, shared: dict | None = None) -> DataFrame:
     """``keep`` (default: all columns but the text) with n_tokens and ids, little-endian unsigned 32-bit integers.
 
     The ids are those that the tokenizers library gives the whole text with
     ``add_special_tokens=False``; ``path`` is a byte-level tokenizer's file, at
-    the same place on every executor.
+    the same place on every executor.  ``shared``: the table of recurring chunks;
+    None: that of ``docs``, for which they are read twice more.
 
     Cases: null text counts as empty and has no ids.  Special tokens written out
     in a text get their own ids, as in the library.  Repeated rows each get their
     ids; columns of the input named n_tokens or ids give way to the results.
     """
     keep = others(docs, text_col, keep)
-    return arrow_map(docs.select(*keep, F.col(text_col).cast("string").alias("__text")), encoding(path, keep), encoded_schema(docs, keep))
+    shared = shared_chunks(docs, path, text_col) if shared is None else shared
+    return arrow_map(docs.select(*keep, F.col(text_col).cast("string").alias("__text")), encoding(path, keep, shared), encoded_schema(docs, keep))
 
 
 def others(docs: DataFrame, text_col: str, keep: list[str] | None, *made: str) -> list[str]:
@@ -343,11 +504,12 @@ def encoded_schema(docs: DataFrame, keep: list[str]) -> T.StructType:
     return T.StructType([*[docs.schema[c] for c in keep], T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
 
 
-def encoding(path: str, keep: list[str]) -> Callable:
+def encoding(path: str, keep: list[str], shared: dict) -> Callable:
     """Batches of (*keep, text) made batches of (*keep, n_tokens, ids)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
+        enc.shared = shared
         for batch in batches:
             for first, last, buffer in slices(batch.column(batch.num_columns - 1)):
                 ids, bounds = enc.encode(buffer)
@@ -407,14 +569,15 @@ def decoding(path: str, keep: list[str], where: int, to: str) -> Callable:
     return work
 
 
-def encode_decode(docs: DataFrame, path: str, text_col: str = "text", keep: list[str] | None = None, to: str = "decoded") -> DataFrame:
+def encode_decode(docs: DataFrame, path: str, text_col: str = "text", keep: list[str] | None = None, to: str = "decoded", shared: dict | None = None) -> DataFrame:
     """``decode(encode(docs))``, both by the one Python worker of a task, so that a core needs one worker's memory.
 
     Cases: as in ``encode`` and ``decode``; a column of the input named ``to`` gives way to the result.
     """
     keep = others(docs, text_col, keep, to)
     schema = T.StructType([*encoded_schema(docs, keep), T.StructField(to, T.StringType())])
-    first, then = encoding(path, keep), decoding(path, [*keep, "n_tokens", "ids"], len(keep) + 1, to)
+    shared = shared_chunks(docs, path, text_col) if shared is None else shared
+    first, then = encoding(path, keep, shared), decoding(path, [*keep, "n_tokens", "ids"], len(keep) + 1, to)
     return arrow_map(docs.select(*keep, F.col(text_col).cast("string").alias("__text")), lambda batches: then(first(batches)), schema)
 
 

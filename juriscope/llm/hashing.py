@@ -1,8 +1,10 @@
 """Hashes of words and byte windows of many texts at once, in numpy.
 
 Texts are laid end to end in one byte buffer.  A polynomial hash of any slice
-comes from two prefix sums modulo 2**64, so words and windows of all texts are
-hashed without a Python loop over them.
+comes from prefix sums, so words and windows of all texts are hashed without a
+Python loop over them.  The polynomial is taken modulo two primes near 2**31:
+modulo a power of two some texts, such as a Thue-Morse word and its complement,
+collide whatever the base is.  What must be exact compares bytes all the same.
 """
 
 from __future__ import annotations
@@ -12,25 +14,26 @@ from collections.abc import Iterator
 import numpy as np
 
 U = np.uint64
-#: Odd, so that it has an inverse modulo 2**64.
-BASE = 0x9E3779B97F4A7C15 | 1
-BASE_INVERSE = pow(BASE, -1, 1 << 64)
+#: Two primes, each with its base.
+PRIMES, BASES = (2**31 - 1, 2**31 - 19), (1345196843, 1778206531)
+#: Bytes up to which a prefix sum of unreduced terms stays below 2**64.
+UNREDUCED = 1 << 24
 
-_powers: tuple[np.ndarray, np.ndarray] = (np.ones(1, U), np.ones(1, U))
+_powers: list[tuple[np.ndarray, np.ndarray]] = [(np.ones(1, np.uint32), np.ones(1, np.uint32))] * 2
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of BASE and of its inverse."""
-    global _powers
-    if len(_powers[0]) < n:
-        size = 1 << (n - 1).bit_length()
+def powers(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of a base and of its inverse, modulo its prime."""
+    if len(_powers[which][0]) < n:
+        prime, n = PRIMES[which], -(-n // (1 << 18)) << 18
         made = []
-        for base in (BASE, BASE_INVERSE):
-            steps = np.full(size, base, U)
-            steps[0] = 1
-            made.append(np.cumprod(steps, dtype=U))
-        _powers = (made[0], made[1])
-    return _powers
+        for base, known in zip((BASES[which], pow(BASES[which], -1, prime)), _powers[which], strict=True):
+            out = known.astype(U)
+            while len(out) < n:
+                out = np.concatenate([out, out[: n - len(out)] * U(pow(base, len(out), prime)) % U(prime)])
+            made.append(out.astype(np.uint32))
+        _powers[which] = (made[0], made[1])
+    return _powers[which]
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -52,22 +55,37 @@ class Buffer:
         self.data = np.frombuffer(self.raw, np.uint8)
         self.starts = np.zeros(self.n + 1, np.int64)
         np.cumsum([len(x) for x in texts], out=self.starts[1:])
-        self._prefix: np.ndarray | None = None
-
-    @property
-    def prefix(self) -> np.ndarray:
-        if self._prefix is None:
-            up, _ = powers(len(self.data) + 1)
+        self._prefix: list[np.ndarray | None] = [None, None]
+
+    @classmethod
+    def over(cls, raw: bytes, starts: np.ndarray) -> Buffer:
+        """A buffer of bytes that are end to end already."""
+        out = cls.__new__(cls)
+        out.n, out.raw, out.data, out.starts, out._prefix = len(starts) - 1, raw, np.frombuffer(raw, np.uint8), starts, [None, None]
+        return out
+
+    def prefix(self, which: int) -> np.ndarray:
+        """Sums of the terms before each byte."""
+        if self._prefix[which] is None:
+            up, _ = powers(which, len(self.data) + 1)
+            terms = (self.data.astype(U) + U(1)) * up[: len(self.data)]
+            if len(terms) >= UNREDUCED:
+                terms %= U(PRIMES[which])
             out = np.zeros(len(self.data) + 1, U)
-            np.cumsum((self.data.astype(U) + U(1)) * up[: len(self.data)], out=out[1:])
-            self._prefix = out
-        return self._prefix
+            np.cumsum(terms, out=out[1:])
+            self._prefix[which] = out
+        return self._prefix[which]
+
+    def residues(self, which: int, start, end) -> np.ndarray:
+        """Of each slice its polynomial modulo one prime, wherever the slice stands."""
+        prime = U(PRIMES[which])
+        prefix, (_, down) = self.prefix(which), powers(which, len(self.data) + 1)
+        return (prefix[end] - prefix[start]) % prime * down[start] % prime
 
     def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """A 64-bit hash of each slice; equal bytes have equal hashes wherever they stand."""
-        _, down = powers(len(self.data) + 1)
-        out = (self.prefix[end] - self.prefix[start]) * down[start]
-        return mixed(out ^ (end - start).astype(U) * U(0xD6E8FEB86659FD93))
+        both = self.residues(0, start, end) << U(32) | self.residues(1, start, end)
+        return mixed(both ^ (end - start).astype(U) * U(0xD6E8FEB86659FD93))
 
     def runs(self, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Maximal runs of bytes b with inside[b], never across texts: starts, ends, and the text of each."""

@@ -69,9 +69,7 @@ def folded(buffer: Buffer, letter: np.ndarray) -> Buffer:
     second = np.flatnonzero(letter[1:] & (buffer.data[:-1] == 0xC3)) + 1
     upper = second[(data[second] >= 0x80) & (data[second] <= 0x9E)]
     data[upper] += 32
-    out = Buffer.__new__(Buffer)
-    out.n, out.starts, out.data, out.raw, out._prefix = buffer.n, buffer.starts, data, data.tobytes(), None
-    return out
+    return Buffer.over(data.tobytes(), buffer.starts)
 
 
 def words_of(enc: Encoder, buffer: Buffer) -> tuple[np.ndarray, np.ndarray]:

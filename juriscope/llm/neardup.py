@@ -9,7 +9,9 @@ on a place with the probability of their weighted Jaccard similarity.  Points
 beyond the time by which all places are surely full are never made, so a
 document costs little more than its shingles.
 
-Signatures are cut in bands.  Documents that agree on a band are candidates.
+Documents of one word sequence, by a 128-bit digest of their words, stand for one
+another from the start.  The signatures of the others are cut in bands.
+Documents that agree on a band are candidates.
 They are verified on the whole bags: multiset intersection over union, exactly.
 Within a band's group pairs are not told one by one.  A document is central by
 the sizes of its groups; the original of many copies agrees with most of them
@@ -18,10 +20,16 @@ what is still apart meets the most central one of each of its groups.  Last,
 the documents of one group that are in different classes are compared within
 the join that finds them, which lets links only through; so no link that joins
 two classes is left out, and no list of pairs is made.
+
+A lead that very many documents meet, and a group of very many members, are dealt
+over several tasks: the lead's bag, or the group's, is copied once for each.  The
+joins of the components carry two numbers a row and are left to adaptive
+execution, which splits their large partitions.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +37,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .bpe import slices
 from .hashing import WORD_BYTES, Buffer, U, mixed
@@ -41,6 +50,8 @@ BANDS, ROWS = 24, 5
 POINTS = 8.0
 #: Ids up to this number are broadcast (16 MB); more are joined by shuffle.
 BROADCAST_IDS = 1_000_000
+#: Rows of one key that a task compares; keys with more are dealt over several.
+HOT = 256
 
 
 def shingles(buffer: Buffer, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -124,8 +135,20 @@ def banded(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return mixed(sums ^ (np.arange(1, bands + 1, dtype=U) * U(0xD6E8FEB86659FD93)))
 
 
+def word_digests(buffer: Buffer) -> list[bytes]:
+    """128 bits of each text's words, joined by single blanks."""
+    inside = WORD_BYTES[buffer.data]
+    after = np.zeros(len(inside), bool)
+    after[1:] = inside[:-1] & ~inside[1:]
+    after[buffer.starts[:-1][np.diff(buffer.starts) > 0]] = False
+    kept = inside | after
+    flat = np.where(inside, buffer.data, np.uint8(32))[kept].tobytes()
+    bounds = np.concatenate([[0], np.cumsum(kept)])[buffer.starts].tolist()
+    return [hashlib.blake2b(flat[a:b].rstrip(b" "), digest_size=16).digest() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+
 def sketch(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int) -> DataFrame:
-    """id, two hashes of the bag, and the bands; no bands for texts without words."""
+    """id, digest of the words, and the bands; no bands for texts without words."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -133,15 +156,11 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int) -
                 text, shingle, weight = bags(buffer)
                 signed = signatures(text, shingle, weight, buffer.n, bands * rows)
                 keys = banded(signed, bands, rows).view(np.int64)
-                one, two = np.zeros(buffer.n, U), np.zeros(buffer.n, U)
-                item = mixed(shingle ^ mixed(weight.astype(U)))
-                np.add.at(one, text, item)
-                np.add.at(two, text, mixed(item ^ U(0x8EBC6AF09C88C6E3)))
                 there = np.bincount(text, minlength=buffer.n) > 0
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(there * bands)]).astype(np.int32)), pa.array(keys[there].ravel()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), lists], names=["id", "one", "two", "bands"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), pa.array(word_digests(buffer), pa.binary()), lists], names=["id", "words", "bands"])
 
-    return arrow_map(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")), work, "id long, one long, two long, bands array<long>")
+    return arrow_map(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")), work, "id long, words binary, bands array<long>")
 
 
 def bag_rows(docs: DataFrame) -> DataFrame:
@@ -165,6 +184,25 @@ def by_ids(df: DataFrame, ids: DataFrame, n: int, how: str) -> DataFrame:
     return df.join(F.broadcast(ids) if n <= BROADCAST_IDS else ids, "id", how)
 
 
+def dealt(left: DataFrame, right: DataFrame, key: str, by: str, most: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a column ``deal``, so that a join by (key, deal) meets no more than about ``most`` left rows in a task.
+
+    Left rows of a key with more are dealt by the hash of ``by``; the right rows of
+    that key are copied for each deal.  Keys with more are at most one in ``most``
+    left rows; they are broadcast if they are few, else joined by shuffle.
+    """
+    most = most or HOT
+    hot = staged(left.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > most).select(key, F.ceil(F.col("n") / most).cast("int").alias("deals")), "hot-keys")
+    n = hot.count()
+    if not n:
+        return left.withColumn("deal", F.lit(0)), right.withColumn("deal", F.lit(0))
+    hot = F.broadcast(hot) if n <= BROADCAST_IDS else hot
+    deals = F.coalesce("deals", F.lit(1))
+    one = left.join(hot, key, "left").withColumn("deal", F.pmod(F.xxhash64(by), deals).cast("int")).drop("deals")
+    every = right.join(hot, key, "left").withColumn("deal", F.explode(F.sequence(F.lit(0), deals - 1))).drop("deals")
+    return one, every
+
+
 class Verifier:
     """Exact similarity of candidate pairs; each document's bag is made once."""
 
@@ -191,7 +229,8 @@ class Verifier:
         """The pairs (a, b) that reach the threshold."""
         have = self.bags(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct())
         x, y = have.select(F.col("id").alias("a"), F.col("bag").alias("x")), have.select(F.col("id").alias("b"), F.col("bag").alias("y"))
-        return staged(pairs.join(x, "a").join(y, "b").where(self.near("x", "y")).select("a", "b").distinct(), "links")
+        met, y = dealt(pairs, y, "b", "a")
+        return staged(met.join(x, "a").join(y, ["b", "deal"]).where(self.near("x", "y")).select("a", "b").distinct(), "links")
 
     def links_within(self, groups: DataFrame) -> DataFrame:
         """The linked pairs of different label within a group: (key, head, label, bands).
@@ -200,9 +239,9 @@ class Verifier:
         """
         have = self.bags(groups.select(F.col("head").alias("id")).distinct())
         rows = groups.join(have, F.col("head") == F.col("id")).select("key", "head", "label", "bands", "bag")
-        x, y = rows.alias("x"), rows.alias("y")
+        x, y = (df.alias(name) for df, name in zip(dealt(rows, rows, "key", "head"), "xy", strict=True))
         once = F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("x.key")
-        met = (F.col("x.key") == F.col("y.key")) & (F.col("x.head") > F.col("y.head")) & (F.col("x.label") != F.col("y.label")) & once & self.near("x.bag", "y.bag")
+        met = (F.col("x.key") == F.col("y.key")) & (F.col("x.deal") == F.col("y.deal")) & (F.col("x.head") > F.col("y.head")) & (F.col("x.label") != F.col("y.label")) & once & self.near("x.bag", "y.bag")
         return staged(x.join(y, met).select(F.col("x.head").alias("a"), F.col("y.head").alias("b")).distinct(), "links")
 
 
@@ -240,15 +279,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     digits, underscores and non-ASCII characters, in lower case; a text of one
     to four words is one shingle.
 
-    Cases: null and empty texts, and texts without words, are alone.  Equal bags
-    are one class before anything else.  Rows with one id count as one document,
-    linked by any of its texts; each row is returned.  A null id is alone, with a
-    null class.  Other columns are not read.
+    Cases: null and empty texts, and texts without words, are alone.  Texts of one
+    word sequence are one class before anything else.  Rows with one id count as
+    one document, linked by any of its texts; each row is returned.  A null id is
+    alone, with a null class.  Ids are integers; other types raise TypeError.
+    Texts may be of any length.  Other columns are not read, whatever their names;
+    an empty table gives no rows.
     """
+    if not isinstance(docs.schema[id_col].dataType, T.IntegralType):
+        raise TypeError(f"{id_col} is not of an integer type")
     seen = staged(sketch(docs, id_col, text_col, bands, rows), "sketches")
     known = seen.where(F.col("id").isNotNull() & (F.size("bands") > 0))
-    heads = staged(known.groupBy("one", "two").agg(F.min("id").alias("head"), F.any_value("bands").alias("bands")), "heads")
-    same = known.select("id", "one", "two").join(heads.select("one", "two", "head"), ["one", "two"]).where(F.col("id") != F.col("head")).select(F.col("id").alias("a"), F.col("head").alias("b")).distinct()
+    heads = staged(known.groupBy("words").agg(F.min("id").alias("head"), F.first("bands").alias("bands")), "heads")
+    same = known.select("id", "words").join(heads.select("words", "head"), "words").where(F.col("id") != F.col("head")).select(F.col("id").alias("a"), F.col("head").alias("b")).distinct()
 
     keys = heads.select("head", F.explode("bands").alias("key"))
     groups = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
@@ -278,14 +321,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` with the first document of each class; of rows with one id one stays."""
+    """``docs`` with the first document of each class, and all rows with a null id.
+
+    Cases: as in ``near_duplicates``.  Of rows with one id the one that is least
+    as JSON stays, so reruns agree.  All columns stay as they are.
+    """
     classes = staged(near_duplicates(docs, id_col), "classes")
-    gone = staged(classes.where(F.col(id_col) != F.col("class_id")).select(F.col(id_col).alias("__gone")).distinct(), "gone")
+    gone = staged(classes.where(F.col(id_col) != F.col("class_id")).select(F.col(id_col).cast("long").alias("__gone")).distinct(), "gone")
     name = "__row_id"
-    kept = docs.withColumn(name, F.col(id_col).cast("long")).join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, F.col(name) == F.col("__gone"), "left_anti").drop(name)
-    if classes.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").isEmpty():
-        return kept
-    return kept.where(F.col(id_col).isNull()).unionByName(kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]))
+    some = lambda ids, how: docs.withColumn(name, F.col(id_col).cast("long")).join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, F.col(name) == F.col("__gone"), how).drop(name)
+    again = staged(classes.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("__gone")).count().where("count > 1").drop("count"), "repeated")
+    if again.isEmpty():
+        return some(gone, "left_anti")
+    stays = again.join(gone, "__gone", "left_anti")
+    row = F.struct(*[F.col(c) for c in docs.columns])
+    one = some(stays, "left_semi").groupBy(id_col).agg(F.min_by(row, F.to_json(row)).alias("__row")).select("__row.*")
+    return some(gone.unionByName(again).distinct(), "left_anti").unionByName(one)
 
 
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

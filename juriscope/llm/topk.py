@@ -1,82 +1,116 @@
 """Exact top-k search by no-random-access aggregation over sorted component lists.
 
 Every dimension is a list of all candidates sorted by what they add to the
-score.  The lists are only read in sequence, all to the same depth.  After
-each round every candidate has a lower bound (what was read, and the least
-possible for the rest) and an upper bound (what was read, and the list's
-frontier for the rest).  Reading stops once no outsider's upper bound reaches
-the k-th lower bound; the few that remain get their final scores.
+score.  The lists are only read in sequence, all to the same depth.  At a depth
+every candidate has a lower bound (what was read, and the least possible for the
+rest) and an upper bound (what was read, and the list's frontier for the rest).
+Reading stops once no outsider's upper bound reaches the k-th lower bound; the
+few that remain get their final scores.
 
 Since all lists are read to one depth, "read so far" depends on the list and
 its direction, not on the query: candidate v has been met in list j once
-``v[j]`` is at or beyond the frontier ``t[j]``.  Both bounds of a whole block of
+``v[j]`` is at or beyond the frontier ``t[j]``.  Both bounds of a whole batch of
 queries are therefore matrix products over components clipped at the frontier.
 
-Queries and candidates meet in a grid of bounded blocks.  A block of
-candidates is worked through in pieces, and a query takes the k-th score that
-it has already found as the floor for the next piece.
+Candidates lie in blocks of bounded size, which stay where they are; queries
+visit them.  A block's lists are built once, in pieces of growing length, and a
+query takes the k-th score that it has found in one piece as a lower bound for
+the next.  How deep a round reads is learnt from the rounds before it: a depth
+at which too few queries stop is not tried again in that block.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .stages import parallelism, read_table, shipped
+from .stages import arrow_map, parallelism, read_table
 
-#: Rows of a block of candidates and of a block of queries, at most on average.
-CANDIDATE_ROWS, QUERY_ROWS = 65536, 8192
-#: Rows of a piece within a block, and shares of a list that the rounds read.
-PIECE, QUERY_PIECE, ROUNDS = 4096, 256, (0.25, 0.5, 0.75)
+#: Rows of a block of candidates, on average; queries that are answered at once.
+BLOCK_ROWS, QUERY_ROWS = 65536, 256
+#: Rows of a block's first piece and of its longest; each piece is twice the one before.
+FIRST_PIECE, LONGEST_PIECE = 256, 4096
+#: Shares of the lists that rounds read; share of a piece that may remain for final scores; share of queries that must stop for a depth to be tried again.
+DEPTHS, REMAINDER, WORTH = (0.5, 0.75, 0.875), 0.125, 0.25
 
 
-def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(id, vector of doubles, dim) of rows whose id is set and whose vector has finite components only."""
+def vectors_of(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
+    """(id, dim, vector of doubles) of rows whose id is set and whose vector has finite components only; one row an id and length, the least vector."""
     v = F.col(vector_col).cast("array<double>")
     bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf")))
-    return (
-        df.select(F.col(id_col).cast("long").alias("id"), v.alias("vector"))
-        .where(F.col("id").isNotNull() & (F.size("vector") > 0) & ~F.exists("vector", bad))
-        .withColumn("dim", F.size("vector"))
-    )
+    good = df.select(F.col(id_col).cast("long").alias("id"), v.alias("vector")).where(F.col("id").isNotNull() & F.col("vector").isNotNull() & ~F.exists("vector", bad))
+    return good.groupBy("id", F.size("vector").alias("dim")).agg(F.min("vector").alias("vector"))
 
 
-def grid(spark: SparkSession, rows: int, queries: int, candidate_rows: int, query_rows: int) -> tuple[int, int]:
-    """Blocks of candidates and of queries: bounded blocks, and enough of them to keep the cluster busy."""
-    n_q = max(1, -(-queries // query_rows))
-    n_c = max(1, -(-rows // candidate_rows), -(-parallelism(spark) // n_q))
-    return min(n_c, max(1, rows // 512)), n_q
+def blocks_for(rows: int, block_rows: int) -> int:
+    return max(1, -(-rows // block_rows))
 
 
-def meet(queries: DataFrame, rows: DataFrame, n_c: int, n_q: int, work, schema: str) -> DataFrame:
-    """Each block of queries with each block of candidates of its dimension, once, as ``work(key, q, c)``."""
-    shipped(rows.sparkSession)
+def block_of(n_blocks: int) -> Column:
+    return F.pmod(F.xxhash64("id"), F.lit(n_blocks)).cast("int")
+
+
+def visited(blocks: DataFrame, queries: DataFrame, n_queries: int, n_blocks: int, load: Callable, answer: Callable, schema: str) -> DataFrame:
+    """Each query with each block of its dimension, once.
+
+    ``blocks``: (dim, block, and columns that ``load`` knows), in any order but for
+    the column ``seq``, which orders the rows of a block.  ``load(dim, batches of
+    a block's rows)`` makes of them what ``answer(loaded, ids, vectors)`` searches;
+    that yields tuples of columns by ``schema``.  A task streams a block and then its
+    queries, so it holds one block and one batch.  Where there are fewer blocks
+    than tasks, queries are split and a block is copied for each split, at most
+    as often as there are tasks.
+    """
+    spark = queries.sparkSession
+    splits = max(1, min(-(-parallelism(spark) // n_blocks), -(-n_queries // QUERY_ROWS)))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    one = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
-    q = queries.withColumn("qb", one(n_q)).withColumn("cb", every(n_c))
-    c = rows.withColumn("cb", one(n_c)).withColumn("qb", every(n_q))
-    return q.groupBy("dim", "cb", "qb").cogroup(c.groupBy("dim", "cb", "qb")).applyInPandas(work, schema)
+    names = [c for c in blocks.columns if c not in ("dim", "block")]
+    q = queries.select("dim", every(n_blocks).alias("block"), F.pmod(F.xxhash64("id", F.lit(7)), F.lit(splits)).cast("int").alias("split"), F.lit(1).alias("kind"), F.col("id").alias("q_id"), F.col("vector").alias("q_vector"))
+    c = blocks.select("dim", "block", every(splits).alias("split"), F.lit(0).alias("kind"), *names)
+    both = c.unionByName(q, allowMissingColumns=True)
+    placed = both.repartition("dim", "block", "split").sortWithinPartitions("dim", "block", "split", "kind", "seq", "q_id")
+    fields = schema.replace(" long", "").replace(" int", "").replace(" double", "").split(", ")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        where, held, loaded = None, [], None
+        for batch in batches:
+            keys = np.stack([batch.column(i).to_numpy() for i in range(4)])
+            edges = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+            for a, b in zip([0, *edges.tolist()], [*edges.tolist(), batch.num_rows], strict=True):
+                if a == b:
+                    continue
+                dim, block, split, kind = (int(x) for x in keys[:, a])
+                part = batch.slice(a, b - a)
+                if (dim, block, split) != where:
+                    where, held, loaded = (dim, block, split), [], None
+                if kind == 0:
+                    held.append(part.select(names))
+                    continue
+                if loaded is None:
+                    if not held:  # no candidate of this length in the block
+                        continue
+                    loaded, held = load(dim, held), []
+                for at in range(0, part.num_rows, QUERY_ROWS):
+                    some = part.slice(at, QUERY_ROWS)
+                    ids = some.column("q_id").to_numpy()
+                    columns = answer(loaded, ids, matrix(some.column("q_vector"), dim))
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=fields)
 
+    return arrow_map(placed, work, schema)
 
-def one_each(block: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Ids ascending and their vectors; an id that is repeated keeps its least vector."""
-    ids = block["id"].to_numpy(np.int64)
-    vectors = np.array(block["vector"].tolist(), np.float64).reshape(len(ids), -1)
-    order = np.lexsort((*vectors.T[::-1], ids))
-    ids, vectors = ids[order], vectors[order]
-    keep = np.ones(len(ids), bool)
-    keep[1:] = ids[1:] != ids[:-1]
-    return ids[keep], vectors[keep]
 
+def matrix(column: pa.Array, dim: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), dim)
 
-def exact_type(q: np.ndarray, v: np.ndarray) -> type:
-    """The fastest type in which no sum of products of whole numbers is rounded."""
-    most = float((np.abs(q).max(axis=0) * np.abs(v).max(axis=0)).sum()) if len(q) and len(v) else 0.0
-    return np.float32 if most < 2**24 else np.float64 if most < 2**53 else object
+
+def exact_type(q: np.ndarray, most: np.ndarray) -> type:
+    """The fastest type in which no sum of products of whole numbers is rounded; ``most``: the largest components of the candidates."""
+    total = float((np.abs(q).max(axis=0) * most).sum()) if len(q) else 0.0
+    return np.float32 if total < 2**24 else np.float64 if total < 2**53 else object
 
 
 def whole(x: np.ndarray, kind: type) -> np.ndarray:
@@ -88,81 +122,124 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -scores))[:k]
 
 
-def aggregate_lists(q: np.ndarray, q_ids: np.ndarray, v: np.ndarray, ids: np.ndarray, k: int) -> tuple[list, list]:
-    """The k best (ids, scores) of each query among v, whole numbers given as doubles."""
-    kind = exact_type(q, v)
-    q = whole(q, kind)
-    up, down = np.maximum(q, 0), np.minimum(q, 0)
-    found_ids = [np.zeros(0, np.int64)] * len(q)
-    found = [np.zeros(0, kind)] * len(q)
-    lowest = -float("inf")
-    floor = np.full(len(q), lowest, object if kind is object else np.float64)
-    for at in range(0, len(v), PIECE):
-        block, own = whole(v[at : at + PIECE], kind), ids[at : at + PIECE]
-        n = len(block)
-        lists = np.sort(block, axis=0)  # ascending; read from either end
-        least, most = lists[0], lists[-1]
-        depths = [int(n * share) for share in ROUNDS if n >= 8 * k]
-        for first in range(0, len(q), QUERY_PIECE):
-            active = np.arange(first, min(first + QUERY_PIECE, len(q)))
-            mine = own[None, :] == q_ids[active][:, None]
-            for depth in [*depths, n]:
+class Lists:
+    """A block's candidates in pieces, each with its sorted lists; and what was learnt of depths.
+
+    ``stopped`` and ``reads`` count, over queries and pieces, where reading ended: before the end of the lists, and in all.
+    """
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
+        self.ids, self.vectors = ids, vectors
+        self.most = np.abs(vectors).max(axis=0) if len(vectors) else np.zeros(vectors.shape[1])
+        self.pieces: dict[type, list] = {}
+        self.tried = np.zeros((2, len(DEPTHS)))
+        self.useful = np.zeros((2, len(DEPTHS)))
+        self.stopped = self.reads = 0
+
+    def cut(self, kind: type) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(ids, components, components of each list in ascending order) of the pieces."""
+        if kind not in self.pieces:
+            made, at, size = [], 0, FIRST_PIECE
+            while at < len(self.ids):
+                block = whole(self.vectors[at : at + size], kind)
+                made.append((self.ids[at : at + size], block, np.sort(block, axis=0)))
+                at, size = at + size, min(2 * size, LONGEST_PIECE)
+            self.pieces = {kind: made}
+        return self.pieces[kind]
+
+    def search(self, q: np.ndarray, q_ids: np.ndarray, k: int) -> tuple[list, list]:
+        """The k best (ids, scores) of each query, whole numbers given as doubles."""
+        kind = exact_type(q, self.most)
+        q = whole(q, kind)
+        up, down = np.maximum(q, 0), np.minimum(q, 0)
+        found_ids = [np.zeros(0, np.int64)] * len(q)
+        found = [np.zeros(0, kind)] * len(q)
+        floor = np.full(len(q), -float("inf"), object if kind is object else np.float64)
+        for ids, block, lists in self.cut(kind):
+            n = len(block)
+            mine = ids[None, :] == q_ids[:, None]
+            active = np.arange(len(q))
+            for number, depth in enumerate([*(int(n * share) for share in DEPTHS), n]):
+                known = np.array([len(found[i]) == k for i in active], bool)
+                group = int(known.all()) if len(active) else 1
                 if not len(active):
                     break
-                if depth == n:  # every list is read: both bounds are the score
-                    upper = up[active] @ block.T + down[active] @ block.T
-                    alive = np.ones(upper.shape, bool)
-                else:
-                    top, bottom = lists[n - depth], lists[depth - 1]
-                    upper = up[active] @ np.maximum(block, top).T + down[active] @ np.minimum(block, bottom).T
-                    lower = up[active] @ np.where(block >= top, block, least).T + down[active] @ np.where(block <= bottom, block, most).T
-                    lower[mine] = -(2.0**62) if kind is not object else -(1 << 200)
-                    kth = np.partition(lower, n - k, axis=1)[:, n - k] if kind is not object else np.sort(lower, axis=1)[:, n - k]
-                    bar = np.maximum(floor[active], kth)
-                    alive = upper >= bar[:, None]
-                alive &= ~mine
-                few = alive.sum(axis=1) <= max(n // 8, 4 * k) if depth < n else np.ones(len(active), bool)
+                if depth < n:
+                    tried = self.tried[group, number]
+                    if depth == 0 or (tried and self.useful[group, number] < WORTH * tried):
+                        continue
+                    upper, alive = self.bounded(up[active], down[active], block, lists, depth, floor[active], mine[active], k, bool(group))
+                    few = alive.sum(axis=1) <= max(REMAINDER * n, k)
+                    self.tried[group, number] += len(active)
+                    self.useful[group, number] += few.sum()
+                    self.stopped += int(few.sum())
+                else:  # every list is read: both bounds are the score
+                    upper = q[active] @ block.T
+                    alive = (upper >= floor[active][:, None]) & ~mine[active]
+                    few = np.ones(len(active), bool)
                 for row in np.flatnonzero(few):  # no outsider qualifies: final scores of the rest
-                    i, some = active[row], np.flatnonzero(alive[row])
+                    some = np.flatnonzero(alive[row])
                     if not len(some):
                         continue
+                    i = active[row]
                     score = upper[row, some] if depth == n else block[some] @ q[i]
-                    got_ids, got = np.concatenate([found_ids[i], own[some]]), np.concatenate([found[i], score])
+                    got_ids, got = np.concatenate([found_ids[i], ids[some]]), np.concatenate([found[i], score])
                     keep = best(got, got_ids, k)
                     found_ids[i], found[i] = got_ids[keep], got[keep]
                     if len(keep) == k:
                         floor[i] = found[i][-1]
-                active, mine = active[~few], mine[~few]
-    return found_ids, found
+                active = active[~few]
+            self.reads += len(q)
+        return found_ids, found
+
+    @staticmethod
+    def bounded(up, down, block, lists, depth: int, floor, mine, k: int, known: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Upper bounds of all candidates at a depth, and which of them can still qualify."""
+        n = len(block)
+        top, bottom = lists[n - depth], lists[depth - 1]
+        upper = up @ np.maximum(block, top).T + down @ np.minimum(block, bottom).T
+        bar = floor
+        if not known and n > k:  # lower bounds raise the bar only where fewer than k final scores are known
+            lower = up @ np.where(block >= top, block, lists[0]).T + down @ np.where(block <= bottom, block, lists[-1]).T
+            lower[mine] = -(1 << 200) if lower.dtype == object else -(2.0**62)
+            bar = np.maximum(bar, np.sort(lower, axis=1)[:, n - k] if lower.dtype == object else np.partition(lower, n - k, axis=1)[:, n - k])
+        return upper, (upper >= bar[:, None]) & ~mine
+
+
+def ended(x) -> int:
+    """A score as a long; beyond one, its end."""
+    return max(-(1 << 63), min((1 << 63) - 1, int(x)))
 
 
 def top_k(queries: DataFrame, rows: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", scale: float | None = 64.0) -> DataFrame:
     """The k rows with the highest integer inner product with each query, exactly.
 
-    ``scale``: a component x counts as floor(scale * x); None: it is a whole number already.
+    ``scale``: a component x counts as floor(scale * x), in doubles; None: it is a whole number already.
     Result: query_id, rank (from 1), vec_id, score; ties go to the smaller id.
 
-    Cases: a row whose id is null, or whose vector is null, empty, or holds a
-    null or non-finite component, takes no part.  Only vectors of one length are
-    compared.  A repeated id counts once, by its least vector.  A query's own id
-    is no candidate.  With fewer than k candidates all are returned.  Scores
-    beyond a long are held at its ends.  Other columns are not read.
+    Cases: a row whose id is null, or whose vector is null or holds a null or
+    non-finite component (before or after scaling), takes no part.  Only vectors
+    of one length are compared; empty ones score 0 with one another.  Of rows
+    with one id and length the least vector counts.  A query's own id is no
+    candidate.  With fewer than k candidates all are returned.  Scores beyond a
+    long are held at its ends.  Other columns are not read, whatever their names;
+    empty tables give no rows.
     """
-    spark = rows.sparkSession
-    to_whole = (lambda df: df.withColumn("vector", F.transform("vector", lambda x: F.floor(x * scale).cast("double")))) if scale else (lambda df: df)
-    q, c = to_whole(usable(queries, id_col, vector_col)), to_whole(usable(rows, id_col, vector_col))
-    n_c, n_q = grid(spark, c.count(), q.count(), CANDIDATE_ROWS, QUERY_ROWS)
-
-    def work(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out: list[pd.DataFrame] = []
-        if len(left) and len(right):
-            (q_ids, qs), (ids, vs) = one_each(left), one_each(right)
-            for query, got_ids, got in zip(q_ids, *aggregate_lists(qs, q_ids, vs, ids, k), strict=True):
-                score = [max(-(1 << 63), min((1 << 63) - 1, int(x))) for x in got]
-                out.append(pd.DataFrame({"query_id": query, "vec_id": got_ids, "score": np.array(score, np.int64)}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
-
-    parts = meet(q, c, n_c, n_q, work, "query_id long, vec_id long, score long")
+    scaled = (lambda df: df.withColumn("v", F.transform(F.col(vector_col).cast("array<double>"), lambda x: x * scale)).select(F.col(id_col).alias("id"), "v")) if scale else (lambda df: df.select(F.col(id_col).alias("id"), F.col(vector_col).alias("v")))
+    q, c = vectors_of(scaled(queries), "id", "v"), vectors_of(scaled(rows), "id", "v")
+    n_blocks = blocks_for(rows.count(), BLOCK_ROWS)
+    blocks = c.select("dim", block_of(n_blocks).alias("block"), F.col("id").alias("seq"), "vector")
+
+    def load(dim: int, batches: list[pa.RecordBatch]) -> Lists:
+        ids = np.concatenate([b.column("seq").to_numpy() for b in batches])
+        return Lists(ids, np.floor(np.concatenate([matrix(b.column("vector"), dim) for b in batches])))
+
+    def answer(lists: Lists, q_ids: np.ndarray, vectors: np.ndarray):
+        found_ids, found = lists.search(np.floor(vectors), q_ids, k)
+        scores = np.array([ended(x) for got in found for x in got], np.int64)
+        return np.repeat(q_ids, [len(x) for x in found_ids]), np.concatenate([*found_ids, np.zeros(0, np.int64)]), scores
+
+    parts = visited(blocks, q, queries.count(), n_blocks, load, answer, "query_id long, vec_id long, score long")
     return ranked(parts, k, F.desc("score"))
 
 
@@ -181,7 +258,7 @@ ORACLE = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e
   FROM embeddings
-  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 p AS (
   SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score

@@ -5,9 +5,13 @@ lengths, summed along the text, are the places of the matches.
 
 Some parts mean nothing alone: a name that could be an account, a string that
 could be a key, an address.  Within a scope, an interval of the text around
-each part, they are joined with the parts that complete them.  The join is a
-sweep over the parts of one text in order of place, once from each end, that
+each part, they are joined with the parts that complete them.  The interval join
+is a sweep over the parts of one text in order of place, once from each end, that
 carries the nearest part of each role; so it takes one pass, not pairs.
+
+Folds over a text's matches run in two levels, over blocks of about the square
+root of their number: Spark copies an array whenever a fold appends to it, and
+so copies a short one.
 """
 
 from __future__ import annotations
@@ -32,6 +36,45 @@ KINDS = ("assign", "access", "hex", "ident", "key", "endpoint")
 NONE = -(10**9)
 
 
+#: Items of a block of a fold, at least.
+BLOCK = 64
+
+
+def let(value: Column, f) -> Column:
+    """``f(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def stepped(state: Column, result: Column) -> Column:
+    return F.struct(state.alias("state"), result.alias("result"))
+
+
+def scanned(items: Column, state: Column, step, kind: str) -> Column:
+    """What ``step(state, item)``, a struct of ``state`` and ``result``, gives along an array: the results in order, of type ``kind``.
+
+    Two levels: each block of items is folded into a short array, and those are
+    joined at the end; the state runs through all blocks.
+    """
+    none, no_blocks = F.array().cast(f"array<{kind}>"), F.array().cast(f"array<array<{kind}>>")
+
+    def one(acc: Column, x: Column) -> Column:
+        return let(step(acc["state"], x), lambda r: F.struct(r["state"].alias("state"), F.array_append(acc["out"], r["result"]).alias("out")))
+
+    def block(acc: Column, xs: Column) -> Column:
+        folded = F.aggregate(xs, F.struct(acc["state"].alias("state"), none.alias("out")), one)
+        return let(folded, lambda r: F.struct(r["state"].alias("state"), F.array_append(acc["out"], r["out"]).alias("out")))
+
+    def over(xs: Column, n: Column, size: Column) -> Column:
+        blocks = F.when(n > 0, F.transform(F.sequence(F.lit(0), F.floor((n - 1) / size).cast("int")), lambda i: F.slice(xs, i * size + 1, size))).otherwise(F.array())
+        return F.aggregate(blocks, F.struct(state.alias("state"), no_blocks.alias("out")), block, lambda acc: F.flatten(acc["out"]))
+
+    # an expression that a lambda uses is computed anew for each element, so the items are bound first
+    return let(items, lambda xs: let(F.greatest(F.lit(BLOCK), F.ceil(F.sqrt(F.size(xs))).cast("int")), lambda size: over(xs, F.size(xs), size)))
+
+
+SPAN = "struct<s:int,k:int,e:int>"
+
+
 def spans(text: Column, pattern: str, kind: int, least: int, group: int = 0) -> Column:
     """Spans (start, kind, end) of the leftmost non-overlapping matches whose group has ``least`` characters or more.
 
@@ -42,16 +85,15 @@ def spans(text: Column, pattern: str, kind: int, least: int, group: int = 0) ->
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("match"),
         F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("value"),
     )
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,k:int,e:int>>").alias("out"))
+    sizes = F.transform(parts, lambda x: F.struct(F.length(x["piece"]).alias("before"), F.coalesce(F.length(x["match"]), F.lit(0)).alias("own"), F.coalesce(F.length(x["value"]), F.lit(-1)).alias("value")))
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["piece"])
-        end = start + F.coalesce(F.length(x["match"]), F.lit(0))
-        found = F.struct(start.alias("s"), F.lit(kind).alias("k"), end.alias("e"))
-        return F.struct(end.alias("at"), F.when(F.length(x["value"]) >= least, F.array_append(acc["out"], found)).otherwise(acc["out"]).alias("out"))
+    def step(at: Column, x: Column) -> Column:
+        start = at + x["before"]
+        end = start + x["own"]
+        return stepped(end, F.struct(start.alias("s"), F.when(x["value"] >= least, kind).otherwise(-1).alias("k"), end.alias("e")))
 
-    found = F.aggregate(parts, empty, step, lambda acc: acc["out"])
-    return F.when(text.rlike(pattern), found).otherwise(empty["out"])
+    found = F.filter(scanned(sizes, F.lit(0), step, SPAN), lambda x: x["k"] >= 0)
+    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
 #: What a part completes: an account (access, ident), a secret (assign, key), a place (endpoint).
@@ -64,17 +106,25 @@ def _role(kind: Column) -> Column:
 
 def _sweep(parts: Column, scope: int, forward: bool) -> Column:
     """For each part, in order: bits of the other roles that have a part within the scope on the side swept from."""
-    empty = F.struct(*[F.lit(NONE).alias(f"r{i}") for i in range(3)], F.array().cast("array<int>").alias("out"))
+    state = F.struct(*[F.lit(NONE).alias(f"r{i}") for i in range(3)])
 
     def step(acc: Column, x: Column) -> Column:
-        role = _role(x["k"])
+        return let(_role(x["k"]), lambda role: met(acc, x, role))
+
+    def met(acc: Column, x: Column, role: Column) -> Column:
         far = x["e"] if forward else -x["s"]
         near = x["s"] if forward else -x["e"]
         bits = sum((F.when((role != i) & (near - acc[f"r{i}"] <= scope), 1 << i).otherwise(0) for i in range(3)), F.lit(0))
-        held = [F.when(role == i, F.greatest(acc[f"r{i}"], far)).otherwise(acc[f"r{i}"]).alias(f"r{i}") for i in range(3)]
-        return F.struct(*held, F.array_append(acc["out"], bits).alias("out"))
+        return stepped(F.struct(*[F.when(role == i, F.greatest(acc[f"r{i}"], far)).otherwise(acc[f"r{i}"]).alias(f"r{i}") for i in range(3)]), bits)
+
+    return scanned(parts, state, step, "int")
+
 
-    return F.aggregate(parts, empty, step, lambda acc: acc["out"])
+def _covered(parts: Column) -> Column:
+    """Each part, in order, and whether it is weak and overlaps a base part.  A sweep from each end carries the base parts' farthest place."""
+    ahead = scanned(parts, F.lit(NONE), lambda at, x: stepped(F.when(x["k"] < 3, F.greatest(at, x["e"])).otherwise(at), at > x["s"]), "boolean")
+    back = scanned(F.reverse(parts), F.lit(-NONE), lambda at, x: stepped(F.when(x["k"] < 3, F.least(at, x["s"])).otherwise(at), at < x["e"]), "boolean")
+    return F.transform(F.arrays_zip(parts.alias("part"), ahead.alias("f"), F.reverse(back).alias("b")), lambda x: F.struct(x["part"].alias("part"), ((x["part"]["k"] >= 3) & (x["f"] | x["b"])).alias("covered")))
 
 
 def linked(parts: Column, scope: int) -> Column:
@@ -122,38 +172,43 @@ def find_secrets(docs: DataFrame, text_col: str = "text", scope: int = SCOPE) ->
 
 
 def joined_spans(marked: DataFrame, scope: int) -> DataFrame:
-    """Weak parts joined with what completes them; rows without weak parts skip the sweep."""
+    """Weak parts joined with what completes them; rows without weak parts skip the sweeps."""
     base, weak = F.col("__base"), F.col("__weak")
-    # base spans are in order of start and, within a kind, disjoint: a mask of the overlaps comes from one merged list of covered places
-    covered = F.aggregate(
-        base,
-        F.array().cast("array<struct<s:int,e:int>>"),
-        lambda acc, x: F.when((F.size(acc) > 0) & (F.element_at(acc, F.greatest(F.size(acc), F.lit(1)))["e"] >= x["e"]), acc).otherwise(F.array_append(acc, F.struct(x["s"].alias("s"), x["e"].alias("e")))),
-    )
-    marked = marked.withColumn("__covered", F.when(F.size(weak) > 0, covered).otherwise(F.array().cast("array<struct<s:int,e:int>>")))
-    own = F.when(
-        F.size(weak) > 0,
-        F.filter(weak, lambda x: (x["k"] != 4) | ~F.exists(F.col("__covered"), lambda c: (c["s"] < x["e"]) & (x["s"] < c["e"]))),
-    ).otherwise(weak)
-    marked = marked.withColumn("__parts", F.when(F.size(weak) > 0, by_place(F.concat(base, own))).otherwise(base))
-    added = F.when(F.size(weak) > 0, linked(F.col("__parts"), scope)).otherwise(F.array().cast("array<struct<s:int,k:int,e:int>>"))
-    return marked.withColumn("base", base).withColumn("found", by_place(F.concat(base, added))).drop("__base", "__weak", "__covered", "__parts")
+    none = F.array().cast(f"array<{SPAN}>")
+    marked = marked.withColumn("__all", F.when(F.size(weak) > 0, by_place(F.concat(base, weak))).otherwise(none))
+    shown = F.transform(F.filter(_covered(F.col("__all")), lambda x: (x["part"]["k"] != 4) | ~x["covered"]), lambda x: x["part"])
+    marked = marked.withColumn("__parts", F.when(F.exists("__all", lambda x: x["k"] == 4), shown).otherwise(F.col("__all")))
+    added = F.when(F.exists("__parts", lambda x: x["k"] >= 3), linked(F.col("__parts"), scope)).otherwise(none)
+    return marked.withColumn("base", base).withColumn("found", F.when(F.size(weak) > 0, by_place(F.concat(base, added))).otherwise(base)).drop("__base", "__weak", "__all", "__parts")
 
 
 def redacted(docs: DataFrame, mask: str = "[SECRET]", scope: int = SCOPE) -> DataFrame:
-    """``docs`` with every span of its text replaced by ``mask``; n_chars follows; null stays null."""
-    seen = find_secrets(docs, "text", scope)
+    """``docs`` with every span of its text replaced by ``mask``; n_chars follows if there is one.
+
+    Cases: null stays null; spans that overlap are replaced by one mask; other
+    columns stay as they are, whatever their names.  Repeated rows each get theirs.
+    """
+    only = docs.select(*docs.columns, F.struct("*").alias("__row"))
+    seen = find_secrets(only.select("__row", F.col("text")), "text", scope)
     text = F.col("text")
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+    empty = F.lit(0)
 
-    def step(acc: Column, x: Column) -> Column:
-        fresh = x["s"] >= acc["at"]
-        kept = F.concat(text.substr(acc["at"] + 1, x["s"] - acc["at"]), F.lit(mask))
-        return F.struct(F.greatest(acc["at"], x["e"]).alias("at"), F.when(fresh, F.array_append(acc["out"], kept)).otherwise(acc["out"]).alias("out"))
+    def step(at: Column, x: Column) -> Column:
+        kept = F.concat(F.substr(text, at + 1, x["s"] - at), F.lit(mask))
+        return stepped(F.greatest(at, x["e"]), F.when(x["s"] >= at, kept).otherwise(""))
+
+    last = F.array_max(F.transform("found", lambda x: x["e"]))
+    cut = F.concat(F.array_join(scanned(F.col("found"), empty, step, "string"), ""), F.substr(text, last + 1))
+    clean = seen.withColumn("__clean", F.when(F.size("found") > 0, cut).otherwise(text))
+
+    def column(name: str) -> Column:
+        if name == "text":
+            return F.col("__clean").alias(name)
+        if name == "n_chars":
+            return F.when(F.size("found") > 0, F.length("__clean").cast(docs.schema[name].dataType)).otherwise(F.col("__row")[name]).alias(name)
+        return F.col("__row")[name].alias(name)
 
-    cut = F.aggregate(F.col("found"), empty, step, lambda acc: F.concat(F.array_join(acc["out"], ""), text.substr(acc["at"] + 1, F.length(text))))
-    clean = seen.withColumn("text", F.when(F.size("found") > 0, cut).otherwise(text))
-    return clean.withColumn("n_chars", F.when(F.size("found") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))).select(*docs.columns)
+    return clean.select(*map(column, docs.columns))
 
 
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .stages import read_table, staged
+from .stages import read_table, running, staged
 
 #: Weights by the rank of a source, repeating.
 WEIGHTS = (5, 2, 1)
@@ -39,27 +39,21 @@ def seeded(key: Column, seed: int) -> Column:
 def water_fill(sources: DataFrame, share: float = 1.0, max_epochs: int = 3) -> DataFrame:
     """``sources`` (source, weight, source_size) with its target.
 
-    Rounds: the level is what is left to deal over the weight of the sources
-    that are not yet full; sources whose part is above their cap become full;
-    the next round deals what they leave.  Only the sums of a round reach the
-    driver.  A round fills one source at least, so it ends.
+    Sources fill in order of their cap over their weight.  At each, the level is
+    what is left for it and those after it over their weights; the first source
+    that the level does not fill sets it, and those before it stop at their caps.
     """
     cap = F.col("source_size") * F.lit(max_epochs)
-    sizes = sources.agg(F.sum("source_size").cast("decimal(38,0)").alias("n")).first()["n"] or 0
-    wanted, level = float(sizes) * share if share != 1.0 else int(sizes), None
-    full = F.lit(False)
-    while True:
-        left = sources.agg(
-            F.sum(F.when(full, cap)).cast("decimal(38,0)").alias("held"), F.sum(F.when(~full, F.col("weight"))).alias("weight"), F.count(F.when(full, 1)).alias("n_full")
-        ).first()
-        if not left["weight"]:
-            return sources.withColumn("target", cap.cast("double"))
-        found = (wanted - int(left["held"] or 0)) / left["weight"]
-        if found == level:
-            break
-        level = found
-        full = F.col("weight") * F.lit(float(level)) > cap.cast("double")
-    return sources.withColumn("target", F.when(full, cap.cast("double")).otherwise(F.col("weight") * F.lit(float(level))))
+    sources = staged(sources, "mix-sources")
+    total = sources.agg(F.sum("source_size").alias("size"), F.sum("weight").alias("weight")).first()
+    wanted = (total["size"] or 0) if share == 1.0 else float(total["size"] or 0) * share
+    ordered = running(sources, [cap / F.col("weight"), F.col("source").asc_nulls_first()], {"held": cap, "passed": F.col("weight")}, "mix-order")
+    left, still = F.lit(wanted) - F.col("held"), F.lit(total["weight"] or 0) - F.col("passed")
+    first = ordered.where(F.col("weight") * left <= cap * still).agg(F.min_by(left.cast("double") / still.cast("double"), "place").alias("level")).first()
+    if first["level"] is None:
+        return sources.withColumn("target", cap.cast("double"))
+    reached = F.col("weight") * F.lit(float(first["level"]))
+    return sources.withColumn("target", F.least(reached, cap.cast("double")))
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = 3, seed: int = 0, slices: int = SLICES) -> DataFrame:
@@ -72,14 +66,15 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = 3
     Null is a source of its own, the last.  A source without words has target 0.
     Rows with one doc_id, whether equal or not, are each counted; they stand
     together in the seeded order, by size, and those of one size share the
-    fraction that falls to them in the order of their rank.  Other columns are
-    not read; an empty table gives no rows.
+    fraction that falls to them in the order of their rank.  Texts may be of any
+    length.  Other columns are not read, whatever their names; an empty table
+    gives no rows.
     """
     sized = staged(docs.select(F.col("doc_id"), F.col("source").cast("string").alias("source"), words(F.col("text")).alias("size")), "mix-sizes")
     by_source = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1  # a row for each source
-    weight = F.element_at(F.array(*map(F.lit, weights)), (rank % len(weights) + 1).cast("int"))
-    targets = staged(water_fill(by_source.withColumn("weight", weight), max_epochs=max_epochs), "mix-targets")
+    ranked = running(by_source, [F.col("source").asc_nulls_last()], {}, "mix-ranks")
+    weight = F.element_at(F.array(*[F.lit(x).cast("long") for x in weights]), (F.col("place") % len(weights) + 1).cast("int"))
+    targets = staged(water_fill(ranked.withColumn("weight", weight).drop("place"), max_epochs=max_epochs), "mix-targets")
 
     width = F.try_divide(F.col("target"), F.col("source_size"))
     plan = targets.withColumn("whole", F.coalesce(F.floor(width), F.lit(0)).cast("long"))
@@ -96,8 +91,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = 3
     clear = joined.where(F.col("inside") | F.col("outside")).withColumn("part", F.when(F.col("inside"), F.col("size")).otherwise(0))
     order = Window.partitionBy("source", "slice").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, -1)
     unclear = joined.where(~F.col("inside") & ~F.col("outside"))
-    running = F.col("before") + F.coalesce(F.sum("size").over(order), F.lit(0))
-    unclear = unclear.withColumn("part", F.least(F.greatest(F.col("extra") - running, F.lit(0)), F.col("size")))
+    reached = F.col("before") + F.coalesce(F.sum("size").over(order), F.lit(0))
+    unclear = unclear.withColumn("part", F.least(F.greatest(F.col("extra") - reached, F.lit(0)), F.col("size")))
     taken = F.least(F.col("whole") * F.col("size") + F.col("part"), F.col("size") * max_epochs)
     return clear.unionByName(unclear).select("doc_id", "size", "source_size", F.col("target").cast("double").alias("target"), taken.cast("long").alias("taken"))
 

@@ -14,11 +14,12 @@ from collections.abc import Callable
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 
-#: Rows of an Arrow batch, at most.
-BATCH_KEY, BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
+#: Rows and bytes of an Arrow batch, at most; a longer row stands alone, whole.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1000, "spark.sql.execution.arrow.maxBytesPerBatch": 16 << 20}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -48,6 +49,22 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def running(df: DataFrame, order: list[Column], sums: dict[str, Column], name: str) -> DataFrame:
+    """``df`` with ``place``, its row number from 0, and the sums of the rows before it, in an order over all rows.
+
+    Rows are dealt by range and written, so a task orders one range; the sums of
+    the ranges, a row for each, carry from one to the next.
+    """
+    ranges = staged(df.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()), name)
+    one = {"place": F.lit(1).cast("long"), **sums}
+    totals = ranges.groupBy("__range").agg(*[F.sum(c).alias(f"__{n}") for n, c in one.items()])
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    totals = totals.select("__range", *[F.coalesce(F.sum(f"__{n}").over(before), F.lit(0)).alias(f"__{n}") for n in one])
+    within = Window.partitionBy("__range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    told = ranges.join(F.broadcast(totals), "__range")
+    return told.select(*df.columns, *[(F.col(f"__{n}") + F.coalesce(F.sum(c).over(within), F.lit(0))).alias(n) for n, c in one.items()])
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A driver table as a DataFrame, by Spark's reader only."""
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -82,11 +99,18 @@ def trimmed() -> None:
 
 
 def arrow_map(df: DataFrame, work: Callable, schema) -> DataFrame:
-    """``df.mapInArrow``, with this package on the workers and BATCH rows at once: rows are whole texts here."""
+    """``df.mapInArrow``, with this package on the workers.
+
+    Batches are bounded by rows and bytes, since rows are whole texts here.  The
+    session's settings are narrowed where they allow more, as Spark reads them
+    when a query runs; narrower ones stay.
+    """
     spark = df.sparkSession
     shipped(spark)
-    if int(spark.conf.get(BATCH_KEY)) > BATCH:
-        spark.conf.set(BATCH_KEY, str(BATCH))
+    for key, most in BATCHES.items():
+        set_to = int(spark.conf.get(key).rstrip("b"))
+        if set_to > most or set_to <= 0:
+            spark.conf.set(key, str(most))
 
     def lean(batches):
         try:

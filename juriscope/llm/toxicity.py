@@ -19,6 +19,7 @@ Counting and scoring run in numpy over whole texts, a batch at a time.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,12 +31,12 @@ from pyspark.sql import types as T
 
 from .bpe import binaries, slices
 from .hashing import WORD_BYTES, Buffer, U
-from .stages import arrow_map, read_table, trimmed
+from .stages import arrow_map, read_table, staged, trimmed
 
 #: Features; bytes of a word's beginning; score from which a text is called toxic.
 BITS, BEGINNING, CUT = 18, 4, 0.3
-#: Rows that the classifier is fitted on, at most: confirmed positives, and unlabelled.
-MOST_POSITIVE, MOST_UNLABELLED = 2000, 6000
+#: Rows that the classifier is fitted on, at most: confirmed positives, and others of the label table, whose labels it does not see; and bytes of their features.
+MOST_POSITIVE, MOST_UNLABELLED, MOST_BYTES = 2000, 6000, 64 << 20
 EPOCHS, RATE, DECAY = 160, 0.1, 1e-4
 #: Rows of the sample that a feature stands in at least.
 LEAST_ROWS = 4
@@ -166,59 +167,83 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, most_positive: int = MOST_POSITIVE, most_unlabelled: int = MOST_UNLABELLED) -> tuple[np.ndarray, float] | None:
-    """Weights and bias from rows that are not held out; None if no text is confirmed toxic.
+def train(docs: DataFrame, labels: DataFrame, most_positive: int = MOST_POSITIVE, most_unlabelled: int = MOST_UNLABELLED, most_bytes: int = MOST_BYTES) -> tuple[np.ndarray, float] | None:
+    """Weights and bias from rows that are not held out; None if no text is confirmed toxic, or none is unlabelled.
 
-    The sample is bounded by the two parameters: the ids with the least hash.
+    Confirmed toxic texts are the positives.  The unlabelled texts are a sample of
+    all texts in the label table, with their labels put aside, so toxic ones are
+    among them; the class prior is the table's share of toxic rows.  The sample
+    is bounded by the parameters: the ids with the least hash, as far as the
+    bytes of their features reach.
+
+    Cases: rows with a null id or a null label say nothing; of several labels of
+    an id the highest counts.  Of several texts of an id one is taken, by its
+    features.  Empty and null texts are texts without features.  The prior is
+    held within 0.01 and 0.9, so that neither part of the risk vanishes.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max("toxic").alias("toxic"))
-    stats = known.agg(F.avg("toxic").alias("share")).first()
-    prior = min(0.9, max(0.01, stats["share"] if stats["share"] else PRIOR))
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    order = (F.xxhash64("id"), F.col("id"))
-    positive = known.where(F.col("toxic") == 1).join(rows.select("id").distinct(), "id", "left_semi").orderBy(*order).limit(most_positive).select("id", F.lit(True).alias("positive"))
-    unlabelled = rows.select("id").where(F.col("id").isNotNull() & ~held_out(F.col("id"))).orderBy(F.xxhash64("id", F.lit(1)), "id").limit(most_unlabelled).select("id", F.lit(False).alias("positive"))
-    chosen = {True: set(), False: set()}
+    known = staged(known.join(rows.select("id").distinct(), "id", "left_semi"), "labelled")
+    stats = known.agg(F.avg(F.col("toxic").cast("double")).alias("share")).first()
+    prior = min(0.9, max(0.01, stats["share"] if stats["share"] else PRIOR))
+    positive = known.where(F.col("toxic") == 1).orderBy(F.xxhash64("id"), "id").limit(most_positive).select("id", F.lit(True).alias("positive"))
+    unlabelled = known.orderBy(F.xxhash64("id", F.lit(1)), "id").limit(most_unlabelled).select("id", F.lit(False).alias("positive"))
+    chosen = {True: [], False: []}
     for r in positive.unionByName(unlabelled).collect():  # as many as the bounds allow
-        chosen[r["positive"]].add(r["id"])
-    if not chosen[True] or not chosen[False]:
+        chosen[r["positive"]].append(r["id"])
+    if not chosen[True]:
         return None
-    ids = docs.sparkSession.createDataFrame([(i,) for i in sorted(chosen[True] | chosen[False])], "id long")
-    made = feature_rows(rows.join(F.broadcast(ids), "id", "left_semi").select("id", "text")).collect()
-    made.sort(key=lambda r: (r["id"], bytes(r["features"]), bytes(r["values"])))
-    half = {i: n % 2 == 0 for n, i in enumerate(sorted(chosen[True] | chosen[False]))}
+    ids = docs.sparkSession.createDataFrame([(i,) for i in sorted({*chosen[True], *chosen[False]})], "id long")
+    made = feature_rows(rows.join(F.broadcast(ids), "id", "left_semi").select("id", "text"))
+    made = staged(made.groupBy("id").agg(F.min(F.struct("features", "values")).alias("x")).select("id", "x.*"), "sample-features")
+    size = {r["id"]: r["n"] for r in made.select("id", F.octet_length("features").alias("n")).collect()}  # as many as the bounds allow
+    kept, total = set(), 0
+    for i in sorted(size, key=lambda i: zlib.crc32(str(i).encode())):
+        total += 2 * size[i]
+        if total > most_bytes and kept:
+            break
+        kept.add(i)
+    if len(kept) < len(size):
+        made = made.where(F.col("id").isin(*kept))
+    found = {r["id"]: (r["features"], r["values"]) for r in made.collect()}  # bounded by most_bytes
+    half = {i: n % 2 == 0 for n, i in enumerate(sorted(found))}
     sets = []
     for kind in (True, False):
-        own = [r for r in made if r["id"] in chosen[kind]]
-        sets.append((Rows.of([(r["features"], r["values"]) for r in own]), np.array([half[r["id"]] for r in own])))
-    del made, own
+        own = sorted(i for i in chosen[kind] if i in found)
+        sets.append((Rows.of([found[i] for i in own]), np.array([half[i] for i in own], bool)))
+    del found
     trimmed()
     (positive_rows, p_half), (unlabelled_rows, u_half) = sets
     del sets
+    if not positive_rows.n or not unlabelled_rows.n:
+        return None
     try:
         return calibrated(positive_rows, p_half, unlabelled_rows, u_half, prior)
     finally:
         trimmed()
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, float] | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with a score from 0 to 1 of each whole text (column ``score``; it replaces one of that name).
+def score(docs: DataFrame, model: tuple[np.ndarray, float] | None, text_col: str = "text", to: str = "score") -> DataFrame:
+    """``docs`` with a score from 0 to 1 of each whole text (column ``to``; it replaces one of that name).
 
     Cases: null and empty texts, and texts without words, get the score of the
-    bias alone.  Without a model every score is 0.  Only the text is an input.
+    bias alone.  Without a model every score is 0.  Only the text is an input;
+    texts may be of any length.  Repeated rows each get the score of their text;
+    other columns stay as they are; an empty table gives no rows.
     """
-    keep = [c for c in docs.columns if c not in (text_col, "score")]
-    weight, bias = (model[0].astype(np.float32), model[1]) if model else (np.zeros(1 << BITS, np.float32), -40.0)
+    keep = [c for c in docs.columns if c not in (text_col, to)]
+    weight, bias = (model[0].astype(np.float32), model[1]) if model else (np.zeros(1 << BITS, np.float32), 0.0)
+    none = model is None
     where = docs.schema[text_col]
-    schema = T.StructType([*[docs.schema[c] for c in keep], where, T.StructField("score", T.DoubleType())])
+    schema = T.StructType([*[docs.schema[c] for c in keep], where, T.StructField(to, T.DoubleType())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column(batch.num_columns - 1)
             for first, last, buffer in slices(pc.utf8_lower(column)):
                 text, feature, value = features(buffer)
-                out = sigmoid(np.bincount(text, value * weight[feature], minlength=buffer.n) + bias)
-                yield pa.RecordBatch.from_arrays([*[batch.column(i).slice(first, last - first) for i in range(batch.num_columns)], pa.array(out)], names=[*keep, text_col, "score"])
+                out = np.zeros(buffer.n) if none else sigmoid(np.bincount(text, value * weight[feature], minlength=buffer.n) + bias)
+                yield pa.RecordBatch.from_arrays([*[batch.column(i).slice(first, last - first) for i in range(batch.num_columns)], pa.array(out)], names=[*keep, text_col, to])
 
     return arrow_map(docs.select(*keep, text_col), work, schema)
 

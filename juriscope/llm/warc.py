@@ -23,7 +23,7 @@ SLOT_SECONDS = 3600
 # Headers that a not-modified answer may bring up to date (RFC 9110, 15.4.5; RFC 9111, 4.3.4).
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary", "age", "warning")
 # Query parameters that do not choose a resource.
-TRACKING = r"(?:utm_[a-z]+|ref|fbclid|gclid|sessionid)"
+TRACKING = r"(?:utm_[a-z]+|fbclid|gclid|sessionid)"
 
 
 def canonical_url(url: Column) -> Column:
@@ -123,29 +123,36 @@ def resolve_revisits(records: DataFrame, slot_seconds: int = SLOT_SECONDS) -> Da
 
 
 def page_records(pages: DataFrame) -> DataFrame:
-    """Two crawls of ``pages`` as WARC records, by rule.
-
-    The first crawl takes a full response of every page, a second after another
-    in order of page_id.  The second, a day later, meets every page again and
-    gets a 304.  A page whose id leaves 6 on division by 7 has changed its tag
-    since; one that leaves 5 has no tag and is checked by date.
+    """Four crawls of ``pages`` as WARC records, by rule, so that a revisit has up to two earlier responses.
+
+    Day 0 takes a full response of every page but those whose id leaves 3 on
+    division by 11, a second after another in order of page_id.  Day 1 meets
+    changed pages (0 on division by 3): a new body, tag and date.  On day 2 every
+    page is revisited and answers 304: by tag; by date alone (5 on division by 7);
+    by the payload's digest alone (4); with a tag that no crawl took (6); or with
+    no validator at all (0 on division by 13).  On day 3 pages that day 0 left out
+    get a response, too late for the revisit.
     """
-    at = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("page_id"))
-    later = F.timestamp_seconds(F.lit(1_700_086_400) + F.col("page_id"))
-    digest = F.sha2(F.coalesce("html", F.lit("")), 256)
-    rest = F.pmod("page_id", F.lit(7))
-    tag = F.concat(F.lit('"'), F.substring(F.col("d"), 1, 16), F.lit('"'))
-    day = F.concat(F.lit("day "), F.pmod("page_id", F.lit(28)).cast("string"))
-    one = F.map_filter(
-        F.create_map(F.lit("Content-Type"), F.lit("text/html"), F.lit("ETag"), F.when(rest != 5, tag), F.lit("Last-Modified"), day, F.lit("Cache-Control"), F.lit("max-age=60"), F.lit("Content-Length"), F.octet_length(F.col("html")).cast("string")), lambda k, v: v.isNotNull()
-    )
-    two = F.map_filter(
-        F.create_map(F.lit("etag"), F.when(rest == 6, F.lit('"new"')).when(rest != 5, F.concat(F.lit("W/"), tag)), F.lit("Last-Modified"), day, F.lit("Cache-Control"), F.lit("max-age=600"), F.lit("Content-Length"), F.lit("0")), lambda k, v: v.isNotNull()
-    )
-    p = pages.select("page_id", "url", digest.alias("d"), F.col("html"))
-    first = p.select((F.col("page_id") * 2).alias("record_id"), F.lit("response").alias("warc_type"), "url", at.alias("date"), F.lit(200).alias("status"), F.col("d").alias("digest"), one.alias("headers"))
-    second = p.select((F.col("page_id") * 2 + 1).alias("record_id"), F.lit("revisit").alias("warc_type"), "url", later.alias("date"), F.lit(304).alias("status"), F.lit(None).cast("string").alias("digest"), two.alias("headers"))
-    return first.unionByName(second)
+    at = lambda day: F.timestamp_seconds(F.lit(1_700_000_000 + 86_400 * day) + F.col("page_id"))
+    hashed = lambda version: F.sha2(F.concat(F.coalesce("html", F.lit("")), F.lit("" if version == 0 else "+")), 256)
+    tagged = lambda version: F.concat(F.lit('"'), F.substring(F.col(f"d{version}"), 1, 16), F.lit('"'))
+    dated = lambda version: F.concat(F.lit(f"day {version} "), F.pmod("page_id", F.lit(28)).cast("string"))
+    rest = lambda n: F.pmod("page_id", F.lit(n))
+    there = lambda entries: F.map_filter(F.create_map(*entries), lambda k, v: v.isNotNull())
+    p = pages.select("page_id", "url", hashed(0).alias("d0"), hashed(1).alias("d1"), F.octet_length(F.col("html")).alias("n"))
+
+    def response(number: int, day: int, version: int, taken: Column) -> DataFrame:
+        headers = there([F.lit("Content-Type"), F.lit("text/html"), F.lit("ETag"), tagged(version), F.lit("Last-Modified"), dated(version), F.lit("Cache-Control"), F.lit("max-age=60"), F.lit("Content-Length"), (F.col("n") + version).cast("string")])
+        return p.where(taken).select((F.col("page_id") * 4 + number).alias("record_id"), F.lit("response").alias("warc_type"), "url", at(day).alias("date"), F.lit(200).alias("status"), F.col(f"d{version}").alias("digest"), headers.alias("headers"))
+
+    changed = rest(3) == 0
+    now = lambda made: F.when(changed, made(1)).otherwise(made(0))
+    bare, by_date, by_digest = rest(13) == 0, rest(7) == 5, rest(7) == 4
+    tag = F.when(bare | by_date | by_digest, None).when(rest(7) == 6, F.lit('"new"')).otherwise(F.concat(F.lit("W/"), now(tagged)))
+    headers = there([F.lit("etag"), tag, F.lit("Last-Modified"), F.when(bare | by_digest, None).otherwise(now(dated)), F.lit("Cache-Control"), F.lit("max-age=600"), F.lit("Content-Length"), F.lit("0")])
+    digest = F.when(by_digest & ~bare, now(lambda version: F.col(f"d{version}")))
+    revisit = p.select((F.col("page_id") * 4 + 2).alias("record_id"), F.lit("revisit").alias("warc_type"), "url", at(2).alias("date"), F.lit(304).alias("status"), digest.alias("digest"), headers.alias("headers"))
+    return response(0, 0, 0, rest(11) != 3).unionByName(response(1, 1, 1, changed)).unionByName(revisit).unionByName(response(3, 3, 0, rest(11) == 3))
 
 
 def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,22 +173,31 @@ def _canonical_sql(url: str) -> str:
 
 ORACLE = f"""
 WITH p AS (
-  SELECT page_id, {_canonical_sql("url")} AS url_key, '"' || left(sha256(coalesce(html, '')), 16) || '"' AS tag,
-         'day ' || (page_id % 28) AS day, page_id % 7 AS rest, strlen(html) AS n FROM pages),
-f AS (SELECT page_id * 2 AS record_id, url_key, 1700000000 + page_id AS at, CASE WHEN rest <> 5 THEN tag END AS tag, day, n FROM p WHERE url_key IS NOT NULL),
+  SELECT page_id, {_canonical_sql("url")} AS url_key, [sha256(coalesce(html, '')), sha256(coalesce(html, '') || '+')] AS d, strlen(html) AS n FROM pages),
+f AS (
+  SELECT page_id * 4 + number AS record_id, url_key, 1700000000 + 86400 * number + page_id AS ts, d[version + 1] AS digest,
+         '"' || left(d[version + 1], 16) || '"' AS tag, 'day ' || version || ' ' || (page_id % 28) AS day, n + version AS n
+  FROM p, (VALUES (0, 0), (1, 1), (3, 0)) v(number, version)
+  WHERE url_key IS NOT NULL AND CASE number WHEN 0 THEN page_id % 11 <> 3 WHEN 1 THEN page_id % 3 = 0 ELSE page_id % 11 = 3 END),
 r AS (
-  SELECT page_id * 2 + 1 AS record_id, url_key, 1700086400 + page_id AS at,
-         CASE WHEN rest = 6 THEN '"new"' WHEN rest <> 5 THEN tag END AS tag, CASE WHEN rest = 6 THEN '"new"' WHEN rest <> 5 THEN 'W/' || tag END AS sent, day FROM p),
+  SELECT page_id * 4 + 2 AS record_id, url_key, 1700000000 + 172800 + page_id AS ts, page_id % 13 = 0 AS bare, page_id % 7 AS rest,
+         CASE WHEN page_id % 3 = 0 THEN 1 ELSE 0 END AS version, d[version + 1] AS digest, 'day ' || version || ' ' || (page_id % 28) AS day FROM p),
+s AS (
+  SELECT record_id, url_key, ts, CASE WHEN bare OR rest IN (4, 5) THEN NULL WHEN rest = 6 THEN '"new"' ELSE '"' || left(digest, 16) || '"' END AS tag,
+         CASE WHEN bare OR rest IN (4, 5) THEN NULL WHEN rest = 6 THEN '"new"' ELSE 'W/"' || left(digest, 16) || '"' END AS sent,
+         CASE WHEN bare OR rest = 4 THEN NULL ELSE day END AS day, CASE WHEN rest = 4 AND NOT bare THEN digest END AS digest FROM r),
 j AS (
-  SELECT r.*, f.record_id AS refers_to, f.tag AS their_tag, f.day AS their_day, f.n
-  FROM r ASOF LEFT JOIN f ON r.url_key = f.url_key AND r.at > f.at),
+  SELECT s.*, f.record_id AS refers_to, f.tag AS their_tag, f.day AS their_day, f.digest AS their_digest, f.n
+  FROM s ASOF LEFT JOIN f ON s.url_key = f.url_key AND s.ts > f.ts),
 v AS (
   SELECT *, CASE WHEN refers_to IS NULL THEN 'no-earlier-response'
-                 WHEN tag IS NOT NULL AND their_tag IS NOT NULL THEN CASE WHEN tag = their_tag THEN 'etag' ELSE 'validator-mismatch' END
-                 WHEN day = their_day THEN 'last-modified' ELSE 'validator-mismatch' END AS verdict FROM j)
-SELECT record_id, url_key, refers_to, verdict, CASE WHEN verdict IN ('etag', 'last-modified') THEN 200 END AS status,
-       CASE WHEN verdict IN ('etag', 'last-modified') THEN
+                 WHEN tag IS NOT NULL THEN CASE WHEN tag = their_tag THEN 'etag' ELSE 'validator-mismatch' END
+                 WHEN day IS NOT NULL THEN CASE WHEN day = their_day THEN 'last-modified' ELSE 'validator-mismatch' END
+                 WHEN digest IS NOT NULL THEN CASE WHEN digest = their_digest THEN 'digest' ELSE 'validator-mismatch' END
+                 ELSE 'unchecked' END AS verdict FROM j)
+SELECT record_id, url_key, refers_to, verdict, CASE WHEN verdict NOT IN ('no-earlier-response', 'validator-mismatch') THEN 200 END AS status,
+       CASE WHEN verdict NOT IN ('no-earlier-response', 'validator-mismatch') THEN
          'cache-control=max-age=600;' || CASE WHEN n IS NOT NULL THEN 'content-length=' || n || ';' ELSE '' END || 'content-type=text/html'
-         || CASE WHEN coalesce(sent, their_tag) IS NOT NULL THEN ';etag=' || coalesce(sent, their_tag) ELSE '' END || ';last-modified=' || day END AS headers
+         || ';etag=' || coalesce(sent, their_tag) || ';last-modified=' || coalesce(day, their_day) END AS headers
 FROM v
 """

@@ -14,23 +14,41 @@ from juriscope.llm.stages import read_table, staged
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not call toxic."""
+    """Documents that the classifier does not call toxic.
+
+    Cases: null and empty texts are scored by the bias alone; repeated rows stay or
+    go together; without confirmed toxic texts all stay.  Columns stay as they are,
+    whatever their names.
+    """
     model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).where(F.col("score") < toxicity.CUT).select(*docs.columns)
+    return toxicity.score(docs, model, to="__toxicity").where(F.col("__toxicity") < toxicity.CUT).select(*docs.columns)
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates."""
+    """One document of each class of near duplicates: the one of least id.
+
+    Cases: texts without words and rows without an id are no duplicates; of rows
+    with one id the one that is least as JSON stays.
+    """
     return neardup.one_of_each(docs)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, each secret replaced by a mark."""
+    """All documents, each secret replaced by a mark; n_chars follows.
+
+    Cases: null texts stay null; repeated rows each get their marks; other columns
+    stay as they are, whatever their names.
+    """
     return secrets.redacted(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mixture takes it; a fraction counts as a whole from one half on."""
+    """Each document as often as the mixture takes it; a fraction counts as a whole from one half on.
+
+    Cases: documents without words, null texts among them, take nothing of the mix
+    and stay once; rows without an id or a source are mixed like others; rows with
+    one id and size are taken as often as the one of them that is taken most.
+    """
     taken = staged(mixing.mix(docs).groupBy("doc_id", "size").agg(F.max("taken").alias("taken")), "taken")
     times = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(1).cast("int")
     plan = taken.select(F.col("doc_id").alias("__doc_id"), F.col("size").alias("__size"), times.alias("__times")).where(F.col("__times") > 0)
@@ -40,10 +58,14 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document (little-endian unsigned 32-bit integers), and whether they decode to its text."""
+    """Token ids of each document (little-endian unsigned 32-bit integers), and whether they decode to its text.
+
+    Cases: null texts have no ids and decode to the empty text; columns named
+    n_tokens, ids or round_trip give way to the results; the text goes.
+    """
     path = bpe.public_path("byte_bpe_50k.json")
-    out = bpe.encode_decode(docs.withColumn("text_sha256", F.sha2(F.coalesce("text", F.lit("")), 256)), path)
-    return out.withColumn("round_trip", F.sha2("decoded", 256) == F.col("text_sha256")).drop("decoded", "text_sha256")
+    out = bpe.encode_decode(docs.withColumn("__sha256", F.sha2(F.coalesce("text", F.lit("")), 256)), path, to="__decoded")
+    return out.withColumn("round_trip", F.sha2("__decoded", 256) == F.col("__sha256")).drop("__decoded", "__sha256")
 
 
 STAGES = [("toxicity", toxicity_stage), ("near-dedup", dedup_stage), ("secrets", secrets_stage), ("mixing", mixing_stage), ("bpe", bpe_stage)]

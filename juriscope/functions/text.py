@@ -159,6 +159,36 @@ def source_url(kind: Column, law_number: Column, base: str = "https://sgg.gouv.b
     return F.when(law_number != "", F.concat(F.lit(f"{base}/"), kind, F.lit("-"), number, F.lit("/")))
 
 
+def valid_url(c: Column) -> Column:
+    """Whether a text parses as an address with a known scheme; null does not."""
+    return F.coalesce(F.try_parse_url(c, F.lit("PROTOCOL")).isin("http", "https", "ftp", "file", "jar"), F.lit(False))
+
+
+def with_suffix(name: Column, old: str, new: str) -> Column:
+    """A file name with one suffix, wherever it stands, put for another."""
+    return F.replace(name, F.lit(old), F.lit(new))
+
+
+def split_kept(c: Column, pattern: str) -> Column:
+    """Parts of a text as Java's split gives them: empty ones at the end go, but for a text without a match."""
+    parts = F.split(c, pattern)
+    last = F.array_max(F.transform(parts, lambda x, i: F.when(x != "", i + 1).otherwise(0)))
+    return F.when(~c.rlike(pattern), F.array(c)).otherwise(F.slice(parts, 1, F.coalesce(last, F.lit(0))))
+
+
+def leading_number(c: Column, n: int, rules: Rules = FRENCH_LAW) -> Column:
+    """From the first digit within n characters to the first delimiter after it, else the first blank, else n; of a shorter line the rest; null without a digit.
+
+    The older way to read a number; ``number_at_start`` of the fuzzy functions is the one in use.
+    """
+    at = F.regexp_instr(F.left(c, F.lit(n)), F.lit(r"\d"))
+    rest = F.substr(c, at)
+    ends = F.array_min(F.filter(F.array(*[F.locate(d, rest) for d in rules.delimiters]), lambda x: x > 0))
+    end = F.coalesce(ends, F.when(F.locate(" ", rest) > 0, F.locate(" ", rest)))
+    whole = F.when(F.length(c) <= n, rest).when(end.isNotNull(), F.substr(rest, F.lit(1), end - 1)).otherwise(F.substr(rest, F.lit(1), F.lit(n) - at + 1))
+    return F.when(at > 0, trimmed(whole))
+
+
 def tokens(c: Column) -> Column:
     """Distinct lower-case tokens of two characters or more."""
     return F.array_distinct(F.filter(F.split(F.lower(c), r"""[\s,.:;!"'()-]+"""), lambda x: F.length(x) > 1))

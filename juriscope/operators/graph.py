@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def first_by(df: DataFrame, key: str, *order) -> DataFrame:
-    """One row for each key: the first in order."""
-    return df.withColumn("__rn", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where("__rn = 1").drop("__rn")
+    """One row for each key: the first in order; rows are combined before the shuffle."""
+    columns = [c for c in df.columns if c != key]
+    rows = df.groupBy(key).agg(F.min_by(F.struct(*columns), F.struct(*order)).alias("__row"))
+    return rows.select(*[F.col(key) if c == key else F.col(f"__row.{c}") for c in df.columns])
+
+
+def last_by(df: DataFrame, key: str, *order) -> DataFrame:
+    """One row for each key: the last in order."""
+    columns = [c for c in df.columns if c != key]
+    rows = df.groupBy(key).agg(F.max_by(F.struct(*columns), F.struct(*order)).alias("__row"))
+    return rows.select(*[F.col(key) if c == key else F.col(f"__row.{c}") for c in df.columns])
 
 
 def priority_union(preferred: DataFrame, other: DataFrame, key: str) -> DataFrame:
-    """All preferred rows, and of the others those whose key they lack."""
+    """All preferred rows, and of the others those whose key they lack.  A null key is one's own."""
     return preferred.unionByName(other.join(preferred.select(key).distinct(), key, "left_anti"))
 
 
@@ -25,7 +34,7 @@ def law_nodes(laws: DataFrame) -> DataFrame:
 def article_nodes(articles: DataFrame) -> DataFrame:
     """One node for each (law, index); the last article of an index wins."""
     key = F.concat("law_number", F.lit("_ART_"), "index")
-    one = first_by(articles.withColumn("id", key), "id", F.desc("article_no"))
+    one = last_by(articles.withColumn("id", key), "id", "article_no")
     return one.select("id", F.concat(F.lit("Article "), "index").alias("label"), "law_number", "content", F.to_json(F.struct("law_number", "index")).alias("metadata"))
 
 

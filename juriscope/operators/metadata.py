@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from juriscope.functions.fuzzy import contains_target, fuzzy_match, is_garbage
-from juriscope.functions.text import after_first, contains, french_date, from_first_digit, single_line, starts_with, strip_accents, trimmed
+from juriscope.functions.fuzzy import contains_target, fuzzy_match, is_garbage, let
+from juriscope.functions.text import after_first, contains, french_date, from_first_digit, repair_date, single_line, starts_with, strip_accents, trimmed
 from juriscope.operators.lines import between_first, held, joined
 from juriscope.rules import FRENCH_LAW, Rules
 
@@ -33,18 +33,21 @@ def law_objects(header: DataFrame, rules: Rules = FRENCH_LAW) -> DataFrame:
 
 
 def law_dates(numbers: DataFrame, rules: Rules = FRENCH_LAW) -> DataFrame:
-    """doc_id and the date that follows "DU" in the number; null if it is none."""
-    return numbers.select("doc_id", french_date(after_first(F.col("law_number"), "le|du"), rules).alias("law_date"))
+    """doc_id and the date that follows "DU" in the number, misread parts repaired; null if it is none."""
+    year = F.col("year") if "year" in numbers.columns else F.lit(None).cast("string")
+    return numbers.select("doc_id", french_date(let(after_first(F.col("law_number"), "DU"), lambda c: repair_date(c, year, rules)), rules).alias("law_date"))
 
 
-def signature_lines(footer: DataFrame, city: str = "Cotonou") -> DataFrame:
-    """Lines between the closing formula and the distribution list, with the date of the formula."""
+def signature_lines(footer: DataFrame) -> DataFrame:
+    """Lines between the closing formula, in the city that the document names, and the distribution list."""
     line = trimmed(F.col("line"))
-    on = contains(F.col("line"), "Fait à") & contains_target(F.col("line"), city, 2)
+    elsewhere = F.max(contains(F.col("line"), "PORTO-NOVO")).over(Window.partitionBy("doc_id"))
+    told = footer.withColumn("elsewhere", elsewhere).withColumn("line", line).where(F.col("line") != "")
+    here = F.when(F.col("elsewhere"), contains_target(F.col("line"), "Porto-Novo", 2)).otherwise(contains_target(F.col("line"), "Cotonou", 2))
+    on = contains(F.col("line"), "Fait à") & here
     off = contains(F.col("line"), "AMPLIATIONS") | contains(F.col("line"), "JOURNAL OFFICIEL")
-    told = footer.withColumn("line", line).where(F.col("line") != "").withColumn("on", on)
-    told = told.withColumn("inside", F.coalesce(held(F.when(F.col("on"), True).when(off, False)), F.lit(False))).withColumn("signed", held(F.when(F.col("on"), from_first_digit(F.col("line")))))
-    return told.where(F.col("inside") & ~F.col("on")).drop("on", "inside")
+    told = told.withColumn("on", on).withColumn("inside", F.coalesce(held(F.when(F.col("on"), True).when(off, False)), F.lit(False)))
+    return told.where(F.col("inside") & ~F.col("on")).drop("on", "inside", "elsewhere")
 
 
 def signatories(lines: DataFrame, register: DataFrame, rules: Rules = FRENCH_LAW) -> DataFrame:
@@ -52,7 +55,8 @@ def signatories(lines: DataFrame, register: DataFrame, rules: Rules = FRENCH_LAW
 
     With ``rules.compat`` the first row with three common trigrams wins; without
     it the one with the most.  The register is joined by shared trigram, so a
-    line meets only rows that can match; it may be of any size.
+    line meets only rows that can match; it may be of any size.  A name of one or
+    two letters has no trigram and meets the lines that hold it by its own pieces.
     """
     from juriscope.functions.fuzzy import gram_hits
 
@@ -61,7 +65,10 @@ def signatories(lines: DataFrame, register: DataFrame, rules: Rules = FRENCH_LAW
     left = lines.where(~is_garbage(trimmed(F.col("line"))) & (trimmed(F.col("line")) != "")).select("doc_id", "line_no", plain.alias("text"))
     right = register.select("priority", "name", "role", F.lower(trimmed(strip_accents(F.upper(F.col("name"))))).alias("key"))
     distinct = left.select("text").distinct()
-    met = distinct.withColumn("gram", F.explode(grams(F.col("text")))).join(right.withColumn("gram", F.explode(grams(F.col("key")))), "gram").select("text", "key", "priority", "name", "role").distinct()
+    pieces = lambda c: F.array_distinct(F.concat(*[F.when(F.length(c) >= n, F.transform(F.sequence(F.lit(1), F.length(c) - n + 1), lambda i, n=n: F.substr(c, i, F.lit(n)))).otherwise(F.array().cast("array<string>")) for n in (1, 2)]))
+    short = right.where(F.length("key").between(1, 2))
+    few = distinct.withColumn("gram", F.explode(pieces(F.col("text")))).join(short.withColumn("gram", F.col("key")), "gram").select("text", "key", "priority", "name", "role")
+    met = distinct.withColumn("gram", F.explode(grams(F.col("text")))).join(right.withColumn("gram", F.explode(grams(F.col("key")))), "gram").select("text", "key", "priority", "name", "role").unionByName(few).distinct()
     met = met.where(fuzzy_match(F.col("text"), F.col("key"), F.greatest(F.length("text"), F.length("key")), 3, 3))
     rank = F.struct("priority", "name", "role") if rules.compat else F.struct((-gram_hits(F.col("text"), F.col("key"), 3)).alias("less"), "priority", "name", "role")
     best = met.groupBy("text").agg(F.min(rank).alias("best"))

@@ -17,13 +17,17 @@ def lexicon(lines: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def unknown_words(texts: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id and how many words of four letters or more the lexicon lacks, repeats counted; 0 included.
+    """id and how many words of four letters or more the lexicon lacks, repeats counted; 0 included.  Ids are distinct.
 
-    Words are counted by distinct word before the join, so only the vocabulary of a text is compared.
+    Words are counted as written; each distinct one of the corpus is normalised
+    and looked up once.  A text without words keeps its row by an empty one.
     """
-    words = texts.select(id_col, F.explode(F.split(F.coalesce(F.col(text_col), F.lit("")), WORDS)).alias("w")).select(id_col, letters_only(F.col("w")).alias("word")).where(F.length("word") >= 4)
-    missing = words.groupBy(id_col, "word").count().join(known.select("word"), "word", "left_anti").groupBy(id_col).agg(F.sum("count").alias("n_unknown"))
-    return texts.select(id_col).join(missing, id_col, "left").select(id_col, F.coalesce("n_unknown", F.lit(0)).cast("long").alias("n_unknown"))
+    each = texts.select(id_col, F.explode(F.split(F.coalesce(F.col(text_col), F.lit("")), WORDS)).alias("w"))
+    counted = each.groupBy(id_col, "w").count()
+    words = each.select("w").distinct().select("w", letters_only(F.col("w")).alias("word")).where(F.length("word") >= 4)
+    missing = words.join(known.select("word").distinct(), "word", "left_anti").select("w", F.lit(True).alias("missing"))
+    told = counted.join(missing, "w", "left")
+    return told.groupBy(id_col).agg(F.sum(F.when(F.col("missing"), F.col("count")).otherwise(0)).cast("long").alias("n_unknown"))
 
 
 def structure_errors(laws: DataFrame) -> DataFrame:
@@ -35,6 +39,24 @@ def structure_errors(laws: DataFrame) -> DataFrame:
     return laws.select("doc_id", F.explode(F.array_compact(checks)).alias("error"))
 
 
+def act_errors(laws: DataFrame, known: DataFrame) -> DataFrame:
+    """doc_id, place and error of acts (doc_id, metadata, articles): broken structure first (place 0), then each article's words that the lexicon lacks.
+
+    A blank article, like any with an empty lexicon, has none.
+    """
+    counted = laws.select("doc_id", F.col("metadata.lawNumber").alias("law_number"), F.size("articles").alias("n_articles"))
+    broken = structure_errors(counted).select("doc_id", F.lit(0).alias("place"), "error")
+    each = laws.select("doc_id", F.posexplode("articles").alias("pos", "a")).select(F.struct("doc_id", (F.col("pos") + 1).alias("place")).alias("id"), F.col("a.content").alias("text"))
+    unknown = unknown_words(each, known, "id").where("n_unknown > 0").select("id.doc_id", "id.place", F.format_string("LEXIQUE: %d mots inconnus dans l'article %d", "n_unknown", "id.place").alias("error"))
+    return broken.unionByName(unknown if not known.isEmpty() else unknown.limit(0))
+
+
+def stamped(laws: DataFrame, source: str, by: str) -> DataFrame:
+    """Acts with the file that they come from, who extracted them and when, in their metadata."""
+    m = F.col("metadata")
+    return laws.withColumn("metadata", m.withField("source_pdf", F.col(source)).withField("extracted_by", F.lit(by)).withField("extracted_at", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")))
+
+
 def gate(laws: DataFrame) -> DataFrame:
     """Each act with whether it passes: a number that is not blank and two articles."""
     return laws.withColumn("passes", F.coalesce(F.trim("law_number") != "", F.lit(False)) & (F.coalesce("n_articles", F.lit(0)) >= 2))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from juriscope.functions.fuzzy import let
 from juriscope.functions.text import chunks, is_blank
 
 
@@ -31,17 +32,44 @@ def cosine_top_k(rows: DataFrame, query: DataFrame, k: int, id_col: str = "vec_i
 
 
 def hashed_embedding(text: Column, dims: int = 64) -> Column:
-    """A deterministic stand-in for a model: signed word counts by hash, in unit length."""
+    """A deterministic stand-in for a model: signed word counts by hash, in unit length; zero without words."""
     words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    slots = F.transform(words, lambda w: F.struct(F.pmod(F.xxhash64(w), F.lit(dims)).cast("int").alias("i"), F.when(F.xxhash64(w, F.lit(1)) % 2 == 0, 1.0).otherwise(-1.0).alias("s")))
-    raw = F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda i: F.aggregate(slots, F.lit(0.0), lambda acc, x: acc + F.when(x["i"] == i, x["s"]).otherwise(0.0)))
-    return raw
+    slots = F.transform(words, lambda w: F.struct(F.pmod(F.xxhash64(w), F.lit(dims)).cast("int").alias("i"), F.when(F.pmod(F.xxhash64(w, F.lit(1)), F.lit(2)) == 0, 1.0).otherwise(-1.0).alias("s")))
+    zero = F.array_repeat(F.lit(0.0), dims)
+
+    def add(acc: Column, x: Column) -> Column:
+        return F.transform(acc, lambda y, i: F.when(i == x["i"], y + x["s"]).otherwise(y))
+
+    def unit(raw: Column) -> Column:
+        length = F.sqrt(F.aggregate(raw, F.lit(0.0), lambda s, x: s + x * x))
+        return let(length, lambda n: F.transform(raw, lambda x: F.when(n > 0, x / n).otherwise(x)))
+
+    return let(F.aggregate(slots, zero, add), unit)
+
+
+def embed_texts(rows: DataFrame, embed=hashed_embedding, most: int = 512) -> DataFrame:
+    """key and the mean of the vectors of the text's chunks, of rows (key, content).
+
+    ``embed`` is a Column function, or an adapter: a function from frames of (key,
+    chunk) to frames of (key, vector) that runs a model in ``mapInPandas``.
+    """
+    pieces = rows.select("key", F.explode(F.when(F.length("content") <= most, F.array("content")).otherwise(chunks(F.col("content"), most))).alias("chunk"))
+    if getattr(embed, "adapter", False):
+        kind = rows.schema["key"].dataType.simpleString()
+        return mean_vector(pieces.mapInPandas(embed, f"key {kind}, vector array<double>").withColumnRenamed("vector", "v"), "key", "v")
+    return mean_vector(pieces.select("key", embed(F.col("chunk")).alias("v")), "key", "v")
+
+
+def adapter(f):
+    """Mark a function over frames as an embedding adapter."""
+    f.adapter = True
+    return f
 
 
 def embed_articles(articles: DataFrame, embed=hashed_embedding, most: int = 512) -> DataFrame:
     """doc_id, article_no and the mean of the chunks' vectors; blank articles are left out."""
-    rows = articles.where(~is_blank(F.col("content"))).select("doc_id", "article_no", F.explode(chunks(F.col("content"), most)).alias("chunk")).select(F.struct("doc_id", "article_no").alias("key"), embed(F.col("chunk")).alias("v"))
-    return mean_vector(rows, "key", "v").select("key.*", "vector")
+    rows = articles.where(~is_blank(F.col("content"))).select(F.struct("doc_id", "article_no").alias("key"), "content")
+    return embed_texts(rows, embed, most).select("key.*", "vector")
 
 
 def with_vectors(articles: DataFrame, vectors: DataFrame, on: list[str], order: str) -> tuple[DataFrame, DataFrame]:

@@ -1,31 +1,58 @@
-"""The life of an act: text to lines, sections, articles, metadata, quality, graph."""
+"""The life of an act: text to lines, sections, metadata, articles, signatories, quality."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from juriscope.functions.fuzzy import number_value, standard_number
-from juriscope.functions.text import contains, source_url
-from juriscope.operators.lines import articles, renumbered, repaired, sections, to_lines
-from juriscope.operators.metadata import law_dates, law_numbers, law_objects, signatories, signature_lines
+from juriscope.functions.text import is_blank, source_url, valid_url
+from juriscope.operators import acts, quality
+from juriscope.operators.lines import repaired, section_texts, to_lines
+from juriscope.operators.metadata import signatories
 from juriscope.rules import FRENCH_LAW, Rules
 
+PEOPLE = "array<struct<name:string,role:string>>"
+ARTICLES = "array<struct<index:string,content:string>>"
+
+
+def act_fields(texts: DataFrame, rules: Rules = FRENCH_LAW, header: str = acts.HEADER, footer: str = acts.FOOTER) -> DataFrame:
+    """``texts`` (doc_id, header, body, footer, type, year) with head and foot (cleaned texts), law_number, law_object, law_date and articles.
+
+    Everything is an expression over the document's row.
+    """
+    told = texts.withColumn("head", acts.header_text(acts.cleaned_header(F.col("header"), rules), header))
+    told = told.withColumn("foot", F.when(is_blank(F.col("footer")), "").otherwise(acts.footer_text(acts.cleaned_footer(F.col("footer")), footer)))
+    told = told.withColumn("law_number", acts.law_number(F.col("head"), rules)).withColumn("law_object", acts.law_object(F.col("head"), rules))
+    told = told.withColumn("law_date", acts.law_date(F.col("law_number"), F.col("foot"), F.col("year"), rules))
+    told = told.withColumn("articles", acts.articles_of(F.col("body"), rules))
+    return told.withColumn("articles", F.when(F.contains("head", F.lit("modifiant")), acts.due_only(F.col("articles"))).otherwise(F.col("articles")))
+
+
+def people_of(told: DataFrame, register: DataFrame, rules: Rules = FRENCH_LAW) -> DataFrame:
+    """doc_id and its signatories, distinct, in order of their first line."""
+    lines = told.select("doc_id", F.posexplode(F.split("foot", "\n")).alias("line_no", "line"))
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("line_no", "name", "role"))), lambda x: F.struct(x["name"].alias("name"), x["role"].alias("role")))
+    return signatories(lines, register, rules).groupBy("doc_id").agg(listed.alias("signatories"))
+
 
 def extract_laws(docs: DataFrame, register: DataFrame, rules: Rules = FRENCH_LAW) -> DataFrame:
-    """``docs`` (doc_id, text[, type]) as acts: doc_id, metadata and articles, in the shape of the act JSON."""
-    lines = sections(repaired(to_lines(docs), rules), rules)
-    header, body, footer = (lines.where(F.col("section") == s) for s in ("header", "body", "footer"))
-    numbers = law_numbers(header, rules)
-    people = signatories(signature_lines(footer), register, rules).groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "name", "role"))), lambda x: F.struct(x["name"].alias("name"), x["role"].alias("role"))).alias("signatories"))
-    found = articles(body, rules).withColumn("index", standard_number(F.col("content")))
-    amending = header.groupBy("doc_id").agg(F.max(contains(F.col("line"), "modifiant")).alias("amending"))
-    told = found.join(amending, "doc_id")
-    plain = told.where(~F.col("amending")).select("doc_id", F.col("article_no").alias("place"), "index", "content")
-    due = renumbered(told.where("amending").select("doc_id", "article_no", number_value(F.col("index")).alias("number"), "content")).select("doc_id", F.col("number").alias("place"), F.col("number").cast("string").alias("index"), "content")
-    listed = plain.unionByName(due).groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "index", "content"))), lambda x: F.struct(x["index"].alias("index"), x["content"].alias("content"))).alias("articles"))
-    kind = F.col("type") if "type" in docs.columns else F.lit("loi")
-    out = docs.select("doc_id", kind.alias("type")).join(numbers, "doc_id", "left").join(law_objects(header, rules), "doc_id", "left").join(law_dates(numbers, rules), "doc_id", "left").join(people, "doc_id", "left").join(listed, "doc_id", "left")
+    """``docs`` (doc_id, text[, type, year]) as acts: doc_id, metadata and articles, in the shape of the act JSON.
+
+    ``year`` stands in for one that is misread.  A document without lines has blank
+    metadata and no articles.
+    """
+    texts = section_texts(repaired(to_lines(docs), rules), rules)
+    extra = [F.col(c).cast("string").alias(c) if c in docs.columns else F.lit(d).cast("string").alias(c) for c, d in (("type", "loi"), ("year", None))]
+    told = act_fields(docs.select("doc_id", *extra).join(texts, "doc_id", "left").fillna("", ["header", "body", "footer"]), rules)
+    out = told.join(people_of(told, register, rules), "doc_id", "left")
     blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    metadata = F.struct(blank("law_number").alias("lawNumber"), blank("law_object").alias("lawObject"), blank("law_date").alias("lawDate"), source_url(F.col("type"), F.col("law_number")).alias("source"), F.coalesce("signatories", F.array().cast("array<struct<name:string,role:string>>")).alias("signatories"))
-    return out.select("doc_id", metadata.alias("metadata"), F.coalesce("articles", F.array().cast("array<struct<index:string,content:string>>")).alias("articles"))
+    source = source_url(F.col("type"), F.col("law_number"))
+    metadata = F.struct(blank("law_number").alias("lawNumber"), blank("law_object").alias("lawObject"), blank("law_date").alias("lawDate"), F.when(valid_url(source), source).alias("source"), F.coalesce("signatories", F.array().cast(PEOPLE)).alias("signatories"))
+    articles = F.transform("articles", lambda x: F.struct(x["index"].alias("index"), x["content"].alias("content")))
+    return out.select("doc_id", metadata.alias("metadata"), F.coalesce(articles, F.array().cast(ARTICLES)).alias("articles"))
+
+
+def extract_with_quality(docs: DataFrame, register: DataFrame, known: DataFrame, rules: Rules = FRENCH_LAW) -> tuple[DataFrame, DataFrame]:
+    """All acts, and the quality errors found in them; an error keeps no act back."""
+    laws = extract_laws(docs, register, rules)
+    return laws, quality.act_errors(laws, known)

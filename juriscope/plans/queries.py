@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from juriscope.functions import fuzzy, text
-from juriscope.operators import dictionary, graph, lines, metadata, quality, vectors
+from juriscope.operators import acts, dictionary, graph, lines, metadata, quality, vectors
+from juriscope.plans import extraction
 from juriscope.rules import FRENCH_LAW
 from juriscope.sources import adapters
 from juriscope.streaming.incremental import new_only
@@ -30,9 +31,14 @@ UNION ALL SELECT doc_id, 4, 'LASSEMBLEE NATIONALE A DELIBERE' FROM n
 UNION ALL SELECT doc_id, 5, 'Le President de la Republique promulgue la loi dont la teneur suit' FROM n
 UNION ALL SELECT doc_id, 6, 'TITRE I DISPOSITIONS GENERALES' FROM n
 UNION ALL SELECT a.doc_id, CAST(100 + 2 * k AS INT), concat(CASE a.l_partkey % 4 WHEN 0 THEN 'Article ' WHEN 1 THEN 'Articie ' WHEN 2 THEN 'ARTICLE ' ELSE 'Arficle ' END, CAST(CASE WHEN a.l_partkey % 5 = 0 THEN k + 40 ELSE k END AS VARCHAR(10)), CASE a.l_partkey % 3 WHEN 0 THEN '.- ' WHEN 1 THEN ' : ' ELSE ' ' END, p_name) FROM a JOIN p ON p_partkey = a.l_partkey JOIN n ON n.doc_id = a.doc_id
-UNION ALL SELECT doc_id, 9000, concat('Fait à Cotonou, le ', CAST(d AS VARCHAR(10)), ' ', mo, ' ', CAST(y AS VARCHAR(10))) FROM n
+UNION ALL SELECT doc_id, 9000, concat('Fait à ', CASE WHEN nk % 2 = 0 THEN 'Cotonou' ELSE 'Porto-Novo' END, ', le ', CAST(d AS VARCHAR(10)), ' ', mo, ' ', CAST(y AS VARCHAR(10))) FROM n
 UNION ALL SELECT n.doc_id, 9001, concat(r.n_name, '.-') FROM n JOIN {nation} r ON r.n_nationkey = n.nk
-UNION ALL SELECT doc_id, 9002, 'AMPLIATIONS' FROM n
+UNION ALL SELECT doc_id, 9002, 'Le Garde des Sceaux' FROM n
+UNION ALL SELECT n.doc_id, 9003, r.n_name FROM n JOIN {nation} r ON r.n_nationkey = (n.nk + 7) % 25
+UNION ALL SELECT doc_id, 9004, 'AMPLIATIONS' FROM n
+UNION ALL SELECT doc_id, 9005, 'Erratum : la loi promulgue ce qui suit' FROM n WHERE st = 'O'
+UNION ALL SELECT doc_id, 9006, 'Article 99 : texte repris' FROM n WHERE st = 'O'
+UNION ALL SELECT doc_id, 9007, 'Falt à Cotonou, le 1 mars 2000' FROM n WHERE st = 'O'
 """
 L = LAW_LINES.format(orders="orders", lineitem="lineitem", part="part", nation="nation")
 
@@ -94,7 +100,7 @@ def section_texts(spark, sf):
     return lines.section_texts(law_lines(spark, sf))
 
 
-@query(f"""SELECT doc_id, line_no, coalesce(last_value(CASE WHEN starts_with(line, 'Fait à Cotonou') THEN false WHEN contains(lower(line), 'promulgue') THEN true END IGNORE NULLS) {W}, false) AS in_body FROM ({L})""")
+@query(f"""SELECT doc_id, line_no, coalesce(last_value(CASE WHEN starts_with(line, 'Fait à') OR starts_with(line, 'Falt à') THEN false WHEN contains(lower(line), 'promulgue') THEN true END IGNORE NULLS) {W}, false) AS in_body FROM ({L})""")
 def body_state(spark, sf):
     return lines.body_state(law_lines(spark, sf))
 
@@ -123,9 +129,9 @@ def law_date(spark, sf):
 
 
 @query(f"""SELECT doc_id, field, string_agg(line, ' ' ORDER BY line_no) AS value FROM (SELECT *, last_value(CASE WHEN starts_with(lower(line), 'loi') THEN 'number' WHEN {OBJ} THEN 'object'
- WHEN contains(lower(line), 'assemblee') OR contains(lower(line), 'nationale') THEN 'deliberation' WHEN contains(lower(line), 'promulgue') THEN 'president' END IGNORE NULLS) {W} AS field FROM ({L}) WHERE line_no < 6) WHERE field IS NOT NULL GROUP BY doc_id, field""")
+ WHEN contains(lower(line), 'assemblee') OR contains(lower(line), 'nationale') OR regexp_matches(line, '^NATION_[0-9]+(\\.|$)') THEN 'deliberation' WHEN contains(lower(line), 'promulgue') THEN 'president' END IGNORE NULLS) {W} AS field FROM ({SECTIONS}) WHERE section = 'header') WHERE field IS NOT NULL GROUP BY doc_id, field""")
 def header_fields(spark, sf):
-    return lines.header_fields(law_lines(spark, sf).where("line_no < 6"))
+    return lines.header_fields(lines.sections(law_lines(spark, sf)).where("section = 'header'"))
 
 
 @query(f"SELECT doc_id, line_no FROM ({L}) WHERE regexp_matches(upper(trim(line)), '^(TITRE|CHAPITRE|SECTION|LIVRE|SOUS-SECTION)\\s+[0-9IVXERPM]+')")
@@ -133,22 +139,22 @@ def title_lines(spark, sf):
     return law_lines(spark, sf).where(text.is_title(F.col("line"))).select("doc_id", "line_no")
 
 
-@query(f"SELECT doc_id, line_no, " + " OR ".join(f"levenshtein(substr(line, {i + 1}, 7), 'Article') <= 2 AND length(left(line, 10)) >= {i + 7}" for i in range(4)) + f" AS near FROM ({L}) WHERE line_no BETWEEN 100 AND 8999")
+@query(f"SELECT doc_id, line_no, " + " OR ".join(f"levenshtein(substr(line, {i + 1}, 7), 'Article') <= 2 AND length(left(line, 10)) >= {i + 7}" for i in range(4)) + f" AS near FROM ({L})")
 def levenshtein_window(spark, sf):
-    return law_lines(spark, sf).where("line_no BETWEEN 100 AND 8999").select("doc_id", "line_no", fuzzy.within_distance(F.col("line"), "Article", 10, 2).alias("near"))
+    return law_lines(spark, sf).select("doc_id", "line_no", fuzzy.within_distance(F.col("line"), "Article", 10, 2).alias("near"))
 
 
 _NAME = "lower(trim(strip_accents(upper({}))))"
 _GRAM3 = "len(list_filter(range(1, greatest(length({b}) - 1, 1)), lambda i: length({b}) >= 3 AND contains({a}, substr({b}, i, 3)))) >= 3"
 
 
-@query(f"""WITH s AS (SELECT doc_id, line_no, {_NAME.format("line")} AS t FROM ({L}) WHERE line_no = 9001),
+@query(f"""WITH s AS (SELECT doc_id, line_no, {_NAME.format("line")} AS t FROM (SELECT *, last_value(CASE WHEN starts_with(line, 'Fait à') THEN 1 WHEN line = 'AMPLIATIONS' THEN 0 END IGNORE NULLS) {W} AS inside FROM ({L})) WHERE inside = 1 AND NOT starts_with(line, 'Fait à')),
  r AS (SELECT n_nationkey AS priority, n_name AS name, 'country' AS role, {_NAME.format("n_name")} AS k FROM nation),
  m AS (SELECT doc_id, line_no, arg_min(name, priority) AS name FROM s JOIN r ON contains(t, k) OR {_GRAM3.format(a="t", b="k")} GROUP BY doc_id, line_no)
  SELECT doc_id, name, 'country' AS role, min(line_no) AS line_no FROM m GROUP BY doc_id, name""")
 def signatory_match(spark, sf):
     register = table(spark, sf, "nation").select(F.col("n_nationkey").alias("priority"), F.col("n_name").alias("name"), F.lit("country").alias("role"))
-    return metadata.signatories(metadata.signature_lines(law_lines(spark, sf).where("line_no >= 9000")), register)
+    return metadata.signatories(metadata.signature_lines(law_lines(spark, sf)), register)
 
 
 @query("SELECT doc_id, strip_accents(text) AS plain, regexp_replace(upper(replace(replace(replace(upper(source), 'I', '1'), 'L', '1'), 'O', '0')), '[^0-9]', '', 'g') AS digits, length(text) AS n FROM documents")
@@ -190,10 +196,16 @@ def lexicon_unknown(spark, sf):
 _LAWS = f"SELECT n.doc_id, law_number, coalesce(c, 0) AS n_articles FROM ({NUMBERS}) n LEFT JOIN (SELECT doc_id, count(*) AS c FROM ({ARTICLES}) GROUP BY doc_id) USING (doc_id)"
 
 
+def _acts(spark, sf) -> DataFrame:
+    """doc_id, law_number, law_object, law_date and articles, from one pass over the lines."""
+    texts = lines.section_texts(law_lines(spark, sf))
+    number = texts.withColumn("law_number", acts.law_number(F.col("header")))
+    date = acts.law_date(F.col("law_number"), F.col("footer"), F.lit(None).cast("string"))
+    return number.select("doc_id", "law_number", acts.law_object(F.col("header")).alias("law_object"), date.alias("law_date"), acts.articles_of(F.concat_ws("\n", "body", "footer")).alias("articles"))
+
+
 def _laws(spark, sf):
-    found = law_lines(spark, sf)
-    counts = lines.articles(found).groupBy("doc_id").agg(F.count("*").alias("n"))
-    return metadata.law_numbers(found).join(counts, "doc_id", "left").select("doc_id", "law_number", F.coalesce("n", F.lit(0)).cast("long").alias("n_articles"))
+    return _acts(spark, sf).select("doc_id", "law_number", F.size("articles").cast("long").alias("n_articles"))
 
 
 @query(f"SELECT doc_id, 'Structure: < 2 articles' AS error FROM ({_LAWS}) WHERE n_articles < 2")
@@ -235,7 +247,11 @@ def best_page_text(spark, sf):
     return table(spark, sf, "pages").select("page_id", F.md5(adapters.longest_text("html", "url")).alias("best"), adapters.first_text("url", "html").alias("first"))
 
 
-@query()
+_SENTENCES = r"string_split(regexp_replace(text, '([.!?])[ \t\n\x0B\f\r]+', '\1' || chr(1), 'g'), chr(1))"
+
+
+@query(f"""SELECT doc_id, CAST(generate_subscripts(c, 1) - 1 AS INTEGER) AS chunk_no, unnest(c) AS chunk FROM (SELECT doc_id, CASE WHEN c[-1] = '' THEN c[:-2] ELSE c END AS c FROM
+ (SELECT doc_id, list_reduce(list_prepend([''], list_transform({_SENTENCES}, lambda x: [x])), lambda a, v: CASE WHEN a[-1] = '' THEN list_append(a[:-2], v[1]) WHEN length(a[-1]) + length(v[1]) + 1 <= 512 THEN list_append(a[:-2], a[-1] || ' ' || v[1]) ELSE list_append(a, v[1]) END) AS c FROM documents WHERE text IS NOT NULL))""")
 def chunk_pack(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.posexplode(text.chunks(F.col("text"))).alias("chunk_no", "chunk"))
 
@@ -259,11 +275,10 @@ def article_vector_join(spark, sf):
 
 
 def _graph(spark, sf):
-    found = law_lines(spark, sf)
-    numbers = metadata.law_numbers(found)
-    laws = graph.law_nodes(numbers.join(metadata.law_objects(found), "doc_id").withColumn("law_date", F.lit(None).cast("string")))
-    arts = lines.articles(found).withColumn("index", fuzzy.number_at_start(F.col("content"), 24)).join(numbers, "doc_id")
-    return laws, graph.article_nodes(arts.withColumn("article_no", F.struct("article_no", "doc_id"))), arts
+    found = _acts(spark, sf)
+    arts = found.select("doc_id", "law_number", F.explode("articles").alias("a")).select("doc_id", F.col("a.place").cast("long").alias("article_no"), F.col("a.content").alias("content"), "law_number")
+    arts = arts.withColumn("index", fuzzy.number_at_start(F.col("content"), 24))
+    return graph.law_nodes(found), graph.article_nodes(arts.withColumn("article_no", F.struct("article_no", "doc_id"))), arts
 
 
 _INDEX = "lower(regexp_extract(left(content, 24), '(?i)([0-9]+[a-z0-9-]*|premier|un)(\\s|[.:,-]|$)', 1))"
@@ -276,6 +291,14 @@ def graph_nodes(spark, sf):
     return _graph(spark, sf)[1].select("id", "label", "law_number", "content")
 
 
+_DATES = f"SELECT doc_id, law_number, make_date(CAST(p[4] AS INT), CASE p[3] {_MONTHS} END, CAST(p[2] AS INT)) AS law_date FROM (SELECT doc_id, law_number, string_split(lower(regexp_extract(law_number, 'DU .*', 0)), ' ') AS p FROM ({NUMBERS}))"
+
+
+@query(f"""SELECT law_number AS id, arg_min(law_object, doc_id) AS title, arg_min(law_date, doc_id) AS promulgated, 'En vigueur' AS status FROM ({_DATES}) JOIN (SELECT doc_id, line AS law_object FROM ({L}) WHERE line_no = 3) USING (doc_id) GROUP BY law_number""")
+def graph_laws(spark, sf):
+    return _graph(spark, sf)[0]
+
+
 @query(f"SELECT DISTINCT id AS src, law_number AS dst FROM ({_NODES})")
 def graph_edges(spark, sf):
     laws, nodes, _ = _graph(spark, sf)
@@ -396,3 +419,59 @@ def dictionary_repair(spark, sf):
     known = split("part", "p_name", " ").unionByName(split("benchmark", "text", "[ \n]+")).where(F.trim("word") != "").distinct()
     ranked = known.withColumn("priority", F.lit(0))  # equals go by the word
     return dictionary.repaired_words(split("documents", "text", "[ \n]+"), ranked)
+
+
+# Sections of acts whose fields are known by how they are made: misread dates, two cities, a second title, dates that only the footer has.
+ACT_PARTS = """
+WITH o AS (SELECT o_orderkey AS doc_id, o_orderkey % 4 AS v, o_custkey % 2 AS c, o_custkey % 25 AS nk, year(o_orderdate) AS y, month(o_orderdate) AS m, day(o_orderdate) AS d FROM {orders}),
+n AS (SELECT *, CASE m WHEN 1 THEN 'janvier' WHEN 2 THEN 'février' WHEN 3 THEN 'mars' WHEN 4 THEN 'avril' WHEN 5 THEN 'mai' WHEN 6 THEN 'juin' WHEN 7 THEN 'juillet' WHEN 8 THEN 'août' WHEN 9 THEN 'septembre' WHEN 10 THEN 'octobre' WHEN 11 THEN 'novembre' ELSE 'décembre' END AS mo FROM o),
+t AS (SELECT *, CASE WHEN v < 2 THEN concat(CAST(y AS VARCHAR(10)), ' - ', CAST(doc_id % 100 AS VARCHAR(10)), ' DU ') ELSE concat(CAST(y AS VARCHAR(10)), ' - ', CAST(doc_id % 100 AS VARCHAR(10))) END AS head,
+ CASE WHEN v = 0 THEN concat(CAST(d AS VARCHAR(10)), ' ', upper(mo), ' ', CAST(y AS VARCHAR(10))) WHEN v = 1 THEN concat(CAST(d AS VARCHAR(10)), 'er ', replace(mo, 'i', 'l'), ' ', replace(CAST(y AS VARCHAR(10)), '1', 'I')) ELSE '' END AS read FROM n)
+SELECT t.doc_id, v, c, y, m, d, mo, CAST(y AS VARCHAR(10)) AS year, concat(head, read) AS number, r.n_name AS nation,
+ concat('RPUBLIQUE DU ', CASE WHEN c = 0 THEN 'BENIN' ELSE 'Dahomey' END, chr(10), 'D', chr(10), 'x/y LOI N° ', head, read, chr(10), 'portant , exemple ', CAST(t.doc_id AS VARCHAR(10)), chr(10), 'du pays- ', chr(10), 'bas', chr(10),
+  'L''Assemblée nationale a délibéré et', chr(10), 'adopté', chr(10), 'Le Président promulgue la suite', CASE WHEN v = 1 THEN ' LOI N° 0 portant rien' ELSE '' END) AS header,
+ concat('Falt à tort', chr(10), CASE WHEN c = 0 THEN 'Fait à Cotonou, le ' ELSE 'Fait à PORT0-Novo ou Porto-Novo, le ' END, CASE WHEN v = 3 THEN 'x' ELSE concat(CAST(d AS VARCHAR(10)), ' ', mo, ' ', CAST(y AS VARCHAR(10))) END, chr(10), r.n_name, '.-', chr(10), '  ', chr(10), 'Chef de l''Etat', chr(10), 'AMPLIATIONS : PR 6', chr(10), 'autre') AS footer
+FROM t JOIN {nation} r ON r.n_nationkey = t.nk
+"""
+A = ACT_PARTS.format(orders="orders", nation="nation")
+
+
+def act_parts(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.sql(ACT_PARTS, **{t: table(spark, sf, t) for t in ("orders", "nation")})
+
+
+@query(f"""SELECT doc_id, CASE c WHEN 0 THEN 'Cotonou' ELSE 'Porto-Novo' END AS city, CASE WHEN v < 3 THEN concat(CASE c WHEN 0 THEN '' ELSE '0-Novo ou Porto-Novo, le ' END, d, ' ', mo, ' ', y) WHEN c = 0 THEN '' ELSE '0-Novo ou Porto-Novo, le x' END AS signed,
+ concat(nation, '.-', chr(10), 'Chef de l''Etat') AS signatories FROM ({A})""")
+def footer_fields(spark, sf):
+    return act_parts(spark, sf).select("doc_id", acts.cleaned_footer(F.col("footer")).alias("f")).select("doc_id", "f.city", "f.signed", "f.signatories")
+
+
+@query(f"""SELECT doc_id, CASE c WHEN 0 THEN 'BENIN' ELSE 'DAHOMEY' END AS republic, trim(number) AS number, concat('portantexemple ', doc_id, ' du pays- bas') AS object, 'a délibéré et adopté' AS assembly, 'Le Président' AS president FROM ({A})""")
+def header_clean(spark, sf):
+    return act_parts(spark, sf).select("doc_id", acts.cleaned_header(F.col("header")).alias("h")).select("doc_id", "h.*")
+
+
+@query(f"""SELECT doc_id, trim(number) AS law_number, concat('portantexemple ', doc_id, ' du pays- bas') AS law_object, CASE WHEN v < 2 OR (v = 2 AND c = 0) THEN make_date(y, m, d) END AS law_date FROM ({A})""")
+def act_metadata(spark, sf):
+    told = extraction.act_fields(act_parts(spark, sf).withColumn("body", F.lit("")))
+    return told.select("doc_id", "law_number", "law_object", "law_date")
+
+
+@query("SELECT doc_id, strlen(text) AS size, doc_id || '_vectors.json' AS vectors, list_filter(string_split(lang || '--', '-'), lambda x: x <> '') AS parts FROM documents")
+def file_names(spark, sf):
+    d = table(spark, sf, "documents")
+    return d.select("doc_id", F.octet_length("text").cast("long").alias("size"), text.with_suffix(F.concat(F.col("doc_id").cast("string"), F.lit(".json")), ".json", "_vectors.json").alias("vectors"), text.split_kept(F.concat("lang", F.lit("--")), "-").alias("parts"))
+
+
+@query("SELECT page_id, regexp_matches(url, '^(?i)(https?|ftp|file|jar):') AS valid FROM pages WHERE url IS NOT NULL")
+def url_check(spark, sf):
+    return table(spark, sf, "pages").where("url is not null").select("page_id", text.valid_url(F.col("url")).alias("valid"))
+
+
+@query(f"""SELECT doc_id, place, error FROM (SELECT d.doc_id, 1 AS place, concat('LEXIQUE: ', n_unknown, ' mots inconnus dans l''article 1') AS error FROM ({SQL["lexicon_unknown"]}) d WHERE n_unknown > 0)
+ UNION ALL SELECT doc_id, 0, 'Structure: < 2 articles' FROM documents UNION ALL SELECT doc_id, 0, 'Structure: lawNumber manquant' FROM documents WHERE doc_id % 3 = 0""")
+def qa_errors(spark, sf):
+    d = table(spark, sf, "documents")
+    number = F.when(F.col("doc_id") % 3 != 0, F.col("lang"))
+    laws = d.select("doc_id", F.struct(number.alias("lawNumber")).alias("metadata"), F.array(F.struct(F.lit("1").alias("index"), F.col("text").alias("content"))).alias("articles"))
+    return quality.act_errors(laws, quality.lexicon(table(spark, sf, "benchmark")))

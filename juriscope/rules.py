@@ -37,6 +37,7 @@ CORRECTIONS = (
     ("Articile", "Article"),
     ("Articic", "Article"),
     ("Articl ", "Article"),
+    ("ArtIcle", "Article"),
     ("rticle 167", "Article 167"),
     ("Article 1e ", "Article 1er"),
     ("Article 1e'", "Article 1er"),
@@ -59,7 +60,7 @@ CORRECTIONS = (
     ("'oi", "loi"),
     ("lfa", "Ifa"),
     ("pertant", "portant"),
-    (".)", "î"),
+    (".) î", ""),
     ("îï", ""),
     ("Colonou", "Cotonou"),
     ("celvi", "celui"),
@@ -74,7 +75,7 @@ CORRECTIONS = (
     ("parlequelle", "par lequel le"),
     ("dument", "dûment"),
     ("cP", ""),
-    (" RP", ""),
+    ("' RP", ""),
     ("lÉtat", "l'État"),
     ("l'tat", "l'État"),
     ("saisirla", "saisir la"),

@@ -37,6 +37,11 @@ def read_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return df.withColumn("timestamp", at)
 
 
+def read_vector_table(spark: SparkSession, path: str) -> DataFrame:
+    """Vectors that ``write_vectors`` wrote."""
+    return spark.read.parquet(path).drop("part")
+
+
 def read_words(spark: SparkSession, path: str, sep: str = r"\s+") -> DataFrame:
     """Distinct words of the files that a path or glob names, with their file."""
     return spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.explode(F.split("value", sep)).alias("word")).where(F.trim("word") != "").distinct().orderBy("file", "word")
@@ -70,3 +75,20 @@ def read_template(spark: SparkSession, path: str) -> str:
     """A template without its comment lines."""
     rows = spark.read.text(path, wholetext=True).first()
     return "\n".join(x for x in (rows["value"] if rows else "").split("\n") if not x.strip().startswith("#")).strip()
+
+
+def read_properties(spark: SparkSession, path: str) -> "Properties":
+    """Settings of a ``key=value`` file; # and ! begin comments."""
+    rows = spark.read.text(path).where(F.col("value").rlike(r"^\s*[^#!\s]")).select(F.trim(F.regexp_extract("value", r"^([^=:]*)", 1)).alias("key"), F.trim(F.regexp_extract("value", r"^[^=:]*[=:]?(.*)$", 1)).alias("value"))
+    return Properties({r["key"]: r["value"] for r in rows.collect()})  # a file of settings
+
+
+class Properties(dict):
+    """Settings by key; a key that is missing without a default is an error."""
+
+    def setting(self, key: str, default: str | None = None) -> str:
+        if key in self:
+            return self[key]
+        if default is None:
+            raise KeyError(f"no setting {key!r}")
+        return default

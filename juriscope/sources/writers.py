@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +18,28 @@ def write_laws(laws: DataFrame, path: str, pretty: bool = False) -> None:
         laws.write.mode("overwrite").json(path)
 
 
+def write_law_files(laws: DataFrame, folder: str) -> int:
+    """One indented JSON file an act (file, metadata, articles), named as ``file`` says; how many were written.
+
+    The tasks write the files, each under another name first, so one that is
+    repeated replaces its own.  The folder must be one that all tasks see, by its
+    path; on an object store use ``write_laws``.
+    """
+    rows = laws.select("file", F.to_json(F.struct("metadata", "articles"), {"pretty": "true"}).alias("json"))
+
+    def write(frames):
+        os.makedirs(folder, exist_ok=True)
+        for f in frames:
+            for name, text in zip(f["file"], f["json"], strict=True):
+                part = os.path.join(folder, f".{name}.{uuid.uuid4().hex}")
+                with open(part, "w", encoding="utf-8") as out:
+                    out.write(text)
+                os.replace(part, os.path.join(folder, name))
+            yield pd.DataFrame({"n": [len(f)]})
+
+    return int(rows.mapInPandas(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"])
+
+
 def append_errors(errors: DataFrame, path: str) -> None:
     """Errors with the time at which they were told."""
     errors.withColumn("ts", F.current_timestamp()).write.mode("append").parquet(path)
@@ -24,5 +50,7 @@ def append_cache(rows: DataFrame, path: str) -> None:
     rows.where(F.trim("text") != "").write.mode("append").parquet(path)
 
 
-def write_vectors(vectors: DataFrame, path: str, by: str = "law_number") -> None:
-    vectors.write.mode("overwrite").partitionBy(by).parquet(path)
+def write_vectors(vectors: DataFrame, path: str, by: str = "file", parts: int = 64) -> None:
+    """Vectors in a bounded number of folders by the hash of a key; what was there is replaced."""
+    part = F.pmod(F.xxhash64(by), F.lit(parts)).cast("int")
+    vectors.withColumn("part", part).repartition("part").write.mode("overwrite").partitionBy("part").parquet(path)

@@ -14,6 +14,10 @@ def new_only(inputs: DataFrame, existing: DataFrame, key: str, force: bool = Fal
 
 
 def process_new_files(spark: SparkSession, folder: str, output: str, checkpoint: str, step: Callable[[DataFrame], DataFrame], suffix: str = "txt"):
-    """Every text file once, over any number of runs; the checkpoint remembers which were read."""
+    """Every text file once, over any number of runs; the checkpoint remembers which were read.
+
+    A batch is written to a folder of its own number, so a batch that is tried again replaces what it left.
+    """
     stream = spark.readStream.format("text").option("wholetext", True).option("pathGlobFilter", f"*.{suffix}").load(folder).select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("text"))
-    return stream.writeStream.foreachBatch(lambda df, _: step(df).write.mode("append").parquet(output)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    write = lambda df, batch: step(df).write.mode("overwrite").parquet(f"{output}/batch={batch}")
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -23,7 +23,7 @@ def duck():
 
 def plain(x):
     if hasattr(x, "tolist") or isinstance(x, list):
-        return [round(float(v), 5) for v in x]
+        return [v if isinstance(v, str) else round(float(v), 5) for v in x]
     return str(x)[:10] if hasattr(x, "year") else x
 
 

@@ -52,6 +52,8 @@ POINTS = 8.0
 BROADCAST_IDS = 1_000_000
 #: Rows of one key that a task compares; keys with more are dealt over several.
 HOT = 256
+#: Members of a band's group that a task compares with one another.
+HOT_GROUP = 4096
 
 
 def shingles(buffer: Buffer, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -228,9 +230,12 @@ class Verifier:
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that reach the threshold."""
         have = self.bags(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct())
-        x, y = have.select(F.col("id").alias("a"), F.col("bag").alias("x")), have.select(F.col("id").alias("b"), F.col("bag").alias("y"))
-        met, y = dealt(pairs, y, "b", "a")
-        return staged(met.join(x, "a").join(y, ["b", "deal"]).where(self.near("x", "y")).select("a", "b").distinct(), "links")
+        sides = []
+        for side, bag in (("a", "x"), ("b", "y")):
+            ids = staged(pairs.select(F.col(side).alias("id")).distinct(), "sides")
+            sides.append(by_ids(have, ids, ids.count(), "left_semi").select(F.col("id").alias(side), F.col("bag").alias(bag)))
+        met, y = dealt(pairs, sides[1], "b", "a")
+        return staged(met.join(sides[0], "a").join(y, ["b", "deal"]).where(self.near("x", "y")).select("a", "b").distinct(), "links")
 
     def links_within(self, groups: DataFrame) -> DataFrame:
         """The linked pairs of different label within a group: (key, head, label, bands).
@@ -239,10 +244,21 @@ class Verifier:
         """
         have = self.bags(groups.select(F.col("head").alias("id")).distinct())
         rows = groups.join(have, F.col("head") == F.col("id")).select("key", "head", "label", "bands", "bag")
-        x, y = (df.alias(name) for df, name in zip(dealt(rows, rows, "key", "head"), "xy", strict=True))
+        hot = staged(groups.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > HOT_GROUP).select("key"), "hot-groups")
+        if hot.isEmpty():
+            return staged(self.compared(rows, rows, ["key"]), "links")
+        cold = rows.join(hot, "key", "left_anti")
+        one, every = dealt(rows.join(hot, "key", "left_semi"), rows.join(hot, "key", "left_semi"), "key", "head", HOT_GROUP)
+        return staged(self.compared(cold, cold, ["key"]).unionByName(self.compared(one, every, ["key", "deal"])).distinct(), "links")
+
+    def compared(self, one: DataFrame, other: DataFrame, on: list[str]) -> DataFrame:
+        """Linked pairs (a, b) of different label among rows that agree in ``on``."""
+        x, y = one.alias("x"), other.alias("y")
         once = F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("x.key")
-        met = (F.col("x.key") == F.col("y.key")) & (F.col("x.deal") == F.col("y.deal")) & (F.col("x.head") > F.col("y.head")) & (F.col("x.label") != F.col("y.label")) & once & self.near("x.bag", "y.bag")
-        return staged(x.join(y, met).select(F.col("x.head").alias("a"), F.col("y.head").alias("b")).distinct(), "links")
+        met = (F.col("x.head") > F.col("y.head")) & (F.col("x.label") != F.col("y.label")) & once & self.near("x.bag", "y.bag")
+        for c in on:
+            met = (F.col(f"x.{c}") == F.col(f"y.{c}")) & met
+        return x.join(y, met).select(F.col("x.head").alias("a"), F.col("y.head").alias("b")).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:

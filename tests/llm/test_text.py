@@ -92,6 +92,7 @@ def test_unrelated_long_words_are_not_one_class(spark):
 def test_hot_groups_are_dealt(spark, monkeypatch):
     """A large group of near copies, most of them near the lead, some only near one another; and very long texts."""
     monkeypatch.setattr(neardup, "HOT", 7)
+    monkeypatch.setattr(neardup, "HOT_GROUP", 4)
     rng = random.Random(8)
     base = [f"w{rng.randint(0, 10**6)}" for _ in range(300)]
     far = [f"far{k}" if k % 40 == 0 else w for k, w in enumerate(base)]

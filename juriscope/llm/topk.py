@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .stages import arrow_map, parallelism, read_table
+from .stages import arrow_map, read_table
 
 #: Rows of a block of candidates, on average; queries that are answered at once.
 BLOCK_ROWS, QUERY_ROWS = 65536, 256
@@ -62,11 +62,11 @@ def visited(blocks: DataFrame, queries: DataFrame, n_queries: int, n_blocks: int
     a block's rows)`` makes of them what ``answer(loaded, ids, vectors)`` searches;
     that yields tuples of columns by ``schema``.  A task streams a block and then its
     queries, so it holds one block and one batch.  Where there are fewer blocks
-    than tasks, queries are split and a block is copied for each split, at most
-    as often as there are tasks.
+    than cores, queries are split and a block is copied for each split, so that there
+    are about as many copies in all as cores.
     """
     spark = queries.sparkSession
-    splits = max(1, min(-(-parallelism(spark) // n_blocks), -(-n_queries // QUERY_ROWS)))
+    splits = max(1, min(-(-spark.sparkContext.defaultParallelism // n_blocks), -(-n_queries // QUERY_ROWS)))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     names = [c for c in blocks.columns if c not in ("dim", "block")]
     q = queries.select("dim", every(n_blocks).alias("block"), F.pmod(F.xxhash64("id", F.lit(7)), F.lit(splits)).cast("int").alias("split"), F.lit(1).alias("kind"), F.col("id").alias("q_id"), F.col("vector").alias("q_vector"))

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .hashing import PRIMES, Buffer, U, ragged
+from .hashing import Buffer, U, ragged
 from .merges import Merges, byte_names
 from .stages import arrow_map, read_table
 
@@ -45,6 +45,8 @@ from .stages import arrow_map, read_table
 SLICE = 1 << 20
 #: Bytes that the rolling hash sees; mean, least and most bytes of a chunk.
 WINDOW, MEAN_BITS, LEAST, MOST = 32, 11, 256, 1 << 16
+#: Odd factors of the four words of the window.
+ROLL = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 #: A worker's memory: chunks in each of two generations; segments, and bytes of segments.
 CHUNKS, SEGMENTS, SEGMENT_BYTES = 3072, 400_000, 1 << 24
 #: The table of the chunks that recur most in the corpus: chunks, and bytes of their text, at most.
@@ -128,11 +130,13 @@ def cuts(buffer: Buffer) -> np.ndarray:
     n = len(buffer.data)
     marks = np.zeros(0, np.int64)
     if n > WINDOW:
-        end = np.arange(WINDOW, n)
-        marks = end[buffer.residues(0, end - WINDOW, end) < PRIMES[0] >> MEAN_BITS]
+        eights = np.ndarray(n - 7, "<u8", buffer.raw, strides=(1,))
+        rolling = np.zeros(n - WINDOW, U)
+        for at, factor in zip(range(0, WINDOW, 8), ROLL, strict=True):
+            rolling += eights[at : at + n - WINDOW] * U(factor)
+        marks = np.flatnonzero(rolling >> U(64 - MEAN_BITS) == 0) + WINDOW
         for _ in range(3):  # to the start of the next character
-            inside = (marks < n) & ((buffer.data[np.minimum(marks, n - 1)] & 0xC0) == 0x80)
-            marks = np.unique(marks + inside)
+            marks = marks + ((marks < n) & ((buffer.data[np.minimum(marks, n - 1)] & 0xC0) == 0x80))
     out: list[int] = []
     bounds = np.searchsorted(marks, buffer.starts)
     for i in range(buffer.n):
@@ -292,7 +296,10 @@ class Encoder:
         if not len(safe):
             return np.zeros(0, self.type), np.zeros(buffer.n + 1, np.int64)
         chunk = cuts(buffer)
-        begin = np.union1d(safe, chunk)  # segments of the chunks, each chunk a text of its own
+        mark = np.zeros(len(buffer.data), bool)
+        mark[safe] = True
+        mark[chunk] = True
+        begin = np.flatnonzero(mark)  # segments of the chunks, each chunk a text of its own
         flat, every = self.chunk_ids(buffer, chunk, begin, letter)
         before = np.concatenate([[0], np.cumsum(every)])
         parts, last = [], 0
@@ -345,12 +352,14 @@ class Encoder:
         them or after them are open; a window is a run of open ones and, where
         the text has them, a closed one on either side, whose ids must agree.
         """
-        inner = np.setdiff1d(chunk, buffer.starts)
+        start = np.zeros(len(buffer.data) + 1, bool)
+        start[buffer.starts] = True
+        inner = chunk[~start[chunk]]
         if not len(inner):
             return []
         n = len(safe)
         ends = np.append(safe[1:], len(buffer.data))
-        head = np.isin(safe, buffer.starts)  # first stretch of a text
+        head = start[safe]  # first stretch of a text
         tail = np.append(head[1:], True)
         at = before[np.searchsorted(begin, np.append(safe, len(buffer.data)))]  # ids before each stretch
         of = np.append(np.searchsorted(begin, safe), len(begin))

@@ -25,6 +25,7 @@ collision of hashes costs time and nothing else.
 from __future__ import annotations
 
 import functools
+import gc
 import hashlib
 import json
 from collections import Counter
@@ -38,19 +39,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .hashing import Buffer, U, ragged
-from .merges import Merges, byte_names
-from .stages import arrow_map, read_table
+from .merges import Merges, byte_names, merges_of
+from .stages import arrow_map, kept, read_table, remembering, trimmed
 
-#: Bytes of text that are worked on at once; a longer text stands alone, whole.
-SLICE = 1 << 20
+#: Bytes of text that are worked on at once, and that are encoded at once; a longer text stands alone, whole.
+SLICE, ENCODED = 1 << 19, 1 << 17
 #: Bytes that the rolling hash sees; mean, least and most bytes of a chunk.
 WINDOW, MEAN_BITS, LEAST, MOST = 32, 11, 256, 1 << 16
 #: Odd factors of the four words of the window.
 ROLL = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 #: A worker's memory: chunks in each of two generations; segments, and bytes of segments.
-CHUNKS, SEGMENTS, SEGMENT_BYTES = 3072, 400_000, 1 << 24
+CHUNKS, SEGMENTS, SEGMENT_BYTES = 1024, 300_000, 1 << 23
 #: The table of the chunks that recur most in the corpus: chunks, and bytes of their text, at most.
-SHARED_CHUNKS, SHARED_BYTES = 4096, 1 << 23
+SHARED_CHUNKS, SHARED_BYTES = 1024, 1 << 21
 
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -164,7 +165,7 @@ class Store:
     A segment is found if its bytes agree.  When the store is full it starts anew, so its size is bounded.
     """
 
-    def __init__(self, kind: type, bits: int = 20, limit: int = SEGMENTS, limit_bytes: int = SEGMENT_BYTES):
+    def __init__(self, kind: type, bits: int = 19, limit: int = SEGMENTS, limit_bytes: int = SEGMENT_BYTES):
         self.kind, self.bits, self.limit, self.limit_bytes = kind, bits, limit, limit_bytes
         self.clear()
 
@@ -227,15 +228,15 @@ def same_bytes(one: np.ndarray, at: np.ndarray, size: np.ndarray, other: np.ndar
 class Encoder:
     """One tokenizer file and what this worker remembers of its work."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, merges: Merges | None = None):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = [x.content.encode() for x in self.tokenizer.get_added_tokens_decoder().values()]
-        self.merges = Merges(path)
-        self.type = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
+        self.merges = merges or merges_of(path)
+        self.type = self.merges.kind
         self.store, self.chunks = Store(self.type), Recent(CHUNKS)
         self.shared: dict = {}
         self.reused = self.made = self.grew = 0
@@ -389,10 +390,14 @@ class Encoder:
                     is_open[lo : hi + 1] = True
 
 
-@functools.cache
-def encoder(path: str) -> Encoder:
-    """A worker's encoder of a file; it lives as long as the worker."""
-    return Encoder(path)
+def encoder(path: str, merges: Merges | None = None) -> Encoder:
+    """A worker's encoder of a file; it lives until the worker does other work.  What its making took is given back."""
+    held = kept()
+    if path not in held:
+        held[path] = Encoder(path, merges)
+        gc.collect()
+        trimmed()
+    return held[path]
 
 
 def as_texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -430,7 +435,7 @@ def shared_chunks(docs: DataFrame, path: str, text_col: str = "text", most: int
     first partition that counted it; where a scan is cut differently the second
     time, it is not found and stays out of the table.  Reads ``docs`` twice.
     """
-    texts = docs.select(F.col(text_col).cast("string").alias("text"))
+    texts, merges = docs.select(F.col(text_col).cast("string").alias("text")), merges_of(path)
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bytes]]:
         for batch in batches:
@@ -469,7 +474,7 @@ def shared_chunks(docs: DataFrame, path: str, text_col: str = "text", most: int
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["chunk"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
+        enc = encoder(path, merges)
         for batch in batches:
             raw = batch.column(0).to_pylist()
             buffer = Buffer([x for x in raw if not any(s in x for s in enc.special)])
@@ -483,8 +488,7 @@ def shared_chunks(docs: DataFrame, path: str, text_col: str = "text", most: int
             yield pa.RecordBatch.from_arrays([pa.array([buffer.raw[a:b] for a, b in zip(buffer.starts[:-1], buffer.starts[1:], strict=True)], pa.binary()), binaries(ids, before[per]), binaries(counts.astype(np.int32), per)], names=["chunk", "ids", "counts"])
 
     rows = arrow_map(arrow_map(texts, fetch, "chunk binary"), work, "chunk binary, ids binary, counts binary").collect()  # bounded by ``most_bytes``
-    kind = np.uint16 if encoder(path).type is np.uint16 else np.uint32
-    return {(False, bytes(r["chunk"])): (np.frombuffer(r["ids"], kind), np.frombuffer(r["counts"], np.int32)) for r in rows}
+    return {(False, bytes(r["chunk"])): (np.frombuffer(r["ids"], merges.kind), np.frombuffer(r["counts"], np.int32)) for r in rows}
 
 
 def encode(docs: DataFrame, path: str, text_col: str = "text", keep: list[str] | None = None, shared: dict | None = None) -> DataFrame:
@@ -501,7 +505,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", keep: list[str] |
     """
     keep = others(docs, text_col, keep)
     shared = shared_chunks(docs, path, text_col) if shared is None else shared
-    return arrow_map(docs.select(*keep, F.col(text_col).cast("string").alias("__text")), encoding(path, keep, shared), encoded_schema(docs, keep))
+    return arrow_map(docs.select(*keep, F.col(text_col).cast("string").alias("__text")), remembering(encoding(path, keep, shared)), encoded_schema(docs, keep))
 
 
 def others(docs: DataFrame, text_col: str, keep: list[str] | None, *made: str) -> list[str]:
@@ -515,12 +519,13 @@ def encoded_schema(docs: DataFrame, keep: list[str]) -> T.StructType:
 
 def encoding(path: str, keep: list[str], shared: dict) -> Callable:
     """Batches of (*keep, text) made batches of (*keep, n_tokens, ids)."""
+    merges = merges_of(path)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
+        enc = encoder(path, merges)
         enc.shared = shared
         for batch in batches:
-            for first, last, buffer in slices(batch.column(batch.num_columns - 1)):
+            for first, last, buffer in slices(batch.column(batch.num_columns - 1), ENCODED):
                 ids, bounds = enc.encode(buffer)
                 columns = [batch.column(i).slice(first, last - first) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(np.diff(bounds)), binaries(ids.astype("<u4"), bounds)], names=[*keep, "n_tokens", "ids"])
@@ -558,9 +563,10 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids", to: str = "decod
 
 def decoding(path: str, keep: list[str], where: int, to: str) -> Callable:
     """Batches of ``keep``, ids at ``where``, with the decoded text as one more column."""
+    table = cached_bytes(path)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        data, starts, lengths = cached_bytes(path)
+        data, starts, lengths = table
         for batch in batches:
             column = batch.column(where).cast(pa.large_binary()).fill_null(b"")
             offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
@@ -587,7 +593,7 @@ def encode_decode(docs: DataFrame, path: str, text_col: str = "text", keep: list
     schema = T.StructType([*encoded_schema(docs, keep), T.StructField(to, T.StringType())])
     shared = shared_chunks(docs, path, text_col) if shared is None else shared
     first, then = encoding(path, keep, shared), decoding(path, [*keep, "n_tokens", "ids"], len(keep) + 1, to)
-    return arrow_map(docs.select(*keep, F.col(text_col).cast("string").alias("__text")), lambda batches: then(first(batches)), schema)
+    return arrow_map(docs.select(*keep, F.col(text_col).cast("string").alias("__text")), remembering(lambda batches: then(first(batches))), schema)
 
 
 def texts(data: np.ndarray, bounds: np.ndarray) -> pa.Array:

@@ -7,6 +7,7 @@ tokenizers library has it.
 
 from __future__ import annotations
 
+import functools
 import json
 
 import numpy as np
@@ -14,7 +15,7 @@ import numpy as np
 from .hashing import U, ragged
 
 NO_RANK = np.int32(2**31 - 1)
-SLOTS = 20
+SLOTS = 17
 
 
 def byte_names() -> dict[int, str]:
@@ -25,11 +26,13 @@ def byte_names() -> dict[int, str]:
 
 
 class Merges:
-    """The merge table of a tokenizer file; ``suffix`` marks the last byte of a word."""
+    """The merge table of a tokenizer file, as arrays of a few MB; ``kind`` holds every id."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]
+            file = json.load(f)
+        model = file["model"]
+        self.kind = np.uint16 if max([*model["vocab"].values(), *(x["id"] for x in file["added_tokens"])]) < 1 << 16 else np.uint32
         vocab, suffix = model["vocab"], model.get("end_of_word_suffix") or ""
         names = byte_names()
         self.usable = max(vocab.values()) < 1 << 16 and all(names[b] in vocab and names[b] + suffix in vocab for b in range(256)) and not model.get("ignore_merges")
@@ -100,3 +103,9 @@ class Merges:
         words, ids = np.concatenate([*done_words, np.zeros(0, np.int64)]).astype(np.int64), np.concatenate([*done_symbols, np.zeros(0, np.int32)])
         order = np.argsort(words, kind="stable")
         return ids[order], np.bincount(words, minlength=len(start))
+
+
+@functools.cache
+def merges_of(path: str) -> Merges:
+    """The table of a file, read once; the driver sends it to the workers, which then need not read the file's JSON."""
+    return Merges(path)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 
 #: Rows and bytes of an Arrow batch, at most; a longer row stands alone, whole.
-BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1000, "spark.sql.execution.arrow.maxBytesPerBatch": 16 << 20}
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": 400, "spark.sql.execution.arrow.maxBytesPerBatch": 4 << 20}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -98,6 +98,20 @@ def trimmed() -> None:
         return
 
 
+#: What this worker keeps between tasks of one kind; a task of another kind empties it.
+KEPT: dict = {}
+
+
+def kept() -> dict:
+    return KEPT
+
+
+def remembering(work: Callable) -> Callable:
+    """Mark work that uses what earlier tasks left in KEPT."""
+    work.remembers = True
+    return work
+
+
 def arrow_map(df: DataFrame, work: Callable, schema) -> DataFrame:
     """``df.mapInArrow``, with this package on the workers.
 
@@ -112,7 +126,11 @@ def arrow_map(df: DataFrame, work: Callable, schema) -> DataFrame:
         if set_to > most or set_to <= 0:
             spark.conf.set(key, str(most))
 
+    remembers = getattr(work, "remembers", False)
+
     def lean(batches):
+        if not remembers:
+            kept().clear()
         try:
             yield from work(batches)
         finally:

@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 
 from .bpe import SIGN, SPACE, Encoder, binaries, encoder, letters, public_path, slices
 from .hashing import Buffer
-from .stages import arrow_map, new_path, read_table, staged
+from .merges import merges_of
+from .stages import arrow_map, new_path, read_table, remembering, staged
 
 #: Ids of a block, about; a longer document makes a longer block.
 BLOCK = 1 << 18
@@ -102,8 +103,10 @@ def encode_words(docs: DataFrame, path: str, end: int | None = END) -> DataFrame
     cannot make a special token.
     """
 
+    merges = merges_of(path)
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
+        enc = encoder(path, merges)
         for batch in batches:
             for first, last, buffer in slices(batch.column(1)):
                 flat, bounds = words_of(enc, buffer)
@@ -112,7 +115,7 @@ def encode_words(docs: DataFrame, path: str, end: int | None = END) -> DataFrame
                     bounds = bounds + np.arange(buffer.n + 1)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), binaries(flat, bounds)], names=["doc_id", "ids"])
 
-    return arrow_map(docs.select("doc_id", F.col("text").cast("string").alias("text")), work, "doc_id long, ids binary")
+    return arrow_map(docs.select("doc_id", F.col("text").cast("string").alias("text")), remembering(work), "doc_id long, ids binary")
 
 
 def frequency_ranks(encoded: DataFrame, width: type) -> np.ndarray:
@@ -138,10 +141,11 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end: int | None = END)
 
     Cases: null and empty texts have the end id alone.  Rows with a null doc_id
     come first; rows with one doc_id stand together, in order of their ids.
-    Other columns are not read; an empty table writes no blocks.
+    Texts may be of any length.  Other columns are not read, whatever their names;
+    an empty table writes no blocks.
     """
     spark = docs.sparkSession
-    width = encoder(tokenizer).type
+    width = merges_of(tokenizer).kind
     encoded = staged(encode_words(docs, tokenizer, end), "ids")
     order = frequency_ranks(encoded, width)
     spark.createDataFrame([(i, int(x)) for i, x in enumerate(order)], "rank long, id long").coalesce(1).write.parquet(f"{path}/ranks")

@@ -166,3 +166,14 @@ def test_file_of_odd_rows(spark, tmp_path):
     assert [r["doc_id"] for r in rows] == [None, 1, 2, 3, 3] and [r["n_tokens"] for r in rows] == [2, 1, 1, 3, 3] and [r["start"] for r in rows] == [0, 2, 3, 4, 7]
     tokenfile.write_ids(docs.limit(0), str(tmp_path / "b"), bpe.public_path("word_bpe_49k.json"))
     assert tokenfile.read_ids(spark, str(tmp_path / "b")).collect() == []
+
+
+def test_file_of_long_texts_and_clashing_columns(spark, tmp_path):
+    path = bpe.public_path("word_bpe_49k.json")
+    long = "word " * 200_000 + "end"
+    docs = spark.createDataFrame([(2, long, "x", 1), (1, "a", "y", 2)], "doc_id long, text string, ids string, start int")
+    tokenfile.write_ids(docs, str(tmp_path / "c"), path)
+    got = {r["doc_id"]: (r["start"], np.frombuffer(r["ids"], "<u4").tolist()) for r in tokenfile.read_ids(spark, str(tmp_path / "c")).collect()}
+    plain = Tokenizer.from_file(path)
+    one, two = ([*plain.encode(t, add_special_tokens=False).ids, 1] for t in ("a", long))
+    assert got == {1: (0, one), 2: (len(one), two)}

@@ -98,6 +98,8 @@ def trimmed() -> None:
         return
 
 
+#: Results after which a task gives freed memory back.
+TRIM = 8
 #: What this worker keeps between tasks of one kind; a task of another kind empties it.
 KEPT: dict = {}
 
@@ -132,7 +134,10 @@ def arrow_map(df: DataFrame, work: Callable, schema) -> DataFrame:
         if not remembers:
             kept().clear()
         try:
-            yield from work(batches)
+            for n, batch in enumerate(work(batches), 1):
+                yield batch
+                if not n % TRIM:
+                    trimmed()
         finally:
             trimmed()
 

@@ -28,6 +28,7 @@ import functools
 import gc
 import hashlib
 import json
+import os
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -391,7 +392,11 @@ class Encoder:
 
 
 def encoder(path: str, merges: Merges | None = None) -> Encoder:
-    """A worker's encoder of a file; it lives until the worker does other work.  What its making took is given back."""
+    """A worker's encoder of a file; it lives until the worker does other work.  What its making took is given back.
+
+    A task has one core, so the library starts no threads there, each of which would hold memory of its own.
+    """
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     held = kept()
     if path not in held:
         held[path] = Encoder(path, merges)

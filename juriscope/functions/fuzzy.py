@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from juriscope.functions.text import contains_early, delimiter_pattern, normalize_colons, normalize_delimiters, on_prefix, starts_with, trimmed
+from juriscope.functions.text import contains_early, delimiter_pattern, let, normalize_colons, normalize_delimiters, on_prefix, starts_with, trimmed
 from juriscope.rules import FRENCH_LAW, Rules
 
 
@@ -51,7 +51,7 @@ def is_closing(line: Column, rules: Rules = FRENCH_LAW) -> Column:
 
 def is_garbage(line: Column) -> Column:
     """Footer lines that name no one: the distribution list, long numbers, the closing formula."""
-    return (F.lower(line) == "ampliations") | (line.rlike(r"^\S*\d{5,}\S*$")) | starts_with(line, "fait")
+    return (F.lower(line) == "ampliations") | (line.rlike("[0-9]{5,}") & ~F.contains(line, F.lit(" "))) | starts_with(line, "fait")
 
 
 def looks_like_article(line: Column, rules: Rules = FRENCH_LAW) -> Column:
@@ -85,11 +85,6 @@ def number_value(number: Column) -> Column:
     return F.when(F.contains(number, F.lit("pre")) | F.contains(number, F.lit("er")), 1).otherwise(F.coalesce(number.try_cast("int"), F.lit(999999)))
 
 
-def let(value: Column, f) -> Column:
-    """``f(value)`` with the value computed once, however often f uses it."""
-    return F.get(F.transform(F.array(value), f), F.lit(0))
-
-
 def normalized_article(line: Column, rules: Rules = FRENCH_LAW) -> Column:
     """``Article number : content`` of a line that opens an article; other lines as they are.
 

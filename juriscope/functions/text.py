@@ -57,6 +57,11 @@ def strip_accents(c: Column) -> Column:
     return F.regexp_replace(F.translate(c, *_accents()), r"\p{M}", "")
 
 
+def let(value: Column, f) -> Column:
+    """``f(value)`` with the value computed once, however often f uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def letters_only(c: Column) -> Column:
     """Accent-free lower-case letters a to z; the rest is dropped."""
     return F.regexp_replace(F.lower(strip_accents(c)), "[^a-z]", "")
@@ -113,8 +118,7 @@ def ocr_digits(c: Column) -> Column:
 def nearest(c: Column, words: tuple[str, ...], most: int) -> Column:
     """The first word of least edit distance, if that is at most ``most``; else the text itself."""
     scored = F.array(*[F.struct(F.levenshtein(c, F.lit(w)).alias("d"), F.lit(i).alias("i"), F.lit(w).alias("w")) for i, w in enumerate(words)])
-    best = F.array_min(scored)
-    return F.when(best["d"] <= most, best["w"]).otherwise(c)
+    return let(F.array_min(scored), lambda best: F.when(best["d"] <= most, best["w"]).otherwise(c))
 
 
 def repair_date(c: Column, year: Column, rules: Rules = FRENCH_LAW) -> Column:
@@ -129,12 +133,17 @@ def repair_date(c: Column, year: Column, rules: Rules = FRENCH_LAW) -> Column:
 def french_date(c: Column, rules: Rules = FRENCH_LAW) -> Column:
     """The date written ``d month yyyy``; days beyond the month's end count as its end, others are null."""
     pattern = r"^\s*(\d{1,2}) +(\S+) +(\d{4})\s*$"
-    low = F.lower(c)
-    day, year = F.regexp_extract(low, pattern, 1).try_cast("int"), F.regexp_extract(low, pattern, 3).try_cast("int")
-    month = F.array_position(F.array(*map(F.lit, rules.months)), F.regexp_extract(low, pattern, 2)).cast("int")
-    good = day.between(1, 31) & (month >= 1) & (year >= 1)
-    first = F.make_date(F.when(good, year), F.when(good, month), F.lit(1))
-    return F.when(good, F.date_add(first, F.least(day, F.day(F.last_day(first))) - 1))
+
+    def parts(low: Column) -> Column:
+        month = F.array_position(F.array(*map(F.lit, rules.months)), F.regexp_extract(low, pattern, 2)).cast("int")
+        return F.struct(F.regexp_extract(low, pattern, 1).try_cast("int").alias("day"), month.alias("month"), F.regexp_extract(low, pattern, 3).try_cast("int").alias("year"))
+
+    def made(x: Column) -> Column:
+        good = x["day"].between(1, 31) & (x["month"] >= 1) & (x["year"] >= 1)
+        first = F.make_date(F.when(good, x["year"]), F.when(good, x["month"]), F.lit(1))
+        return F.when(good, F.date_add(first, F.least(x["day"], F.day(F.last_day(first))) - 1))
+
+    return let(let(F.lower(c), parts), made)
 
 
 def corrected(c: Column, rules: Rules = FRENCH_LAW) -> Column:

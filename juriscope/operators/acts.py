@@ -86,24 +86,23 @@ def header_text(fields: Column, template: str = HEADER) -> Column:
 def cleaned_footer(footer: Column) -> Column:
     """Struct of city, signed (the date as read) and signatories (their lines): from the closing formula to the distribution list, as often as they come."""
     footer = F.coalesce(footer, F.lit(""))
-    city = F.when(contains(footer, "PORTO-NOVO"), "Porto-Novo").otherwise("Cotonou")
 
-    def event(line: Column) -> Column:
-        here = F.when(contains(footer, "PORTO-NOVO"), contains_target(line, "Porto-Novo", 2)).otherwise(contains_target(line, "Cotonou", 2))
+    def event(line: Column, elsewhere: Column) -> Column:
+        here = F.when(elsewhere, contains_target(line, "Porto-Novo", 2)).otherwise(contains_target(line, "Cotonou", 2))
         off = contains(line, "AMPLIATIONS") | contains(line, "JOURNAL OFFICIEL")
-        return F.when(contains(line, "Fait à") & here, "s").when(off, "x")
+        return F.when(contains(line, "Fait à"), F.when(here, "s").when(off, "x")).when(off, "x")
 
-    def read(pieces: Column) -> Column:
+    def read(pieces: Column, elsewhere: Column) -> Column:
         signed = F.filter(pieces, lambda x: F.startswith(x, F.lit("s")))
         last = F.try_element_at(signed, F.lit(-1))
         after = F.transform(signed, lambda x: F.regexp_extract(x, r"(?s)^[^\n]*\n(.*)$", 1))
         return F.struct(
-            city.alias("city"),
+            F.when(elsewhere, "Porto-Novo").otherwise("Cotonou").alias("city"),
             F.coalesce(from_first_digit(F.regexp_extract(F.substring(last, 2, 1 << 30), r"^[^\n]*", 0)), F.lit("")).alias("signed"),
             trimmed(F.array_join(F.filter(after, lambda x: x != ""), "\n")).alias("signatories"),
         )
 
-    return let(cut_at(lines_of(footer), event, "\n"), read)
+    return let(contains(footer, "PORTO-NOVO"), lambda x: let(cut_at(lines_of(footer), lambda y: event(y, x), "\n"), lambda y: read(y, x)))
 
 
 def footer_text(fields: Column, template: str = FOOTER) -> Column:
@@ -144,18 +143,19 @@ def articles_of(body: Column, rules: Rules = FRENCH_LAW) -> Column:
 
 
 def due_only(articles: Column) -> Column:
-    """Articles of an amending act: one counts only if it bears the number that is due; others are part of the one before."""
+    """Articles of an amending act: one counts only if it bears the number that is due, and keeps it as written; others are part of the one before."""
     kind = "array<struct<place:int,index:string,content:string>>"
-    empty = F.struct(F.lit(1).alias("due"), F.lit("").alias("now"), F.array().cast(kind).alias("out"))
+    empty = F.struct(F.lit(1).alias("due"), F.lit("").alias("index"), F.lit("").alias("now"), F.array().cast(kind).alias("out"))
 
     def made(acc: Column) -> Column:
-        return F.array_append(acc["out"], F.struct((acc["due"] - 1).alias("place"), (acc["due"] - 1).cast("string").alias("index"), acc["now"].alias("content")))
+        return F.array_append(acc["out"], F.struct((acc["due"] - 1).alias("place"), acc["index"].alias("index"), acc["now"].alias("content")))
 
     def step(acc: Column, x: Column) -> Column:
         is_due = number_value(x["index"]) == acc["due"]
         begun = acc["due"] > 1
         return F.struct(
             F.when(is_due, acc["due"] + 1).otherwise(acc["due"]).alias("due"),
+            F.when(is_due, x["index"]).otherwise(acc["index"]).alias("index"),
             F.when(is_due, x["content"]).when(begun, F.concat(acc["now"], F.lit("\n"), x["content"])).otherwise("").alias("now"),
             F.when(is_due & begun, made(acc)).otherwise(acc["out"]).alias("out"),
         )

@@ -31,11 +31,11 @@ def law_nodes(laws: DataFrame) -> DataFrame:
     return one.select(F.col("law_number").alias("id"), F.col("law_object").alias("title"), F.col("law_date").alias("promulgated"), F.lit("En vigueur").alias("status"))
 
 
-def article_nodes(articles: DataFrame) -> DataFrame:
-    """One node for each (law, index); the last article of an index wins."""
+def article_nodes(articles: DataFrame, *also: str) -> DataFrame:
+    """One node for each (law, index), with what other columns are named; the last article of an index wins."""
     key = F.concat("law_number", F.lit("_ART_"), "index")
     one = last_by(articles.withColumn("id", key), "id", "article_no")
-    return one.select("id", F.concat(F.lit("Article "), "index").alias("label"), "law_number", "content", F.to_json(F.struct("law_number", "index")).alias("metadata"))
+    return one.select("id", F.concat(F.lit("Article "), "index").alias("label"), "law_number", "content", F.to_json(F.struct("law_number", "index")).alias("metadata"), *also)
 
 
 def edges(nodes: DataFrame, laws: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from juriscope.functions.fuzzy import contains_target, is_closing, looks_like_article, normalized_article
 from juriscope.functions.text import contains, corrected, is_blank, is_title, starts_with, trimmed
+from juriscope.operators.acts import due_only
 from juriscope.rules import FRENCH_LAW, Rules
 
 
@@ -88,19 +89,9 @@ def renumbered(articles: DataFrame) -> DataFrame:
 
     ``articles``: doc_id, article_no, number (int), content.
     """
-    listed = articles.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("article_no", "number", "content"))).alias("a"))
-    kind = "array<struct<number:int,content:string>>"
-    empty = F.struct(F.lit(1).alias("due"), F.array().cast(kind).alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        is_due = x["number"] == acc["due"]
-        n = F.size(acc["out"])
-        last = F.try_element_at(acc["out"], F.when(n > 0, n).otherwise(1))
-        longer = F.array_append(F.slice(acc["out"], 1, F.greatest(n - 1, F.lit(0))), F.struct(last["number"].alias("number"), F.concat(last["content"], F.lit("\n"), x["content"]).alias("content")))
-        new = F.array_append(acc["out"], F.struct(x["number"].alias("number"), x["content"].alias("content")))
-        return F.struct(F.when(is_due, acc["due"] + 1).otherwise(acc["due"]).alias("due"), F.when(is_due, new).when(n > 0, longer).otherwise(acc["out"]).alias("out"))
-
-    return listed.select("doc_id", F.explode(F.aggregate("a", empty, step, lambda s: s["out"])).alias("x")).select("doc_id", "x.number", "x.content")
+    one = F.struct(F.col("article_no").cast("int").alias("place"), F.col("number").cast("string").alias("index"), "content")
+    listed = articles.groupBy("doc_id").agg(F.array_sort(F.collect_list(one)).alias("a"))
+    return listed.select("doc_id", F.explode(due_only(F.col("a"))).alias("x")).select("doc_id", F.col("x.place").alias("number"), "x.content")
 
 
 def between_first(lines: DataFrame, start: Column, stop: Column) -> DataFrame:

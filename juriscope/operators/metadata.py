@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from juriscope.functions.fuzzy import contains_target, fuzzy_match, is_garbage, let
+from juriscope.functions.fuzzy import contains_target, fuzzy_match, gram_hits, is_garbage, let
 from juriscope.functions.text import after_first, contains, french_date, from_first_digit, repair_date, single_line, starts_with, strip_accents, trimmed
 from juriscope.operators.lines import between_first, held, joined
 from juriscope.rules import FRENCH_LAW, Rules
@@ -50,26 +50,48 @@ def signature_lines(footer: DataFrame) -> DataFrame:
     return told.where(F.col("inside") & ~F.col("on")).drop("on", "inside", "elsewhere")
 
 
+def grams(c: Column, n: int = 3) -> Column:
+    """The n-grams of a text by place, repeats included; none of a shorter one."""
+    return F.when(F.length(c) >= n, F.transform(F.sequence(F.lit(1), F.length(c) - n + 1), lambda i: F.substr(c, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+
+
+def indexed_grams(texts: DataFrame, keys: DataFrame) -> DataFrame:
+    """key and gram: the trigrams by which texts (text) must be met so that no key (key) with three trigrams in a text is missed.
+
+    Of a key's places, those whose trigram no text has can match nothing.  If three
+    of the others match, at most two of them are the two most frequent ones, so a
+    key is found without these.  A key of under three places is found only as a
+    whole, by its rarest trigram, if texts have all of them.
+    """
+    often = texts.select(F.explode(F.array_distinct(grams(F.col("text")))).alias("gram")).groupBy("gram").agg(F.count("*").alias("often"))
+    places = keys.select("key", F.posexplode(grams(F.col("key"))).alias("place", "gram")).join(often, "gram")
+    by_key = Window.partitionBy("key")
+    ranked = places.withColumn("rank", F.row_number().over(by_key.orderBy("often", "place"))).withColumn("there", F.count("*").over(by_key))
+    enough = (F.col("there") >= 3) | (F.col("there") == F.length("key") - 2)
+    return ranked.where(enough & (F.col("rank") <= F.greatest(F.col("there") - 2, F.lit(1)))).select("key", "gram").distinct()
+
+
+def candidates(texts: DataFrame, keys: DataFrame) -> DataFrame:
+    """Pairs (text, key) of distinct texts and keys that may match: a rare trigram in common, or a key of one or two letters that the text holds."""
+    met = texts.select("text", F.explode(F.array_distinct(grams(F.col("text")))).alias("gram")).join(indexed_grams(texts, keys), "gram")
+    pieces = F.array_distinct(F.concat(grams(F.col("text"), 1), grams(F.col("text"), 2)))
+    short = keys.where(F.length("key").between(1, 2)).select("key", F.col("key").alias("gram"))
+    held = texts.select("text", F.explode(pieces).alias("gram")).join(short, "gram")
+    return met.select("text", "key").unionByName(held.select("text", "key")).distinct()
+
+
 def signatories(lines: DataFrame, register: DataFrame, rules: Rules = FRENCH_LAW) -> DataFrame:
     """Each line's first match in the register (priority, name, role), then each document's distinct ones in order.
 
     With ``rules.compat`` the first row with three common trigrams wins; without
-    it the one with the most.  The register is joined by shared trigram, so a
-    line meets only rows that can match; it may be of any size.  A name of one or
-    two letters has no trigram and meets the lines that hold it by its own pieces.
+    it the one with the most.  Lines and names meet by the names' rarer trigrams,
+    so the register may be of any size.
     """
-    from juriscope.functions.fuzzy import gram_hits
-
     plain = F.lower(trimmed(strip_accents(F.upper(F.col("line")))))
-    grams = lambda c: F.when(F.length(c) >= 3, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - 2), lambda i: F.substr(c, i, F.lit(3))))).otherwise(F.array(c))
     left = lines.where(~is_garbage(trimmed(F.col("line"))) & (trimmed(F.col("line")) != "")).select("doc_id", "line_no", plain.alias("text"))
     right = register.select("priority", "name", "role", F.lower(trimmed(strip_accents(F.upper(F.col("name"))))).alias("key"))
-    distinct = left.select("text").distinct()
-    pieces = lambda c: F.array_distinct(F.concat(*[F.when(F.length(c) >= n, F.transform(F.sequence(F.lit(1), F.length(c) - n + 1), lambda i, n=n: F.substr(c, i, F.lit(n)))).otherwise(F.array().cast("array<string>")) for n in (1, 2)]))
-    short = right.where(F.length("key").between(1, 2))
-    few = distinct.withColumn("gram", F.explode(pieces(F.col("text")))).join(short.withColumn("gram", F.col("key")), "gram").select("text", "key", "priority", "name", "role")
-    met = distinct.withColumn("gram", F.explode(grams(F.col("text")))).join(right.withColumn("gram", F.explode(grams(F.col("key")))), "gram").select("text", "key", "priority", "name", "role").unionByName(few).distinct()
-    met = met.where(fuzzy_match(F.col("text"), F.col("key"), F.greatest(F.length("text"), F.length("key")), 3, 3))
+    met = candidates(left.select("text").distinct(), right.select("key").distinct())
+    met = met.where(fuzzy_match(F.col("text"), F.col("key"), F.greatest(F.length("text"), F.length("key")), 3, 3)).join(right, "key")
     rank = F.struct("priority", "name", "role") if rules.compat else F.struct((-gram_hits(F.col("text"), F.col("key"), 3)).alias("less"), "priority", "name", "role")
     best = met.groupBy("text").agg(F.min(rank).alias("best"))
     named = left.join(best, "text")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from juriscope.functions.fuzzy import let
@@ -51,8 +51,11 @@ def embed_texts(rows: DataFrame, embed=hashed_embedding, most: int = 512) -> Dat
     """key and the mean of the vectors of the text's chunks, of rows (key, content).
 
     ``embed`` is a Column function, or an adapter: a function from frames of (key,
-    chunk) to frames of (key, vector) that runs a model in ``mapInPandas``.
+    chunk) to frames of (key, vector) that runs a model in ``mapInPandas``; or a
+    store of vectors, which has ``vectors_of``.
     """
+    if hasattr(embed, "vectors_of"):
+        return embed.vectors_of(rows, most)
     pieces = rows.select("key", F.explode(F.when(F.length("content") <= most, F.array("content")).otherwise(chunks(F.col("content"), most))).alias("chunk"))
     if getattr(embed, "adapter", False):
         kind = rows.schema["key"].dataType.simpleString()
@@ -74,5 +77,6 @@ def embed_articles(articles: DataFrame, embed=hashed_embedding, most: int = 512)
 
 def with_vectors(articles: DataFrame, vectors: DataFrame, on: list[str], order: str) -> tuple[DataFrame, DataFrame]:
     """Articles with their first vector, and the articles that have none."""
-    first = vectors.withColumn("rn", F.row_number().over(Window.partitionBy(*on).orderBy(order))).where("rn = 1").drop("rn", order)
+    columns = [c for c in vectors.columns if c not in (*on, order)]
+    first = vectors.groupBy(*on).agg(F.min_by(F.struct(*columns), order).alias("__first")).select(*on, "__first.*")
     return articles.join(first, on), articles.join(first, on, "left_anti")

@@ -5,29 +5,51 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from juriscope.functions.fuzzy import let, standard_number
 from juriscope.functions.text import is_blank, source_url, valid_url
-from juriscope.operators import acts, quality
+from juriscope.operators import acts, edits
 from juriscope.operators.lines import repaired, section_texts, to_lines
 from juriscope.operators.metadata import signatories
 from juriscope.rules import FRENCH_LAW, Rules
+from juriscope.sources.adapters import Adapter
 
 PEOPLE = "array<struct<name:string,role:string>>"
 ARTICLES = "array<struct<index:string,content:string>>"
 
 
-def act_fields(texts: DataFrame, rules: Rules = FRENCH_LAW, header: str = acts.HEADER, footer: str = acts.FOOTER) -> DataFrame:
-    """``texts`` (doc_id, header, body, footer, type, year) with head and foot (cleaned texts), law_number, law_object, law_date and articles.
+def act_sections(texts: DataFrame, rules: Rules = FRENCH_LAW, header: str = acts.HEADER, footer: str = acts.FOOTER) -> DataFrame:
+    """``texts`` (doc_id, header, body, footer) with head and foot (cleaned texts) and articles, each an expression over the document's row."""
+    told = texts.withColumn("head", let(acts.cleaned_header(F.col("header"), rules), lambda x: acts.header_text(x, header)))
+    told = told.withColumn("foot", F.when(is_blank(F.col("footer")), "").otherwise(let(acts.cleaned_footer(F.col("footer")), lambda x: acts.footer_text(x, footer))))
+    return told.withColumn("articles", acts.articles_of(F.col("body"), rules))
 
-    Everything is an expression over the document's row.
-    """
-    told = texts.withColumn("head", acts.header_text(acts.cleaned_header(F.col("header"), rules), header))
-    told = told.withColumn("foot", F.when(is_blank(F.col("footer")), "").otherwise(acts.footer_text(acts.cleaned_footer(F.col("footer")), footer)))
+
+def read_fields(told: DataFrame, rules: Rules = FRENCH_LAW) -> DataFrame:
+    """Sections with law_number, law_object, law_date, and the articles that count."""
     told = told.withColumn("law_number", acts.law_number(F.col("head"), rules)).withColumn("law_object", acts.law_object(F.col("head"), rules))
     told = told.withColumn("law_date", acts.law_date(F.col("law_number"), F.col("foot"), F.col("year"), rules))
-    told = told.withColumn("articles", acts.articles_of(F.col("body"), rules))
     return told.withColumn("articles", F.when(F.contains("head", F.lit("modifiant")), acts.due_only(F.col("articles"))).otherwise(F.col("articles")))
 
 
+def grammar_corrected(told: DataFrame, grammar: Adapter, accepted: DataFrame | None = None) -> DataFrame:
+    """Sections with the header and each article as a grammar corrects them; an article's number is read anew."""
+    key = lambda place: F.to_json(F.struct("doc_id", F.lit(0).alias("place") if place is None else F.col(place).alias("place"))).alias("key")
+    head = told.select(key(None), F.col("head").alias("text"))
+    each = told.select("doc_id", F.explode("articles").alias("a")).select(key("a.place"), F.col("a.content").alias("text"))
+    fixed = edits.corrected(head.unionByName(each), grammar, accepted).where("n_edits > 0")
+    fixed = fixed.select(F.from_json("key", f"doc_id {told.schema['doc_id'].dataType.simpleString()}, place int").alias("key"), "text")
+    new = fixed.groupBy("key.doc_id").agg(F.map_from_entries(F.collect_list(F.struct("key.place", "text"))).alias("new"))
+    at = lambda place, old: F.coalesce(F.try_element_at("new", place), old)
+    article = lambda x: let(at(x["place"], x["content"]), lambda c: F.struct(x["place"].alias("place"), standard_number(c).alias("index"), c.alias("content")))
+    return told.join(new, "doc_id", "left").withColumn("head", at(F.lit(0), F.col("head"))).withColumn("articles", F.transform("articles", article)).drop("new")
+
+
+def act_fields(texts: DataFrame, rules: Rules = FRENCH_LAW, header: str = acts.HEADER, footer: str = acts.FOOTER, grammar: Adapter | None = None, accepted: DataFrame | None = None) -> DataFrame:
+    """``texts`` (doc_id, header, body, footer, type, year) with head and foot (cleaned texts), law_number, law_object, law_date and articles."""
+    told = act_sections(texts, rules, header, footer)
+    return read_fields(told if grammar is None else grammar_corrected(told, grammar, accepted), rules)
+
+
 def people_of(told: DataFrame, register: DataFrame, rules: Rules = FRENCH_LAW) -> DataFrame:
     """doc_id and its signatories, distinct, in order of their first line."""
     lines = told.select("doc_id", F.posexplode(F.split("foot", "\n")).alias("line_no", "line"))
@@ -35,24 +57,19 @@ def people_of(told: DataFrame, register: DataFrame, rules: Rules = FRENCH_LAW) -
     return signatories(lines, register, rules).groupBy("doc_id").agg(listed.alias("signatories"))
 
 
-def extract_laws(docs: DataFrame, register: DataFrame, rules: Rules = FRENCH_LAW) -> DataFrame:
+def extract_laws(docs: DataFrame, register: DataFrame, rules: Rules = FRENCH_LAW, header: str = acts.HEADER, footer: str = acts.FOOTER, grammar: Adapter | None = None, accepted: DataFrame | None = None) -> DataFrame:
     """``docs`` (doc_id, text[, type, year]) as acts: doc_id, metadata and articles, in the shape of the act JSON.
 
     ``year`` stands in for one that is misread.  A document without lines has blank
-    metadata and no articles.
+    metadata and no articles.  ``grammar`` corrects the cleaned header and each
+    article, but for the words that ``accepted`` lists.
     """
     texts = section_texts(repaired(to_lines(docs), rules), rules)
     extra = [F.col(c).cast("string").alias(c) if c in docs.columns else F.lit(d).cast("string").alias(c) for c, d in (("type", "loi"), ("year", None))]
-    told = act_fields(docs.select("doc_id", *extra).join(texts, "doc_id", "left").fillna("", ["header", "body", "footer"]), rules)
+    told = act_fields(docs.select("doc_id", *extra).join(texts, "doc_id", "left").fillna("", ["header", "body", "footer"]), rules, header, footer, grammar, accepted)
     out = told.join(people_of(told, register, rules), "doc_id", "left")
     blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     source = source_url(F.col("type"), F.col("law_number"))
     metadata = F.struct(blank("law_number").alias("lawNumber"), blank("law_object").alias("lawObject"), blank("law_date").alias("lawDate"), F.when(valid_url(source), source).alias("source"), F.coalesce("signatories", F.array().cast(PEOPLE)).alias("signatories"))
     articles = F.transform("articles", lambda x: F.struct(x["index"].alias("index"), x["content"].alias("content")))
     return out.select("doc_id", metadata.alias("metadata"), F.coalesce(articles, F.array().cast(ARTICLES)).alias("articles"))
-
-
-def extract_with_quality(docs: DataFrame, register: DataFrame, known: DataFrame, rules: Rules = FRENCH_LAW) -> tuple[DataFrame, DataFrame]:
-    """All acts, and the quality errors found in them; an error keeps no act back."""
-    laws = extract_laws(docs, register, rules)
-    return laws, quality.act_errors(laws, known)

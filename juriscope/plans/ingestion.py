@@ -2,30 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from juriscope.functions.text import french_date, is_blank, with_suffix
 from juriscope.operators import graph, quality, vectors
-from juriscope.sources.adapters import Adapter, answered
+from juriscope.sources import calls
+from juriscope.sources.adapters import Adapter
 from juriscope.sources.readers import LAW_SCHEMA
 
 ANSWER = LAW_SCHEMA.rsplit(", _corrupt", 1)[0]
-#: Tables of the graph, and the key of each.
-TABLES = {"laws": "id", "articles": "id", "edges": "src"}
 
 
-def extract_by_model(inputs: DataFrame, ask: Adapter, cache: str, by: str = "LLM", force: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Acts that a model reads from inputs (file, text): those that pass the strict gate, stamped, and the rejected with a reason.
+def extract_by_model(inputs: DataFrame, ask: Adapter, cache: str, by: str = "LLM", force: bool = False, **limits) -> tuple[DataFrame, DataFrame, calls.Told]:
+    """Acts that a model reads from inputs (file, text): those that pass the strict gate, stamped, and the rejected with a reason; and what the calls did.
 
     Answers are JSON of the act's shape; each input is asked for once and its
-    answer cached.  An answer that is no JSON is rejected; one bad act stops no other.
+    answer cached.  An answer that is no JSON is rejected, like a call that failed;
+    one bad act stops no other.  ``limits``: those of ``calls.ask_all``.
     """
-    told = answered(inputs, ask, cache, force).withColumn("law", F.from_json("answer", f"{ANSWER}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"}))
+    answers, failures, counts = calls.ask_all(inputs, ask, cache, force, **limits)
+    told = answers.withColumn("law", F.from_json("answer", f"{ANSWER}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"}))
     told = told.select("file", "law.metadata", "law.articles", F.col("law.metadata.lawNumber").alias("law_number"), F.coalesce(F.size("law.articles"), F.lit(0)).alias("n_articles"))
     good, bad = quality.accepted_and_rejected(told)
-    return quality.stamped(good, "file", by).select("file", "metadata", "articles"), bad.select("file", "reason")
+    return quality.stamped(good, "file", by).select("file", "metadata", "articles"), bad.select("file", "reason").unionByName(failures.withColumnRenamed("error", "reason")), counts
 
 
 def one_of_each_law(model: DataFrame, script: DataFrame) -> DataFrame:
@@ -60,58 +60,17 @@ def law_vectors(laws: DataFrame, embed=vectors.hashed_embedding, blanks: bool =
     return out.select(with_suffix(F.col("file"), ".json", "_vectors.json").alias("file"), F.current_timestamp().alias("timestamp"), F.coalesce("articles", F.array().cast("array<struct<index:string,vector:array<double>>>")).alias("articles"), "metadata_vectors")
 
 
-def graph_tables(laws: DataFrame, found: DataFrame) -> dict[str, DataFrame]:
-    """laws, articles (with their vector, null if there is none) and edges of acts and their vectors, paired by file name."""
+def graph_tables(laws: DataFrame, found: DataFrame) -> tuple[dict[str, DataFrame], DataFrame]:
+    """laws, articles (with their vector) and edges of acts and their vectors, paired by file name; and the articles left out, as they have no vector (law_number, index, file).
+
+    Of several vectors of an index the first in its file counts; of several
+    articles of an index the last that has a vector.
+    """
     named = laws.withColumn("vectors", with_suffix(F.col("file"), ".json", "_vectors.json"))
     number = F.coalesce("metadata.lawNumber", F.lit(""))
     nodes = graph.law_nodes(named.select(F.col("file").alias("doc_id"), number.alias("law_number"), F.col("metadata.lawObject").alias("law_object"), F.coalesce(F.try_to_date("metadata.lawDate"), french_date(F.col("metadata.lawDate"))).alias("law_date")))
-    each = named.select(number.alias("law_number"), "vectors", F.posexplode("articles").alias("article_no", "a")).select("law_number", "vectors", "article_no", F.col("a.index").alias("index"), F.col("a.content").alias("content")).where(~is_blank(F.col("content")))
-    vector = found.select(F.col("file").alias("vectors"), F.explode("articles").alias("v")).groupBy("vectors", F.col("v.index").alias("index")).agg(F.first("v.vector").alias("embedding"))
-    articles = graph.article_nodes(each)
-    placed = each.select(F.concat("law_number", F.lit("_ART_"), "index").alias("id"), "vectors", "index").distinct().join(vector, ["vectors", "index"])
-    articles = articles.join(placed.groupBy("id").agg(F.max("embedding").alias("embedding")), "id", "left")
-    return {"laws": nodes, "articles": articles, "edges": graph.edges(articles, nodes)}
-
-
-def kept_table(spark: SparkSession, folder: str, name: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(f"{folder}/{name}")
-    except AnalysisException:  # not written yet
-        return None
-
-
-def ingest(spark: SparkSession, tables: dict[str, DataFrame], old: str, new: str) -> dict[str, int]:
-    """The tables of folder ``old``, with those given merged in, written to folder ``new``; how many rows each has.
-
-    A law that is given takes the place of one of its id, and its articles of all
-    that the old one had.  Without tables in ``old`` (a full reload) the given ones are all.
-    The old folder stays as it was, so a failed run leaves it whole.
-    """
-    given, counts = tables["laws"].select(F.col("id").alias("law_number")), {}
-    for name, key in TABLES.items():
-        kept = kept_table(spark, old, name)
-        df = tables[name]
-        if kept is not None:
-            if name == "articles":
-                kept = kept.join(given, "law_number", "left_anti")
-            if name == "edges":
-                kept = kept.join(given, kept["dst"] == given["law_number"], "left_anti")
-            df = graph.upsert(kept, df, key)
-        df.write.mode("overwrite").parquet(f"{new}/{name}")
-        counts[name] = spark.read.parquet(f"{new}/{name}").count()
-    for name in ("laws", "articles"):
-        broken = graph.duplicates(spark.read.parquet(f"{new}/{name}")).limit(1).collect()
-        if broken:
-            raise ValueError(f"{name}: {broken[0]['id']} stands more than once")
-    return counts
-
-
-def cleared(spark: SparkSession, folder: str) -> int:
-    """Empty the tables of a folder; how many nodes went."""
-    n = 0
-    for name in TABLES:
-        df = kept_table(spark, folder, name)
-        if df is not None:
-            n += df.count() if name != "edges" else 0
-            spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(f"{folder}/{name}")
-    return n
+    each = named.select("file", number.alias("law_number"), "vectors", F.posexplode("articles").alias("article_no", "a")).select("file", "law_number", "vectors", "article_no", F.col("a.index").alias("index"), F.col("a.content").alias("content")).where(~is_blank(F.col("content")))
+    listed = found.select(F.col("file").alias("vectors"), F.posexplode("articles").alias("at", "v")).select("vectors", F.col("v.index").alias("index"), F.col("v.vector").alias("embedding"), "at")
+    having, lacking = vectors.with_vectors(each, listed.where(F.size("embedding") > 0), ["vectors", "index"], "at")
+    articles = graph.article_nodes(having.withColumn("article_no", F.struct("article_no", "file")), "embedding")
+    return {"laws": nodes, "articles": articles, "edges": graph.edges(articles, nodes)}, lacking.select("law_number", "index", "file")

@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from juriscope.functions import fuzzy, text
-from juriscope.operators import acts, dictionary, graph, lines, metadata, quality, vectors
-from juriscope.plans import extraction
+from juriscope.operators import acts, dictionary, edits, graph, lines, metadata, quality, scans, vector_index, vectors
+from juriscope.plans import extraction, ingestion
 from juriscope.rules import FRENCH_LAW
-from juriscope.sources import adapters
+from juriscope.sources import adapters, graph_store
+from juriscope.sources.shared import shared_path
 from juriscope.streaming.incremental import new_only
 
 LAW_LINES = """
@@ -267,6 +268,27 @@ def cosine_topk(spark, sf):
     return vectors.cosine_top_k(e, e.where("vec_id = 0"), 10).select("vec_id", F.round("score", 6).alias("score"))
 
 
+PLANES = vector_index.Planes()
+_SIDES = lambda first, n: f"list_transform(range({first}, {first} + {n}), lambda p: list_sum(list_transform(range(1, {PLANES.dims + 1}), lambda i: v[i] * signs[p * {PLANES.dims} + i])))"
+_AT = PLANES.tables * PLANES.bits
+_NEAR = f"""WITH planes AS MATERIALIZED (SELECT list(CASE WHEN substr(md5(concat(p, ':', i)), 1, 1) < '8' THEN 1.0 ELSE -1.0 END ORDER BY p, i) AS signs FROM range({_AT + 64 * PLANES.words}) t(p), range({PLANES.dims}) u(i)),
+ e AS MATERIALIZED (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+ s AS MATERIALIZED (SELECT vec_id, v, {_SIDES(0, _AT)} AS t, list_transform({_SIDES(_AT, 64 * PLANES.words)}, lambda x: x > 0) AS sketch FROM (SELECT min(vec_id) AS vec_id, v FROM e GROUP BY v), planes),
+ b AS (SELECT vec_id, slot, sum(CASE WHEN x > 0 THEN 1 << j ELSE 0 END) AS bucket, list(j ORDER BY abs(x), j)[:2] AS near FROM (SELECT vec_id, slot, j, t[slot * {PLANES.bits} + j + 1] AS x FROM s, range({PLANES.tables}) a(slot), range({PLANES.bits}) c(j)) GROUP BY vec_id, slot),
+ asked AS (SELECT vec_id AS query_id, slot, unnest([bucket, xor(bucket, 1 << near[1]), xor(bucket, 1 << near[2])]) AS bucket FROM b JOIN s USING (vec_id) WHERE v IN (SELECT v FROM e WHERE vec_id % 100 = 0)),
+ met AS (SELECT DISTINCT query_id, vec_id FROM asked JOIN b USING (slot, bucket)),
+ kept AS (SELECT query_id, vec_id, rank() OVER (PARTITION BY query_id ORDER BY len(list_filter(list_zip(o.sketch, q.sketch), lambda z: z[1] <> z[2]))) AS rn, list_cosine_similarity(o.v, q.v) AS score, o.v AS v, q.v AS w FROM met JOIN s o USING (vec_id) JOIN s q ON q.vec_id = query_id)"""
+
+
+@query(f"{_NEAR} SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, round(score, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM (SELECT x.vec_id AS query_id, y.vec_id, score FROM kept JOIN e x ON x.v = w AND x.vec_id % 100 = 0 JOIN e y ON y.v = kept.v WHERE rn <= 160)) WHERE rank <= 10")
+def vector_index_topk(spark, sf):
+    """The ten nearest of every hundredth vector, by the index."""
+    e, path = table(spark, sf, "embeddings"), shared_path(spark, "vector-index")
+    vector_index.extend(spark, path, e, PLANES)
+    asked = e.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    return vector_index.nearest_by_index(spark, path, asked, e, 10, PLANES).withColumn("score", F.round("score", 6))
+
+
 @query("SELECT d.doc_id, e.label, len(e.embedding) AS dims FROM documents d JOIN embeddings e ON d.doc_id = e.vec_id")
 def article_vector_join(spark, sf):
     e = table(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding", "label", F.lit(0).alias("at"))
@@ -324,6 +346,47 @@ def graph_counts(spark, sf):
     return laws.agg(F.count("*").alias("n_laws")).join(F.broadcast(nodes.agg(F.count("*").alias("n_articles"))))
 
 
+def _merged(spark, sf):
+    """A graph of suppliers with an article for each part that they sent, and a merge that gives every third supplier anew."""
+    path = shared_path(spark, "graph")
+    law = F.concat(F.lit("L"), F.col("l_suppkey").cast("string")).alias("law_number")
+    sent = table(spark, sf, "lineitem").select(law, F.col("l_suppkey"), F.col("l_partkey").cast("string").alias("index"), F.col("l_linenumber").alias("article_no"))
+    every = table(spark, sf, "supplier").select(F.concat(F.lit("L"), F.col("s_suppkey").cast("string")).alias("law_number"), F.col("s_suppkey").alias("doc_id"), F.col("s_name").alias("law_object"), F.lit(None).cast("date").alias("law_date"))
+
+    def tables(laws: DataFrame, rows: DataFrame, content: str) -> dict[str, DataFrame]:
+        nodes, arts = graph.law_nodes(laws), graph.article_nodes(rows.withColumn("content", F.lit(content)))
+        return {"laws": nodes, "articles": arts, "edges": graph.edges(arts, nodes)}
+
+    counts = [graph_store.merge(spark, path, tables(every, sent, "old"))]
+    third = every.where("doc_id % 3 = 0").withColumn("law_object", F.lit("new"))
+    counts.append(graph_store.merge(spark, path, tables(third, sent.where("l_suppkey % 3 = 0 AND article_no = 1"), "new")))
+    return path, counts
+
+
+_SENT = "SELECT DISTINCT l_suppkey AS s, l_partkey AS p, {} AS content FROM lineitem"
+_GRAPH = f"(SELECT * FROM ({_SENT.format("'old'")}) WHERE s % 3 <> 0 UNION ALL SELECT * FROM ({_SENT.format("'new'")} WHERE l_linenumber = 1) WHERE s % 3 = 0)"
+
+
+@query(f"SELECT concat('L', s, '_ART_', p) AS id, concat('L', s) AS law_number, content, CASE WHEN s % 3 = 0 THEN 'new' ELSE s_name END AS title FROM {_GRAPH} JOIN supplier ON s = s_suppkey")
+def graph_merge(spark, sf):
+    path, _ = _merged(spark, sf)
+    laws = graph_store.read_graph(spark, path, "laws").select(F.col("id").alias("dst"), "title")
+    found = graph_store.read_graph(spark, path, "edges").join(laws, "dst").withColumnRenamed("src", "id")
+    return graph_store.read_graph(spark, path, "articles").join(found, "id").select("id", "law_number", "content", "title")
+
+
+_N = "(SELECT count(*) FROM ({}) x{})"
+
+
+@query(f"""SELECT 1 AS merge, 'laws' AS name, (SELECT count(*) FROM supplier) AS created, 0 AS replaced UNION ALL SELECT 1, unnest(['articles', 'edges']), {_N.format(_SENT.format("''"), "")}, 0
+ UNION ALL SELECT 2, 'laws', (SELECT count(*) FROM supplier WHERE s_suppkey % 3 = 0), (SELECT count(*) FROM supplier WHERE s_suppkey % 3 = 0)
+ UNION ALL SELECT 2, unnest(['articles', 'edges']), {_N.format(_SENT.format("''") + " WHERE l_linenumber = 1", " WHERE s % 3 = 0")}, {_N.format(_SENT.format("''"), " WHERE s % 3 = 0")}""")
+def graph_merge_counts(spark, sf):
+    _, counts = _merged(spark, sf)
+    rows = [(i, name, c.created[name], c.replaced[name]) for i, c in enumerate(counts, 1) for name in c.created]
+    return spark.createDataFrame(rows, "merge int, name string, created long, replaced long")
+
+
 _TOK = "list_distinct(list_filter(string_split_regex(lower({}), '[\\s,.:;!\"''()-]+'), lambda x: length(x) > 1))"
 
 
@@ -475,3 +538,69 @@ def qa_errors(spark, sf):
     number = F.when(F.col("doc_id") % 3 != 0, F.col("lang"))
     laws = d.select("doc_id", F.struct(number.alias("lawNumber")).alias("metadata"), F.array(F.struct(F.lit("1").alias("index"), F.col("text").alias("content"))).alias("articles"))
     return quality.act_errors(laws, quality.lexicon(table(spark, sf, "benchmark")))
+
+
+@query("""SELECT doc_id, md5(string_agg(CASE WHEN k.word IS NULL AND f THEN w.word || '*' ELSE w.word END, ' ' ORDER BY i)) AS corrected, CAST(count(*) FILTER (WHERE k.word IS NULL AND f) AS INTEGER) AS n_edits FROM
+ (SELECT *, length(word) > 2 AND NOT regexp_matches(word, '^\\p{Lu}') AS f FROM (SELECT doc_id, unnest(p) AS word, generate_subscripts(p, 1) AS i FROM (SELECT doc_id, string_split(text, ' ') AS p FROM documents WHERE text IS NOT NULL))) w
+ LEFT JOIN (SELECT DISTINCT unnest(string_split_regex(text, '[ \n]+')) AS word FROM benchmark) k ON k.word = w.word GROUP BY doc_id""")
+def grammar_edits(spark, sf):
+    """Words that no benchmark text has are marked: a grammar that finds fault with every word, and the benchmark's words as those to accept."""
+
+    def every_word(frames):
+        for f in frames:
+            rows, key, start = [], [], []
+            for k, t in zip(f["key"], f["text"], strict=True):
+                at = 0
+                for w in t.split(" "):
+                    rows.append(w)
+                    key.append(k)
+                    start.append(at)
+                    at += len(w) + 1
+            yield f.__class__({"key": key, "start": start, "stop": [s + len(w) for s, w in zip(start, rows, strict=True)], "suggestions": [[w + "*"] for w in rows]})
+
+    texts = table(spark, sf, "documents").where("text is not null").select(F.col("doc_id").alias("key"), "text")
+    accepted = table(spark, sf, "benchmark").select(F.explode(F.split("text", "[ \n]+")).alias("word"))
+    return edits.corrected(texts, every_word, accepted).select(F.col("key").alias("doc_id"), F.md5("text").alias("corrected"), "n_edits")
+
+
+# Amending acts whose articles come out of turn, numbered in three ways.
+AMENDING = "SELECT o_orderkey AS doc_id, concat('Article ', CASE WHEN o_orderkey % 3 = 0 THEN '1er' WHEN o_orderkey % 3 = 1 THEN 'premier' ELSE '1' END, ' : un', chr(10), 'Article 7 : sept', chr(10), 'Article 2 : deux', chr(10), 'Article 2 bis : encore', chr(10), 'Article 3 : ', o_orderpriority) AS body, o_orderpriority AS p FROM {orders}"
+
+
+@query(f"""WITH a AS ({AMENDING.format(orders="orders")}) SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN '1er' WHEN 1 THEN 'premier' ELSE '1' END AS "index", concat(string_split(body, chr(10))[1], chr(10), 'Article 7 : sept') AS content FROM a
+ UNION ALL SELECT doc_id, '2', concat('Article 2 : deux', chr(10), 'Article 2 bis : encore') FROM a UNION ALL SELECT doc_id, '3', trim('Article 3 : ' || p) FROM a""")
+def amending_index(spark, sf):
+    """Articles of amending acts that are due, with their numbers as written."""
+    found = spark.sql(AMENDING, orders=table(spark, sf, "orders")).select("doc_id", F.explode(acts.due_only(acts.articles_of(F.col("body")))).alias("a"))
+    return found.select("doc_id", "a.index", "a.content")
+
+
+@query("SELECT concat('loi-', l_orderkey, '_ART_', l_linenumber % 3) AS id, CAST(arg_min(l_quantity, (l_linenumber, l_quantity)) AS DOUBLE) AS first FROM lineitem WHERE l_linenumber % 3 < 2 GROUP BY l_orderkey, l_linenumber % 3")
+def vector_first(spark, sf):
+    """Articles of acts with the first of the vectors of their index; those without one are left out."""
+    lines = table(spark, sf, "lineitem").select(F.concat(F.lit("loi-"), F.col("l_orderkey").cast("string")).alias("law"), "l_linenumber", (F.col("l_linenumber") % 3).cast("string").alias("index"), F.col("l_quantity").cast("double").alias("q"))
+    listed = lambda x: F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "q", "index"))), x)
+    grouped = lines.groupBy("law").agg(listed(lambda x: F.struct(x["index"].alias("index"), x["index"].alias("content"))).alias("articles"), listed(lambda x: F.struct(x["index"].alias("index"), F.when(x["index"] != "2", F.array(x["q"])).alias("vector"))).alias("vectors"))
+    null = F.lit(None).cast("string")
+    laws = grouped.select(F.concat("law", F.lit(".json")).alias("file"), F.struct(F.col("law").alias("lawNumber"), null.alias("lawObject"), null.alias("lawDate")).alias("metadata"), "articles")
+    found, _ = ingestion.graph_tables(laws, grouped.select(F.concat("law", F.lit("_vectors.json")).alias("file"), F.col("vectors").alias("articles")))
+    return found["articles"].select("id", F.get("embedding", F.lit(0)).alias("first"))
+
+
+def _cut(name: str, make):
+    """A query that gives the rows of another by scans in two levels, in slices that cut through every act."""
+
+    def run(spark, sf):
+        return make(law_lines(spark, sf))
+
+    run.__name__ = f"{name}_sliced"
+    query(SQL[name])(run)
+
+
+_cut("body_state", lambda x: scans.body_state(x, size=3))
+_cut("article_group", lambda x: scans.articles(x, size=3).select("doc_id", "article_no", "content", fuzzy.standard_number(F.col("content")).alias("index")))
+
+
+@query(SECTIONS)
+def sections_sliced(spark, sf):
+    return scans.sections(law_lines(spark, sf), size=3)

@@ -9,12 +9,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from juriscope.streaming.incremental import new_only
-
 Adapter = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 
 
@@ -28,34 +25,11 @@ def read_pages(files: DataFrame, ocr: Adapter = plain_text) -> DataFrame:
     return files.select("file", "content").mapInPandas(ocr, "file string, page int, text string")
 
 
-def unchanged(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Grammar correction that corrects nothing."""
-    yield from frames
-
-
-def corrected_grammar(rows: DataFrame, grammar: Adapter = unchanged) -> DataFrame:
-    return rows.mapInPandas(grammar, rows.schema)
-
-
-def answered(inputs: DataFrame, ask: Adapter, cache: str, force: bool = False) -> DataFrame:
-    """file and answer of each input (file, text): from the cache, else asked for and added to it.
-
-    ``ask`` turns frames of file and text into frames of file and answer.  The cache
-    is a Parquet folder that all executors share; of several answers to a file the
-    last one written counts.  With ``force`` every input is asked anew.  A blank or
-    null answer is not kept, so a failed call is repeated on the next run.
-    """
-    spark = inputs.sparkSession
-    schema = "file string, answer string, at timestamp"
-    try:
-        spark.read.schema(schema).parquet(cache)
-    except AnalysisException:  # no cache yet
-        spark.createDataFrame([], schema).write.parquet(cache)
-    asked = new_only(inputs.select("file", "text").dropDuplicates(["file"]), spark.read.schema(schema).parquet(cache), "file", force)
-    new = asked.mapInPandas(ask, "file string, answer string").where(F.trim("answer") != "")
-    new.withColumn("at", F.current_timestamp()).write.mode("append").parquet(cache)
-    kept = spark.read.schema(schema).parquet(cache).groupBy("file").agg(F.max_by("answer", F.struct("at", "answer")).alias("answer"))
-    return kept.join(inputs.select("file").distinct(), "file", "left_semi")
+def with_native_text(pages: DataFrame, files: DataFrame, native: Adapter) -> DataFrame:
+    """Pages (file, page, text) with the text that the file itself holds in place of blank ones; only files with a blank page are opened for it."""
+    blank = pages.where(F.coalesce(F.trim("text"), F.lit("")) == "").select("file").distinct()
+    own = read_pages(files.join(blank, "file", "left_semi"), native).withColumnRenamed("text", "native")
+    return pages.join(own, ["file", "page"], "left").select("file", "page", F.coalesce(first_text("text", "native"), F.lit("")).alias("text"))
 
 
 def first_text(*candidates: str):

@@ -27,7 +27,17 @@ def read_texts(spark: SparkSession, folder: str) -> DataFrame:
 
 def read_laws(spark: SparkSession, *folders: str) -> DataFrame:
     """Acts as JSON, one a file; what cannot be read is kept in _corrupt."""
-    return spark.read.schema(LAW_SCHEMA).option("multiLine", True).option("columnNameOfCorruptRecord", "_corrupt").json(list(folders), pathGlobFilter="*.json").withColumn("file", F.col("_metadata.file_name"))
+    whole = spark.read.text(list(folders), wholetext=True, pathGlobFilter="*.json").select(F.col("_metadata.file_name").alias("file"), "value")
+    read = whole.withColumn("law", F.from_json("value", LAW_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt", "mode": "PERMISSIVE"}))
+    empty = F.coalesce(F.trim("value"), F.lit("")) == ""
+    return read.select("law.metadata", "law.articles", F.when(empty, F.coalesce("value", F.lit(""))).otherwise(F.col("law._corrupt")).alias("_corrupt"), "file")
+
+
+def good_and_rejected(laws: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Acts (file, metadata, articles) that ``read_laws`` could read, and the files that hold none, with the reason."""
+    why = F.when(F.col("_corrupt").isNotNull(), "JSON illisible").when(F.col("metadata").isNull() & F.col("articles").isNull(), "ni metadata ni articles")
+    told = laws.withColumn("reason", why)
+    return told.where("reason is null").select("file", "metadata", "articles"), told.where("reason is not null").select("file", "reason")
 
 
 def read_vectors(spark: SparkSession, folder: str) -> DataFrame:
@@ -48,7 +58,8 @@ def read_words(spark: SparkSession, path: str, sep: str = r"\s+") -> DataFrame:
 
 
 def _pairs(spark: SparkSession, path: str, sep: str, kept) -> DataFrame:
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"), F.col("value")).where(kept(F.col("value")))
+    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", r"\r\n|\n|\r")).alias("at", "value"))
+    lines = whole.where(kept(F.col("value")))
     parts = F.split("value", sep, 2)
     return lines.select("file", "at", F.get(parts, F.lit(0)).alias("key"), trimmed(F.get(parts, F.lit(1))).alias("value"))
 

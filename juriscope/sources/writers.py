@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from juriscope.sources.shared import counted
+
 
 def write_laws(laws: DataFrame, path: str, pretty: bool = False) -> None:
     """Acts as JSON, one a line, or indented text records."""
@@ -40,14 +42,9 @@ def write_law_files(laws: DataFrame, folder: str) -> int:
     return int(rows.mapInPandas(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"])
 
 
-def append_errors(errors: DataFrame, path: str) -> None:
-    """Errors with the time at which they were told."""
-    errors.withColumn("ts", F.current_timestamp()).write.mode("append").parquet(path)
-
-
-def append_cache(rows: DataFrame, path: str) -> None:
-    """New results of a costly step; blanks are not kept."""
-    rows.where(F.trim("text") != "").write.mode("append").parquet(path)
+def append_errors(errors: DataFrame, path: str) -> int:
+    """Errors with the time at which they were told; how many there are."""
+    return counted(errors.withColumn("ts", F.current_timestamp()), lambda df: df.write.mode("append").parquet(path))
 
 
 def write_vectors(vectors: DataFrame, path: str, by: str = "file", parts: int = 64) -> None:

@@ -82,4 +82,5 @@ def edited(texts: DataFrame, edits: DataFrame) -> DataFrame:
 
 def corrected(texts: DataFrame, grammar: Adapter, accepted: DataFrame | None = None) -> DataFrame:
     """Texts (key, text) with a grammar's edits made; keys are distinct, and null texts stay null."""
+    texts = texts.repartition("key")  # for the grammar's work, and for the join with its edits
     return edited(texts, taken(suggested(texts.where(F.col("text").isNotNull()), grammar), accepted))

@@ -342,8 +342,10 @@ def graph_replace(spark, sf):
 
 @query(f"SELECT (SELECT count(DISTINCT law_number) FROM ({NUMBERS})) AS n_laws, (SELECT count(*) FROM ({_NODES})) AS n_articles")
 def graph_counts(spark, sf):
-    laws, nodes, _ = _graph(spark, sf)
-    return laws.agg(F.count("*").alias("n_laws")).join(F.broadcast(nodes.agg(F.count("*").alias("n_articles"))))
+    index = lambda a: fuzzy.number_at_start(a["content"], 24)
+    each = _acts(spark, sf).select("law_number", F.explode_outer(F.transform("articles", index)).alias("index"))
+    by_law = each.groupBy("law_number").agg(F.count_distinct("index").alias("n"))
+    return by_law.agg(F.count("*").alias("n_laws"), F.sum("n").cast("long").alias("n_articles"))
 
 
 def _merged(spark, sf):
@@ -500,7 +502,8 @@ A = ACT_PARTS.format(orders="orders", nation="nation")
 
 
 def act_parts(spark: SparkSession, sf: str) -> DataFrame:
-    return spark.sql(ACT_PARTS, **{t: table(spark, sf, t) for t in ("orders", "nation")})
+    # each row is much work, and a small file is one task: rows are dealt first
+    return spark.sql(ACT_PARTS, **{t: table(spark, sf, t) for t in ("orders", "nation")}).repartition("doc_id")
 
 
 @query(f"""SELECT doc_id, CASE c WHEN 0 THEN 'Cotonou' ELSE 'Porto-Novo' END AS city, CASE WHEN v < 3 THEN concat(CASE c WHEN 0 THEN '' ELSE '0-Novo ou Porto-Novo, le ' END, d, ' ', mo, ' ', y) WHEN c = 0 THEN '' ELSE '0-Novo ou Porto-Novo, le x' END AS signed,

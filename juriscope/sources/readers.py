@@ -26,7 +26,7 @@ def read_texts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def read_laws(spark: SparkSession, *folders: str) -> DataFrame:
-    """Acts as JSON, one a file; what cannot be read is kept in _corrupt."""
+    """Acts as JSON, one a file; what cannot be read is kept in _corrupt.  Spark's readers pass over files of no bytes."""
     whole = spark.read.text(list(folders), wholetext=True, pathGlobFilter="*.json").select(F.col("_metadata.file_name").alias("file"), "value")
     read = whole.withColumn("law", F.from_json("value", LAW_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt", "mode": "PERMISSIVE"}))
     empty = F.coalesce(F.trim("value"), F.lit("")) == ""

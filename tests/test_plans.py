@@ -7,7 +7,7 @@ import pytest
 
 from juriscope.plans import queries as law
 from juriscope.plans.extraction import extract_laws
-from juriscope.sources import adapters, readers, writers
+from juriscope.sources import readers, writers
 from juriscope.streaming.incremental import process_new_files
 
 SMALL = "/root/testdata/sf0.001"
@@ -80,18 +80,7 @@ def test_stream_reads_each_file_once(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 1
 
 
-def test_answers_are_asked_for_once(spark, tmp_path):
-    def shout(frames):
-        for f in frames:
-            yield f.assign(answer=[t.upper() for t in f["text"]])[["file", "answer"]]
-
-    def fail(frames):
-        for f in frames:
-            yield f.assign(answer="?")[["file", "answer"]]
-
-    docs = spark.createDataFrame([("a", "x"), ("b", "y"), ("c", " "), ("a", "x")], "file string, text string")
-    cache = str(tmp_path / "cache")
-    ask = lambda how, force=False: {r["file"]: r["answer"] for r in adapters.answered(docs, how, cache, force).collect()}
-    assert ask(shout) == {"a": "X", "b": "Y"}
-    assert ask(fail) == {"a": "X", "b": "Y", "c": "?"}
-    assert ask(fail, True) == {"a": "?", "b": "?", "c": "?"}
+def test_each_fuzzy_match_stands_once(spark):
+    """Two words of the assembly, two cities, and the months of the two dates that an act may have."""
+    plan = law.QUERIES["act_metadata"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("levenshtein") == 2 + 2 + 2 * 12

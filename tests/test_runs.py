@@ -2,6 +2,7 @@
 
 import json
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from juriscope import rules, run
 from juriscope.functions import fuzzy, text
 from juriscope.operators import acts, graph, vectors
 from juriscope.plans import extraction, ingestion
-from juriscope.sources import adapters, readers, writers
+from juriscope.sources import adapters, graph_store, readers, writers
 
 ACT = """RÉPUBLIQUE DU BÉNIN
 LOI N° 2020 - 07 DU {date}
@@ -67,6 +68,9 @@ def test_amending_acts_keep_what_is_due(spark):
     body = "\n".join(f"Article {n} : texte {n}" for n in (7, 1, 5, 2, 2, 4, 3))
     got = spark.createDataFrame([(body,)], "b string").select(acts.due_only(acts.articles_of(F.col("b"))).alias("a")).first()["a"]
     assert [(a["index"], a["content"].count("texte")) for a in got] == [("1", 2), ("2", 3), ("3", 1)]
+    body = "Article premier : un\nArticle 3 : trois\nArticle 2 : deux\nArticle 1er : encore"
+    got = spark.createDataFrame([(body,)], "b string").select(acts.due_only(acts.articles_of(F.col("b"))).alias("a")).first()["a"]
+    assert [tuple(a) for a in got] == [(1, "premier", "Article premier : un\nArticle 3 : trois"), (2, "2", "Article 2 : deux\nArticle 1er : encore")]
 
 
 def test_corrections_by_value(spark):
@@ -85,7 +89,7 @@ def test_older_numbers_and_names(spark):
     assert one(text.valid_url, "https://a.b/c") is True and one(text.valid_url, "nope://x") is False and one(text.valid_url, None) is False
     assert one(lambda c: text.split_kept(c, ","), "a,,b,,") == ["a", "", "b"] and one(lambda c: text.split_kept(c, ","), "") == [""] and one(lambda c: text.split_kept(c, ","), ",") == []
     assert one(lambda c: text.before_first(c, "promulgue"), "Le Président\nPromulgue la loi") == "Le Président" and one(lambda c: text.replace_early(c, F.lit("a"), F.lit("b"), 3), "aaaaa") == "bbbaa"
-    assert one(text.is_numeric, "0123") is True and one(text.is_numeric, "1a") is False and one(fuzzy.is_garbage, "Ampliations") is True and one(fuzzy.is_garbage, "a 12345") is False
+    assert one(text.is_numeric, "0123") is True and one(text.is_numeric, "1a") is False and one(fuzzy.is_garbage, "Ampliations") is True and one(fuzzy.is_garbage, "a 12345") is False and one(fuzzy.is_garbage, "a\t12345") is True and one(fuzzy.is_garbage, "a12345z") is True
 
 
 DELIMITERS = rules.DELIMITERS
@@ -165,8 +169,8 @@ def test_sources(spark, tmp_path):
     usage = spark.createDataFrame([('{"usage": {"prompt_tokens": 3, "total_tokens": 5}}',), ("{}",)], "answer string")
     assert [tuple(r) for r in adapters.token_usage(usage).collect()] == [(3, 0, 5), (0, 0, 0)]
     assert graph.duplicates(spark.createDataFrame([("a",), ("a",), ("b",)], "id string")).collect()[0]["id"] == "a"
-    writers.append_cache(spark.createDataFrame([("f", " "), ("g", "x")], "file string, text string"), str(tmp_path / "cache"))
-    assert spark.read.parquet(str(tmp_path / "cache")).count() == 1
+    writers.write_laws(spark.createDataFrame([("f", "x")], "file string, text string"), str(tmp_path / "laws"), pretty=True)
+    assert spark.read.text(str(tmp_path / "laws"), wholetext=True).count() == 1
 
 
 def test_embeddings(spark):
@@ -190,7 +194,17 @@ def test_runs_from_files_to_graph(spark, tmp_path):
     (tmp_path / "lexicon" / "w.txt").write_text("premier texte article second")
     (tmp_path / "register.csv").write_text("Aicha DUPONT;Ministre\n")
     go = lambda *a, **k: run.main(spark, [a[0], str(tmp_path), *a[1:]], **k)
-    assert go("extract", "--pdf", "loi-2020-07.pdf") == {"laws": 1} and go("extract") == {"laws": 1} and go("extract") == {"laws": 0} and go("extract", "--force") == {"laws": 2}
+    read = tmp_path / "read"
+    read.mkdir()
+
+    def ocr(frames):
+        for f in frames:
+            for name in f["file"]:
+                (read / f"{name}.{time.time_ns()}").touch()
+            yield from adapters.plain_text(iter([f]))
+
+    assert [go("extract", *a, ocr=ocr)["laws"] for a in (["--pdf", "loi-2020-07.pdf"], [], [], ["--force"])] == [1, 1, 0, 2]
+    assert len(list(read.iterdir())) == 2  # a file is read once, forced or not
     law = json.loads((tmp_path / "script" / "loi-2020-07.json").read_text())
     assert law["metadata"]["lawNumber"] == "2020 - 07 DU 24 MARS 2020" and law["metadata"]["signatories"] == [{"name": "Aicha DUPONT", "role": "Ministre"}]
     assert any("mots inconnus dans l'article 1" in r["error"] for r in spark.read.parquet(str(tmp_path / "errors")).collect())
@@ -201,15 +215,26 @@ def test_runs_from_files_to_graph(spark, tmp_path):
             answers = ['{"metadata": {"lawNumber": "2020 - 07 DU 24 MARS 2020", "lawObject": "du modèle"}, "articles": [{"index": "1", "content": "un"}, {"index": "2", "content": "deux"}, {"index": "3", "content": " "}]}' if "2020 - 07" in t else "no json" for t in f["text"]]
             yield f.assign(answer=answers)[["file", "answer"]]
 
-    assert go("model", ask=ask) == {"laws": 1} and not asked
+    told = go("model", ask=ask)
+    assert (told["laws"], told["answered"], told["failed"], told["unasked"]) == (1, 2, 0, 0) and not asked
+    assert go("model", ask=ask)["answered"] == 0
     assert spark.read.parquet(str(tmp_path / "rejected")).first()["reason"] == "lawNumber manquant"
+    (tmp_path / "llm" / "broken.json").write_text('{"metadata": ')
+    (tmp_path / "llm" / "empty.json").write_text(" ")
+    (tmp_path / "script" / "other.json").write_text('{"x": 1}')
     m = json.loads((tmp_path / "llm" / "loi-2020-07.json").read_text())["metadata"]
     assert m["source_pdf"] == "loi-2020-07.pdf" and m["extracted_by"] == "LLM" and m["extracted_at"].endswith("Z")
-    assert go("ingest") == {"laws": 2, "articles": 4, "edges": 4}
-    articles = spark.read.parquet(run.latest(str(tmp_path / "graph")) + "/articles")
+    first = go("ingest")
+    assert {c: first[c] for c in ("laws", "articles", "edges", "rejected", "without_vector", "articles_replaced")} == {"laws": 2, "articles": 4, "edges": 4, "rejected": 3, "without_vector": 0, "articles_replaced": 0}
+    rejected = {(r["file"], r["reason"]) for r in spark.read.parquet(str(tmp_path / "rejected")).collect()}
+    assert {("broken.json", "JSON illisible"), ("empty.json", "JSON illisible"), ("other.json", "ni metadata ni articles")} <= rejected
+    articles = graph_store.read_graph(spark, str(tmp_path / "graph"), "articles")
     assert articles.where("embedding is null").count() == 0 and {r["content"] for r in articles.where("id like '2020%'").collect()} == {"un", "deux"}
-    assert go("ingest") == {"laws": 2, "articles": 4, "edges": 4} and go("reload") == {"laws": 2, "articles": 4, "edges": 4} and go("vectors") == {"vectors": 2}
-    assert ingestion.cleared(spark, run.latest(str(tmp_path / "graph"))) == 6
+    again, reload = go("ingest"), go("reload")
+    assert first["embedded"] > 0 and again["embedded"] == reload["embedded"] == 0  # nothing changed, so no chunk is new
+    assert all((x["laws"], x["laws_replaced"], x["articles"], x["articles_replaced"], x["edges_replaced"]) == (2, 2, 4, 4, 4) for x in (again, reload))
+    assert go("vectors")["vectors"] == 2
+    assert go("clear") == {"nodes": 6} and go("clear") == {"nodes": 0}
     twice = spark.createDataFrame([("a",), ("b",)], "file string").select("file", F.struct(F.lit("1").alias("lawNumber")).alias("metadata"), F.array().alias("articles"))
     with pytest.raises(ValueError):
         ingestion.one_of_each_law(twice, twice.limit(0))

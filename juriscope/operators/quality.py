@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from juriscope.functions.text import letters_only
+from juriscope.sources.shared import shared_path
 
+#: Words that are sent to all tasks, at most.
+MISSING = 500_000
 WORDS = r"[^a-zA-Zàâéèêëîïôûùçœ'-]+"
 
 
@@ -16,17 +19,24 @@ def lexicon(lines: DataFrame, text_col: str = "text") -> DataFrame:
     return lines.select(words).select(letters_only(F.col("w")).alias("word")).where(F.length("word") > 2).distinct()
 
 
-def unknown_words(texts: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def unknown_words(texts: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = MISSING) -> DataFrame:
     """id and how many words of four letters or more the lexicon lacks, repeats counted; 0 included.  Ids are distinct.
 
-    Words are counted as written; each distinct one of the corpus is normalised
-    and looked up once.  A text without words keeps its row by an empty one.
+    Each distinct word of the corpus is normalised and looked up once.  The words
+    that the lexicon lacks are written and counted; up to ``most`` are sent to all
+    tasks, so occurrences are counted where they stand; more of them meet the
+    occurrences by a shuffle.  A text without words keeps its row by an empty one.
     """
+    spark = texts.sparkSession
     each = texts.select(id_col, F.explode(F.split(F.coalesce(F.col(text_col), F.lit("")), WORDS)).alias("w"))
-    counted = each.groupBy(id_col, "w").count()
     words = each.select("w").distinct().select("w", letters_only(F.col("w")).alias("word")).where(F.length("word") >= 4)
-    missing = words.join(known.select("word").distinct(), "word", "left_anti").select("w", F.lit(True).alias("missing"))
-    told = counted.join(missing, "w", "left")
+    path = shared_path(spark, "missing-words")
+    words.join(known.select("word").distinct(), "word", "left_anti").select("w", F.lit(True).alias("missing")).write.parquet(path)
+    missing = spark.read.parquet(path)
+    if missing.count() <= most:
+        told = each.join(F.broadcast(missing), "w", "left").withColumn("count", F.lit(1))
+    else:
+        told = each.groupBy(id_col, "w").count().join(missing, "w", "left")
     return told.groupBy(id_col).agg(F.sum(F.when(F.col("missing"), F.col("count")).otherwise(0)).cast("long").alias("n_unknown"))
 
 

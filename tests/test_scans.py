@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from juriscope.operators import lines, metadata, scans
+from juriscope.operators import lines, metadata, quality, scans
 
 
 def documents(spark):
@@ -76,3 +76,10 @@ def test_frequent_trigrams_bring_no_candidates(spark):
     assert found.where(F.expr("contains(text, key)")).count() == 50
     assert every.count() == 50 * 2000  # "le " is in all
     assert found.count() < 0.1 * 50 * 2000
+
+
+def test_unknown_words_either_way(spark):
+    df = spark.createDataFrame([(1, "alpha beta alpha œuvre l'eau"), (2, ""), (3, None), (4, "Bêta gamma-delta abc")], "doc_id long, text string")
+    known = spark.createDataFrame([("beta",), ("delta",)], "word string")
+    rows = lambda most: sorted(map(tuple, quality.unknown_words(df, known, most=most).collect()))
+    assert rows(100) == rows(0) == [(1, 4), (2, 0), (3, 0), (4, 1)]

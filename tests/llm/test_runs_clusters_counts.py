@@ -223,12 +223,12 @@ def test_spliced_ids_equal_the_librarys(model):
 
 def test_stable_places_are_where_no_piece_goes_across(model):
     pieces = tokencounts.Pieces(public_path("piece_bpe_32k.model"))
-    names = [model.id_to_piece(i) for i in range(model.get_piece_size())]
+    names = [model.id_to_piece(i) for i in range(model.get_piece_size()) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))]
     text = "The licence, 漢字 aXq  1st🎉 end."
     places = set(pieces.stable(text, 0, len(text)).tolist())
     for p in range(1, len(text)):
         pair = text[p - 1 : p + 1].replace(" ", "▁")
-        assert (p in places) == (not any(pair in x for x in names if not model.is_byte(names.index(x))))
+        assert (p in places) == (not any(pair in x for x in names))
 
 
 def test_op13_equals_the_library(spark, model):

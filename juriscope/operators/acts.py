@@ -69,8 +69,23 @@ def cleaned_header(header: Column, rules: Rules = FRENCH_LAW) -> Column:
     return let(cut_at(lines_of(second_title_dropped(header), 2), event, " "), read)
 
 
+# Other names of the slots, as template files write them.
+SLOTS = {
+    "BENIN/DAHOMEY": "republic",
+    "TO_FILL_LAW_NUMBER": "number",
+    "TO_FILL_OBJECT": "object",
+    "TO_FILL_ASSEMBLY": "assembly",
+    "TO_FILL_PRESIDENT": "president",
+    "Cotonou/PORTO-NOVO": "city",
+    "TO_FILL_DATE": "signed",
+    "TO_FILL_SIGNATORIES": "signatories",
+}
+
+
 def filled(template: str, **slots: Column) -> Column:
-    """A template with each ``[slot]`` replaced."""
+    """A template with each ``[slot]`` replaced, by either of its names."""
+    for other, name in SLOTS.items():
+        template = template.replace(f"[{other}]", f"[{name}]")
     return reduce(lambda c, x: F.replace(c, F.lit(f"[{x[0]}]"), x[1]), slots.items(), F.lit(template))
 
 

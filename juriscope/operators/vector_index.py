@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from juriscope.operators.vectors import cosine
-from juriscope.sources.shared import table_or_none
+from juriscope.sources.shared import shared_path, table_or_none
 
 #: Parts into which a group of rows is dealt before its first rows are taken.
 DEALT = 32
@@ -107,7 +107,7 @@ def extend(spark: SparkSession, path: str, rows: DataFrame, planes: Planes, vect
     known = table_or_none(spark, f"{path}/vectors")
     new = found if known is None else found.join(known.select("digest"), "digest", "left_anti")
     # written apart, so that the postings and the vectors are of the same rows whatever is read anew
-    batch = f"{path}/batches/{hashlib.md5(str(pd.Timestamp.now().value).encode()).hexdigest()}"
+    batch = shared_path(spark, "new-vectors")
     new.write.parquet(batch)
     new = spark.read.parquet(batch)
     each = signed(new, "digest", planes).select("digest", "sketch", F.posexplode("buckets").alias("slot", "b"))

@@ -92,11 +92,14 @@ def ask_all(inputs: DataFrame, ask: Adapter, cache: str, force: bool = False, re
     asked = spark.read.parquet(path)
     n, told = asked.count(), Told()
     waves = -(-n // wave)
+    if waves > 1:  # a wave reads its own inputs alone
+        asked.withColumn("wave", F.pmod(F.xxhash64("file"), F.lit(waves))).repartition("wave").write.partitionBy("wave").parquet(f"{path}.waves")
+        asked = spark.read.schema("file string, text string, wave bigint").parquet(f"{path}.waves")
     failures = spark.createDataFrame([], FAILED)
     for i in range(waves):
-        part = asked.where(F.pmod(F.xxhash64("file"), F.lit(waves)) == i) if waves > 1 else asked
+        part = asked.where(F.col("wave") == i) if waves > 1 else asked
         done = shared_path(spark, "answers")
-        part.mapInPandas(guarded(ask, retries, batch, pause), "file string, answer string, error string").withColumn("at", F.current_timestamp()).write.parquet(done)
+        part.select("file", "text").mapInPandas(guarded(ask, retries, batch, pause), "file string, answer string, error string").withColumn("at", F.current_timestamp()).write.parquet(done)
         rows = spark.read.parquet(done)
         told.answered += counted(rows.where("error is null").select("file", "answer", "at"), lambda df: df.write.mode("append").parquet(cache))
         bad = rows.where("error is not null").select("file", "error", "at")

@@ -64,6 +64,13 @@ def test_shapes_of_cleaned_sections(spark):
     assert row["f"].asDict() == {"city": "Cotonou", "signed": "3 mai 1999", "signatories": "Ministre\nM ue 45M/7\n123456\nSophie Maxime QU"}
 
 
+def test_templates_by_either_name(spark):
+    df = spark.createDataFrame([("h",)], "x string")
+    fields = F.struct(*[F.lit(v).alias(n) for n, v in (("republic", "BENIN"), ("number", "1"), ("object", "o"), ("assembly", "a"), ("president", "p"))])
+    got = df.select(acts.header_text(fields, "[BENIN/DAHOMEY]|[TO_FILL_LAW_NUMBER]|[object]|[TO_FILL_ASSEMBLY]|[TO_FILL_PRESIDENT]|[TO_FILL_OBJECT]").alias("t")).first()["t"]
+    assert got == "BENIN|1|o|a|p|o"
+
+
 def test_amending_acts_keep_what_is_due(spark):
     body = "\n".join(f"Article {n} : texte {n}" for n in (7, 1, 5, 2, 2, 4, 3))
     got = spark.createDataFrame([(body,)], "b string").select(acts.due_only(acts.articles_of(F.col("b"))).alias("a")).first()["a"]

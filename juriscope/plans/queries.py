@@ -415,13 +415,28 @@ def article_renumber(spark, sf):
     return lines.renumbered(arts.select("doc_id", "article_no", fuzzy.number_value(F.col("index")).alias("number"), "content"))
 
 
-@query()
+# The normal form of articles step by step, its delimiters and limits typed apart from the rules.
+_NORMAL = rf"""WITH b AS (SELECT doc_id, line_no, {_replaced("trim(line)")} AS line FROM ({L}) WHERE trim(line) <> ''),
+ e AS (SELECT *, starts_with(line, 'Fait à') OR starts_with(line, 'Falt à') AS ends, contains(lower(line), 'promulgue') AS opens FROM b),
+ s AS (SELECT *, opens OR coalesce(last_value(CASE WHEN ends THEN false WHEN opens THEN true END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS in_body FROM e),
+ k AS (SELECT *, in_body AND NOT ends AND {ART} AS art FROM s WHERE NOT (in_body AND NOT ends AND regexp_matches(upper(line), '^(TITRE|CHAPITRE|SECTION|LIVRE|SOUS-SECTION)\s+[0-9IVXERPM]+'))),
+ labelled AS (SELECT *, CASE WHEN len(list_filter([1, 2, 3, 4], lambda i: length(left(line, 10)) >= i + 6 AND levenshtein(substr(left(line, 10), i, 7), 'Article') <= 3)) > 0 THEN 'Article' || substr(line, 8) ELSE line END AS c FROM k),
+ marked AS (SELECT * EXCLUDE (c), regexp_matches(left(c, 25), '\.-|- | -|\. |, |:') AS delimited,
+  CASE {" ".join(f"WHEN contains(left(c, 25), '{d}') THEN replace(c, '{d}', ':')" for d in (".-", "- ", " -", ". ", ", "))} ELSE c END AS c FROM labelled),
+ tidy AS (SELECT * REPLACE (CASE WHEN contains(left(c, 25), '::') THEN replace(left(c, 25), '::', ':') || substr(c, 26) WHEN contains(left(c, 25), ',') THEN replace(left(c, 25), ',', '') || substr(c, 26) ELSE c END AS c) FROM marked),
+ numbered AS (SELECT *, CASE WHEN x IN ('premier', 'un') THEN '1' ELSE x END AS n FROM (SELECT *, lower(regexp_extract(left(c, 24), '(?i)([0-9]+[a-z0-9-]*|premier|un)(\s|[.:,-]|$)', 1)) AS x FROM tidy)),
+ spread AS (SELECT * REPLACE (CASE WHEN NOT delimited AND n <> '' AND contains(c, n) THEN left(c, instr(c, n) - 1) || n || ' : ' || string_split(substr(c, instr(c, n) + length(n)), n)[1] ELSE c END AS c) FROM numbered),
+ content AS (SELECT * REPLACE (CASE WHEN contains(c, ':') THEN trim(substr(c, instr(c, ':') + 1)) ELSE c END AS c) FROM spread),
+ spaced AS (SELECT * REPLACE (regexp_replace(regexp_replace(left(c, 25), '((\.-|- | -|\. |, |:)\s*)+', ': ', 'g'), '\s{{2,}}', ' ', 'g') || substr(c, 26) AS c) FROM content),
+ colons AS (SELECT * REPLACE (trim(regexp_replace(regexp_replace(left(c, 25), '\s*:\s*', ' : ', 'g'), '\s{{2,}}', ' ', 'g')) || substr(c, 26) AS c) FROM spaced)
+ SELECT doc_id, line_no, in_body, CASE WHEN in_body AND ends AND starts_with(line, 'Falt') THEN 'Fait' || substr(line, 5) WHEN art THEN 'Article ' || n || ' : ' || trim(regexp_replace(c, '^:+', '')) ELSE line END AS line FROM colons"""
+
+
+@query(_NORMAL)
 def article_normalize(spark, sf):
     return lines.repaired(law_lines(spark, sf)).select("doc_id", "line_no", "line", "in_body")
 
 
-
-
 @query("SELECT doc_id, 'loi' AS kind, lang AS year, 'https://sgg.gouv.bj/doc/loi-' || doc_id || '/' AS url FROM documents")
 def source_urls(spark, sf):
     kind, year = text.file_parts(F.concat(F.lit("loi-"), "lang", F.lit(".pdf")))

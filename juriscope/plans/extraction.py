@@ -12,6 +12,7 @@ from juriscope.operators.lines import repaired, section_texts, to_lines
 from juriscope.operators.metadata import signatories
 from juriscope.rules import FRENCH_LAW, Rules
 from juriscope.sources.adapters import Adapter
+from juriscope.sources.shared import shared_path
 
 PEOPLE = "array<struct<name:string,role:string>>"
 ARTICLES = "array<struct<index:string,content:string>>"
@@ -62,11 +63,16 @@ def extract_laws(docs: DataFrame, register: DataFrame, rules: Rules = FRENCH_LAW
 
     ``year`` stands in for one that is misread.  A document without lines has blank
     metadata and no articles.  ``grammar`` corrects the cleaned header and each
-    article, but for the words that ``accepted`` lists.
+    article, but for the words that ``accepted`` lists.  The acts are read once,
+    into a table of the shared folder, when this is called.
     """
     texts = section_texts(repaired(to_lines(docs), rules), rules)
     extra = [F.col(c).cast("string").alias(c) if c in docs.columns else F.lit(d).cast("string").alias(c) for c, d in (("type", "loi"), ("year", None))]
     told = act_fields(docs.select("doc_id", *extra).join(texts, "doc_id", "left").fillna("", ["header", "body", "footer"]), rules, header, footer, grammar, accepted)
+    # written, as the register is met by the lines of all acts first and by each act's own after
+    path = shared_path(docs.sparkSession, "acts-read")
+    told.select("doc_id", "type", "foot", "law_number", "law_object", "law_date", "articles").write.parquet(path)
+    told = docs.sparkSession.read.parquet(path)
     out = told.join(people_of(told, register, rules), "doc_id", "left")
     blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     source = source_url(F.col("type"), F.col("law_number"))

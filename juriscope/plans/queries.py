@@ -538,6 +538,30 @@ def act_metadata(spark, sf):
     return told.select("doc_id", "law_number", "law_object", "law_date")
 
 
+# A whole act: its normal lines in sections, the body's articles, those of amending acts folded by the number that is due.
+_ACT = f"""WITH marked AS (SELECT *, sum(CAST({ART} AS INT)) {W} AS g FROM ({_NORMAL})),
+ body AS (SELECT * FROM (SELECT *, max(CAST(g > 0 AND starts_with(lower(line), 'fait à') AS INT)) {W} AS foot FROM marked) WHERE g > 0 AND foot = 0),
+ arts AS (SELECT doc_id, g, content, trim(regexp_replace(split_part(content, ':', 1), '(?i)article', '', 'g')) AS i FROM (SELECT doc_id, g, string_agg(line, ' ' ORDER BY line_no) AS content FROM body GROUP BY doc_id, g)),
+ listed AS (SELECT doc_id, list({{'n': CASE WHEN contains(i, 'pre') OR contains(i, 'er') THEN 1 ELSE coalesce(TRY_CAST(i AS INT), 999999) END, 'i': i, 'content': content}} ORDER BY g) AS a FROM arts GROUP BY doc_id),
+ due AS (SELECT doc_id, a, list_reduce(list_prepend([{{'n': 0, 'i': '', 'content': ''}}], list_transform(a, lambda v: [v])),
+  lambda x, v: CASE WHEN v[1].n = x[-1].n + 1 THEN list_append(x, v[1]) WHEN len(x) > 1 THEN list_append(x[:-2], {{'n': x[-1].n, 'i': x[-1].i, 'content': x[-1].content || chr(10) || v[1].content}}) ELSE x END)[2:] AS d FROM listed),
+ people AS (SELECT doc_id, string_agg(name, ', ' ORDER BY line_no) AS people FROM ({SQL["signatory_match"]}) WHERE doc_id IN (SELECT l_orderkey FROM lineitem) GROUP BY doc_id)
+ SELECT doc_id, law_number, o.line AS law_object, CAST(law_date AS VARCHAR) AS law_date, concat('https://sgg.gouv.bj/doc/loi-', replace(split_part(law_number, 'DU', 1), ' ', ''), '/') AS source, coalesce(people, '') AS signatories,
+  coalesce(array_to_string(list_transform(CASE WHEN starts_with(o.line, 'modifiant') THEN d ELSE a END, lambda v: v.i || '|' || v.content), chr(10)), '') AS articles
+ FROM ({_DATES}) JOIN (SELECT doc_id, line FROM ({L}) WHERE line_no = 3) o USING (doc_id) LEFT JOIN due USING (doc_id) LEFT JOIN people USING (doc_id)"""
+
+
+@query(_ACT)
+def act_whole(spark, sf):
+    """Acts from their OCR text to the shape of the act JSON, all steps in one plan."""
+    docs = law_lines(spark, sf).groupBy("doc_id").agg(lines.joined(["doc_id"]).alias("text"))
+    register = table(spark, sf, "nation").select(F.col("n_nationkey").alias("priority"), F.col("n_name").alias("name"), F.lit("country").alias("role"))
+    m = lambda name, out: F.col(f"metadata.{name}").alias(out)
+    people = F.array_join(F.transform("metadata.signatories", lambda x: x["name"]), ", ").alias("signatories")
+    each = F.array_join(F.transform("articles", lambda x: F.concat(x["index"], F.lit("|"), x["content"])), "\n").alias("articles")
+    return extraction.extract_laws(docs, register).select("doc_id", m("lawNumber", "law_number"), m("lawObject", "law_object"), m("lawDate", "law_date"), m("source", "source"), people, each)
+
+
 @query("SELECT doc_id, strlen(text) AS size, doc_id || '_vectors.json' AS vectors, list_filter(string_split(lang || '--', '-'), lambda x: x <> '') AS parts FROM documents")
 def file_names(spark, sf):
     d = table(spark, sf, "documents")

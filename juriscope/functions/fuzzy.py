@@ -27,7 +27,7 @@ def within_distance(text: Column, pattern: str, first: int, most: int) -> Column
     """Whether a window of the pattern's length among the first characters is within an edit distance."""
     m = len(pattern)
     zone = F.left(text, F.lit(first))
-    windows = [(F.length(zone) >= m + i) & (F.levenshtein(F.substring(zone, i + 1, m), F.lit(pattern)) <= most) for i in range(max(0, first - m) + 1)]
+    windows = [(F.length(zone) >= m + i) & (F.levenshtein(F.substring(zone, i + 1, m), F.lit(pattern), most) >= 0) for i in range(max(0, first - m) + 1)]
     out = windows[0]
     for w in windows[1:]:
         out = out | w
@@ -38,7 +38,7 @@ def contains_target(line: Column, target: str, most: int) -> Column:
     """Whether a word holds the target, is held by it (over two characters), or is within an edit distance."""
     words = F.split(F.lower(line), r"[\s,.;/!]+")
     goal = F.lit(target.lower())
-    return F.coalesce(F.exists(words, lambda w: ((F.contains(w, goal) | F.contains(goal, w)) & (F.length(w) > 2)) | (F.levenshtein(w, goal) <= most)), F.lit(False))
+    return F.coalesce(F.exists(words, lambda w: ((F.contains(w, goal) | F.contains(goal, w)) & (F.length(w) > 2)) | (F.levenshtein(w, goal, most) >= 0)), F.lit(False))
 
 
 def is_closing(line: Column, rules: Rules = FRENCH_LAW) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from juriscope.functions.fuzzy import contains_target, is_closing, looks_like_article, normalized_article
 from juriscope.functions.text import contains, corrected, is_blank, is_title, starts_with, trimmed
-from juriscope.operators.acts import due_only
+from juriscope.operators.acts import any_of, due_only
 from juriscope.rules import FRENCH_LAW, Rules
 
 
@@ -42,18 +42,18 @@ def joined(by: list[str], line: str = "line", sep: str = "\n"):
 def repaired(lines: DataFrame, rules: Rules = FRENCH_LAW) -> DataFrame:
     """OCR lines corrected; within the body articles are normalised and titles dropped; the closing formula is restored."""
     base = lines.select("doc_id", "line_no", trimmed(F.col("line")).alias("line")).where(~is_blank(F.col("line"))).select("doc_id", "line_no", corrected(F.col("line"), rules).alias("line"))
-    opens = contains(F.col("line"), rules.promulgation)
-    ends = is_closing(F.col("line"), rules)
-    seen = base.withColumn("state", held(F.when(ends, False).when(opens, True)))
+    # each test of a line stands once, before the windows, which carry its answer
+    closes = {c: f"closes_{i}" for i, c in enumerate(rules.closings)}
+    told = base.select("*", contains(F.col("line"), rules.promulgation).alias("opens"), *[is_closing(F.col("line"), Rules(closings=(c,))).alias(name) for c, name in closes.items()])
+    told = told.withColumn("ends", any_of(F.col(name) for name in closes.values()))
+    seen = told.withColumn("state", held(F.when(F.col("ends"), False).when(F.col("opens"), True)))
     before = F.coalesce(F.lag("state").over(Window.partitionBy("doc_id").orderBy("line_no")), F.lit(False))
-    body = before | opens
     closing = F.col("line")
-    for c in rules.closings:
-        first = F.concat(F.lit(c), F.substring(F.col("line"), len(c) + 1, 1 << 30))
-        closing = F.when(is_closing(F.col("line"), Rules(closings=(c,))), first).otherwise(closing)
-    out = seen.withColumn("in_body", body).withColumn("ends", ends)
+    for c, name in closes.items():
+        closing = F.when(F.col(name), F.concat(F.lit(c), F.substring(F.col("line"), len(c) + 1, 1 << 30))).otherwise(closing)
+    out = seen.withColumn("in_body", before | F.col("opens"))
     new = F.when(F.col("in_body") & F.col("ends"), closing).when(F.col("in_body"), normalized_article(F.col("line"), rules)).otherwise(F.col("line"))
-    return out.where(~(F.col("in_body") & ~F.col("ends") & is_title(F.col("line")))).select("doc_id", "line_no", new.alias("line"), F.coalesce("in_body", F.lit(False)).alias("in_body"))
+    return out.where(~(F.col("in_body") & ~F.col("ends") & is_title(F.col("line")))).select("doc_id", "line_no", new.alias("line"), "in_body")
 
 
 def body_state(lines: DataFrame, rules: Rules = FRENCH_LAW) -> DataFrame:

@@ -116,6 +116,23 @@ def test_recall_where_a_fifth_at_most_is_reranked(spark, scale):
     assert all(abs(s - vs[ids == j][0] @ vs[ids == i][0]) < 1e-12 for i, x in list(found.items())[:5] for j, s in x.items())
 
 
+def test_recall_where_pivots_are_few(spark):
+    """A full block, made with the mean and covariance of the table: one pivot for 32 rows, which the tables themselves are too small for."""
+    _, vs = vectors_in(spark, "/root/testdata/sf0.1")
+    made = np.random.default_rng(5).multivariate_normal(vs.mean(axis=0), np.cov(vs.T), permutation.BLOCK_ROWS).astype(np.float32)
+    ids = np.arange(len(made))
+    rows = spark.createDataFrame(pa.table({"vec_id": ids, "embedding": list(made)}))
+    index = build(rows)
+    assert index.blocks == 1 and len(index.pivots[64]) * 32 <= len(made)
+    which = np.flatnonzero(ids % 100 == 0)
+    want = brute(ids[which], made[which].astype(float), ids, made.astype(float), 20)
+    found = {}
+    for r in search(index, rows.where("vec_id % 100 = 0"), 20).collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    recall = np.mean([len(found[int(i)] & {a for a, _ in w}) / 20 for i, w in zip(ids[which], want, strict=True)])
+    assert recall >= 0.93, recall
+
+
 def test_an_index_is_reranked_in_part_and_serves_many_query_sets(spark):
     folder = "/root/testdata/sf0.1"
     rows = spark.read.parquet(f"{folder}/embeddings.parquet")

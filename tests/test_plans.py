@@ -84,3 +84,10 @@ def test_each_fuzzy_match_stands_once(spark):
     """Two words of the assembly, two cities, and the months of the two dates that an act may have."""
     plan = law.QUERIES["act_metadata"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("levenshtein") == 2 + 2 + 2 * 12
+
+
+def test_no_acts(spark):
+    register = spark.createDataFrame([(1, "Aicha DUPONT", "Ministre")], "priority int, name string, role string")
+    docs = spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string")
+    assert extract_laws(docs.where("doc_id > 2"), register).collect() == []
+    assert [(len(r["articles"]), r["metadata"]["lawNumber"]) for r in extract_laws(docs, register).collect()] == [(0, ""), (0, "")]

@@ -415,7 +415,7 @@ def article_renumber(spark, sf):
     return lines.renumbered(arts.select("doc_id", "article_no", fuzzy.number_value(F.col("index")).alias("number"), "content"))
 
 
-# The normal form of articles step by step, its delimiters and limits typed apart from the rules.
+# The normal form of articles step by step, its delimiters and limits typed apart from the rules; corrections and the test of a label are those of the SQL above, which take the rules' values.
 _NORMAL = rf"""WITH b AS (SELECT doc_id, line_no, {_replaced("trim(line)")} AS line FROM ({L}) WHERE trim(line) <> ''),
  e AS (SELECT *, starts_with(line, 'Fait à') OR starts_with(line, 'Falt à') AS ends, contains(lower(line), 'promulgue') AS opens FROM b),
  s AS (SELECT *, opens OR coalesce(last_value(CASE WHEN ends THEN false WHEN opens THEN true END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS in_body FROM e),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from juriscope.functions.text import contains_early, delimiter_pattern, let, normalize_colons, normalize_delimiters, on_prefix, starts_with, trimmed
+from juriscope.functions.text import BLANKS, contains_early, delimiter_pattern, let, normalize_colons, normalize_delimiters, on_prefix, starts_with, trimmed
 from juriscope.rules import FRENCH_LAW, Rules
 
 
@@ -23,15 +23,32 @@ def fuzzy_match(text: Column, pattern: Column, first: Column | int, n: int, hits
     return F.contains(zone, low) | (gram_hits(zone, low, n) >= hits)
 
 
+def pieces(pattern: str, most: int) -> list[str]:
+    """The pattern in ``most`` + 1 pieces: what is within that edit distance holds one of them as it is; none if the pattern is too short."""
+    n, m = most + 1, len(pattern)
+    return [pattern[i * m // n : (i + 1) * m // n] for i in range(n)] if m >= n else []
+
+
+def holds_any(text: Column, parts: list[str]) -> Column:
+    out = F.lit(False)
+    for p in parts:
+        out = out | F.contains(text, F.lit(p))
+    return out
+
+
 def within_distance(text: Column, pattern: str, first: int, most: int) -> Column:
-    """Whether a window of the pattern's length among the first characters is within an edit distance."""
+    """Whether a window of the pattern's length among the first characters is within an edit distance.
+
+    Distances are computed only where a piece of the pattern stands.
+    """
     m = len(pattern)
     zone = F.left(text, F.lit(first))
     windows = [(F.length(zone) >= m + i) & (F.levenshtein(F.substring(zone, i + 1, m), F.lit(pattern), most) >= 0) for i in range(max(0, first - m) + 1)]
     out = windows[0]
     for w in windows[1:]:
         out = out | w
-    return F.coalesce(out, F.lit(False))
+    parts = pieces(pattern, most)
+    return F.coalesce(F.when(holds_any(zone, parts), out) if parts else out, F.lit(False))
 
 
 def contains_target(line: Column, target: str, most: int) -> Column:
@@ -57,7 +74,8 @@ def is_garbage(line: Column) -> Column:
 def looks_like_article(line: Column, rules: Rules = FRENCH_LAW) -> Column:
     """Whether a line opens an article: a label, whole or misread, and a number right after it."""
     clean = trimmed(line)
-    zone = F.left(F.lower(clean), F.lit(7))
+    begun = F.ltrim(line, F.lit(BLANKS))
+    zone = F.lower(F.left(begun, F.lit(7)))
     grams = ("ar", "rt", "ti", "ic", "cl", "le")
     hits = sum((F.contains(zone, F.lit(g)).cast("int") for g in grams), F.lit(0))
     delimited = F.lit(False)
@@ -65,7 +83,9 @@ def looks_like_article(line: Column, rules: Rules = FRENCH_LAW) -> Column:
         delimited = delimited | contains_early(line, d, rules.label_zone)
     word = F.startswith(zone, F.lit("article")) | (hits >= 3)
     numbered = F.left(F.lower(clean), F.lit(15)).rlike(r"^art.*(\d+|1er|premier|unique).*$")
-    return F.coalesce(F.when(clean == "", False).when(F.startswith(line, F.lit("ARTICLES")) & delimited, True).when(starts_with(line, "articles"), False).otherwise(word & numbered), F.lit(False))
+    told = F.coalesce(F.when(clean == "", False).when(F.startswith(line, F.lit("ARTICLES")) & delimited, True).when(starts_with(line, "articles"), False).otherwise(word & numbered), F.lit(False))
+    # no other line can pass, and most lines end here
+    return F.when(F.lower(F.left(begun, F.lit(3))) == "art", told).otherwise(False)
 
 
 def number_at_start(line: Column, n: int, rules: Rules = FRENCH_LAW) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from functools import cache, reduce
 
 from pyspark.sql import Column
@@ -12,9 +13,13 @@ from pyspark.sql import functions as F
 from juriscope.rules import FRENCH_LAW, Rules
 
 
+#: What ends of texts are trimmed of.
+BLANKS = "".join(map(chr, range(0x21)))
+
+
 def trimmed(c: Column) -> Column:
     """Without control characters and blanks (all up to U+0020) at both ends."""
-    return F.regexp_replace(c, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def is_blank(c: Column) -> Column:
@@ -146,13 +151,35 @@ def french_date(c: Column, rules: Rules = FRENCH_LAW) -> Column:
     return let(let(F.lower(c), parts), made)
 
 
+@cache
+def by_shared_part(words: tuple[str, ...]) -> tuple[tuple[str, tuple[str, ...]], ...]:
+    """Words with a part of two or three characters that three of them share at least; a word that shares none is its own part."""
+    left, out = list(words), []
+    while left:
+        count = Counter(s for w in left for s in {w[i : i + n] for n in (2, 3) for i in range(len(w) - n + 1)})
+        part, n = max(count.items(), key=lambda x: (x[1], len(x[0]), x[0]))
+        if n < 3:
+            break
+        out.append((part, tuple(w for w in left if part in w)))
+        left = [w for w in left if part not in w]
+    return tuple(out) + tuple((w, (w,)) for w in left)
+
+
+def holds_one(c: Column, words: tuple[str, ...]) -> Column:
+    """Whether a text holds one of the words, looked for only where it holds the part that they share; null does not."""
+    has = lambda w: F.contains(c, F.lit(w))
+    groups = [has(part) if ws == (part,) else has(part) & reduce(lambda a, w: a | has(w), ws, F.lit(False)) for part, ws in by_shared_part(words)]
+    return F.coalesce(reduce(lambda a, g: a | g, groups, F.lit(False)), F.lit(False))
+
+
 def corrected(c: Column, rules: Rules = FRENCH_LAW) -> Column:
     """All corrections, one after the other, as one expression; each sees what those before it made.
 
     Without ``rules.compat`` a correction of a label does not fire within a word.
     """
     if rules.compat:
-        return reduce(lambda x, kv: F.replace(x, F.lit(kv[0]), F.lit(kv[1])), rules.corrections, c)
+        made = reduce(lambda x, kv: F.replace(x, F.lit(kv[0]), F.lit(kv[1])), rules.corrections, c)
+        return F.when(holds_one(c, tuple(k for k, _ in rules.corrections)), made).otherwise(c)
     return reduce(lambda x, kv: F.regexp_replace(x, r"(?<![\p{L}\p{N}])" + re.escape(kv[0]), kv[1].replace("$", r"\$")), rules.corrections, c)
 
 

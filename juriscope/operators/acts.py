@@ -32,10 +32,14 @@ def lines_of(text: Column, least: int = 0) -> Column:
     return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), r"\r\n|[\n\r\x0B\f\x{85}\x{2028}\x{2029}]"), trimmed), lambda x: F.length(x) > least)
 
 
+def pieces_of(lines: Column, text, event, sep: str) -> Column:
+    joined = F.array_join(F.transform(lines, lambda x: F.concat(F.coalesce(F.concat(F.lit(MARK), event(x)), F.lit(sep)), text(x))), "")
+    return F.filter(F.split(joined, MARK), lambda x: F.left(x, F.lit(1)).rlike("^[a-z]"))
+
+
 def cut_at(lines: Column, event: Column, sep: str) -> Column:
     """Lines joined by ``sep``, cut before each that ``event`` names a letter for; a piece begins with its letter, what comes before the first is dropped."""
-    joined = F.array_join(F.transform(lines, lambda x: F.concat(F.coalesce(F.concat(F.lit(MARK), event(x)), F.lit(sep)), x)), "")
-    return F.filter(F.split(joined, MARK), lambda x: F.left(x, F.lit(1)).rlike("^[a-z]"))
+    return pieces_of(lines, lambda x: x, event, sep)
 
 
 def of_kind(pieces: Column, letter: str, sep: str = " ") -> Column:
@@ -153,7 +157,16 @@ def law_date(number: Column, footer: Column, year: Column, rules: Rules = FRENCH
 
 def articles_of(body: Column, rules: Rules = FRENCH_LAW) -> Column:
     """Array of (place, index, content): a line that opens an article begins one, the others follow it."""
-    pieces = cut_at(lines_of(body), lambda x: F.when(looks_like_article(x, rules), "a"), " ")
+    return as_articles(cut_at(lines_of(body), lambda x: F.when(looks_like_article(x, rules), "a"), " "))
+
+
+def articles_in(lines: Column) -> Column:
+    """The same of lines (line, opens) that were tested before."""
+    kept = F.filter(F.transform(lines, lambda x: F.struct(trimmed(x["line"]).alias("line"), x["opens"].alias("opens"))), lambda x: F.length(x["line"]) > 0)
+    return as_articles(pieces_of(kept, lambda x: x["line"], lambda x: F.when(x["opens"], "a"), " "))
+
+
+def as_articles(pieces: Column) -> Column:
     return F.transform(pieces, lambda x, i: let(F.substring(x, 2, 1 << 30), lambda c: F.struct((i + 1).alias("place"), standard_number(c).alias("index"), c.alias("content"))))
 
 

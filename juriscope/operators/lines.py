@@ -36,7 +36,7 @@ def ever(flag: Column) -> Column:
 
 def joined(by: list[str], line: str = "line", sep: str = "\n"):
     """Lines of a group in order, as one string."""
-    return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", line))), lambda x: x[line]), sep)
+    return F.array_join(F.sort_array(F.collect_list(F.struct("line_no", line)))[line], sep)
 
 
 def repaired(lines: DataFrame, rules: Rules = FRENCH_LAW) -> DataFrame:
@@ -71,11 +71,28 @@ def sections(lines: DataFrame, rules: Rules = FRENCH_LAW) -> DataFrame:
     return with_body.withColumn("foot", foot).select("doc_id", "line_no", "line", section.alias("section"))
 
 
+def section_rows(lines: DataFrame, rules: Rules = FRENCH_LAW) -> DataFrame:
+    """doc_id, ``lines`` (line_no, line and whether it opens an article, in order), and of how many the header (h), and header and body together (b), consist.
+
+    Each line is tested once, before a document's lines are gathered.
+    """
+    opens = looks_like_article(F.col("line"), rules)
+    told = lines.select("doc_id", "line_no", "line", opens.alias("opens"), F.when(starts_with(F.col("line"), "Fait à"), F.col("line_no")).alias("c"))
+    each = told.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("line_no", "line", "opens"))).alias("lines"), F.min(F.when(F.col("opens"), F.col("line_no"))).alias("a"), F.collect_list("c").alias("c"))
+    each = each.withColumn("f", F.array_min(F.filter("c", lambda x: x >= F.col("a"))))
+    before = lambda c: F.when(F.col(c).isNull(), F.size("lines")).otherwise(F.array_position(F.col("lines")["line_no"], F.col(c)).cast("int") - 1)
+    return each.select("doc_id", "lines", before("a").alias("h"), before("f").alias("b"))
+
+
+def section_text(name: str) -> Column:
+    """A section of ``section_rows`` as text."""
+    start, stop = {"header": (F.lit(0), F.col("h")), "body": (F.col("h"), F.col("b")), "footer": (F.col("b"), F.size("lines"))}[name]
+    return F.array_join(F.slice(F.col("lines")["line"], start + 1, stop - start), "\n").alias(name)
+
+
 def section_texts(lines: DataFrame, rules: Rules = FRENCH_LAW) -> DataFrame:
     """Header, body and footer of each document; a missing one is empty."""
-    s = sections(lines, rules)
-    text = lambda name: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("section") == name, F.struct("line_no", "line")))), lambda x: x["line"]), "\n").alias(name)
-    return s.groupBy("doc_id").agg(*[text(x) for x in ("header", "body", "footer")])
+    return section_rows(lines, rules).select("doc_id", *map(section_text, ("header", "body", "footer")))
 
 
 def articles(lines: DataFrame, rules: Rules = FRENCH_LAW) -> DataFrame:
@@ -90,7 +107,12 @@ def renumbered(articles: DataFrame) -> DataFrame:
     ``articles``: doc_id, article_no, number (int), content.
     """
     one = F.struct(F.col("article_no").cast("int").alias("place"), F.col("number").cast("string").alias("index"), "content")
-    listed = articles.groupBy("doc_id").agg(F.array_sort(F.collect_list(one)).alias("a"))
+    listed = articles.groupBy("doc_id").agg(F.sort_array(F.collect_list(one)).alias("a"))
+    return renumbered_of(listed)
+
+
+def renumbered_of(listed: DataFrame) -> DataFrame:
+    """The same of documents whose articles stand in their row: doc_id, a (place, index, content)."""
     return listed.select("doc_id", F.explode(due_only(F.col("a"))).alias("x")).select("doc_id", F.col("x.place").alias("number"), "x.content")
 
 

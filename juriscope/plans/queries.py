@@ -8,8 +8,9 @@ for each line item with a label that is sometimes misread.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from juriscope.functions import fuzzy, text
@@ -49,7 +50,36 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def law_lines(spark: SparkSession, sf: str) -> DataFrame:
-    return spark.sql(LAW_LINES, **{t: table(spark, sf, t) for t in ("orders", "lineitem", "part", "nation")})
+    """The rows of LAW_LINES: an order is read once for all lines that it makes alone, and only lines with a name or an article are joined."""
+    nation, said = table(spark, sf, "nation").select("n_nationkey", "n_name"), lambda c: F.col(c).cast("string")
+    case = lambda c, words, other: reduce(lambda x, iw: F.when(c == iw[0], iw[1]).otherwise(x), enumerate(words), F.lit(other))
+    date = [f("o_orderdate").alias(n) for f, n in ((F.year, "y"), (F.month, "m"), (F.day, "d"))]
+    n = table(spark, sf, "orders").select(F.col("o_orderkey").alias("doc_id"), (F.col("o_custkey") % 25).alias("nk"), F.col("o_orderstatus").alias("st"), *date)
+    mo = F.coalesce(F.element_at(F.array(*map(F.lit, FRENCH_LAW.months)), F.col("m")), F.lit("décembre"))
+    reissued = F.col("st") == "O"
+    told = [
+        (1, "RÉPUBLIQUE DU BENIN"),
+        (2, F.concat(F.lit("LOI N° "), said("y"), F.lit(" - "), (F.col("doc_id") % 100).cast("string"), F.lit(" DU "), said("d"), F.lit(" "), F.upper(mo), F.lit(" "), said("y"))),
+        (3, F.when(F.col("st") == "F", "modifiant la loi de finances").otherwise("portant code du travail")),
+        (4, "LASSEMBLEE NATIONALE A DELIBERE"),
+        (5, "Le President de la Republique promulgue la loi dont la teneur suit"),
+        (6, "TITRE I DISPOSITIONS GENERALES"),
+        (9000, F.concat(F.lit("Fait à "), F.when(F.col("nk") % 2 == 0, "Cotonou").otherwise("Porto-Novo"), F.lit(", le "), said("d"), F.lit(" "), mo, F.lit(" "), said("y"))),
+        (9002, "Le Garde des Sceaux"),
+        (9004, "AMPLIATIONS"),
+    ]
+    again = [(9005, "Erratum : la loi promulgue ce qui suit"), (9006, "Article 99 : texte repris"), (9007, "Falt à Cotonou, le 1 mars 2000")]
+    rows = lambda made: F.array(*[F.struct(F.lit(i).alias("line_no"), (F.lit(c) if isinstance(c, str) else c).alias("line")) for i, c in made])
+    alone = n.select("doc_id", F.inline(rows(told))).unionByName(n.where(reissued).select("doc_id", F.inline(rows(again))))
+    named = lambda i, key, line: n.withColumn("n_nationkey", key).join(nation, "n_nationkey").select("doc_id", F.lit(i).alias("line_no"), line.alias("line"))
+    names = named(9001, F.col("nk"), F.concat("n_name", F.lit(".-"))).unionByName(named(9003, (F.col("nk") + 7) % 25, F.col("n_name")))
+    place = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate")
+    a = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("doc_id"), F.row_number().over(place).alias("k"), "l_partkey")
+    a = a.join(n.select("doc_id"), "doc_id").join(table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name"), "l_partkey")
+    word = case(F.col("l_partkey") % 4, ("Article ", "Articie ", "ARTICLE "), "Arficle ")
+    number = F.when(F.col("l_partkey") % 5 == 0, F.col("k") + 40).otherwise(F.col("k")).cast("string")
+    after = case(F.col("l_partkey") % 3, (".- ", " : "), " ")
+    return alone.unionByName(names).unionByName(a.select("doc_id", (100 + 2 * F.col("k")).cast("int").alias("line_no"), F.concat(word, number, after, "p_name").alias("line")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -197,16 +227,20 @@ def lexicon_unknown(spark, sf):
 _LAWS = f"SELECT n.doc_id, law_number, coalesce(c, 0) AS n_articles FROM ({NUMBERS}) n LEFT JOIN (SELECT doc_id, count(*) AS c FROM ({ARTICLES}) GROUP BY doc_id) USING (doc_id)"
 
 
-def _acts(spark, sf) -> DataFrame:
-    """doc_id, law_number, law_object, law_date and articles, from one pass over the lines."""
-    texts = lines.section_texts(law_lines(spark, sf))
-    number = texts.withColumn("law_number", acts.law_number(F.col("header")))
-    date = acts.law_date(F.col("law_number"), F.col("footer"), F.lit(None).cast("string"))
-    return number.select("doc_id", "law_number", acts.law_object(F.col("header")).alias("law_object"), date.alias("law_date"), acts.articles_of(F.concat_ws("\n", "body", "footer")).alias("articles"))
+def _acts(spark, sf, *wanted: str) -> DataFrame:
+    """doc_id, law_number and what is wanted of law_object, footer, n_articles and articles, from one pass over the lines; what is not wanted is not carried."""
+    rows = lines.section_rows(law_lines(spark, sf)).select("doc_id", lines.section_text("header"), lines.section_text("footer"), F.slice("lines", F.col("h") + 1, F.size("lines") - F.col("h")).alias("rest"))
+    made = {
+        "law_object": acts.law_object(F.col("header")),
+        "footer": F.col("footer"),
+        "n_articles": F.size(F.filter("rest", lambda x: x["opens"])).cast("long"),
+        "articles": acts.articles_in(F.col("rest")),
+    }
+    return rows.withColumn("law_number", acts.law_number(F.col("header"))).select("doc_id", "law_number", *[made[w].alias(w) for w in wanted])
 
 
 def _laws(spark, sf):
-    return _acts(spark, sf).select("doc_id", "law_number", F.size("articles").cast("long").alias("n_articles"))
+    return _acts(spark, sf, "n_articles")
 
 
 @query(f"SELECT doc_id, 'Structure: < 2 articles' AS error FROM ({_LAWS}) WHERE n_articles < 2")
@@ -296,11 +330,20 @@ def article_vector_join(spark, sf):
     return found.select("doc_id", "label", F.size("embedding").cast("long").alias("dims"))
 
 
-def _graph(spark, sf):
-    found = _acts(spark, sf)
-    arts = found.select("doc_id", "law_number", F.explode("articles").alias("a")).select("doc_id", F.col("a.place").cast("long").alias("article_no"), F.col("a.content").alias("content"), "law_number")
-    arts = arts.withColumn("index", fuzzy.number_at_start(F.col("content"), 24))
-    return graph.law_nodes(found), graph.article_nodes(arts.withColumn("article_no", F.struct("article_no", "doc_id"))), arts
+def _law_nodes(spark, sf) -> DataFrame:
+    """One node for each law number; only the documents that win are read for their dates."""
+    won = graph.first_by(_acts(spark, sf, "law_object", "footer"), "law_number", "doc_id")
+    return graph.law_nodes(won.withColumn("law_date", acts.law_date(F.col("law_number"), F.col("footer"), F.lit(None).cast("string"))).drop("footer"))
+
+
+def _articles(spark, sf) -> DataFrame:
+    """doc_id, law_number, article_no, content and index of each article."""
+    arts = _acts(spark, sf, "articles").select("doc_id", "law_number", F.explode("articles").alias("a")).select("doc_id", F.col("a.place").cast("long").alias("article_no"), F.col("a.content").alias("content"), "law_number")
+    return arts.withColumn("index", fuzzy.number_at_start(F.col("content"), 24))
+
+
+def _article_nodes(arts: DataFrame) -> DataFrame:
+    return graph.article_nodes(arts.withColumn("article_no", F.struct("article_no", "doc_id")).drop("doc_id"))
 
 
 _INDEX = "lower(regexp_extract(left(content, 24), '(?i)([0-9]+[a-z0-9-]*|premier|un)(\\s|[.:,-]|$)', 1))"
@@ -310,7 +353,7 @@ _NODES = f"SELECT law_number || '_ART_' || i AS id, 'Article ' || i AS label, la
 
 @query(_NODES)
 def graph_nodes(spark, sf):
-    return _graph(spark, sf)[1].select("id", "label", "law_number", "content")
+    return _article_nodes(_articles(spark, sf)).select("id", "label", "law_number", "content")
 
 
 _DATES = f"SELECT doc_id, law_number, make_date(CAST(p[4] AS INT), CASE p[3] {_MONTHS} END, CAST(p[2] AS INT)) AS law_date FROM (SELECT doc_id, law_number, string_split(lower(regexp_extract(law_number, 'DU .*', 0)), ' ') AS p FROM ({NUMBERS}))"
@@ -318,12 +361,14 @@ _DATES = f"SELECT doc_id, law_number, make_date(CAST(p[4] AS INT), CASE p[3] {_M
 
 @query(f"""SELECT law_number AS id, arg_min(law_object, doc_id) AS title, arg_min(law_date, doc_id) AS promulgated, 'En vigueur' AS status FROM ({_DATES}) JOIN (SELECT doc_id, line AS law_object FROM ({L}) WHERE line_no = 3) USING (doc_id) GROUP BY law_number""")
 def graph_laws(spark, sf):
-    return _graph(spark, sf)[0]
+    return _law_nodes(spark, sf)
 
 
 @query(f"SELECT DISTINCT id AS src, law_number AS dst FROM ({_NODES})")
 def graph_edges(spark, sf):
-    laws, nodes, _ = _graph(spark, sf)
+    # an edge needs no text, so none is carried to the nodes and laws that it joins
+    nodes = _article_nodes(_articles(spark, sf).withColumn("content", F.lit(None).cast("string")))
+    laws = _acts(spark, sf).select(F.col("law_number").alias("id")).distinct()
     return graph.edges(nodes, laws)
 
 
@@ -343,7 +388,7 @@ def graph_replace(spark, sf):
 @query(f"SELECT (SELECT count(DISTINCT law_number) FROM ({NUMBERS})) AS n_laws, (SELECT count(*) FROM ({_NODES})) AS n_articles")
 def graph_counts(spark, sf):
     index = lambda a: fuzzy.number_at_start(a["content"], 24)
-    each = _acts(spark, sf).select("law_number", F.explode_outer(F.transform("articles", index)).alias("index"))
+    each = _acts(spark, sf, "articles").select("law_number", F.explode_outer(F.transform("articles", index)).alias("index"))
     by_law = each.groupBy("law_number").agg(F.count_distinct("index").alias("n"))
     return by_law.agg(F.count("*").alias("n_laws"), F.sum("n").cast("long").alias("n_articles"))
 
@@ -411,8 +456,8 @@ def run_counters(spark, sf):
 @query(f"""SELECT doc_id, x.number AS number, x.content AS content FROM (SELECT doc_id, unnest(list_reduce(list_prepend([{{'number': 0, 'content': ''}}], list_transform(list({{'number': CAST(CASE WHEN contains(i, 'pre') OR contains(i, 'er') THEN 1 ELSE coalesce(TRY_CAST(i AS INT), 999999) END AS INTEGER), 'content': content}} ORDER BY article_no), lambda v: [v])),
  lambda a, v: CASE WHEN v[1].number = a[-1].number + 1 THEN list_append(a, v[1]) WHEN len(a) > 1 THEN list_append(a[:-2], {{'number': a[-1].number, 'content': a[-1].content || chr(10) || v[1].content}}) ELSE a END)[2:]) AS x FROM ({_ARTS}) GROUP BY doc_id)""")
 def article_renumber(spark, sf):
-    _, _, arts = _graph(spark, sf)
-    return lines.renumbered(arts.select("doc_id", "article_no", fuzzy.number_value(F.col("index")).alias("number"), "content"))
+    one = lambda a: F.struct(a["place"].alias("place"), fuzzy.number_value(fuzzy.number_at_start(a["content"], 24)).cast("string").alias("index"), a["content"].alias("content"))
+    return lines.renumbered_of(_acts(spark, sf, "articles").select("doc_id", F.transform("articles", one).alias("a")))
 
 
 # The normal form of articles step by step, its delimiters and limits typed apart from the rules; corrections and the test of a label are those of the SQL above, which take the rules' values.

@@ -32,6 +32,8 @@ from juriscope.sources.shared import shared_path, table_or_none
 
 #: Parts into which a group of rows is dealt before its first rows are taken.
 DEALT = 32
+#: Parts into which the postings of a bucket are dealt by digest.
+PARTS = 8
 
 
 @dataclass(frozen=True)
@@ -129,12 +131,25 @@ def first_rows(rows: DataFrame, by: str, order: Column, n: int, deal: Column) ->
 
 
 def candidates(spark: SparkSession, path: str, queries: DataFrame, live: DataFrame, planes: Planes, probes: int, refine: int) -> DataFrame:
-    """query_id and digest: of the live digests that share a bucket with a query the ``refine`` whose sketches are least apart, and those equal to the last."""
+    """query_id and digest: of the live digests that share a bucket with a query the ``refine`` whose sketches are least apart, and those equal to the last.
+
+    Pairs that share a bucket are only counted, by how far apart they are, where
+    they meet; then those are sent on that lie within the bound that the counts give.
+    """
     own = signed(queries, "query_id", planes, probes)
     asked = own.select("query_id", F.col("sketch").alias("own"), F.posexplode("buckets").alias("slot", "b")).select("query_id", "own", "slot", F.explode("b").alias("bucket"))
+    asked = asked.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
     posted = spark.read.parquet(f"{path}/postings").join(live.select("digest"), "digest", "left_semi")
-    met = posted.join(asked, ["slot", "bucket"]).select("query_id", "digest", apart(F.col("sketch"), F.col("own"), planes.words).alias("apart")).distinct()
-    return first_rows(met, "query_id", F.col("apart"), refine, F.col("digest")).select("query_id", "digest")
+    # buckets are dealt by digest; equal postings count once
+    posted = posted.withColumn("part", F.pmod(F.xxhash64("digest"), F.lit(PARTS)).cast("int"))
+    posted = posted.repartition("slot", "bucket", "part").dropDuplicates(["slot", "bucket", "part", "digest"])
+    met = lambda asked: posted.join(asked, ["slot", "bucket", "part"]).withColumn("apart", apart(F.col("sketch"), F.col("own"), planes.words))
+    # in one table a pair stands once, so the refine-th of any table is no nearer than the refine-th of all
+    so_far = F.sum("count").over(Window.partitionBy("query_id", "slot").orderBy("apart"))
+    told = met(asked).groupBy("query_id", "slot", "apart").count().withColumn("n", so_far).where(F.col("n") >= refine)
+    bound = told.groupBy("query_id").agg(F.min("apart").alias("bound"))
+    near = met(asked.join(bound, "query_id", "left")).where(F.col("bound").isNull() | (F.col("apart") <= F.col("bound"))).select("query_id", "digest", "apart").distinct()
+    return first_rows(near, "query_id", F.col("apart"), refine, F.col("digest")).select("query_id", "digest")
 
 
 def nearest_by_index(spark: SparkSession, path: str, queries: DataFrame, articles: DataFrame, k: int, planes: Planes, probes: int = 3, refine: int | None = None, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:

@@ -43,4 +43,15 @@ def test_a_law_node_carries_no_articles(spark, sf):
 def test_a_grammar_is_given_bounded_pieces(spark):
     frame = pd.DataFrame({"key": range(6), "text": ["a" * 40] * 4 + ["b" * 500, None]})
     got = list(edits.in_pieces(iter([frame]), 100))
-    assert [list(f["key"]) for f in got] == [[0, 1], [2, 3], [4, 5]]
+    assert [list(f["key"]) for f in got] == [[0, 1], [2, 3], [4], [5]]
+
+
+def test_what_is_near_a_target_is_found_behind_the_test_before_it(spark):
+    rows = spark.createDataFrame([("l'assemblée",), ("ass",), ("emb x",), ("nationalle",), ("notionale",), ("rien du tout",), ("",), (None,)], "s string")
+    seen = [tuple(r) for r in rows.select(*[fuzzy.contains_target(F.col("s"), t, 3) for t in ("assemblee", "nationale")]).collect()]
+    assert seen == [(True, False), (True, False), (True, False), (False, True), (False, True), (False, False), (False, False), (False, False)]
+
+
+def test_index_counts_pairs_before_it_sends_them_on(spark, sf):
+    plan = queries.vector_index_topk(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "bound" in plan

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -52,10 +54,20 @@ def within_distance(text: Column, pattern: str, first: int, most: int) -> Column
 
 
 def contains_target(line: Column, target: str, most: int) -> Column:
-    """Whether a word holds the target, is held by it (over two characters), or is within an edit distance."""
-    words = F.split(F.lower(line), r"[\s,.;/!]+")
-    goal = F.lit(target.lower())
-    return F.coalesce(F.exists(words, lambda w: ((F.contains(w, goal) | F.contains(goal, w)) & (F.length(w) > 2)) | (F.levenshtein(w, goal, most) >= 0)), F.lit(False))
+    """Whether a word holds the target, is held by it (over two characters), or is within an edit distance.
+
+    Words are looked at only where a piece of the target stands, or three of its letters in a row.
+    """
+    goal = target.lower()
+    parts = pieces(goal, most)
+    close = lambda w: ((F.contains(w, F.lit(goal)) | F.contains(F.lit(goal), w)) & (F.length(w) > 2)) | (F.levenshtein(w, F.lit(goal), most) >= 0)
+    told = lambda low: F.exists(F.split(low, r"[\s,.;/!]+"), close)
+    if not parts:
+        return F.coalesce(told(F.lower(line)), F.lit(False))
+    # a three-letter run that holds a piece adds nothing to it
+    runs = [r for r in dict.fromkeys(goal[i : i + 3] for i in range(len(goal) - 2)) if not any(p in r for p in parts)]
+    any_part = "|".join(map(re.escape, [*parts, *runs]))
+    return F.coalesce(F.when(F.lower(line).rlike(any_part), told(F.lower(line))), F.lit(False))
 
 
 def is_closing(line: Column, rules: Rules = FRENCH_LAW) -> Column:

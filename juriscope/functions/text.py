@@ -122,17 +122,24 @@ def ocr_digits(c: Column) -> Column:
 
 def nearest(c: Column, words: tuple[str, ...], most: int) -> Column:
     """The first word of least edit distance, if that is at most ``most``; else the text itself."""
-    scored = F.array(*[F.struct(F.levenshtein(c, F.lit(w)).alias("d"), F.lit(i).alias("i"), F.lit(w).alias("w")) for i, w in enumerate(words)])
-    return let(F.array_min(scored), lambda best: F.when(best["d"] <= most, best["w"]).otherwise(c))
+
+    def of(c: Column) -> Column:
+        scored = F.array(*[F.struct(F.levenshtein(c, F.lit(w)).alias("d"), F.lit(i).alias("i"), F.lit(w).alias("w")) for i, w in enumerate(words)])
+        return F.when(c.isin(*words), c).otherwise(let(F.array_min(scored), lambda best: F.when(best["d"] <= most, best["w"]).otherwise(c)))
+
+    return let(c, of)
 
 
 def repair_date(c: Column, year: Column, rules: Rules = FRENCH_LAW) -> Column:
     """``day month year`` from an OCR date; the file's year if fewer than four digits are read."""
-    parts = F.split(trimmed(c), r"[\s/\-,]+")
-    day = ocr_digits(F.regexp_replace(F.lower(F.get(parts, F.lit(0))), "er", ""))
-    month = nearest(F.lower(F.get(parts, F.lit(1))), rules.months, 2)
-    read = ocr_digits(F.get(parts, F.lit(2)))
-    return F.when(F.size(parts) < 3, c).otherwise(F.concat_ws(" ", day, month, F.when(F.length(read) < 4, year).otherwise(read)))
+
+    def of(parts: Column) -> Column:
+        day = ocr_digits(F.regexp_replace(F.lower(F.get(parts, F.lit(0))), "er", ""))
+        month = nearest(F.lower(F.get(parts, F.lit(1))), rules.months, 2)
+        read = let(ocr_digits(F.get(parts, F.lit(2))), lambda r: F.when(F.length(r) < 4, year).otherwise(r))
+        return F.when(F.size(parts) < 3, c).otherwise(F.concat_ws(" ", day, month, read))
+
+    return let(F.split(trimmed(c), r"[\s/\-,]+"), of)
 
 
 def french_date(c: Column, rules: Rules = FRENCH_LAW) -> Column:

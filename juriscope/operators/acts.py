@@ -7,6 +7,7 @@ joining all lines and cutting at the marks, which is one pass over the text.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
@@ -24,7 +25,7 @@ def any_of(tests) -> Column:
 
 
 def starts_object(line: Column, rules: Rules = FRENCH_LAW) -> Column:
-    return any_of(starts_with(line, s) for s in rules.object_starts)
+    return F.coalesce(F.lower(line).rlike("^(?:" + "|".join(re.escape(s.lower()) for s in rules.object_starts) + ")"), F.lit(False))
 
 
 def lines_of(text: Column, least: int = 0) -> Column:
@@ -161,12 +162,13 @@ def articles_of(body: Column, rules: Rules = FRENCH_LAW) -> Column:
 
 
 def articles_in(lines: Column) -> Column:
-    """The same of lines (line, opens) that were tested before."""
+    """Array of (place, content) of lines (line, opens) that were tested before."""
     kept = F.filter(F.transform(lines, lambda x: F.struct(trimmed(x["line"]).alias("line"), x["opens"].alias("opens"))), lambda x: F.length(x["line"]) > 0)
-    return as_articles(pieces_of(kept, lambda x: x["line"], lambda x: F.when(x["opens"], "a"), " "))
+    return F.transform(pieces_of(kept, lambda x: x["line"], lambda x: F.when(x["opens"], "a"), " "), lambda x, i: F.struct((i + 1).alias("place"), F.substring(x, 2, 1 << 30).alias("content")))
 
 
 def as_articles(pieces: Column) -> Column:
+    """Pieces with their places and the numbers of their labels."""
     return F.transform(pieces, lambda x, i: let(F.substring(x, 2, 1 << 30), lambda c: F.struct((i + 1).alias("place"), standard_number(c).alias("index"), c.alias("content"))))
 
 

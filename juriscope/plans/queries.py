@@ -228,10 +228,10 @@ _LAWS = f"SELECT n.doc_id, law_number, coalesce(c, 0) AS n_articles FROM ({NUMBE
 
 
 def _acts(spark, sf, *wanted: str) -> DataFrame:
-    """doc_id, law_number and what is wanted of law_object, footer, n_articles and articles, from one pass over the lines; what is not wanted is not carried."""
+    """doc_id, law_number and what is wanted of header, footer, n_articles and articles, from one pass over the lines; what is not wanted is not carried."""
     rows = lines.section_rows(law_lines(spark, sf)).select("doc_id", lines.section_text("header"), lines.section_text("footer"), F.slice("lines", F.col("h") + 1, F.size("lines") - F.col("h")).alias("rest"))
     made = {
-        "law_object": acts.law_object(F.col("header")),
+        "header": F.col("header"),
         "footer": F.col("footer"),
         "n_articles": F.size(F.filter("rest", lambda x: x["opens"])).cast("long"),
         "articles": acts.articles_in(F.col("rest")),
@@ -331,9 +331,10 @@ def article_vector_join(spark, sf):
 
 
 def _law_nodes(spark, sf) -> DataFrame:
-    """One node for each law number; only the documents that win are read for their dates."""
-    won = graph.first_by(_acts(spark, sf, "law_object", "footer"), "law_number", "doc_id")
-    return graph.law_nodes(won.withColumn("law_date", acts.law_date(F.col("law_number"), F.col("footer"), F.lit(None).cast("string"))).drop("footer"))
+    """One node for each law number; only the documents that win are read for their objects and dates."""
+    won = graph.first_by(_acts(spark, sf, "header", "footer"), "law_number", "doc_id")
+    date = acts.law_date(F.col("law_number"), F.col("footer"), F.lit(None).cast("string"))
+    return graph.law_nodes(won.select("doc_id", "law_number", acts.law_object(F.col("header")).alias("law_object"), date.alias("law_date")))
 
 
 def _articles(spark, sf) -> DataFrame:

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from juriscope.functions.text import BLANKS, contains_early, delimiter_pattern, let, normalize_colons, normalize_delimiters, on_prefix, starts_with, trimmed
+from juriscope.functions.text import BLANKS, begins, contains_early, delimiter_pattern, let, normalize_colons, normalize_delimiters, on_prefix, starts_with, trimmed
 from juriscope.rules import FRENCH_LAW, Rules
 
 
@@ -75,7 +76,16 @@ def is_closing(line: Column, rules: Rules = FRENCH_LAW) -> Column:
     out = F.lit(False)
     for c in rules.closings:
         out = out | within_distance(line, c, 20, 3)
-    return out
+    return F.when(may_close(line, rules), out).otherwise(False)
+
+
+def may_close(line: Column, rules: Rules = FRENCH_LAW) -> Column:
+    """False only for lines that no closing formula is near to, as they hold no piece of one: a cheap test before the distances; null for null."""
+    parts = [pieces(c, 3) for c in rules.closings]
+    if not all(parts):
+        return F.lit(True)
+    every = {p for x in parts for p in x}
+    return holds_any(line, sorted(p for p in every if not any(o != p and o in p for o in every)))
 
 
 def is_garbage(line: Column) -> Column:
@@ -97,7 +107,7 @@ def looks_like_article(line: Column, rules: Rules = FRENCH_LAW) -> Column:
     numbered = F.left(F.lower(clean), F.lit(15)).rlike(r"^art.*(\d+|1er|premier|unique).*$")
     told = F.coalesce(F.when(clean == "", False).when(F.startswith(line, F.lit("ARTICLES")) & delimited, True).when(starts_with(line, "articles"), False).otherwise(word & numbered), F.lit(False))
     # no other line can pass, and most lines end here
-    return F.when(F.lower(F.left(begun, F.lit(3))) == "art", told).otherwise(False)
+    return F.when(begins(line, "a") & (F.lower(F.left(begun, F.lit(3))) == "art"), told).otherwise(False)
 
 
 def number_at_start(line: Column, n: int, rules: Rules = FRENCH_LAW) -> Column:
@@ -117,12 +127,8 @@ def number_value(number: Column) -> Column:
     return F.when(F.contains(number, F.lit("pre")) | F.contains(number, F.lit("er")), 1).otherwise(F.coalesce(number.try_cast("int"), F.lit(999999)))
 
 
-def normalized_article(line: Column, rules: Rules = FRENCH_LAW) -> Column:
-    """``Article number : content`` of a line that opens an article; other lines as they are.
-
-    With ``rules.compat`` the delimiter found is replaced along the whole line,
-    and of a line cut by its number only the first two parts stay.
-    """
+def normal_steps(rules: Rules = FRENCH_LAW) -> list[tuple[str, Callable[[Callable[[str], Column]], Column]]]:
+    """The normal form of an article's line, step by step: each step's name, and its value by those of the steps before it (``line`` at first); the last is ``normal``."""
     word, zone = rules.article, rules.label_zone
     early = lambda c, part: contains_early(c, part, zone)
     in_zone = lambda c, old, new: on_prefix(c, zone, lambda p: F.replace(p, F.lit(old), F.lit(new)))
@@ -139,21 +145,48 @@ def normalized_article(line: Column, rules: Rules = FRENCH_LAW) -> Column:
             out = out | early(c, d)
         return out
 
-    def content(c: Column, number: Column, was_delimited: Column) -> Column:
-        at = F.position(number, c)
-        rest = F.substr(c, at + F.length(number))
+    def spread(c: Column, number: Column, at: Column, rest: Column, was_delimited: Column) -> Column:
         if rules.compat:
-            rest = let(rest, lambda r: F.when(F.position(number, r) > 0, F.substr(r, F.lit(1), F.position(number, r) - 1)).otherwise(r))
-        spread = F.when(~was_delimited & (number != "") & (at > 0), F.concat(F.substr(c, F.lit(1), at - 1), number, F.lit(" : "), rest)).otherwise(c)
-        after = let(spread, lambda x: F.when(F.instr(x, ":") > 0, trimmed(F.substr(x, F.instr(x, ":") + 1))).otherwise(x))
-        tidy = let(let(after, lambda x: normalize_delimiters(x, 25, rules)), lambda x: normalize_colons(x, 25))
-        return trimmed(F.regexp_replace(tidy, "^:+", ""))
-
-    def built(labelled: Column) -> Column:
-        tidy = lambda c: F.when(early(c, "::"), in_zone(c, "::", ":")).when(early(c, ","), in_zone(c, ",", "")).otherwise(c)
-        cleaned = let(undelimited(labelled), tidy)
-        with_number = lambda c: let(number_at_start(c, rules.number_zone, rules), lambda n: F.concat(F.lit(word), F.lit(" "), n, F.lit(" : "), content(c, n, delimited(labelled))))
-        return let(cleaned, with_number)
-
-    labelled = F.when(within_distance(line, word, 10, 3), F.concat(F.lit(word), F.substring(line, len(word) + 1, 1 << 30))).otherwise(line)
-    return F.when(looks_like_article(line, rules), let(labelled, built)).otherwise(line)
+            rest = F.when(F.position(number, rest) > 0, F.substr(rest, F.lit(1), F.position(number, rest) - 1)).otherwise(rest)
+        return F.when(~was_delimited & (number != "") & (at > 0), F.concat(F.substr(c, F.lit(1), at - 1), number, F.lit(" : "), rest)).otherwise(c)
+
+    return [
+        ("labelled", lambda x: F.when(within_distance(x("line"), word, 10, 3), F.concat(F.lit(word), F.substring(x("line"), len(word) + 1, 1 << 30))).otherwise(x("line"))),
+        ("delimited", lambda x: delimited(x("labelled"))),
+        ("undelimited", lambda x: F.when(x("delimited"), undelimited(x("labelled"))).otherwise(x("labelled"))),
+        ("cleaned", lambda x: F.when(early(x("undelimited"), "::"), in_zone(x("undelimited"), "::", ":")).when(early(x("undelimited"), ","), in_zone(x("undelimited"), ",", "")).otherwise(x("undelimited"))),
+        ("number", lambda x: number_at_start(x("cleaned"), rules.number_zone, rules)),
+        ("at", lambda x: F.position(x("number"), x("cleaned"))),
+        ("rest", lambda x: F.substr(x("cleaned"), x("at") + F.length(x("number")))),
+        ("spread", lambda x: spread(x("cleaned"), x("number"), x("at"), x("rest"), x("delimited"))),
+        ("colon", lambda x: F.instr(x("spread"), ":")),
+        ("after", lambda x: F.when(x("colon") > 0, trimmed(F.substr(x("spread"), x("colon") + 1))).otherwise(x("spread"))),
+        ("tidy", lambda x: normalize_delimiters(x("after"), 25, rules)),
+        ("spaced", lambda x: normalize_colons(x("tidy"), 25)),
+        ("normal", lambda x: F.concat(F.lit(word), F.lit(" "), x("number"), F.lit(" : "), trimmed(F.regexp_replace(x("spaced"), "^:+", "")))),
+    ]
+
+
+def normalized_article(line: Column, rules: Rules = FRENCH_LAW) -> Column:
+    """``Article number : content`` of a line that opens an article; other lines as they are.
+
+    With ``rules.compat`` the delimiter found is replaced along the whole line,
+    and of a line cut by its number only the first two parts stay.  For whole
+    tables ``with_normal_form`` is the faster form.
+    """
+
+    def nested(steps, known: dict[str, Column]) -> Column:
+        (name, step), *later = steps
+        value = step(known.__getitem__)
+        return let(value, lambda v: nested(later, known | {name: v})) if later else value
+
+    return F.when(looks_like_article(line, rules), let(line, lambda x: nested(normal_steps(rules), {"line": x}))).otherwise(line)
+
+
+def with_normal_form(lines: DataFrame, opens: str, rules: Rules = FRENCH_LAW) -> DataFrame:
+    """Lines with ``normal``: the normal form where the column ``opens`` is true, null elsewhere; each step is a column, so Spark compiles it."""
+    kept = lines.columns
+    name = lambda n: n if n == "line" else f"__{n}"
+    for n, step in normal_steps(rules):
+        lines = lines.withColumn(name(n), F.when(F.col(opens), step(lambda k: F.col(name(k)))))
+    return lines.select(*kept, F.col("__normal").alias("normal"))

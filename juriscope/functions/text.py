@@ -22,6 +22,11 @@ def trimmed(c: Column) -> Column:
     return F.btrim(c, F.lit(BLANKS))
 
 
+def trimmed_column(c: Column) -> Column:
+    """``trimmed`` of a plain column: a text that neither begins nor ends with a blank is told by its first and last character."""
+    return F.when((c >= "!") & (F.right(c, F.lit(1)) >= "!"), c).otherwise(trimmed(c))
+
+
 def is_blank(c: Column) -> Column:
     """Null, empty, or Unicode white space only."""
     return F.coalesce(~c.rlike(r"[^\p{IsWhite_Space}]"), F.lit(True))
@@ -36,6 +41,12 @@ def starts_with(c: Column, prefix: str) -> Column:
     return F.coalesce(F.startswith(F.lower(c), F.lit(prefix.lower())), F.lit(False))
 
 
+def begins(c: Column, letter: str) -> Column:
+    """Whether a text's first character is a letter from a to z in either case, or may be a blank that trimming takes; bytes are compared, so this is a cheap test before a dear one."""
+    at = lambda x: (c >= x) & (c < chr(ord(x) + 1))
+    return at(letter.lower()) | at(letter.upper()) | (c < "!")
+
+
 def contains(c: Column, part: str) -> Column:
     """Ignoring case, minding accents; null does not."""
     return F.coalesce(F.contains(F.lower(c), F.lit(part.lower())), F.lit(False))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from juriscope.functions import fuzzy, text
@@ -49,14 +49,18 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def law_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """The rows of LAW_LINES: an order is read once for all lines that it makes alone, and only lines with a name or an article are joined."""
-    nation, said = table(spark, sf, "nation").select("n_nationkey", "n_name"), lambda c: F.col(c).cast("string")
+def law_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows of LAW_LINES, those of an order in one row: doc_id and lines (line_no, line).
+
+    Line items meet the parts once and their orders once.  Rows are dealt by doc_id,
+    which Spark knows, so what goes by act after this is not shuffled again.
+    """
+    said = lambda c: F.col(c).cast("string")
     case = lambda c, words, other: reduce(lambda x, iw: F.when(c == iw[0], iw[1]).otherwise(x), enumerate(words), F.lit(other))
+    line = lambda i, c: F.struct((F.lit(i) if isinstance(i, int) else i).alias("line_no"), (F.lit(c) if isinstance(c, str) else c).alias("line"))
     date = [f("o_orderdate").alias(n) for f, n in ((F.year, "y"), (F.month, "m"), (F.day, "d"))]
-    n = table(spark, sf, "orders").select(F.col("o_orderkey").alias("doc_id"), (F.col("o_custkey") % 25).alias("nk"), F.col("o_orderstatus").alias("st"), *date)
+    n = table(spark, sf, "orders").select(F.col("o_orderkey").alias("doc_id"), (F.col("o_custkey") % 25).alias("nk"), F.col("o_orderstatus").alias("st"), *date).repartition("doc_id")
     mo = F.coalesce(F.element_at(F.array(*map(F.lit, FRENCH_LAW.months)), F.col("m")), F.lit("décembre"))
-    reissued = F.col("st") == "O"
     told = [
         (1, "RÉPUBLIQUE DU BENIN"),
         (2, F.concat(F.lit("LOI N° "), said("y"), F.lit(" - "), (F.col("doc_id") % 100).cast("string"), F.lit(" DU "), said("d"), F.lit(" "), F.upper(mo), F.lit(" "), said("y"))),
@@ -69,17 +73,30 @@ def law_lines(spark: SparkSession, sf: str) -> DataFrame:
         (9004, "AMPLIATIONS"),
     ]
     again = [(9005, "Erratum : la loi promulgue ce qui suit"), (9006, "Article 99 : texte repris"), (9007, "Falt à Cotonou, le 1 mars 2000")]
-    rows = lambda made: F.array(*[F.struct(F.lit(i).alias("line_no"), (F.lit(c) if isinstance(c, str) else c).alias("line")) for i, c in made])
-    alone = n.select("doc_id", F.inline(rows(told))).unionByName(n.where(reissued).select("doc_id", F.inline(rows(again))))
-    named = lambda i, key, line: n.withColumn("n_nationkey", key).join(nation, "n_nationkey").select("doc_id", F.lit(i).alias("line_no"), line.alias("line"))
-    names = named(9001, F.col("nk"), F.concat("n_name", F.lit(".-"))).unionByName(named(9003, (F.col("nk") + 7) % 25, F.col("n_name")))
-    place = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate")
-    a = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("doc_id"), F.row_number().over(place).alias("k"), "l_partkey")
-    a = a.join(n.select("doc_id"), "doc_id").join(table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name"), "l_partkey")
-    word = case(F.col("l_partkey") % 4, ("Article ", "Articie ", "ARTICLE "), "Arficle ")
-    number = F.when(F.col("l_partkey") % 5 == 0, F.col("k") + 40).otherwise(F.col("k")).cast("string")
-    after = case(F.col("l_partkey") % 3, (".- ", " : "), " ")
-    return alone.unionByName(names).unionByName(a.select("doc_id", (100 + 2 * F.col("k")).cast("int").alias("line_no"), F.concat(word, number, after, "p_name").alias("line")))
+    made = lambda rows: F.array(*[line(i, c) for i, c in rows])
+    none = F.array().cast("array<struct<line_no:int,line:string>>")
+    # what a line says of its part is made once for each part
+    key = F.col("l_partkey")
+    word, after = case(key % 4, ("Article ", "Articie ", "ARTICLE "), "Arficle "), case(key % 3, (".- ", " : "), " ")
+    label = F.struct(word.alias("word"), F.when(key % 5 == 0, 40).otherwise(0).alias("more"), F.concat(after, "p_name").alias("rest"))
+    parts = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name").groupBy("l_partkey").agg(F.collect_list(label).alias("labels"))
+    order = ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate")
+    a = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("doc_id"), *order).join(parts, "l_partkey", "left")
+    a = a.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct(*order, "labels"))).alias("items"))
+    read = lambda i: lambda x: line((102 + 2 * i).cast("int"), F.concat(x["word"], (x["more"] + i + 1).cast("string"), x["rest"]))
+    articles = F.flatten(F.transform("items", lambda item, i: F.coalesce(F.transform(item["labels"], read(i)), none)))
+    nations = table(spark, sf, "nation").groupBy("n_nationkey").agg(F.collect_list(F.struct("n_name")).alias("names"))
+    named = lambda n, key, to: n.join(nations.select(F.col("n_nationkey").alias(to), F.col("names").alias(f"{to}_names")), key == F.col(to), "left")
+    n = named(named(n.join(a, "doc_id", "left"), F.col("nk"), "signs"), (F.col("nk") + 7) % 25, "seals")
+    signs = F.transform("signs_names", lambda x: line(9001, F.concat(x["n_name"], F.lit(".-"))))
+    seals = F.transform("seals_names", lambda x: line(9003, x["n_name"]))
+    every = F.concat(made(told), F.coalesce(articles, none), F.coalesce(signs, none), F.coalesce(seals, none), F.when(F.col("st") == "O", made(again)).otherwise(none))
+    return n.select("doc_id", every.alias("lines"))
+
+
+def law_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows of LAW_LINES, dealt by doc_id."""
+    return law_rows(spark, sf).select("doc_id", F.inline("lines"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}

@@ -55,3 +55,24 @@ def test_what_is_near_a_target_is_found_behind_the_test_before_it(spark):
 def test_index_counts_pairs_before_it_sends_them_on(spark, sf):
     plan = queries.vector_index_topk(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
     assert "bound" in plan
+
+
+def test_slices_of_acts_are_not_shuffled_again(spark, sf):
+    for name in ("body_state_sliced", "article_group_sliced", "sections_sliced"):
+        plan = queries.QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString().split("\n")
+        assert not any("Exchange" in x and "slice" in x for x in plan) and not any("Join" in x and "slice" in x for x in plan)
+
+
+def test_lines_of_acts_with_repeated_and_missing_keys(spark, tmp_path):
+    tables = {
+        "orders": ("o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate date", "(1, 3, 'O', date'2020-01-02'), (1, 3, 'O', date'2020-01-02'), (2, null, 'F', date'2021-12-31'), (3, 5, null, null), (null, 7, 'O', date'2020-05-05'), (4, 50, 'P', date'2020-08-01')"),
+        "lineitem": ("l_orderkey long, l_partkey long, l_suppkey long, l_extendedprice double, l_quantity double, l_shipdate date, l_linenumber int", "(1, 1, 1, 1, 1, null, 2), (1, 1, 1, 1, 1, null, 2), (1, null, 1, 1, 1, null, 2), (1, 5, 1, 1, 1, null, null), (1, 77, 1, 1, 1, null, 3), (2, 7, null, null, 1, null, 1), (9, 1, 1, 1, 1, null, 1), (null, 1, 1, 1, 1, null, 1), (4, 8, 1, double('NaN'), 1, null, 1), (4, 9, 1, 0, 1, null, 1)"),
+        "part": ("p_partkey long, p_name string", "(1, 'un'), (1, 'encore'), (5, null), (7, 'sept'), (8, 'huit'), (9, 'neuf'), (null, 'rien')"),
+        "nation": ("n_nationkey int, n_name string", "(0, 'A'), (3, 'B'), (3, 'C'), (5, null), (10, 'D')"),
+    }
+    for name, (schema, values) in tables.items():
+        names = [c.split()[0] for c in schema.split(", ")]
+        rows = spark.sql(f"SELECT * FROM VALUES {values} t({', '.join(names)})")
+        rows.select(*[F.col(c.split()[0]).cast(c.split()[1]) for c in schema.split(", ")]).write.parquet(f"{tmp_path}/{name}.parquet")
+    by_sql = spark.sql(queries.LAW_LINES, **{t: queries.table(spark, str(tmp_path), t) for t in tables})
+    assert sorted(map(repr, queries.law_lines(spark, str(tmp_path)).collect())) == sorted(map(repr, by_sql.collect()))

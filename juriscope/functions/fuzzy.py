@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from juriscope.functions.text import BLANKS, begins, contains_early, delimiter_pattern, let, normalize_colons, normalize_delimiters, on_prefix, starts_with, trimmed
+from juriscope.functions.text import BLANKS, apart, begins, contains_early, delimiter_pattern, let, normalize_colons, normalize_delimiters, on_prefix, starts_with, trimmed
 from juriscope.rules import FRENCH_LAW, Rules
 
 
@@ -184,9 +184,11 @@ def normalized_article(line: Column, rules: Rules = FRENCH_LAW) -> Column:
 
 
 def with_normal_form(lines: DataFrame, opens: str, rules: Rules = FRENCH_LAW) -> DataFrame:
-    """Lines with ``normal``: the normal form where the column ``opens`` is true, null elsewhere; each step is a column, so Spark compiles it."""
+    """Lines with ``normal``: the normal form where the column ``opens`` is true, null elsewhere; each step is a column, so Spark compiles it, in stretches that the JVM compiles."""
     kept = lines.columns
     name = lambda n: n if n == "line" else f"__{n}"
     for n, step in normal_steps(rules):
         lines = lines.withColumn(name(n), F.when(F.col(opens), step(lambda k: F.col(name(k)))))
+        if n in ("labelled", "cleaned", "spread"):
+            lines = lines.withColumn(opens, apart(F.col(opens)))
     return lines.select(*kept, F.col("__normal").alias("normal"))

@@ -78,6 +78,14 @@ def let(value: Column, f) -> Column:
     return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
+def apart(value: Column) -> Column:
+    """A plain column itself, in a form at which Spark ends the method that it makes of a chain of steps.
+
+    The JVM does not compile a method of over 8000 bytes, so a longer chain is many times slower.
+    """
+    return let(value, lambda x: x)
+
+
 def letters_only(c: Column) -> Column:
     """Accent-free lower-case letters a to z; the rest is dropped."""
     return F.regexp_replace(F.lower(strip_accents(c)), "[^a-z]", "")

@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from juriscope.functions.fuzzy import contains_target, is_closing, looks_like_article, normalized_article
-from juriscope.functions.text import contains, corrected, is_blank, is_title, starts_with, trimmed
+from juriscope.functions.fuzzy import contains_target, is_closing, looks_like_article, may_close, with_normal_form, within_distance
+from juriscope.functions.text import apart, contains, corrected, is_blank, is_title, starts_with, trimmed, trimmed_column
 from juriscope.operators.acts import any_of, due_only
 from juriscope.rules import FRENCH_LAW, Rules
 
@@ -41,19 +41,26 @@ def joined(by: list[str], line: str = "line", sep: str = "\n"):
 
 def repaired(lines: DataFrame, rules: Rules = FRENCH_LAW) -> DataFrame:
     """OCR lines corrected; within the body articles are normalised and titles dropped; the closing formula is restored."""
-    base = lines.select("doc_id", "line_no", trimmed(F.col("line")).alias("line")).where(~is_blank(F.col("line"))).select("doc_id", "line_no", corrected(F.col("line"), rules).alias("line"))
-    # each test of a line stands once, before the windows, which carry its answer
+    line = F.col("line")
+    printed = F.when((line >= "!") & (line < "\x7f"), True).otherwise(~is_blank(line))
+    base = lines.select("doc_id", "line_no", trimmed_column(line).alias("line")).where(printed).select("doc_id", apart(F.col("line_no")).alias("line_no"), corrected(line, rules).alias("line"))
+    # each test of a line stands once, before the window, which carries its answer
     closes = {c: f"closes_{i}" for i, c in enumerate(rules.closings)}
-    told = base.select("*", contains(F.col("line"), rules.promulgation).alias("opens"), *[is_closing(F.col("line"), Rules(closings=(c,))).alias(name) for c, name in closes.items()])
+    near = lambda c: F.when(F.col("may_close"), within_distance(line, c, 20, 3)).otherwise(False)
+    told = base.withColumn("may_close", may_close(line, rules)).select("doc_id", "line_no", "line", contains(line, rules.promulgation).alias("opens"), *[near(c).alias(name) for c, name in closes.items()])
     told = told.withColumn("ends", any_of(F.col(name) for name in closes.values()))
-    seen = told.withColumn("state", held(F.when(F.col("ends"), False).when(F.col("opens"), True)))
-    before = F.coalesce(F.lag("state").over(Window.partitionBy("doc_id").orderBy("line_no")), F.lit(False))
-    closing = F.col("line")
+    earlier = Window.partitionBy("doc_id").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.last(F.when(F.col("ends"), False).when(F.col("opens"), True), ignorenulls=True).over(earlier)
+    out = told.withColumn("before", before).withColumn("in_body", F.coalesce("before", F.lit(False)) | F.col("opens"))
+    closing = line
     for c, name in closes.items():
-        closing = F.when(F.col(name), F.concat(F.lit(c), F.substring(F.col("line"), len(c) + 1, 1 << 30))).otherwise(closing)
-    out = seen.withColumn("in_body", before | F.col("opens"))
-    new = F.when(F.col("in_body") & F.col("ends"), closing).when(F.col("in_body"), normalized_article(F.col("line"), rules)).otherwise(F.col("line"))
-    return out.where(~(F.col("in_body") & ~F.col("ends") & is_title(F.col("line")))).select("doc_id", "line_no", new.alias("line"), "in_body")
+        closing = F.when(F.col(name), F.concat(F.lit(c), F.substring("line", len(c) + 1, 1 << 30))).otherwise(closing)
+    inside = F.col("in_body") & ~F.col("ends")
+    out = out.withColumn("article", F.when(inside, looks_like_article(line, rules)).otherwise(False))
+    # a line that opens an article is no title
+    out = with_normal_form(out.where(~(inside & ~F.col("article") & is_title(line))), "article", rules)
+    new = F.when(F.col("in_body") & F.col("ends"), closing).when(F.col("article"), F.col("normal")).otherwise(line)
+    return out.select("doc_id", "line_no", new.alias("line"), "in_body")
 
 
 def body_state(lines: DataFrame, rules: Rules = FRENCH_LAW) -> DataFrame:

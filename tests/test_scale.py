@@ -1,5 +1,7 @@
 """Steps whose cost must not grow faster than their input: what they are given at once, and rows that stay the same."""
 
+import re
+
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -76,3 +78,15 @@ def test_lines_of_acts_with_repeated_and_missing_keys(spark, tmp_path):
         rows.select(*[F.col(c.split()[0]).cast(c.split()[1]) for c in schema.split(", ")]).write.parquet(f"{tmp_path}/{name}.parquet")
     by_sql = spark.sql(queries.LAW_LINES, **{t: queries.table(spark, str(tmp_path), t) for t in tables})
     assert sorted(map(repr, queries.law_lines(spark, str(tmp_path)).collect())) == sorted(map(repr, by_sql.collect()))
+
+
+def test_no_stretch_of_the_normal_form_is_too_long_to_compile(spark, sf):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    plan = queries.article_normalize(spark, sf)._jdf.queryExecution()
+    told = spark._jvm.PythonSQLUtils.explainString(plan, "codegen")
+    spark.conf.unset("spark.sql.adaptive.enabled")
+    assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", told))) < 8000  # bytes, the JVM's limit
+    some = ["Articie 12.- Le texte", "ARTICLE 3 : un : deux", "Arficle 4 a 4 b", "Article premier, de", "article", "Une ligne", "", None]
+    rows = spark.createDataFrame([(x,) for x in some], "line string").withColumn("opens", fuzzy.looks_like_article(F.col("line")))
+    got = fuzzy.with_normal_form(rows, "opens").select(fuzzy.normalized_article(F.col("line")), F.coalesce("normal", "line")).collect()
+    assert all(a == b for a, b in got) and got[0][0] == "Article 12 : Le texte"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from string import ascii_letters
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +12,8 @@ from juriscope.sources.shared import shared_path
 
 #: Words that are sent to all tasks, at most.
 MISSING = 500_000
-WORDS = r"[^a-zA-Zàâéèêëîïôûùçœ'-]+"
+#: What stands between words.  Letters are listed one by one, which Java's regex looks up in one table; ranges it tries one after the other at each character.
+WORDS = f"[^{ascii_letters}àâéèêëîïôûùçœ'-]+"
 
 
 def lexicon(lines: DataFrame, text_col: str = "text") -> DataFrame:

@@ -83,3 +83,10 @@ def test_unknown_words_either_way(spark):
     known = spark.createDataFrame([("beta",), ("delta",)], "word string")
     rows = lambda most: sorted(map(tuple, quality.unknown_words(df, known, most=most).collect()))
     assert rows(100) == rows(0) == [(1, 4), (2, 0), (3, 0), (4, 1)]
+
+
+def test_words_are_split_as_by_ranges_without_trying_them(spark):
+    assert "a-z" not in quality.WORDS and "A-Z" not in quality.WORDS
+    every = spark.range(1, 0x3000).select(F.concat(F.lit("a"), F.expr("decode(unhex(lpad(hex(id), 4, '0')), 'UTF-16BE')"), F.lit("b")).alias("t"))
+    same = F.split("t", quality.WORDS) == F.split("t", r"[^a-zA-Zàâéèêëîïôûùçœ'-]+")
+    assert every.where(~same).count() == 0

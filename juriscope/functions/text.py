@@ -37,8 +37,8 @@ def is_numeric(c: Column) -> Column:
 
 
 def starts_with(c: Column, prefix: str) -> Column:
-    """Ignoring case; null does not."""
-    return F.coalesce(F.startswith(F.lower(c), F.lit(prefix.lower())), F.lit(False))
+    """Ignoring case; null does not.  Only as many characters as the prefix has are put in lower case."""
+    return F.coalesce(F.startswith(F.lower(F.left(c, F.lit(len(prefix)))), F.lit(prefix.lower())), F.lit(False))
 
 
 def begins(c: Column, letter: str) -> Column:
@@ -57,7 +57,8 @@ def contains_early(c: Column, part: str, n: int) -> Column:
 
 
 def is_title(c: Column) -> Column:
-    return F.upper(trimmed(c)).rlike(r"^(TITRE|CHAPITRE|SECTION|LIVRE|SOUS-SECTION)\s+[0-9IVXerPREMIER]+.*$")
+    may = reduce(lambda a, x: a | begins(c, x), "cslt", c >= "\x7f")  # other letters than these have capitals among them too
+    return F.when(may, F.upper(trimmed(c)).rlike(r"^(TITRE|CHAPITRE|SECTION|LIVRE|SOUS-SECTION)\s+[0-9IVXerPREMIER]+.*$")).otherwise(may)
 
 
 @cache
@@ -113,6 +114,11 @@ def single_line(c: Column) -> Column:
     return trimmed(F.replace(c, F.lit("\u0001"), F.lit("\n- ")))
 
 
+def single_line_column(c: Column) -> Column:
+    """``single_line`` of a plain column: most texts have nothing to join."""
+    return F.when(c.rlike(r"[\r\n\x01]|[ \t]{2}"), single_line(c)).otherwise(trimmed_column(c))
+
+
 def delimiter_pattern(rules: Rules = FRENCH_LAW) -> str:
     return "|".join(re.escape(d) for d in rules.delimiters)
 
@@ -166,7 +172,8 @@ def french_date(c: Column, rules: Rules = FRENCH_LAW) -> Column:
     pattern = r"^\s*(\d{1,2}) +(\S+) +(\d{4})\s*$"
 
     def parts(low: Column) -> Column:
-        month = F.array_position(F.array(*map(F.lit, rules.months)), F.regexp_extract(low, pattern, 2)).cast("int")
+        # no array_position, which throws an exception for what it finds where a lambda is evaluated
+        month = let(F.regexp_extract(low, pattern, 2), lambda m: F.coalesce(*[F.when(m == x, i + 1) for i, x in enumerate(rules.months)]))
         return F.struct(F.regexp_extract(low, pattern, 1).try_cast("int").alias("day"), month.alias("month"), F.regexp_extract(low, pattern, 3).try_cast("int").alias("year"))
 
     def made(x: Column) -> Column:

@@ -25,7 +25,8 @@ def any_of(tests) -> Column:
 
 
 def starts_object(line: Column, rules: Rules = FRENCH_LAW) -> Column:
-    return F.coalesce(F.lower(line).rlike("^(?:" + "|".join(re.escape(s.lower()) for s in rules.object_starts) + ")"), F.lit(False))
+    most = max(map(len, rules.object_starts), default=0)
+    return F.coalesce(F.lower(F.left(line, F.lit(most))).rlike("^(?:" + "|".join(re.escape(s.lower()) for s in rules.object_starts) + ")"), F.lit(False))
 
 
 def lines_of(text: Column, least: int = 0) -> Column:
@@ -33,18 +34,23 @@ def lines_of(text: Column, least: int = 0) -> Column:
     return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), r"\r\n|[\n\r\x0B\f\x{85}\x{2028}\x{2029}]"), trimmed), lambda x: F.length(x) > least)
 
 
-def pieces_of(lines: Column, text, event, sep: str) -> Column:
-    joined = F.array_join(F.transform(lines, lambda x: F.concat(F.coalesce(F.concat(F.lit(MARK), event(x)), F.lit(sep)), text(x))), "")
-    return F.filter(F.split(joined, MARK), lambda x: F.left(x, F.lit(1)).rlike("^[a-z]"))
+def lead(event: Column, sep: str) -> Column:
+    """What stands before a line: MARK and the letter that ``event`` names for it, else ``sep``."""
+    return F.coalesce(F.concat(F.lit(MARK), event), F.lit(sep))
 
 
-def cut_at(lines: Column, event: Column, sep: str) -> Column:
-    """Lines joined by ``sep``, cut before each that ``event`` names a letter for; a piece begins with its letter, what comes before the first is dropped."""
-    return pieces_of(lines, lambda x: x, event, sep)
+def marked(lines: Column, text, event, sep: str) -> Column:
+    """All lines as one text, each with its lead."""
+    return F.array_join(F.transform(lines, lambda x: F.concat(lead(event(x), sep), text(x))), "")
 
 
-def of_kind(pieces: Column, letter: str, sep: str = " ") -> Column:
-    return F.array_join(F.transform(F.filter(pieces, lambda x: F.startswith(x, F.lit(letter))), lambda x: F.substring(x, 2, 1 << 30)), sep)
+def pieces_of(marked: Column, letters: str = "[a-z]") -> Column:
+    """Marked lines cut before each mark; what comes before the first is dropped."""
+    return F.regexp_extract_all(marked, F.lit(f"{MARK}{letters}([^{MARK}]*)"), F.lit(1))
+
+
+def of_kind(marked: Column, letter: str, sep: str = " ") -> Column:
+    return F.array_join(pieces_of(marked, letter), sep)
 
 
 def second_title_dropped(header: Column) -> Column:
@@ -54,24 +60,35 @@ def second_title_dropped(header: Column) -> Column:
     return F.replace(whole, F.lit(" , "), F.lit(""))
 
 
-def cleaned_header(header: Column, rules: Rules = FRENCH_LAW) -> Column:
-    """Struct of republic, number, object, assembly and president, read from the lines that each trigger opens."""
-    header = F.coalesce(header, F.lit(""))
+def header_event(line: Column, rules: Rules = FRENCH_LAW) -> Column:
+    """The field that a header's line opens: number, object, deliberation or president; null for none."""
+    target = any_of(contains_target(line, t, 3) for t in rules.assembly)
+    return F.when(starts_with(line, "LOI"), "n").when(starts_object(line, rules), "o").when(target, "d").when(contains(line, rules.promulgation), "p")
 
-    def event(line: Column) -> Column:
-        target = any_of(contains_target(line, t, 3) for t in rules.assembly)
-        return F.when(starts_with(line, "LOI"), "n").when(starts_object(line, rules), "o").when(target, "d").when(contains(line, rules.promulgation), "p")
 
-    def read(pieces: Column) -> Column:
-        return F.struct(
-            F.when(contains(header, "DAHOMEY"), "DAHOMEY").otherwise("BENIN").alias("republic"),
-            from_first_digit(of_kind(pieces, "n")).alias("number"),
-            single_line(of_kind(pieces, "o")).alias("object"),
-            after_first(single_line(of_kind(pieces, "d")), "nationale").alias("assembly"),
-            before_first(single_line(of_kind(pieces, "p")), "promulgue").alias("president"),
-        )
+def header_marks(header: Column, rules: Rules = FRENCH_LAW) -> Column:
+    return marked(lines_of(second_title_dropped(header), 2), lambda x: x, lambda x: header_event(x, rules), " ")
+
+
+def header_parts(header: Column, marks: Column) -> dict[str, Column]:
+    """Republic, number, object, assembly and president, of a header and its marked lines."""
+    return {
+        "republic": F.when(contains(header, "DAHOMEY"), "DAHOMEY").otherwise("BENIN"),
+        "number": from_first_digit(of_kind(marks, "n")),
+        "object": single_line(of_kind(marks, "o")),
+        "assembly": after_first(single_line(of_kind(marks, "d")), "nationale"),
+        "president": before_first(single_line(of_kind(marks, "p")), "promulgue"),
+    }
+
 
-    return let(cut_at(lines_of(second_title_dropped(header), 2), event, " "), read)
+def as_struct(parts: dict[str, Column]) -> Column:
+    return F.struct(*[c.alias(n) for n, c in parts.items()])
+
+
+def cleaned_header(header: Column, rules: Rules = FRENCH_LAW) -> Column:
+    """Struct of republic, number, object, assembly and president, read from the lines that each trigger opens."""
+    header = F.coalesce(header, F.lit(""))
+    return let(header_marks(header, rules), lambda x: as_struct(header_parts(header, x)))
 
 
 # Other names of the slots, as template files write them.
@@ -99,54 +116,92 @@ HEADER = "RÉPUBLIQUE DU [republic]\n\nLOI N° [number]\n\n[object]\n\nL'Assembl
 FOOTER = "Fait à [city], le [signed]\n\n[signatories]\n\nAMPLIATIONS"
 
 
-def header_text(fields: Column, template: str = HEADER) -> Column:
+def header_text(fields: Column | dict[str, Column], template: str = HEADER) -> Column:
     return filled(template, **{n: fields[n] for n in ("republic", "number", "object", "assembly", "president")})
 
 
+def ends_footer(line: Column) -> Column:
+    return contains(line, "AMPLIATIONS") | contains(line, "JOURNAL OFFICIEL")
+
+
+def footer_event(line: Column, elsewhere: Column) -> Column:
+    """Whether a footer's line is the closing formula (s) or ends what was signed (x); null for others."""
+    here = F.when(elsewhere, contains_target(line, "Porto-Novo", 2)).otherwise(contains_target(line, "Cotonou", 2))
+    off = ends_footer(line)
+    return F.when(contains(line, "Fait à"), F.when(here, "s").when(off, "x")).when(off, "x")
+
+
+def city_event(line: Column) -> Column:
+    """``footer_event`` for lines tested before their footer's city is known: the closing formula at Porto-Novo (p), Cotonou (c) or both (b)."""
+    p, c = contains_target(line, "Porto-Novo", 2), contains_target(line, "Cotonou", 2)
+    return F.when(contains(line, "Fait à"), F.when(p, F.when(c, "b").otherwise("p")).when(c, "c")).when(ends_footer(line), "x")
+
+
+def in_city(marks: Column, elsewhere: Column) -> Column:
+    """Lines marked by ``city_event`` as ``footer_event`` marks them."""
+    of = lambda here, there: F.replace(F.regexp_replace(marks, f"{MARK}[b{here}]", f"{MARK}s"), F.lit(f"{MARK}{there}"), F.lit("\n"))
+    return F.when(elsewhere, of("p", "c")).otherwise(of("c", "p"))
+
+
+def footer_marks(footer: Column, elsewhere: Column) -> Column:
+    return marked(lines_of(footer), lambda x: x, lambda x: footer_event(x, elsewhere), "\n")
+
+
+def in_porto_novo(footer: Column) -> Column:
+    return contains(footer, "PORTO-NOVO")
+
+
+def footer_parts(marks: Column, elsewhere: Column) -> dict[str, Column]:
+    """City, signed and signatories, of a footer's marked lines."""
+    last = F.try_element_at(pieces_of(marks, "s"), F.lit(-1))
+    after = F.regexp_extract_all(marks, F.lit(rf"{MARK}s[^{MARK}\n]*\n([^{MARK}]+)"), F.lit(1))
+    return {
+        "city": F.when(elsewhere, "Porto-Novo").otherwise("Cotonou"),
+        "signed": F.coalesce(from_first_digit(F.regexp_extract(last, r"^[^\n]*", 0)), F.lit("")),
+        "signatories": trimmed(F.array_join(after, "\n")),
+    }
+
+
 def cleaned_footer(footer: Column) -> Column:
     """Struct of city, signed (the date as read) and signatories (their lines): from the closing formula to the distribution list, as often as they come."""
     footer = F.coalesce(footer, F.lit(""))
+    return let(in_porto_novo(footer), lambda x: let(footer_marks(footer, x), lambda y: as_struct(footer_parts(y, x))))
 
-    def event(line: Column, elsewhere: Column) -> Column:
-        here = F.when(elsewhere, contains_target(line, "Porto-Novo", 2)).otherwise(contains_target(line, "Cotonou", 2))
-        off = contains(line, "AMPLIATIONS") | contains(line, "JOURNAL OFFICIEL")
-        return F.when(contains(line, "Fait à"), F.when(here, "s").when(off, "x")).when(off, "x")
-
-    def read(pieces: Column, elsewhere: Column) -> Column:
-        signed = F.filter(pieces, lambda x: F.startswith(x, F.lit("s")))
-        last = F.try_element_at(signed, F.lit(-1))
-        after = F.transform(signed, lambda x: F.regexp_extract(x, r"(?s)^[^\n]*\n(.*)$", 1))
-        return F.struct(
-            F.when(elsewhere, "Porto-Novo").otherwise("Cotonou").alias("city"),
-            F.coalesce(from_first_digit(F.regexp_extract(F.substring(last, 2, 1 << 30), r"^[^\n]*", 0)), F.lit("")).alias("signed"),
-            trimmed(F.array_join(F.filter(after, lambda x: x != ""), "\n")).alias("signatories"),
-        )
 
-    return let(contains(footer, "PORTO-NOVO"), lambda x: let(cut_at(lines_of(footer), lambda y: event(y, x), "\n"), lambda y: read(y, x)))
+def footer_text(fields: Column | dict[str, Column], template: str = FOOTER) -> Column:
+    return filled(template, **{n: fields[n] for n in ("city", "signed", "signatories")})
 
 
-def footer_text(fields: Column, template: str = FOOTER) -> Column:
-    return filled(template, **{n: fields[n] for n in ("city", "signed", "signatories")})
+def first_place(lines: Column, test) -> Column:
+    """The place, from 1, of the first line that passes; null for none.  Spark's ``array_position`` throws an exception for what it finds where a lambda is evaluated, which costs more than the tests."""
+    return F.array_min(F.transform(lines, lambda x, i: F.when(test(x), i + 1)))
 
 
 def from_to(lines: Column, start, stop) -> Column:
     """Lines from the first that starts, joined by line ends, to the line before the first stop at or after it."""
 
     def rest(lines: Column) -> Column:
-        end = F.array_position(F.transform(lines, stop), F.lit(True)).cast("int")
-        return F.array_join(F.when(end > 0, F.slice(lines, 1, end - 1)).otherwise(lines), "\n")
+        return F.array_join(let(first_place(lines, stop), lambda end: F.when(end > 0, F.slice(lines, 1, end - 1)).otherwise(lines)), "\n")
+
+    return let(lines, lambda x: let(first_place(x, start), lambda at: F.when(at > 0, let(F.slice(x, at, F.size(x)), rest)).otherwise("")))
 
-    at = F.array_position(F.transform(lines, start), F.lit(True)).cast("int")
-    return let(lines, lambda x: F.when(at > 0, let(F.slice(x, at, F.size(x)), rest)).otherwise(""))
+
+def number_lines(lines: Column, rules: Rules = FRENCH_LAW) -> Column:
+    """Of a header's lines, those of its number."""
+    return from_to(lines, lambda y: starts_with(y, "LOI"), lambda y: starts_object(y, rules))
+
+
+def object_lines(lines: Column, rules: Rules = FRENCH_LAW) -> Column:
+    """Of a header's lines, those of its object."""
+    return from_to(lines, lambda y: starts_object(y, rules), lambda y: any_of(contains(y, t) for t in rules.assembly))
 
 
 def law_number(header: Column, rules: Rules = FRENCH_LAW) -> Column:
-    return let(F.split(header, "\n"), lambda x: from_first_digit(single_line(from_to(x, lambda y: starts_with(y, "LOI"), lambda y: starts_object(y, rules)))))
+    return let(F.split(header, "\n"), lambda x: from_first_digit(single_line(number_lines(x, rules))))
 
 
 def law_object(header: Column, rules: Rules = FRENCH_LAW) -> Column:
-    stop = lambda y: any_of(contains(y, t) for t in rules.assembly)
-    return let(F.split(header, "\n"), lambda x: single_line(from_to(x, lambda y: starts_object(y, rules), stop)))
+    return let(F.split(header, "\n"), lambda x: single_line(object_lines(x, rules)))
 
 
 def law_date(number: Column, footer: Column, year: Column, rules: Rules = FRENCH_LAW) -> Column:
@@ -156,20 +211,24 @@ def law_date(number: Column, footer: Column, year: Column, rules: Rules = FRENCH
     return F.coalesce(read(after_first(number, "DU")), read(after_first(closing, "le|du")))
 
 
+def body_marks(body: Column, rules: Rules = FRENCH_LAW) -> Column:
+    return marked(lines_of(body), lambda x: x, lambda x: F.when(looks_like_article(x, rules), "a"), " ")
+
+
 def articles_of(body: Column, rules: Rules = FRENCH_LAW) -> Column:
     """Array of (place, index, content): a line that opens an article begins one, the others follow it."""
-    return as_articles(cut_at(lines_of(body), lambda x: F.when(looks_like_article(x, rules), "a"), " "))
+    return as_articles(pieces_of(body_marks(body, rules)))
 
 
 def articles_in(lines: Column) -> Column:
     """Array of (place, content) of lines (line, opens) that were tested before."""
     kept = F.filter(F.transform(lines, lambda x: F.struct(trimmed(x["line"]).alias("line"), x["opens"].alias("opens"))), lambda x: F.length(x["line"]) > 0)
-    return F.transform(pieces_of(kept, lambda x: x["line"], lambda x: F.when(x["opens"], "a"), " "), lambda x, i: F.struct((i + 1).alias("place"), F.substring(x, 2, 1 << 30).alias("content")))
+    return F.transform(pieces_of(marked(kept, lambda x: x["line"], lambda x: F.when(x["opens"], "a"), " ")), lambda x, i: F.struct((i + 1).alias("place"), x.alias("content")))
 
 
 def as_articles(pieces: Column) -> Column:
     """Pieces with their places and the numbers of their labels."""
-    return F.transform(pieces, lambda x, i: let(F.substring(x, 2, 1 << 30), lambda c: F.struct((i + 1).alias("place"), standard_number(c).alias("index"), c.alias("content"))))
+    return F.transform(pieces, lambda c, i: F.struct((i + 1).alias("place"), standard_number(c).alias("index"), c.alias("content")))
 
 
 def due_only(articles: Column) -> Column:

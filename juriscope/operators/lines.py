@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from juriscope.functions.fuzzy import contains_target, is_closing, looks_like_article, may_close, with_normal_form, within_distance
 from juriscope.functions.text import apart, contains, corrected, is_blank, is_title, starts_with, trimmed, trimmed_column
-from juriscope.operators.acts import any_of, due_only
+from juriscope.operators.acts import MARK, any_of, city_event, due_only, ends_footer, header_event, lead
 from juriscope.rules import FRENCH_LAW, Rules
 
 
@@ -102,6 +102,37 @@ def section_texts(lines: DataFrame, rules: Rules = FRENCH_LAW) -> DataFrame:
     return section_rows(lines, rules).select("doc_id", *map(section_text, ("header", "body", "footer")))
 
 
+def marked_sections(lines: DataFrame, rules: Rules = FRENCH_LAW) -> DataFrame:
+    """doc_id, ``lines`` (line_no, piece: the line with its lead, and the lead's length, in order), of how many the header (h), and header and body together (b), consist, and of each section whether a line of it is odd.
+
+    Each line is tested once, as a column, before a document's lines are gathered.
+    A line is odd if it can't be read by itself: it is to be trimmed, left out or
+    cut, by what stands in it, or has two meanings.
+    """
+    line, section = F.col("line"), F.col("section")
+    told = lines.withColumn("opens", looks_like_article(line, rules))
+    # the last closing so far is that of a footer if an article stands at or before it
+    first, last = F.min(F.when(F.col("opens"), F.col("line_no"))).over(by_line()), F.max(F.when(starts_with(line, "Fait à"), F.col("line_no"))).over(by_line())
+    told = told.withColumn("first", first).withColumn("last", last)
+    told = told.withColumn("section", F.when(F.col("last") >= F.col("first"), "f").when(F.col("first").isNotNull(), "b").otherwise("h"))
+    event = F.when(section == "h", header_event(line, rules)).when(section == "b", F.when(F.col("opens"), "a")).otherwise(city_event(line))
+    told = told.withColumn("lead", F.when(section == "f", lead(event, "\n")).otherwise(lead(event, " ")))
+    apart = rf"[\n\r\x0B\f\x{{85}}\x{{2028}}\x{{2029}}{MARK}]"
+    odd = ~((line >= "!") & (F.right(line, F.lit(1)) >= "!")) | F.when(section == "h", (F.length(line) < 3) | line.rlike(rf"{apart}| , |.LOI|LOI$")).otherwise(line.rlike(apart))
+    odd = odd | ((section == "f") & contains(line, "Fait à") & ends_footer(line))
+    told = told.select("doc_id", "line_no", F.concat("lead", "line").alias("piece"), F.length("lead").alias("lead"), "section", odd.alias("odd"), ((section == "h") & F.startswith(line, F.lit("LOI"))).alias("title"))
+    is_odd = [F.coalesce(F.bool_or((section == s) & F.col("odd")), F.lit(False)) for s in "hbf"]
+    listed = F.sort_array(F.collect_list(F.struct("line_no", "piece", "lead"))).alias("lines")
+    return told.groupBy("doc_id").agg(listed, F.count_if(section == "h").cast("int").alias("h"), F.count_if(section != "f").cast("int").alias("b"), (is_odd[0] | (F.count_if("title") > 1)).alias("odd_h"), is_odd[1].alias("odd_b"), is_odd[2].alias("odd_f"))
+
+
+def of_section(name: str) -> tuple[Column, Column]:
+    """A section of ``marked_sections``: its lines with their leads as one text, and without them, each a line of its own."""
+    start, stop = {"h": (F.lit(0), F.col("h")), "b": (F.col("h"), F.col("b")), "f": (F.col("b"), F.size("lines"))}[name]
+    bare = F.transform(F.slice("lines", start + 1, stop - start), lambda x: F.substr(x["piece"], x["lead"] + 1))
+    return F.array_join(F.slice(F.col("lines")["piece"], start + 1, stop - start), ""), F.array_join(bare, "\n")
+
+
 def articles(lines: DataFrame, rules: Rules = FRENCH_LAW) -> DataFrame:
     """Each article with its lines joined by a blank; lines before the first are left out."""
     numbered = lines.select("doc_id", "line_no", trimmed(F.col("line")).alias("line"), F.sum(looks_like_article(F.col("line"), rules).cast("int")).over(by_line()).alias("article_no"))

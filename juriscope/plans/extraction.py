@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from juriscope.functions.fuzzy import let, standard_number
-from juriscope.functions.text import is_blank, source_url, valid_url
+from juriscope.functions.text import from_first_digit, is_blank, single_line_column, source_url, valid_url
 from juriscope.operators import acts, edits
-from juriscope.operators.lines import repaired, section_texts, to_lines
+from juriscope.operators.lines import marked_sections, of_section, repaired, to_lines
 from juriscope.operators.metadata import signatories
 from juriscope.rules import FRENCH_LAW, Rules
 from juriscope.sources.adapters import Adapter
@@ -25,9 +25,26 @@ def act_sections(texts: DataFrame, rules: Rules = FRENCH_LAW, header: str = acts
     return told.withColumn("articles", acts.articles_of(F.col("body"), rules))
 
 
+def marked_acts(rows: DataFrame, rules: Rules = FRENCH_LAW, header: str = acts.HEADER, footer: str = acts.FOOTER) -> DataFrame:
+    """``act_sections`` of rows as ``marked_sections`` gives them: only sections that hold an odd line are read from their whole text; each step is a column, so Spark compiles it."""
+    wanted = [c for c in rows.columns if c not in ("lines", "h", "b", "odd_h", "odd_b", "odd_f")]
+    whole = {s: F.when(F.col(f"odd_{s}"), of_section(s)[1]).otherwise(of_section(s)[0]).alias(f"whole_{s}") for s in "hbf"}
+    told = rows.select(*wanted, *whole.values(), "odd_h", "odd_b", "odd_f", (F.size("lines") > F.col("b")).alias("closed"))
+    told = told.withColumn("elsewhere", acts.in_porto_novo(F.col("whole_f")))
+    either = lambda s, of_text, of_marks: F.when(F.col(f"odd_{s}"), of_text).otherwise(of_marks).alias(f"marks_{s}")
+    w = lambda s: F.col(f"whole_{s}")
+    told = told.select(*wanted, "whole_h", "closed", "elsewhere", either("h", acts.header_marks(w("h"), rules), w("h")), either("b", acts.body_marks(w("b"), rules), w("b")), either("f", acts.footer_marks(w("f"), F.col("elsewhere")), acts.in_city(w("f"), F.col("elsewhere"))))
+    # each part is a column of its own, as a struct would be made anew for each of its fields
+    head, foot = acts.header_text(acts.header_parts(w("h"), F.col("marks_h")), header), acts.footer_text(acts.footer_parts(F.col("marks_f"), F.col("elsewhere")), footer)
+    return told.select(*wanted, head.alias("head"), F.when(F.col("closed"), foot).otherwise("").alias("foot"), acts.as_articles(acts.pieces_of(F.col("marks_b"))).alias("articles"))
+
+
 def read_fields(told: DataFrame, rules: Rules = FRENCH_LAW) -> DataFrame:
     """Sections with law_number, law_object, law_date, and the articles that count."""
-    told = told.withColumn("law_number", acts.law_number(F.col("head"), rules)).withColumn("law_object", acts.law_object(F.col("head"), rules))
+    kept = told.columns
+    told = told.withColumn("head_lines", F.split("head", "\n"))
+    told = told.withColumn("law_number", acts.number_lines(F.col("head_lines"), rules)).withColumn("law_object", acts.object_lines(F.col("head_lines"), rules))
+    told = told.select(*kept, from_first_digit(single_line_column(F.col("law_number"))).alias("law_number"), single_line_column(F.col("law_object")).alias("law_object"))
     told = told.withColumn("law_date", acts.law_date(F.col("law_number"), F.col("foot"), F.col("year"), rules))
     return told.withColumn("articles", F.when(F.contains("head", F.lit("modifiant")), acts.due_only(F.col("articles"))).otherwise(F.col("articles")))
 
@@ -66,9 +83,11 @@ def extract_laws(docs: DataFrame, register: DataFrame, rules: Rules = FRENCH_LAW
     article, but for the words that ``accepted`` lists.  The acts are read once,
     into a table of the shared folder, when this is called.
     """
-    texts = section_texts(repaired(to_lines(docs), rules), rules)
+    rows = marked_sections(repaired(to_lines(docs), rules).select("doc_id", "line_no", "line"), rules)
     extra = [F.col(c).cast("string").alias(c) if c in docs.columns else F.lit(d).cast("string").alias(c) for c, d in (("type", "loi"), ("year", None))]
-    told = act_fields(docs.select("doc_id", *extra).join(texts, "doc_id", "left").fillna("", ["header", "body", "footer"]), rules, header, footer, grammar, accepted)
+    rows = docs.select("doc_id", *extra).join(rows, "doc_id", "left").withColumn("lines", F.coalesce("lines", F.array().cast(rows.schema["lines"].dataType)))
+    told = marked_acts(rows.fillna(0, ["h", "b"]).fillna(False, ["odd_h", "odd_b", "odd_f"]), rules, header, footer)
+    told = read_fields(told if grammar is None else grammar_corrected(told, grammar, accepted), rules)
     # written, as the register is met by the lines of all acts first and by each act's own after
     path = shared_path(docs.sparkSession, "acts-read")
     told.select("doc_id", "type", "foot", "law_number", "law_object", "law_date", "articles").write.parquet(path)

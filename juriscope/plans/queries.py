@@ -617,7 +617,8 @@ _ACT = f"""WITH marked AS (SELECT *, sum(CAST({ART} AS INT)) {W} AS g FROM ({_NO
 @query(_ACT)
 def act_whole(spark, sf):
     """Acts from their OCR text to the shape of the act JSON, all steps in one plan."""
-    docs = law_lines(spark, sf).groupBy("doc_id").agg(lines.joined(["doc_id"]).alias("text"))
+    every = F.sort_array(F.flatten(F.collect_list("lines")))
+    docs = law_rows(spark, sf).groupBy("doc_id").agg(F.array_join(every["line"], "\n").alias("text"))
     register = table(spark, sf, "nation").select(F.col("n_nationkey").alias("priority"), F.col("n_name").alias("name"), F.lit("country").alias("role"))
     m = lambda name, out: F.col(f"metadata.{name}").alias(out)
     people = F.array_join(F.transform("metadata.signatories", lambda x: x["name"]), ", ").alias("signatories")

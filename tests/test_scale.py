@@ -6,8 +6,8 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from juriscope.functions import fuzzy, text
-from juriscope.operators import edits
-from juriscope.plans import queries
+from juriscope.operators import edits, lines
+from juriscope.plans import extraction, queries
 from juriscope.rules import FRENCH_LAW
 
 
@@ -90,3 +90,21 @@ def test_no_stretch_of_the_normal_form_is_too_long_to_compile(spark, sf):
     rows = spark.createDataFrame([(x,) for x in some], "line string").withColumn("opens", fuzzy.looks_like_article(F.col("line")))
     got = fuzzy.with_normal_form(rows, "opens").select(fuzzy.normalized_article(F.col("line")), F.coalesce("normal", "line")).collect()
     assert all(a == b for a, b in got) and got[0][0] == "Article 12 : Le texte"
+
+
+def test_an_acts_fields_are_found_without_exceptions(spark):
+    rows = spark.createDataFrame([(1, "LOI N° 2 DU 3 MAI 2004\nportant x\nAssemblée nationale", "", "Fait à Cotonou, le 3 mai 2004", "loi", "2004")], "doc_id long, header string, body string, footer string, type string, year string")
+    told = extraction.act_fields(rows)
+    assert "array_position" not in told._jdf.queryExecution().optimizedPlan().toString()
+    assert told.select("law_number", "law_object", F.col("law_date").cast("string")).collect() == [("2 DU 3 MAI 2004", "portant x", "2004-05-03")]
+
+
+def test_lines_tested_beforehand_give_the_sections_of_whole_texts(spark):
+    heads = ["RÉPUBLIQUE DU BENIN\nLOI N° 2\nportant x", "au DAHOMEY\nx/y LOI N° 3\nportant , y", "LOI N° 4\nsur z\nLOI N° 5", "portant LOI", "LOI N° 6\nD\nfixant\ru\n L'Assemblée nationale a voté \npromulgue", "loi N° 7 LOI 8 LOI 9", "LOI\u0001na\nrelative"]
+    bodies = ["Article 1 : un\nsuite\nArticle 2", " Article 3 : a , b\nLOI , c", "Article 4\rArticle 5\n\u0001x", ""]
+    feet = ["Fait à Cotonou, le 1 mai 2000\nA. B\nAMPLIATIONS\nC", "Fait à Porto-Novo, le 2 mai 2000\nPORTO-NOVO\nD", "Fait à Cotonou et Porto-Novo\n E \nFait à tort\nF\nJOURNAL OFFICIEL AMPLIATIONS Fait à Cotonou\nG", "Fait à PORTO-NOVO\rH\nFait à Cotonou\nI", ""]
+    texts = [(i, "\n".join(x for x in t if x)) for i, t in enumerate((h, b, f) for h in heads for b in bodies for f in feet)]
+    told = lines.to_lines(spark.createDataFrame(texts, "doc_id long, text string")).where("trim(line) <> ''")
+    whole = extraction.act_sections(lines.section_texts(told)).select("doc_id", "head", "foot", "articles")
+    got = extraction.marked_acts(lines.marked_sections(told)).select(*whole.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, whole.collect())) and got.count() == len(texts)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from juriscope.functions.text import BLANKS, apart, begins, contains_early, delimiter_pattern, let, normalize_colons, normalize_delimiters, on_prefix, starts_with, trimmed
+from juriscope.functions.text import BLANKS, apart, begins, contains_early, delimiter_pattern, let, normalize_colons, normalize_delimiters, on_prefix, starts_with, trimmed, trimmed_column
 from juriscope.rules import FRENCH_LAW, Rules
 
 
@@ -59,16 +59,21 @@ def contains_target(line: Column, target: str, most: int) -> Column:
 
     Words are looked at only where a piece of the target stands, or three of its letters in a row.
     """
+    return holds_target(F.lower(line), target, most)
+
+
+def holds_target(low: Column, target: str, most: int) -> Column:
+    """``contains_target`` of a line in lower case."""
     goal = target.lower()
     parts = pieces(goal, most)
     close = lambda w: ((F.contains(w, F.lit(goal)) | F.contains(F.lit(goal), w)) & (F.length(w) > 2)) | (F.levenshtein(w, F.lit(goal), most) >= 0)
-    told = lambda low: F.exists(F.split(low, r"[\s,.;/!]+"), close)
+    told = F.exists(F.split(low, r"[\s,.;/!]+"), close)
     if not parts:
-        return F.coalesce(told(F.lower(line)), F.lit(False))
+        return F.coalesce(told, F.lit(False))
     # a three-letter run that holds a piece adds nothing to it
     runs = [r for r in dict.fromkeys(goal[i : i + 3] for i in range(len(goal) - 2)) if not any(p in r for p in parts)]
     any_part = "|".join(map(re.escape, [*parts, *runs]))
-    return F.coalesce(F.when(F.lower(line).rlike(any_part), told(F.lower(line))), F.lit(False))
+    return F.coalesce(F.when(low.rlike(any_part), told), F.lit(False))
 
 
 def is_closing(line: Column, rules: Rules = FRENCH_LAW) -> Column:
@@ -95,8 +100,8 @@ def is_garbage(line: Column) -> Column:
 
 def looks_like_article(line: Column, rules: Rules = FRENCH_LAW) -> Column:
     """Whether a line opens an article: a label, whole or misread, and a number right after it."""
-    clean = trimmed(line)
-    begun = F.ltrim(line, F.lit(BLANKS))
+    clean = trimmed_column(line)
+    begun = F.when(line >= "!", line).otherwise(F.ltrim(line, F.lit(BLANKS)))
     zone = F.lower(F.left(begun, F.lit(7)))
     grams = ("ar", "rt", "ti", "ic", "cl", "le")
     hits = sum((F.contains(zone, F.lit(g)).cast("int") for g in grams), F.lit(0))
@@ -118,7 +123,7 @@ def number_at_start(line: Column, n: int, rules: Rules = FRENCH_LAW) -> Column:
 
 def standard_number(article: Column) -> Column:
     """The number in a line like "Article 10 : ..."; UNKNOWN if it does not begin so."""
-    head = trimmed(F.regexp_replace(F.get(F.split(article, ":", 2), F.lit(0)), "(?i)article", ""))
+    head = trimmed(F.regexp_replace(F.substring_index(article, ":", 1), "(?i)article", ""))
     return F.when(starts_with(article, "article"), head).otherwise("UNKNOWN")
 
 

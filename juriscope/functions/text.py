@@ -49,7 +49,12 @@ def begins(c: Column, letter: str) -> Column:
 
 def contains(c: Column, part: str) -> Column:
     """Ignoring case, minding accents; null does not."""
-    return F.coalesce(F.contains(F.lower(c), F.lit(part.lower())), F.lit(False))
+    return holds(F.lower(c), part)
+
+
+def holds(low: Column, part: str) -> Column:
+    """``contains`` of a text in lower case."""
+    return F.coalesce(F.contains(low, F.lit(part.lower())), F.lit(False))
 
 
 def contains_early(c: Column, part: str, n: int) -> Column:
@@ -74,6 +79,11 @@ def strip_accents(c: Column) -> Column:
     return F.regexp_replace(F.translate(c, *_accents()), r"\p{M}", "")
 
 
+def strip_accents_column(c: Column) -> Column:
+    """``strip_accents`` of a plain column: a text with as many bytes as characters has none."""
+    return F.when(F.octet_length(c) == F.length(c), c).otherwise(strip_accents(c))
+
+
 def let(value: Column, f) -> Column:
     """``f(value)`` with the value computed once, however often f uses it."""
     return F.get(F.transform(F.array(value), f), F.lit(0))
@@ -176,12 +186,29 @@ def french_date(c: Column, rules: Rules = FRENCH_LAW) -> Column:
         month = let(F.regexp_extract(low, pattern, 2), lambda m: F.coalesce(*[F.when(m == x, i + 1) for i, x in enumerate(rules.months)]))
         return F.struct(F.regexp_extract(low, pattern, 1).try_cast("int").alias("day"), month.alias("month"), F.regexp_extract(low, pattern, 3).try_cast("int").alias("year"))
 
-    def made(x: Column) -> Column:
-        good = x["day"].between(1, 31) & (x["month"] >= 1) & (x["year"] >= 1)
-        first = F.make_date(F.when(good, x["year"]), F.when(good, x["month"]), F.lit(1))
-        return F.when(good, F.date_add(first, F.least(x["day"], F.day(F.last_day(first))) - 1))
+    return let(let(F.lower(c), parts), lambda x: date_of(x["day"], x["month"], x["year"]))
+
+
+def date_of(day: Column, month: Column, year: Column) -> Column:
+    """The date of three numbers; days beyond the month's end count as its end, others are null."""
+    good = day.between(1, 31) & (month >= 1) & (year >= 1)
+    first = F.make_date(F.when(good, year), F.when(good, month), F.lit(1))
+    return F.when(good, F.date_add(first, F.least(day, F.day(F.last_day(first))) - 1))
+
+
+#: A date without a slip, to which ``repair_date`` does nothing: day, month and year with one blank between.
+WRITTEN = r"^(\d{1,2}) ([^\s/\-,]+) (\d{4})\z"
+
+
+def written_month(c: Column) -> Column:
+    """The month's name in a date that is written without a slip, in lower case; empty for other texts."""
+    return F.lower(F.regexp_extract(c, WRITTEN, 2))
+
 
-    return let(let(F.lower(c), parts), made)
+def written_date(c: Column, month: Column, rules: Rules = FRENCH_LAW) -> Column:
+    """``french_date`` of a text whose ``written_month`` is the name of one, without a step that Spark does not compile."""
+    number = F.coalesce(*[F.when(month == x, i + 1) for i, x in enumerate(rules.months)])
+    return date_of(F.substring_index(c, " ", 1).try_cast("int"), number, F.right(c, F.lit(4)).try_cast("int"))
 
 
 @cache

@@ -8,13 +8,13 @@ joining all lines and cutting at the marks, which is one pass over the text.
 from __future__ import annotations
 
 import re
-from functools import reduce
+from functools import cache, reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from juriscope.functions.fuzzy import contains_target, let, looks_like_article, number_value, standard_number
-from juriscope.functions.text import after_first, before_first, contains, french_date, from_first_digit, repair_date, single_line, starts_with, trimmed
+from juriscope.functions.fuzzy import contains_target, holds_target, let, looks_like_article, number_value, standard_number
+from juriscope.functions.text import after_first, before_first, contains, french_date, from_first_digit, holds, repair_date, single_line, starts_with, trimmed
 from juriscope.rules import FRENCH_LAW, Rules
 
 MARK = "\u0001"
@@ -60,24 +60,30 @@ def second_title_dropped(header: Column) -> Column:
     return F.replace(whole, F.lit(" , "), F.lit(""))
 
 
-def header_event(line: Column, rules: Rules = FRENCH_LAW) -> Column:
-    """The field that a header's line opens: number, object, deliberation or president; null for none."""
-    target = any_of(contains_target(line, t, 3) for t in rules.assembly)
-    return F.when(starts_with(line, "LOI"), "n").when(starts_object(line, rules), "o").when(target, "d").when(contains(line, rules.promulgation), "p")
+def header_event(line: Column, rules: Rules = FRENCH_LAW, low: Column | None = None) -> Column:
+    """The field that a header's line opens: number, object, deliberation or president; null for none.  ``low`` is the line in lower case, where a column has it."""
+    low = F.lower(line) if low is None else low
+    target = any_of(holds_target(low, t, 3) for t in rules.assembly)
+    return F.when(starts_with(line, "LOI"), "n").when(starts_object(line, rules), "o").when(target, "d").when(holds(low, rules.promulgation), "p")
 
 
 def header_marks(header: Column, rules: Rules = FRENCH_LAW) -> Column:
     return marked(lines_of(second_title_dropped(header), 2), lambda x: x, lambda x: header_event(x, rules), " ")
 
 
-def header_parts(header: Column, marks: Column) -> dict[str, Column]:
-    """Republic, number, object, assembly and president, of a header and its marked lines."""
+def header_kinds(marks: Column) -> dict[str, Column]:
+    """The lines of each field of a header's marked lines: number (n), object (o), deliberation (d) and president (p)."""
+    return {x: of_kind(marks, x) for x in "nodp"}
+
+
+def header_parts(header: Column, kinds: dict[str, Column], one=single_line) -> dict[str, Column]:
+    """Republic, number, object, assembly and president, of a header and its ``header_kinds``, put on one line by ``one``."""
     return {
         "republic": F.when(contains(header, "DAHOMEY"), "DAHOMEY").otherwise("BENIN"),
-        "number": from_first_digit(of_kind(marks, "n")),
-        "object": single_line(of_kind(marks, "o")),
-        "assembly": after_first(single_line(of_kind(marks, "d")), "nationale"),
-        "president": before_first(single_line(of_kind(marks, "p")), "promulgue"),
+        "number": from_first_digit(kinds["n"]),
+        "object": one(kinds["o"]),
+        "assembly": after_first(one(kinds["d"]), "nationale"),
+        "president": before_first(one(kinds["p"]), "promulgue"),
     }
 
 
@@ -88,7 +94,7 @@ def as_struct(parts: dict[str, Column]) -> Column:
 def cleaned_header(header: Column, rules: Rules = FRENCH_LAW) -> Column:
     """Struct of republic, number, object, assembly and president, read from the lines that each trigger opens."""
     header = F.coalesce(header, F.lit(""))
-    return let(header_marks(header, rules), lambda x: as_struct(header_parts(header, x)))
+    return let(header_marks(header, rules), lambda x: as_struct(header_parts(header, header_kinds(x))))
 
 
 # Other names of the slots, as template files write them.
@@ -120,8 +126,9 @@ def header_text(fields: Column | dict[str, Column], template: str = HEADER) -> C
     return filled(template, **{n: fields[n] for n in ("republic", "number", "object", "assembly", "president")})
 
 
-def ends_footer(line: Column) -> Column:
-    return contains(line, "AMPLIATIONS") | contains(line, "JOURNAL OFFICIEL")
+def ends_footer(line: Column, low: Column | None = None) -> Column:
+    low = F.lower(line) if low is None else low
+    return holds(low, "AMPLIATIONS") | holds(low, "JOURNAL OFFICIEL")
 
 
 def footer_event(line: Column, elsewhere: Column) -> Column:
@@ -131,10 +138,10 @@ def footer_event(line: Column, elsewhere: Column) -> Column:
     return F.when(contains(line, "Fait à"), F.when(here, "s").when(off, "x")).when(off, "x")
 
 
-def city_event(line: Column) -> Column:
-    """``footer_event`` for lines tested before their footer's city is known: the closing formula at Porto-Novo (p), Cotonou (c) or both (b)."""
-    p, c = contains_target(line, "Porto-Novo", 2), contains_target(line, "Cotonou", 2)
-    return F.when(contains(line, "Fait à"), F.when(p, F.when(c, "b").otherwise("p")).when(c, "c")).when(ends_footer(line), "x")
+def city_event(line: Column, low: Column) -> Column:
+    """``footer_event`` for lines (and those in lower case) tested before their footer's city is known: the closing formula at Porto-Novo (p), Cotonou (c) or both (b)."""
+    p, c = holds_target(low, "Porto-Novo", 2), holds_target(low, "Cotonou", 2)
+    return F.when(holds(low, "Fait à"), F.when(p, F.when(c, "b").otherwise("p")).when(c, "c")).when(ends_footer(line, low), "x")
 
 
 def in_city(marks: Column, elsewhere: Column) -> Column:
@@ -196,6 +203,38 @@ def object_lines(lines: Column, rules: Rules = FRENCH_LAW) -> Column:
     return from_to(lines, lambda y: starts_object(y, rules), lambda y: any_of(contains(y, t) for t in rules.assembly))
 
 
+@cache
+def _capitals() -> dict[str, str]:
+    """Each letter with all that it is the lower case of."""
+    out: dict[str, str] = {}
+    for c in map(chr, (*range(0xD800), *range(0xE000, 0x110000))):
+        if c.lower() != c and len(c.lower()) == 1:
+            out[c.lower()] = out.get(c.lower(), "") + c
+    return out
+
+
+@cache
+def in_any_case(words: tuple[str, ...]) -> str:
+    """A pattern of what has one of the words as its lower case.  Only of a capital I with a dot the lower case is two characters."""
+    letter = lambda c, last: f"[{re.escape(c + _capitals().get(c, '') + ('İ' if c == 'i' and last else ''))}]"
+    return "(?:" + "|".join("".join(letter(c, i == len(w) - 1) for i, c in enumerate(w)) for w in map(str.lower, words)) + ")"
+
+
+def lines_in(text: Column, start: str, stop: str) -> Column:
+    """``from_to`` of a text whose lines are not cut apart, as one search: ``start`` and ``stop`` are patterns of a line's beginning."""
+    return F.coalesce(F.regexp_extract(text, rf"(?s)(?:\A|\n)(?={start})(?:(?={stop})|(.*?)(?=\n{stop}|\z))", 1), F.lit(""))
+
+
+def number_in(header: Column, rules: Rules = FRENCH_LAW) -> Column:
+    """``number_lines`` of a header as text."""
+    return lines_in(header, in_any_case(("LOI",)), in_any_case(rules.object_starts))
+
+
+def object_in(header: Column, rules: Rules = FRENCH_LAW) -> Column:
+    """``object_lines`` of a header as text."""
+    return lines_in(header, in_any_case(rules.object_starts), rf"(?:[^\n]*{in_any_case(rules.assembly)})" if rules.assembly else "(?!)")
+
+
 def law_number(header: Column, rules: Rules = FRENCH_LAW) -> Column:
     return let(F.split(header, "\n"), lambda x: from_first_digit(single_line(number_lines(x, rules))))
 
@@ -204,11 +243,15 @@ def law_object(header: Column, rules: Rules = FRENCH_LAW) -> Column:
     return let(F.split(header, "\n"), lambda x: single_line(object_lines(x, rules)))
 
 
+def closing_date(footer: Column, year: Column, rules: Rules = FRENCH_LAW) -> Column:
+    """The date after "le" or "du" in the closing formula."""
+    closing = F.try_element_at(F.filter(F.split(footer, "\n"), lambda x: any_of(starts_with(x, c) for c in rules.closings)), F.lit(1))
+    return french_date(let(after_first(closing, "le|du"), lambda x: repair_date(x, year, rules)), rules)
+
+
 def law_date(number: Column, footer: Column, year: Column, rules: Rules = FRENCH_LAW) -> Column:
     """The date after DU in the number, else after "le" or "du" in the closing formula, misread parts repaired; null if neither is one."""
-    closing = F.try_element_at(F.filter(F.split(footer, "\n"), lambda x: any_of(starts_with(x, c) for c in rules.closings)), F.lit(1))
-    read = lambda c: french_date(let(c, lambda x: repair_date(x, year, rules)), rules)
-    return F.coalesce(read(after_first(number, "DU")), read(after_first(closing, "le|du")))
+    return F.coalesce(french_date(let(after_first(number, "DU"), lambda x: repair_date(x, year, rules)), rules), closing_date(footer, year, rules))
 
 
 def body_marks(body: Column, rules: Rules = FRENCH_LAW) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from juriscope.functions.fuzzy import contains_target, is_closing, looks_like_article, may_close, with_normal_form, within_distance
-from juriscope.functions.text import apart, contains, corrected, is_blank, is_title, starts_with, trimmed, trimmed_column
+from juriscope.functions.text import apart, contains, corrected, holds, is_blank, is_title, starts_with, trimmed, trimmed_column
 from juriscope.operators.acts import MARK, any_of, city_event, due_only, ends_footer, header_event, lead
 from juriscope.rules import FRENCH_LAW, Rules
 
@@ -43,7 +43,8 @@ def repaired(lines: DataFrame, rules: Rules = FRENCH_LAW) -> DataFrame:
     """OCR lines corrected; within the body articles are normalised and titles dropped; the closing formula is restored."""
     line = F.col("line")
     printed = F.when((line >= "!") & (line < "\x7f"), True).otherwise(~is_blank(line))
-    base = lines.select("doc_id", "line_no", trimmed_column(line).alias("line")).where(printed).select("doc_id", apart(F.col("line_no")).alias("line_no"), corrected(line, rules).alias("line"))
+    # a line that is known to be there takes less code, by which the methods stay under the JVM's limit
+    base = lines.where(line.isNotNull()).select("doc_id", "line_no", trimmed_column(line).alias("line")).where(printed).select("doc_id", apart(F.col("line_no")).alias("line_no"), corrected(line, rules).alias("line"))
     # each test of a line stands once, before the window, which carries its answer
     closes = {c: f"closes_{i}" for i, c in enumerate(rules.closings)}
     near = lambda c: F.when(F.col("may_close"), within_distance(line, c, 20, 3)).otherwise(False)
@@ -57,8 +58,8 @@ def repaired(lines: DataFrame, rules: Rules = FRENCH_LAW) -> DataFrame:
         closing = F.when(F.col(name), F.concat(F.lit(c), F.substring("line", len(c) + 1, 1 << 30))).otherwise(closing)
     inside = F.col("in_body") & ~F.col("ends")
     out = out.withColumn("article", F.when(inside, looks_like_article(line, rules)).otherwise(False))
-    # a line that opens an article is no title
-    out = with_normal_form(out.where(~(inside & ~F.col("article") & is_title(line))), "article", rules)
+    # no line that opens an article is a title, as the two begin with unlike letters
+    out = with_normal_form(out.where(~(inside & is_title(line))), "article", rules)
     new = F.when(F.col("in_body") & F.col("ends"), closing).when(F.col("article"), F.col("normal")).otherwise(line)
     return out.select("doc_id", "line_no", new.alias("line"), "in_body")
 
@@ -112,14 +113,17 @@ def marked_sections(lines: DataFrame, rules: Rules = FRENCH_LAW) -> DataFrame:
     line, section = F.col("line"), F.col("section")
     told = lines.withColumn("opens", looks_like_article(line, rules))
     # the last closing so far is that of a footer if an article stands at or before it
-    first, last = F.min(F.when(F.col("opens"), F.col("line_no"))).over(by_line()), F.max(F.when(starts_with(line, "Fait à"), F.col("line_no"))).over(by_line())
-    told = told.withColumn("first", first).withColumn("last", last)
+    told = told.withColumn("closing", starts_with(line, "Fait à"))
+    at = lambda c: F.when(F.col(c), F.col("line_no"))
+    told = told.select("*", F.min(at("opens")).over(by_line()).alias("first"), F.max(at("closing")).over(by_line()).alias("last"))  # at once, as each select is a window of its own
     told = told.withColumn("section", F.when(F.col("last") >= F.col("first"), "f").when(F.col("first").isNotNull(), "b").otherwise("h"))
-    event = F.when(section == "h", header_event(line, rules)).when(section == "b", F.when(F.col("opens"), "a")).otherwise(city_event(line))
+    low = F.col("low")
+    told = told.withColumn("low", F.when(section != "b", F.lower(line)))
+    event = F.when(section == "h", header_event(line, rules, low)).when(section == "b", F.when(F.col("opens"), "a")).otherwise(city_event(line, low))
     told = told.withColumn("lead", F.when(section == "f", lead(event, "\n")).otherwise(lead(event, " ")))
     apart = rf"[\n\r\x0B\f\x{{85}}\x{{2028}}\x{{2029}}{MARK}]"
     odd = ~((line >= "!") & (F.right(line, F.lit(1)) >= "!")) | F.when(section == "h", (F.length(line) < 3) | line.rlike(rf"{apart}| , |.LOI|LOI$")).otherwise(line.rlike(apart))
-    odd = odd | ((section == "f") & contains(line, "Fait à") & ends_footer(line))
+    odd = odd | ((section == "f") & holds(low, "Fait à") & ends_footer(line, low))
     told = told.select("doc_id", "line_no", F.concat("lead", "line").alias("piece"), F.length("lead").alias("lead"), "section", odd.alias("odd"), ((section == "h") & F.startswith(line, F.lit("LOI"))).alias("title"))
     is_odd = [F.coalesce(F.bool_or((section == s) & F.col("odd")), F.lit(False)) for s in "hbf"]
     listed = F.sort_array(F.collect_list(F.struct("line_no", "piece", "lead"))).alias("lines")

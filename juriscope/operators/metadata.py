@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from juriscope.functions.fuzzy import contains_target, fuzzy_match, gram_hits, is_garbage, let
-from juriscope.functions.text import after_first, contains, french_date, from_first_digit, repair_date, single_line, starts_with, strip_accents, trimmed, trimmed_column
+from juriscope.functions.text import after_first, contains, french_date, from_first_digit, repair_date, single_line, starts_with, strip_accents, strip_accents_column, trimmed, trimmed_column
 from juriscope.operators.lines import between_first, held, joined
 from juriscope.rules import FRENCH_LAW, Rules
 
@@ -87,9 +87,11 @@ def signatories(lines: DataFrame, register: DataFrame, rules: Rules = FRENCH_LAW
     it the one with the most.  Lines and names meet by the names' rarer trigrams,
     so the register may be of any size.
     """
-    plain = F.lower(trimmed(strip_accents(F.upper(F.col("line")))))
     lines = lines.withColumn("bare", trimmed_column(F.col("line")))
-    left = lines.where(~is_garbage(F.col("bare")) & (F.col("bare") != "")).select("doc_id", "line_no", plain.alias("text"))
+    left = lines.where(~is_garbage(F.col("bare")) & (F.col("bare") != "")).select("doc_id", "line_no", F.upper(F.col("line")).alias("text"))
+    # a step a column, so that each is computed once
+    for step in (strip_accents_column, trimmed_column, F.lower):
+        left = left.withColumn("text", step(F.col("text")))
     right = register.select("priority", "name", "role", F.lower(trimmed(strip_accents(F.upper(F.col("name"))))).alias("key"))
     met = candidates(left.select("text").distinct(), right.select("key").distinct())
     met = met.where(fuzzy_match(F.col("text"), F.col("key"), F.greatest(F.length("text"), F.length("key")), 3, 3)).join(right, "key")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from juriscope.functions.fuzzy import let, standard_number
-from juriscope.functions.text import from_first_digit, is_blank, single_line_column, source_url, valid_url
+from juriscope.functions.text import after_first, french_date, from_first_digit, is_blank, repair_date, single_line_column, source_url, valid_url, written_date, written_month
 from juriscope.operators import acts, edits
 from juriscope.operators.lines import marked_sections, of_section, repaired, to_lines
 from juriscope.operators.metadata import signatories
@@ -35,17 +35,22 @@ def marked_acts(rows: DataFrame, rules: Rules = FRENCH_LAW, header: str = acts.H
     w = lambda s: F.col(f"whole_{s}")
     told = told.select(*wanted, "whole_h", "closed", "elsewhere", either("h", acts.header_marks(w("h"), rules), w("h")), either("b", acts.body_marks(w("b"), rules), w("b")), either("f", acts.footer_marks(w("f"), F.col("elsewhere")), acts.in_city(w("f"), F.col("elsewhere"))))
     # each part is a column of its own, as a struct would be made anew for each of its fields
-    head, foot = acts.header_text(acts.header_parts(w("h"), F.col("marks_h")), header), acts.footer_text(acts.footer_parts(F.col("marks_f"), F.col("elsewhere")), footer)
+    kinds = acts.header_kinds(F.col("marks_h"))
+    told = told.select("*", *[c.alias(f"lines_{x}") for x, c in kinds.items()])
+    head, foot = acts.header_text(acts.header_parts(w("h"), {x: F.col(f"lines_{x}") for x in kinds}, single_line_column), header), acts.footer_text(acts.footer_parts(F.col("marks_f"), F.col("elsewhere")), footer)
     return told.select(*wanted, head.alias("head"), F.when(F.col("closed"), foot).otherwise("").alias("foot"), acts.as_articles(acts.pieces_of(F.col("marks_b"))).alias("articles"))
 
 
 def read_fields(told: DataFrame, rules: Rules = FRENCH_LAW) -> DataFrame:
     """Sections with law_number, law_object, law_date, and the articles that count."""
     kept = told.columns
-    told = told.withColumn("head_lines", F.split("head", "\n"))
-    told = told.withColumn("law_number", acts.number_lines(F.col("head_lines"), rules)).withColumn("law_object", acts.object_lines(F.col("head_lines"), rules))
+    told = told.withColumn("law_number", acts.number_in(F.col("head"), rules)).withColumn("law_object", acts.object_in(F.col("head"), rules))
     told = told.select(*kept, from_first_digit(single_line_column(F.col("law_number"))).alias("law_number"), single_line_column(F.col("law_object")).alias("law_object"))
-    told = told.withColumn("law_date", acts.law_date(F.col("law_number"), F.col("foot"), F.col("year"), rules))
+    # most dates are written without a slip, so they need no step that Spark does not compile
+    said = F.col("said")
+    told = told.withColumn("said", after_first(F.col("law_number"), "DU")).withColumn("month", written_month(said))
+    plain = F.when(F.col("month").isin(*rules.months), written_date(said, F.col("month"), rules)).otherwise(french_date(let(said, lambda x: repair_date(x, F.col("year"), rules)), rules))
+    told = told.withColumn("law_date", F.coalesce(plain, acts.closing_date(F.col("foot"), F.col("year"), rules))).drop("said", "month")
     return told.withColumn("articles", F.when(F.contains("head", F.lit("modifiant")), acts.due_only(F.col("articles"))).otherwise(F.col("articles")))
 
 

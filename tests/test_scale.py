@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from juriscope.functions import fuzzy, text
-from juriscope.operators import edits, lines
+from juriscope.operators import acts, edits, lines
 from juriscope.plans import extraction, queries
 from juriscope.rules import FRENCH_LAW
 
@@ -108,3 +108,27 @@ def test_lines_tested_beforehand_give_the_sections_of_whole_texts(spark):
     whole = extraction.act_sections(lines.section_texts(told)).select("doc_id", "head", "foot", "articles")
     got = extraction.marked_acts(lines.marked_sections(told)).select(*whole.columns)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, whole.collect())) and got.count() == len(texts)
+
+
+def test_fields_found_in_a_whole_header_are_those_of_its_lines(spark):
+    heads = ["a\nLOI N° 1\nx\nportant y\nz\nl'ASSEMBLEE\nw", "lOİ 2\nSUR a NATIONALE\nrelative", "LOI 3", "portant a\nb", "Définissant\nFIXANT\nnationale", "x LOI\n\nabrogeant\n\n", "LOI\nloi\nSur", "dÉfinissant é", "", "\n", "LOI 4\n portant\nportant\r\nASSEMBLEE", "aſſemblee\nſur\nsurtout"]
+    rows = spark.createDataFrame([(h,) for h in heads], "h string")
+    pairs = [(acts.number_in, acts.number_lines), (acts.object_in, acts.object_lines)]
+    got = rows.select(*[c for whole, by_line in pairs for c in (whole(F.col("h")), by_line(F.split("h", "\n")))]).collect()
+    assert [(r[0], r[2]) for r in got] == [(r[1], r[3]) for r in got] and got[0][2] == "portant y\nz"
+
+
+def test_a_date_without_a_slip_needs_no_repair(spark):
+    said = ["3 MAI 2004", "31 FÉVRIER 2004", "29 Février 2003", "0 mai 2004", "32 mai 2004", "1er mai 2004", "3 mai 0000", "3  mai 2004", "l5 mai 2004", "3 mal 2004", "3 mai 2004\u0085", "03 août 1999", "3 mai-2004", "", None]
+    rows = spark.createDataFrame([(s, "1990") for s in said], "s string, year string").withColumn("month", text.written_month(F.col("s")))
+    by_repair = text.french_date(text.repair_date(F.col("s"), F.col("year")))
+    got = rows.select("s", F.col("month").isin(*FRENCH_LAW.months), text.written_date(F.col("s"), F.col("month")), by_repair).collect()
+    assert [r[0] for r in got if r[1]] == ["3 MAI 2004", "31 FÉVRIER 2004", "29 Février 2003", "0 mai 2004", "32 mai 2004", "3 mai 0000", "03 août 1999"]
+    assert all(r[2] == r[3] for r in got if r[1])
+
+
+def test_acts_are_read_in_two_windows_and_without_lists_of_header_lines(spark, sf):
+    rows = lines.marked_sections(lines.repaired(queries.law_lines(spark, sf)).select("doc_id", "line_no", "line"))
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("Window [") == 2
+    told = extraction.read_fields(extraction.act_sections(spark.createDataFrame([(1, "", "", "", "2004")], "doc_id long, header string, body string, footer string, year string")))
+    assert "head_lines" not in told._jdf.queryExecution().analyzed().toString()
